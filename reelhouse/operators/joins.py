@@ -2,13 +2,17 @@
 
 A side is broadcast only after its row count is checked against a bound; a
 side above the bound is joined with a plain shuffle join (sort-merge, which
-AQE may still turn into a broadcast or split for skew at run time). The check
-is a ``limit(bound + 1).count()``: it stops reading once the bound is passed,
-and on Parquet-backed dimensions it is answered from file footers.
+AQE may still turn into a broadcast or split for skew at run time).
+
+The probed side is persisted (memory and disk) before it is counted, so the
+count and the join read the same computed rows instead of deriving the
+dimension twice; a lost cached block is recomputed from lineage. On
+Parquet-backed dimensions the count is answered from file footers.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +26,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    probe = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if probe.count() <= max_rows:
+        return F.broadcast(probe)
+    probe.unpersist()
+    return df
 
 
 def broadcast_bounded(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

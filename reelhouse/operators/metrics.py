@@ -54,6 +54,23 @@ MAPPING_RULES: tuple[MappingRule, ...] = (
 MAPPED_LABELS = ("dag_id", "task_id", "state", "raw_metric")
 
 
+def _rule_match(segs: Column, rule: MappingRule) -> Column:
+    """A glob rule matches when the segment count is equal and every literal
+    segment is equal; each ``*`` is exactly one dot-free segment."""
+    parts = rule.match.split(".")
+    cond = F.size(segs) == F.lit(len(parts))
+    for i, part in enumerate(parts):
+        if part != "*":
+            cond = cond & (F.element_at(segs, i + 1) == F.lit(part))
+    return cond
+
+
+def _capture(segs: Column, rule: MappingRule, ref: str) -> Column:
+    """Value of ``$n``: the segment under the n-th ``*`` of the rule."""
+    stars = [i for i, part in enumerate(rule.match.split(".")) if part == "*"]
+    return F.element_at(segs, stars[int(ref[1:]) - 1] + 1)
+
+
 def map_metric_names(
     df: DataFrame,
     name_col: str = "name",
@@ -63,21 +80,22 @@ def map_metric_names(
     """M1/M2: add ``metric`` and one column per label.
 
     The first matching rule wins; a name no rule matches passes through with
-    dots replaced by underscores and no labels. The rules become one
-    ``CASE WHEN`` chain per output column, evaluated in codegen.
+    dots replaced by underscores and no labels. The name is split into
+    segments once; rules are compared segment by segment inside one
+    ``CASE WHEN`` chain per output column (no regular expression per row).
     """
-    name = F.col(name_col)
-    matches = [name.rlike(r.regex) for r in rules]
+    segs = F.split(F.col(name_col), r"\.", -1)
+    matches = [_rule_match(segs, r) for r in rules]
     metric: Column | None = None
     for m, r in zip(matches, rules):
         metric = F.when(m, F.lit(r.name)) if metric is None else metric.when(m, F.lit(r.name))
-    metric = metric.otherwise(F.regexp_replace(name, r"\.", "_"))
+    metric = metric.otherwise(F.regexp_replace(F.col(name_col), r"\.", "_"))
     out = [metric.alias("metric")]
     for label in labels:
         expr: Column | None = None
         for m, r in zip(matches, rules):
             ref = r.labels.get(label)
-            val = F.regexp_extract(name, r.regex, int(ref[1:])) if ref else F.lit(None).cast("string")
+            val = _capture(segs, r, ref) if ref else F.lit(None).cast("string")
             expr = F.when(m, val) if expr is None else expr.when(m, val)
         out.append(expr.alias(label))
     return df.select("*", *out)

@@ -1,23 +1,32 @@
 """The catalogue's layers as one lazy chain of DataFrames.
 
-``build_layers`` wires staging -> curated -> marts from any raw inputs; each
-layer is a plain DataFrame, so Catalyst optimizes the chain as one plan and
-prunes everything a query does not read.
+``Catalogue`` wires staging -> curated -> marts from any raw inputs. Each
+layer is built on first access only, so a query pays for (and size-checks
+the broadcasts of) just the layers it reads, and Catalyst optimizes the
+chain it does read as one plan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse.operators import clean, enrich, marts
 from reelhouse.plans import fixtures
+from reelhouse.session import ensure_checkpoint_dir
 
 # Fixed reference date for the recent flag, so results do not drift with
 # the clock.
 AS_OF = "2001-01-01"
 
+DIM_COLUMNS = {
+    "dim_genre": ["genre_id", "genre_name"],
+    "dim_country": ["country_code", "country_name", "country_native_name"],
+    "dim_language": ["language_code", "language_name", "language_native_name"],
+}
+
 
 @dataclass
 class Raw:
@@ -27,79 +36,138 @@ class Raw:
     languages: DataFrame
 
 
-def raw_from_tables(spark: SparkSession, sf_dir: str) -> Raw:
-    return Raw(
-        items=fixtures.raw_items(spark, sf_dir),
-        genres=fixtures.raw_genres(spark, sf_dir),
-        countries=fixtures.raw_countries(spark, sf_dir),
-        languages=fixtures.raw_languages(spark, sf_dir),
-    )
-
-
-def staging(raw: Raw) -> dict[str, DataFrame]:
-    """Cleaned items and lookups (one row per key)."""
-    return {
-        "items": clean.clean_items(raw.items),
-        "genres": clean.clean_lookup(raw.genres, "id"),
-        "countries": clean.clean_lookup(raw.countries, "iso_3166_1"),
-        "languages": clean.clean_lookup(raw.languages, "iso_639_1"),
-    }
-
-
-def curated(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five curated outputs."""
-    dim_genre = enrich.dim_genre(stg["genres"])
-    dim_language = enrich.dim_language(stg["languages"])
-    return {
-        "dim_genre": dim_genre,
-        "dim_country": enrich.dim_country(stg["countries"]),
-        "dim_language": dim_language,
-        "movies_enriched": enrich.items_enriched(stg["items"], dim_language),
-        "movie_genres": enrich.item_genres(stg["items"], dim_genre),
-    }
-
-
-def warehouse(spark: SparkSession, cur: dict[str, DataFrame], as_of: str = AS_OF) -> dict[str, DataFrame]:
-    """Staging views, intermediate model and marts from curated tables."""
-    cols = {
-        "dim_genre": ["genre_id", "genre_name"],
-        "dim_country": ["country_code", "country_name", "country_native_name"],
-        "dim_language": ["language_code", "language_name", "language_native_name"],
-    }
-    stg_items = marts.stg_items(cur["movies_enriched"])
-    metrics = marts.item_metrics(stg_items, as_of)
-    stg_pairs = marts.stg_item_genres(cur["movie_genres"])
-    return {
-        "stg_items": stg_items,
-        "stg_genres": marts.passthrough(cur["dim_genre"], cols["dim_genre"]),
-        "stg_countries": marts.passthrough(cur["dim_country"], cols["dim_country"]),
-        "stg_languages": marts.passthrough(cur["dim_language"], cols["dim_language"]),
-        "stg_item_genres": stg_pairs,
-        "item_metrics": metrics,
-        "fact_items": marts.fact_items(metrics),
-        "bridge_item_genre": marts.bridge_item_genre(stg_pairs),
-        "dim_genre": marts.passthrough(cur["dim_genre"], cols["dim_genre"]),
-        "dim_country": marts.passthrough(cur["dim_country"], cols["dim_country"]),
-        "dim_language": marts.passthrough(cur["dim_language"], cols["dim_language"]),
-        "dim_date": marts.dim_date(spark),
-    }
-
-
-def suite_models(cur: dict[str, DataFrame], wh: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Model name -> frame, as the declared tests name them."""
-    return {
-        "src_items_enriched": cur["movies_enriched"],
-        "src_dim_genre": cur["dim_genre"],
-        "src_dim_country": cur["dim_country"],
-        "src_dim_language": cur["dim_language"],
-        "src_item_genres": cur["movie_genres"],
-        **wh,
-    }
-
-
-def build_layers(spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
-    raw = raw_from_tables(spark, sf_dir)
-    stg = staging(raw)
-    cur = curated(stg)
-    wh = warehouse(spark, cur, as_of)
-    return raw, stg, cur, wh
+class Catalogue:
+    """Layers of one run; ``raw`` frames in, every model as an attribute."""
+
+    def __init__(self, spark: SparkSession, raw: Raw, as_of: str = AS_OF):
+        self.spark = spark
+        self.raw = raw
+        self.as_of = as_of
+
+    @classmethod
+    def from_tables(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Catalogue:
+        """Raw inputs derived from the driver's tables (see ``fixtures``)."""
+        return cls(
+            spark,
+            Raw(
+                items=fixtures.raw_items(spark, sf_dir),
+                genres=fixtures.raw_genres(spark, sf_dir),
+                countries=fixtures.raw_countries(spark, sf_dir),
+                languages=fixtures.raw_languages(spark, sf_dir),
+            ),
+            as_of,
+        )
+
+    # --- staging (C3) -------------------------------------------------------------
+    @cached_property
+    def stg_items_clean(self) -> DataFrame:
+        return clean.clean_items(self.raw.items)
+
+    @cached_property
+    def stg_genres_clean(self) -> DataFrame:
+        return clean.clean_lookup(self.raw.genres, "id")
+
+    @cached_property
+    def stg_countries_clean(self) -> DataFrame:
+        return clean.clean_lookup(self.raw.countries, "iso_3166_1")
+
+    @cached_property
+    def stg_languages_clean(self) -> DataFrame:
+        return clean.clean_lookup(self.raw.languages, "iso_639_1")
+
+    # --- curated (C6) -------------------------------------------------------------
+    @cached_property
+    def cur_dim_genre(self) -> DataFrame:
+        return enrich.dim_genre(self.stg_genres_clean)
+
+    @cached_property
+    def cur_dim_country(self) -> DataFrame:
+        return enrich.dim_country(self.stg_countries_clean)
+
+    @cached_property
+    def cur_dim_language(self) -> DataFrame:
+        return enrich.dim_language(self.stg_languages_clean)
+
+    @cached_property
+    def movies_enriched(self) -> DataFrame:
+        return enrich.items_enriched(self.stg_items_clean, self.cur_dim_language)
+
+    @cached_property
+    def movie_genres(self) -> DataFrame:
+        return enrich.item_genres(self.stg_items_clean, self.cur_dim_genre)
+
+    def curated(self) -> dict[str, DataFrame]:
+        return {
+            "dim_genre": self.cur_dim_genre,
+            "dim_country": self.cur_dim_country,
+            "dim_language": self.cur_dim_language,
+            "movies_enriched": self.movies_enriched,
+            "movie_genres": self.movie_genres,
+        }
+
+    # --- warehouse models (C7) ----------------------------------------------------
+    @cached_property
+    def stg_items(self) -> DataFrame:
+        return marts.stg_items(self.movies_enriched)
+
+    @cached_property
+    def item_metrics(self) -> DataFrame:
+        return marts.item_metrics(self.stg_items, self.as_of)
+
+    @cached_property
+    def fact_items(self) -> DataFrame:
+        return marts.fact_items(self.item_metrics)
+
+    @cached_property
+    def stg_item_genres(self) -> DataFrame:
+        return marts.stg_item_genres(self.movie_genres)
+
+    @cached_property
+    def bridge_item_genre(self) -> DataFrame:
+        return marts.bridge_item_genre(self.stg_item_genres)
+
+    @cached_property
+    def dim_genre(self) -> DataFrame:
+        return marts.passthrough(self.cur_dim_genre, DIM_COLUMNS["dim_genre"])
+
+    @cached_property
+    def dim_country(self) -> DataFrame:
+        return marts.passthrough(self.cur_dim_country, DIM_COLUMNS["dim_country"])
+
+    @cached_property
+    def dim_language(self) -> DataFrame:
+        return marts.passthrough(self.cur_dim_language, DIM_COLUMNS["dim_language"])
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return marts.dim_date(self.spark)
+
+    def model(self, name: str) -> DataFrame:
+        """A model by the name the declared tests use."""
+        aliases = {
+            "src_items_enriched": "movies_enriched",
+            "src_dim_genre": "cur_dim_genre",
+            "src_dim_country": "cur_dim_country",
+            "src_dim_language": "cur_dim_language",
+            "src_item_genres": "movie_genres",
+            "stg_genres": "dim_genre",
+            "stg_countries": "dim_country",
+            "stg_languages": "dim_language",
+        }
+        return getattr(self, aliases.get(name, name))
+
+    def models(self, names) -> dict[str, DataFrame]:
+        return {n: self.model(n) for n in names}
+
+    def materialize(self, *names: str) -> None:
+        """Compute the named layers once and cut their lineage.
+
+        Uses ``DataFrame.checkpoint`` (reliable: written to the shared
+        ``spark.checkpoint.dir``), so later models read the stored rows and
+        survive executor loss. Layers are materialized in the given order,
+        so later ones build on earlier stored ones.
+        """
+        ensure_checkpoint_dir(self.spark)
+        for name in names:
+            frame = getattr(self, name)
+            self.__dict__[name] = frame.checkpoint(eager=True)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators import analytics, clean, marts, metrics, quality
-from reelhouse.plans import catalogue, fixtures
+from reelhouse.plans import fixtures
+from reelhouse.plans.catalogue import Catalogue
 from reelhouse.sources import io
 from reelhouse.sources.load import align_to_schema
 from reelhouse.sources.schemas import _schema
@@ -85,13 +86,11 @@ def q_reject_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_items_enriched(spark: SparkSession, d: str) -> DataFrame:
-    _, _, cur, _ = catalogue.build_layers(spark, d)
-    return cur["movies_enriched"]
+    return Catalogue.from_tables(spark, d).movies_enriched
 
 
 def q_bridge_item_genre(spark: SparkSession, d: str) -> DataFrame:
-    _, _, cur, _ = catalogue.build_layers(spark, d)
-    return cur["movie_genres"]
+    return Catalogue.from_tables(spark, d).movie_genres
 
 
 def q_distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -100,8 +99,7 @@ def q_distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _mart(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        _, _, _, wh = catalogue.build_layers(spark, d)
-        return wh[name]
+        return Catalogue.from_tables(spark, d).model(name)
 
     run.__name__ = f"q_{name}"
     return run
@@ -117,8 +115,8 @@ def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_fact_by_calendar(spark: SparkSession, d: str) -> DataFrame:
-    _, _, _, wh = catalogue.build_layers(spark, d)
-    return marts.fact_by_calendar(wh["fact_items"], wh["dim_date"], marts.calendar_days())
+    cat = Catalogue.from_tables(spark, d)
+    return marts.fact_by_calendar(cat.fact_items, cat.dim_date, marts.calendar_days())
 
 
 def q_load_by_name(spark: SparkSession, d: str) -> DataFrame:
@@ -134,17 +132,17 @@ def q_load_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    raw, stg, _, wh = catalogue.build_layers(spark, d)
+    cat = Catalogue.from_tables(spark, d)
     return analytics.row_counts(
         {
-            "raw_items": raw.items,
-            "stg_items": stg["items"],
-            "fact_items": wh["fact_items"],
-            "bridge_item_genre": wh["bridge_item_genre"],
-            "dim_genre": wh["dim_genre"],
-            "dim_country": wh["dim_country"],
-            "dim_language": wh["dim_language"],
-            "dim_date": wh["dim_date"],
+            "raw_items": cat.raw.items,
+            "stg_items": cat.stg_items_clean,
+            "fact_items": cat.fact_items,
+            "bridge_item_genre": cat.bridge_item_genre,
+            "dim_genre": cat.dim_genre,
+            "dim_country": cat.dim_country,
+            "dim_language": cat.dim_language,
+            "dim_date": cat.dim_date,
         }
     )
 
@@ -168,8 +166,8 @@ def q_top_k_popular(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_top_genres(spark: SparkSession, d: str) -> DataFrame:
-    _, _, _, wh = catalogue.build_layers(spark, d)
-    return analytics.top_genres(wh["fact_items"], wh["bridge_item_genre"], wh["dim_genre"], TOP_GENRES)
+    cat = Catalogue.from_tables(spark, d)
+    return analytics.top_genres(cat.fact_items, cat.bridge_item_genre, cat.dim_genre, TOP_GENRES)
 
 
 # --- data quality ------------------------------------------------------------------------
@@ -192,14 +190,19 @@ def q_dq_accepted_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_dq_relationships(spark: SparkSession, d: str) -> DataFrame:
-    _, _, _, wh = catalogue.build_layers(spark, d)
-    orphans = quality.relationships(wh["fact_items"], "language_code", wh["dim_language"], "language_code")
+    cat = Catalogue.from_tables(spark, d)
+    orphans = quality.relationships(cat.fact_items, "language_code", cat.dim_language, "language_code")
     return orphans.select("movie_id", "language_code")
 
 
 def q_dq_suite(spark: SparkSession, d: str) -> DataFrame:
-    _, _, cur, wh = catalogue.build_layers(spark, d)
-    return quality.run_suite(catalogue.suite_models(cur, wh), quality.CATALOGUE_SUITE)
+    cat = Catalogue.from_tables(spark, d)
+    # The 51 checks read 17 models built from a few shared layers: those
+    # layers are computed once and checkpointed (shared checkpoint folder),
+    # as the tests run on materialized tables.
+    cat.materialize("stg_items_clean", "movies_enriched", "movie_genres")
+    names = sorted({c.model for c in quality.CATALOGUE_SUITE} | {c.parent for c in quality.CATALOGUE_SUITE if c.parent})
+    return quality.run_suite(cat.models(names), quality.CATALOGUE_SUITE)
 
 
 # --- metric series ---------------------------------------------------------------------
