@@ -54,21 +54,14 @@ MAPPING_RULES: tuple[MappingRule, ...] = (
 MAPPED_LABELS = ("dag_id", "task_id", "state", "raw_metric")
 
 
-def _rule_match(segs: Column, rule: MappingRule) -> Column:
-    """A glob rule matches when the segment count is equal and every literal
-    segment is equal; each ``*`` is exactly one dot-free segment."""
-    parts = rule.match.split(".")
-    cond = F.size(segs) == F.lit(len(parts))
-    for i, part in enumerate(parts):
-        if part != "*":
-            cond = cond & (F.element_at(segs, i + 1) == F.lit(part))
-    return cond
-
-
-def _capture(segs: Column, rule: MappingRule, ref: str) -> Column:
-    """Value of ``$n``: the segment under the n-th ``*`` of the rule."""
-    stars = [i for i, part in enumerate(rule.match.split(".")) if part == "*"]
-    return F.element_at(segs, stars[int(ref[1:]) - 1] + 1)
+def _label_positions(rules: Sequence[MappingRule], label: str) -> list[int | None]:
+    """Per rule, the 1-based segment holding ``label`` ($n = n-th ``*``)."""
+    out: list[int | None] = []
+    for r in rules:
+        ref = r.labels.get(label)
+        stars = [i + 1 for i, part in enumerate(r.match.split(".")) if part == "*"]
+        out.append(stars[int(ref[1:]) - 1] if ref else None)
+    return out
 
 
 def map_metric_names(
@@ -80,25 +73,28 @@ def map_metric_names(
     """M1/M2: add ``metric`` and one column per label.
 
     The first matching rule wins; a name no rule matches passes through with
-    dots replaced by underscores and no labels. The name is split into
-    segments once; rules are compared segment by segment inside one
-    ``CASE WHEN`` chain per output column (no regular expression per row).
+    dots replaced by underscores and no labels. The index of the first
+    matching rule is found once per row (``coalesce`` stops at the first
+    match); the metric name and every label are then read by that index: a
+    glob ``*`` is exactly one dot-free segment, so ``$n`` is a segment at a
+    fixed position of the rule.
     """
-    segs = F.split(F.col(name_col), r"\.", -1)
-    matches = [_rule_match(segs, r) for r in rules]
-    metric: Column | None = None
-    for m, r in zip(matches, rules):
-        metric = F.when(m, F.lit(r.name)) if metric is None else metric.when(m, F.lit(r.name))
-    metric = metric.otherwise(F.regexp_replace(F.col(name_col), r"\.", "_"))
+    name = F.col(name_col)
+    first = F.coalesce(*[F.when(name.rlike(r.regex), F.lit(i + 1)) for i, r in enumerate(rules)])
+    df = df.withColumn("_rule", first).withColumn("_segs", F.split(name, r"\.", -1))
+    rule = F.col("_rule")
+    # An explicit CASE, not coalesce: element_at over a literal array of
+    # non-null names is typed non-nullable, so a coalesce fallback would be
+    # optimized away although a NULL index yields NULL.
+    metric = F.when(rule.isNotNull(), F.element_at(F.array(*[F.lit(r.name) for r in rules]), rule)).otherwise(
+        F.regexp_replace(name, r"\.", "_")
+    )
     out = [metric.alias("metric")]
     for label in labels:
-        expr: Column | None = None
-        for m, r in zip(matches, rules):
-            ref = r.labels.get(label)
-            val = _capture(segs, r, ref) if ref else F.lit(None).cast("string")
-            expr = F.when(m, val) if expr is None else expr.when(m, val)
-        out.append(expr.alias(label))
-    return df.select("*", *out)
+        pos = F.array(*[F.lit(p).cast("int") for p in _label_positions(rules, label)])
+        idx = F.element_at(pos, rule)
+        out.append(F.when(idx.isNotNull(), F.element_at(F.col("_segs"), idx)).alias(label))
+    return df.select("*", *out).drop("_rule", "_segs")
 
 
 # --- counters (W2, M3, M4) ------------------------------------------------------

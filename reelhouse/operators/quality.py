@@ -103,13 +103,7 @@ class Check:
 
 
 def _row(check: Check, failures: Column) -> list[Column]:
-    return [
-        F.lit(check.name).alias("test_name"),
-        F.lit(check.kind).alias("kind"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column_name).alias("column_name"),
-        failures.cast("long").alias("failures"),
-    ]
+    return [F.lit(check.name).alias("test_name"), failures.cast("long").alias("failures")]
 
 
 def _fused_scan(df: DataFrame, checks: list[Check]) -> DataFrame:
@@ -151,8 +145,19 @@ def run_suite(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFram
             )
         elif c.kind not in ("not_null", "accepted_values"):
             raise ValueError(f"unknown check kind {c.kind!r}")
-    result = reduce(DataFrame.unionByName, parts)
-    return result.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+    failures = reduce(DataFrame.union, parts)
+    # Test metadata is attached once, from a frame of one row per declared
+    # test (bounded by the suite, so broadcast), not as literals per part.
+    spark = failures.sparkSession
+    meta = spark.createDataFrame(
+        [(c.name, c.kind, c.model, c.column_name) for c in checks],
+        "test_name string, kind string, model string, column_name string",
+    )
+    return (
+        F.broadcast(meta)
+        .join(failures, "test_name")
+        .withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+    )
 
 
 def assert_suite(result: DataFrame) -> None:

@@ -8,6 +8,8 @@ chain it does read as one plan.
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -162,12 +164,14 @@ class Catalogue:
     def materialize(self, *names: str) -> None:
         """Compute the named layers once and cut their lineage.
 
-        Uses ``DataFrame.checkpoint`` (reliable: written to the shared
-        ``spark.checkpoint.dir``), so later models read the stored rows and
-        survive executor loss. Layers are materialized in the given order,
-        so later ones build on earlier stored ones.
+        Each layer is written as Parquet under the shared
+        ``spark.checkpoint.dir`` and read back, so later models read the
+        stored rows (columnar, with pruning and pushdown) and a lost
+        executor does not recompute the chain. Layers are materialized in
+        the given order, so later ones build on earlier stored ones.
         """
-        ensure_checkpoint_dir(self.spark)
+        root = os.path.join(ensure_checkpoint_dir(self.spark), f"layers-{uuid.uuid4().hex}")
         for name in names:
-            frame = getattr(self, name)
-            self.__dict__[name] = frame.checkpoint(eager=True)
+            path = os.path.join(root, name)
+            getattr(self, name).write.mode("overwrite").parquet(path)
+            self.__dict__[name] = self.spark.read.parquet(path)

@@ -42,8 +42,17 @@ METRIC_DAG = "catalogue"
 TASK_LABELS = 10
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One driver table; the (immutable) DataFrame is defined once per session
+    so its schema is inferred once, not in every query."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
