@@ -161,6 +161,15 @@ class Catalogue:
     def models(self, names) -> dict[str, DataFrame]:
         return {n: self.model(n) for n in names}
 
+    def register_views(self, names=("stg_items", "item_metrics", "stg_item_genres", "fact_items",
+                                    "bridge_item_genre", "dim_genre", "dim_country", "dim_language",
+                                    "dim_date")) -> list[str]:
+        """Expose models as session views, so they can be queried with
+        ``spark.sql``; views stay lazy and are inlined into each query."""
+        for n in names:
+            self.model(n).createOrReplaceTempView(n)
+        return list(names)
+
     def materialize(self, *names: str) -> None:
         """Compute the named layers once and cut their lineage.
 

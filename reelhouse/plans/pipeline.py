@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse.operators import quality
 from reelhouse.plans.catalogue import AS_OF, DIM_COLUMNS, Catalogue, Raw
@@ -132,15 +133,34 @@ def run_models(
     }
 
 
-def run_tests(spark: SparkSession, namespace: str = "raw", marts_ns: str = "marts", as_of: str = AS_OF) -> DataFrame:
-    """Q6 over the loaded sources, the lazy staging views and the marts."""
+SOURCE_CHECKS = [c for c in quality.CATALOGUE_SUITE if c.model.startswith("src_")]
+
+
+def run_tests(
+    spark: SparkSession,
+    namespace: str = "raw",
+    marts_ns: str | None = "marts",
+    as_of: str = AS_OF,
+    checks=None,
+) -> DataFrame:
+    """Q6 over the loaded sources, the lazy staging views and the marts.
+
+    ``marts_ns=None`` tests the models without reading mart tables (used for
+    the source tests, before the marts are built)."""
+    checks = list(checks or quality.CATALOGUE_SUITE)
     cat = warehouse_catalogue(spark, namespace, as_of)
-    for name in MART_SCHEMAS:
-        cat.__dict__[name] = spark.table(io.qualified_name(marts_ns, name))
-    names = sorted(
-        {c.model for c in quality.CATALOGUE_SUITE} | {c.parent for c in quality.CATALOGUE_SUITE if c.parent}
-    )
-    return quality.run_suite(cat.models(names), quality.CATALOGUE_SUITE)
+    if marts_ns is not None:
+        for name in MART_SCHEMAS:
+            cat.__dict__[name] = spark.table(io.qualified_name(marts_ns, name))
+    names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent})
+    return quality.run_suite(cat.models(names), checks)
+
+
+def append_run_log(spark: SparkSession, summary: DataFrame, ingestion_date: str, table: str = "run_log") -> None:
+    """Append this run's counts to the run log table."""
+    summary.select(F.lit(ingestion_date).alias("run_date"), "*").write.mode("append").format(
+        "parquet"
+    ).saveAsTable(table)
 
 
 def run_pipeline(
@@ -159,12 +179,17 @@ def run_pipeline(
         _summary(spark, "staging", run_staging(spark, root, ingestion_date)),
         _summary(spark, "curated", run_curated(spark, root, ingestion_date, as_of)),
         _summary(spark, "warehouse", run_load(spark, root, ingestion_date, namespace)),
-        _summary(spark, "marts", run_models(spark, namespace, marts_ns, as_of)),
     ]
+    # Q7: the source tests gate the marts build.
+    if fail_on_test:
+        quality.assert_suite(run_tests(spark, namespace, None, as_of, SOURCE_CHECKS))
+    parts.append(_summary(spark, "marts", run_models(spark, namespace, marts_ns, as_of)))
+    summary = reduce(DataFrame.unionByName, parts)
     results = run_tests(spark, namespace, marts_ns, as_of)
     if fail_on_test:
         quality.assert_suite(results)
-    return reduce(DataFrame.unionByName, parts)
+    append_run_log(spark, summary, ingestion_date)
+    return summary
 
 
 __all__ = ["DIM_COLUMNS", "land_raw", "run_pipeline", "run_tests"]

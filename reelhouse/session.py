@@ -27,6 +27,27 @@ BASE_CONF = {
 }
 
 
+# Target bytes per task: input splits and post-shuffle partitions.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` on ``cores`` cores.
+
+    The initial shuffle partition count is set so that each partition holds
+    about ``partition_bytes`` of the input (at least 2 tasks per core); AQE
+    then coalesces small ones and splits skewed ones at run time. At 100 TB
+    this gives ~400,000 initial partitions, each far below executor memory.
+    """
+    n = max(2 * cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def get_spark(
     app_name: str = "reelhouse",
     master: str | None = None,
@@ -35,6 +56,7 @@ def get_spark(
     """Build (or reuse) a session with UTC time and AQE on.
 
     ``master`` is only set when given: on a cluster spark-submit decides.
+    Pass ``sizing_conf(...)`` in ``conf`` to size partitions for the input.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

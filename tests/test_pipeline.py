@@ -51,3 +51,44 @@ def test_marts_tables_have_fixed_schemas(spark, tmp_path):
     for name, schema in pipeline.MART_SCHEMAS.items():
         assert spark.table(f"marts.{name}").schema == schema, name
     assert spark.table("marts.fact_items").filter(F.col("movie_id").isNull()).count() == 0
+
+
+def test_models_as_views_answer_the_analyst_sql(spark):
+    from reelhouse.operators import analytics
+
+    cat = Catalogue.from_tables(spark, SF_SMALL)
+    cat.register_views()
+    sql = """
+        SELECT g.genre_name, COUNT(DISTINCT b.movie_id) AS nb_items, ROUND(AVG(f.vote_average), 2) AS mean_vote
+        FROM fact_items f
+        JOIN bridge_item_genre b USING (movie_id)
+        JOIN dim_genre g USING (genre_id)
+        GROUP BY g.genre_name
+        ORDER BY nb_items DESC, genre_name
+        LIMIT 5"""
+    via_sql = [tuple(r) for r in spark.sql(sql).collect()]
+    via_df = [tuple(r) for r in analytics.top_genres(cat.fact_items, cat.bridge_item_genre, cat.dim_genre).collect()]
+    assert via_sql == via_df and len(via_sql) == 5
+
+
+def test_source_tests_pass_and_run_log_appends(spark, tmp_path):
+    root = str(tmp_path / "lake4")
+    cat = Catalogue.from_tables(spark, SF_SMALL)
+    pipeline.land_raw(spark, root, cat.raw, DATE)
+    pipeline.run_staging(spark, root, DATE)
+    pipeline.run_curated(spark, root, DATE)
+    pipeline.run_load(spark, root, DATE)
+    src = pipeline.run_tests(spark, marts_ns=None, checks=pipeline.SOURCE_CHECKS)
+    assert src.count() == 11 and src.filter("failures > 0").count() == 0
+    before = spark.table("run_log").count() if spark.catalog.tableExists("run_log") else 0
+    summary = pipeline._summary(spark, "staging", {"movies": 1})
+    pipeline.append_run_log(spark, summary, DATE)
+    assert spark.table("run_log").count() == before + 1
+
+
+def test_sizing_conf():
+    from reelhouse.session import sizing_conf
+
+    conf = sizing_conf(100 * 1024**4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(sizing_conf(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
