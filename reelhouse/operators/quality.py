@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+
 
 class DataQualityError(RuntimeError):
     """Raised by ``assert_suite`` when at least one test has failures."""
@@ -62,12 +64,21 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     )
 
 
-def relationships(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFrame:
+def relationships(
+    child: DataFrame,
+    fk: str,
+    parent: DataFrame,
+    key: str,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
     """Child rows whose non-NULL ``fk`` has no ``key`` in the parent.
 
-    The NULL filter is needed: a left anti join alone returns NULL keys.
+    The NULL filter is needed: a left anti join alone returns NULL keys. A
+    parent below the row bound (a dimension) is broadcast after a count
+    check, so the child is not shuffled; a large parent is a shuffle join.
     """
     keys = parent.select(F.col(key).alias("_parent_key")).filter(F.col("_parent_key").isNotNull())
+    keys = broadcast_if_small(keys, max_broadcast_rows)
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_parent_key"), "left_anti")
 
 

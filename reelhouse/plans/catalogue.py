@@ -170,7 +170,7 @@ class Catalogue:
             self.model(n).createOrReplaceTempView(n)
         return list(names)
 
-    def materialize(self, *names: str) -> None:
+    def materialize(self, *names: str, bucket_by: str | None = None, buckets: int | None = None) -> None:
         """Compute the named layers once and cut their lineage.
 
         Each layer is written as Parquet under the shared
@@ -178,9 +178,27 @@ class Catalogue:
         stored rows (columnar, with pruning and pushdown) and a lost
         executor does not recompute the chain. Layers are materialized in
         the given order, so later ones build on earlier stored ones.
+
+        With ``bucket_by`` the layer is stored as a bucketed table (an
+        external table over the same folder): joins and aggregations of
+        models derived from it on that key then need no shuffle.
         """
         root = os.path.join(ensure_checkpoint_dir(self.spark), f"layers-{uuid.uuid4().hex}")
         for name in names:
             path = os.path.join(root, name)
-            getattr(self, name).write.mode("overwrite").parquet(path)
-            self.__dict__[name] = self.spark.read.parquet(path)
+            frame = getattr(self, name)
+            if bucket_by is None:
+                frame.write.mode("overwrite").parquet(path)
+                self.__dict__[name] = self.spark.read.parquet(path)
+                continue
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            table = f"layer_{name}_{uuid.uuid4().hex[:12]}"
+            (
+                frame.write.mode("overwrite")
+                .format("parquet")
+                .bucketBy(n, bucket_by)
+                .sortBy(bucket_by)
+                .option("path", path)
+                .saveAsTable(table)
+            )
+            self.__dict__[name] = self.spark.table(table)
