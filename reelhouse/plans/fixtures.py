@@ -160,7 +160,10 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = event_samples(spark, sf_dir).withColumn("day", F.to_date("ts"))
     starts = ev.groupBy("day").agg(F.min("event_id").alias("_first"))
-    return ev.join(starts, "day").select(
+    # One row per calendar day: bounded by the date range (<= 366 rows per
+    # year of data), not by event volume, so it is broadcast; a shuffle join
+    # keyed by day would send each whole day to one task.
+    return ev.join(F.broadcast(starts), "day").select(
         "event_id",
         "ts",
         "event_type",
