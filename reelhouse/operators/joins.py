@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
     probe = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -20,12 +20,6 @@ from reelhouse.plans.catalogue import AS_OF, DIM_COLUMNS, Catalogue, Raw
 from reelhouse.sources import io, schemas
 from reelhouse.sources.load import load_table
 
-RAW_DATASETS = {
-    "movies": schemas.RAW_ITEMS,
-    "genres": schemas.RAW_GENRES,
-    "countries": schemas.RAW_COUNTRIES,
-    "languages": schemas.RAW_LANGUAGES,
-}
 # Part files of the raw listing hold 100 pages of 20 rows.
 RAW_RECORDS_PER_FILE = 2000
 

@@ -17,7 +17,7 @@ from reelhouse.plans import fixtures
 from reelhouse.plans.catalogue import Catalogue
 from reelhouse.sources import io
 from reelhouse.sources.load import align_to_schema
-from reelhouse.sources.schemas import _schema
+from reelhouse.sources.schemas import schema_of
 
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType
 
@@ -30,7 +30,7 @@ P99_SERIES = "view"
 SAMPLE_STEP = "15 seconds"
 RETENTION = "7 days"
 
-ORDERS_TARGET = _schema(
+ORDERS_TARGET = schema_of(
     ("o_orderkey", LongType()),
     ("o_custkey", LongType()),
     ("o_orderstatus", StringType()),

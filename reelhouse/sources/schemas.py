@@ -20,13 +20,13 @@ from pyspark.sql.types import (
 )
 
 
-def _schema(*fields: tuple[str, object]) -> StructType:
+def schema_of(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
 # --- RAW -----------------------------------------------------------------
 
-RAW_ITEMS = _schema(
+RAW_ITEMS = schema_of(
     ("adult", BooleanType()),
     ("backdrop_path", StringType()),
     ("genre_ids", ArrayType(LongType())),
@@ -44,14 +44,14 @@ RAW_ITEMS = _schema(
     ("ingestion_date", StringType()),
 )
 
-RAW_GENRES = _schema(("id", LongType()), ("name", StringType()), ("ingestion_date", StringType()))
-RAW_COUNTRIES = _schema(
+RAW_GENRES = schema_of(("id", LongType()), ("name", StringType()), ("ingestion_date", StringType()))
+RAW_COUNTRIES = schema_of(
     ("iso_3166_1", StringType()),
     ("english_name", StringType()),
     ("native_name", StringType()),
     ("ingestion_date", StringType()),
 )
-RAW_LANGUAGES = _schema(
+RAW_LANGUAGES = schema_of(
     ("iso_639_1", StringType()),
     ("english_name", StringType()),
     ("name", StringType()),
@@ -59,7 +59,7 @@ RAW_LANGUAGES = _schema(
 )
 
 # One saved listing page: {"page": .., "total_pages": .., "results": [...]}
-PAGE_DOCUMENT = _schema(
+PAGE_DOCUMENT = schema_of(
     ("page", IntegerType()),
     ("total_pages", IntegerType()),
     ("results", ArrayType(StructType([f for f in RAW_ITEMS.fields if f.name != "ingestion_date"]))),
@@ -67,7 +67,7 @@ PAGE_DOCUMENT = _schema(
 
 # --- STAGING -------------------------------------------------------------
 
-STAGING_ITEMS = _schema(
+STAGING_ITEMS = schema_of(
     ("movie_id", LongType()),
     ("genre_ids", ArrayType(LongType())),
     ("original_language", StringType()),
@@ -84,18 +84,18 @@ STAGING_ITEMS = _schema(
 
 # --- CURATED = warehouse RAW (K6) ------------------------------------------
 
-DIM_GENRE = _schema(("genre_id", LongType()), ("genre_name", StringType()))
-DIM_COUNTRY = _schema(
+DIM_GENRE = schema_of(("genre_id", LongType()), ("genre_name", StringType()))
+DIM_COUNTRY = schema_of(
     ("country_code", StringType()),
     ("country_name", StringType()),
     ("country_native_name", StringType()),
 )
-DIM_LANGUAGE = _schema(
+DIM_LANGUAGE = schema_of(
     ("language_code", StringType()),
     ("language_name", StringType()),
     ("language_native_name", StringType()),
 )
-ITEMS_ENRICHED = _schema(
+ITEMS_ENRICHED = schema_of(
     ("movie_id", LongType()),
     ("title", StringType()),
     ("original_title", StringType()),
@@ -113,7 +113,7 @@ ITEMS_ENRICHED = _schema(
     ("vote_tier", StringType()),
     ("ingestion_date", StringType()),
 )
-ITEM_GENRES = _schema(("movie_id", LongType()), ("genre_id", LongType()), ("genre_name", StringType()))
+ITEM_GENRES = schema_of(("movie_id", LongType()), ("genre_id", LongType()), ("genre_name", StringType()))
 
 WAREHOUSE_TABLES: dict[str, StructType] = {
     "dim_genre": DIM_GENRE,
@@ -125,7 +125,7 @@ WAREHOUSE_TABLES: dict[str, StructType] = {
 
 # --- MARTS ---------------------------------------------------------------
 
-FACT_ITEMS = _schema(
+FACT_ITEMS = schema_of(
     ("movie_id", LongType()),
     ("release_date_id", IntegerType()),
     ("language_code", StringType()),
@@ -144,8 +144,8 @@ FACT_ITEMS = _schema(
     ("composite_score", DoubleType()),
     ("ingestion_date", DateType()),
 )
-BRIDGE_ITEM_GENRE = _schema(("movie_id", LongType()), ("genre_id", LongType()))
-DIM_DATE = _schema(
+BRIDGE_ITEM_GENRE = schema_of(("movie_id", LongType()), ("genre_id", LongType()))
+DIM_DATE = schema_of(
     ("date_id", IntegerType()),
     ("date_day", DateType()),
     ("year", IntegerType()),
@@ -160,13 +160,6 @@ DIM_DATE = _schema(
     ("decade", IntegerType()),
 )
 
-# Metric samples (ts, metric, labels, value)
-METRIC_SAMPLES = _schema(
-    ("ts", StringType()),
-    ("metric", StringType()),
-    ("value", DoubleType()),
-)
-
 
 def schema_drift(actual: StructType, expected: StructType) -> dict[str, list[str]]:
     """Names missing from / unexpected in ``actual`` (case-insensitive)."""

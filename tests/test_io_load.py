@@ -104,3 +104,8 @@ def test_load_all_replaces_tables_idempotently(spark):
         summary = {r.dataset: (r.n_rows, r.status) for r in load_all(spark, frames, targets).collect()}
     assert summary == {"dim_genre": (2, "success"), "dim_country": (0, "skipped")}
     assert spark.table("dim_genre").count() == 2
+
+
+def test_schema_drift_is_case_insensitive(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "ID long, Name string, extra double")
+    assert schemas.schema_drift(df.schema, schemas.RAW_GENRES) == {"missing": ["ingestion_date"], "unexpected": ["extra"]}
