@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelhouse.functions.expressions import FILL_DEFAULTS, parse_date
@@ -93,6 +93,16 @@ def clean_lookup(
     return one_per_key(raw.filter(F.col(key).isNotNull()), [key], order_by=order, latest=latest)
 
 
+def observed_cleaning(raw: DataFrame, dedup: str = "latest") -> tuple[DataFrame, Observation, Observation]:
+    """A9 inside one job: ``clean_items`` with the raw and the clean row
+    counts observed on the way. Both counts are filled by the single action
+    that consumes the returned frame (e.g. the staging write)."""
+    seen_raw, seen_clean = Observation("raw_rows"), Observation("clean_rows")
+    counted = raw.observe(seen_raw, F.count(F.lit(1)).alias("n"))
+    cleaned = clean_items(counted, dedup).observe(seen_clean, F.count(F.lit(1)).alias("n"))
+    return cleaned, seen_raw, seen_clean
+
+
 def reject_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """A9 as one frame: n_raw, n_clean, rejected.
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.operators import quality
+from reelhouse.operators import clean, quality
 from reelhouse.plans.catalogue import AS_OF, DIM_COLUMNS, Catalogue, Raw
 from reelhouse.sources import io, schemas
 from reelhouse.sources.load import load_table
@@ -58,8 +58,12 @@ def run_staging(spark: SparkSession, root: str, ingestion_date: str) -> dict[str
         languages=io.read_partition(spark, root, "raw", "languages", ingestion_date, schemas.RAW_LANGUAGES),
     )
     cat = Catalogue(spark, raw)
+    items, seen_raw, seen_clean = clean.observed_cleaning(raw.items)
+    n_items = io.write_partition(items, root, "staging", "movies")
     return {
-        "movies": io.write_partition(cat.stg_items_clean, root, "staging", "movies"),
+        "movies": n_items,
+        "movies_raw": int(seen_raw.get["n"]),
+        "movies_rejected": int(seen_raw.get["n"]) - int(seen_clean.get["n"]),
         "genres": io.write_partition(cat.stg_genres_clean, root, "staging", "genres"),
         "countries": io.write_partition(cat.stg_countries_clean, root, "staging", "countries"),
         "languages": io.write_partition(cat.stg_languages_clean, root, "staging", "languages"),

@@ -35,6 +35,10 @@ def test_read_partition_prunes_partitions(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan and D2 in plan
     assert "PushedFilters: [IsNotNull(id)]" in plan
+    io.read_partition(spark, root, "raw", "movies", D2, schemas.RAW_ITEMS).select("id", "title").explain()
+    assert "ReadSchema: struct<id:bigint,title:string>" in capsys.readouterr().out
+    # an existing dataset without the requested date reads as 0 rows
+    assert io.read_partition(spark, root, "raw", "movies", "1999-01-01", schemas.RAW_ITEMS).count() == 0
 
 
 def test_max_records_per_file(spark, tmp_path):
@@ -100,10 +104,11 @@ def test_load_aborts_on_bad_value(spark):
 def test_load_all_replaces_tables_idempotently(spark):
     frames = {"dim_genre": spark.createDataFrame([(1, "A"), (2, "B")], "genre_id long, genre_name string")}
     targets = {"dim_genre": schemas.DIM_GENRE, "dim_country": schemas.DIM_COUNTRY}
+    spark.sql("CREATE DATABASE IF NOT EXISTS loadtest")
     for _ in range(2):
-        summary = {r.dataset: (r.n_rows, r.status) for r in load_all(spark, frames, targets).collect()}
+        summary = {r.dataset: (r.n_rows, r.status) for r in load_all(spark, frames, targets, "loadtest").collect()}
     assert summary == {"dim_genre": (2, "success"), "dim_country": (0, "skipped")}
-    assert spark.table("dim_genre").count() == 2
+    assert spark.table("loadtest.dim_genre").count() == 2
 
 
 def test_schema_drift_is_case_insensitive(spark):

@@ -26,6 +26,9 @@ def test_pipeline_end_to_end_and_idempotent(spark, tmp_path):
     cat = Catalogue.from_tables(spark, SF_SMALL)
     n_items = cat.stg_items_clean.count()
     assert first[("staging", "movies")] == n_items
+    raw_n = cat.raw.items.count()
+    assert first[("staging", "movies_raw")] == raw_n
+    assert first[("staging", "movies_rejected")] == raw_n - n_items
     assert first[("warehouse", "movies_enriched")] == n_items
     assert first[("marts", "fact_items")] == n_items
     assert first[("marts", "dim_date")] == 47846
