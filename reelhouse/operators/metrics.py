@@ -106,12 +106,18 @@ def counter_deltas(
     ts: str = "ts",
     value: str = "value",
     tiebreak: Sequence[str] = (),
-    bucket: str = "1 hour",
+    bucket: str = "1 minute",
 ) -> DataFrame:
     """Per sample, the increase since the previous sample of its series.
 
     delta = value when the counter went down (reset), else value - previous;
     NULL for the first sample of a series (nothing to compare with).
+
+    One window task sorts one (series, bucket) group, so ``bucket`` bounds
+    the work of a task even for a very hot series (1 minute: a scraped
+    series has a handful of samples per bucket; a series carrying a third
+    of 100 TB over a month still has well under 1 GB per bucket). The
+    bucket-level frame has at most one row per series and bucket.
     """
     series = list(series)
     order = [ts, *tiebreak]
