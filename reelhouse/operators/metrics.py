@@ -121,22 +121,36 @@ def counter_deltas(
     """
     series = list(series)
     order = [ts, *tiebreak]
-    s = samples.filter(F.col(value).isNotNull()).withColumn("_bucket", F.window(ts, bucket).start)
-    within = Window.partitionBy(*series, "_bucket").orderBy(*order)
-    s = s.withColumn("_prev", F.lag(value).over(within))
-    last = s.groupBy(*series, "_bucket").agg(
-        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last")
-    )
-    across = Window.partitionBy(*series).orderBy("_bucket")
-    carry = last.select(*series, "_bucket", F.lag("_last").over(across).alias("_carry"))
+    # Series are matched on non-null surrogate keys (text value + is-null
+    # flag), as a null-safe join is planned: NULL-labelled samples form their
+    # own series, and no NULL filter is inferred on one branch only, so the
+    # two branches below stay identical and share one read and one shuffle.
+    types = {c: samples.schema[c].dataType for c in series}
+    s = samples.filter(F.col(value).isNotNull())
+    keys: list[str] = []
+    for i, c in enumerate(series):
+        s = s.withColumn(f"_k{i}", F.coalesce(F.col(c).cast("string"), F.lit(""))).withColumn(
+            f"_n{i}", F.col(c).isNull()
+        )
+        keys += [f"_k{i}", f"_n{i}"]
+    s = s.drop(*series).withColumn("_bucket", F.window(ts, bucket).start)
+    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Both the predecessor and the bucket's last value come from the same
+    # window, so the per-bucket frame shares the window's shuffle and needs
+    # no exchange of its own.
+    s = s.withColumn("_prev", F.lag(value).over(within)).withColumn("_last", F.last(value).over(whole))
+    last = s.select(*keys, "_bucket", "_last").dropDuplicates([*keys, "_bucket"])
+    across = Window.partitionBy(*keys).orderBy("_bucket")
+    carry = last.select(*keys, "_bucket", F.lag("_last").over(across).alias("_carry"))
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     v = F.col(value)
     delta = F.when(prev.isNull(), F.lit(None).cast("double")).when(v < prev, v).otherwise(v - prev)
-    return (
-        s.join(carry, [*series, "_bucket"], "left")
-        .withColumn("delta", delta.cast("double"))
-        .drop("_prev", "_carry", "_bucket")
-    )
+    out = s.join(carry, [*keys, "_bucket"], "left").withColumn("delta", delta.cast("double"))
+    for i, c in enumerate(series):
+        out = out.withColumn(c, F.when(F.col(f"_n{i}"), F.lit(None)).otherwise(F.col(f"_k{i}")).cast(types[c]))
+    rest = [c for c in samples.columns if c not in series]
+    return out.select(*series, *rest, "delta")
 
 
 def increase(

@@ -37,6 +37,8 @@ LANGUAGE_NAMES = (
 )
 # Priority whose release date is left empty.
 UNDATED_PRIORITY = "4-NOT SPECIFIED"
+# Counter samples wrap around at this value.
+COUNTER_WRAP = 1000
 # Task labels: task_<user_id % 10> in the pipeline "catalogue".
 METRIC_DAG = "catalogue"
 TASK_LABELS = 10
@@ -151,24 +153,19 @@ def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A per-event-type counter that restarts every day.
+    """A per-event-type counter that wraps around (resets) at a fixed width.
 
-    The counter value is the number of events since the start of the day at
-    the time of the sample: event_id - first event_id of the day + 1. The
-    per-day start is an aggregate with one row per day (a calendar bound),
-    joined back by day.
+    The counter value seen with each event is the running event number
+    modulo COUNTER_WRAP, plus one: it rises within a series and falls back
+    when it wraps, like a fixed-width counter. A pure projection of events:
+    no join, so the counter operators read and shuffle the samples once.
     """
-    ev = event_samples(spark, sf_dir).withColumn("day", F.to_date("ts"))
-    starts = ev.groupBy("day").agg(F.min("event_id").alias("_first"))
-    # One row per calendar day: bounded by the date range (<= 366 rows per
-    # year of data), not by event volume, so it is broadcast; a shuffle join
-    # keyed by day would send each whole day to one task.
-    return ev.join(F.broadcast(starts), "day").select(
+    return event_samples(spark, sf_dir).select(
         "event_id",
         "ts",
         "event_type",
         "user_id",
-        (F.col("event_id") - F.col("_first") + 1).cast("double").alias("value"),
+        ((F.col("event_id") % COUNTER_WRAP) + 1).cast("double").alias("value"),
     )
 
 

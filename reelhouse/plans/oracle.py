@@ -146,11 +146,8 @@ dim_date AS ({calendar_sql('date_spine')})"""
 PIPELINE = ",".join([RAW, CLEAN, LOOKUPS, ENRICH, MARTS, DEFAULT_CALENDAR])
 
 COUNTER = """
-ev AS (SELECT event_id, ts, event_type, user_id, value, CAST(ts AS DATE) AS day FROM events),
-starts AS (SELECT day, min(event_id) AS first_id FROM ev GROUP BY day),
 samples AS (
-  SELECT e.event_id, e.ts, e.event_type, e.user_id, CAST(e.event_id - s.first_id + 1 AS DOUBLE) AS value
-  FROM ev e JOIN starts s ON e.day = s.day),
+  SELECT event_id, ts, event_type, user_id, CAST(event_id % 1000 + 1 AS DOUBLE) AS value FROM events),
 lagged AS (
   SELECT event_type, ts, value,
          lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev

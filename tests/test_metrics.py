@@ -80,3 +80,13 @@ def test_status_thresholds(spark):
     df = spark.createDataFrame([(0.5,), (1.0,), (5.0,)], "r double")
     got = [(x.a, x.b) for x in df.select(metrics.rate_status(F.col("r")).alias("a"), metrics.failure_status(F.col("r")).alias("b")).collect()]
     assert got == [("red", "green"), ("yellow", "red"), ("green", "red")]
+
+
+def test_null_labelled_series_is_its_own_series(spark):
+    rows = [(None, T0 + dt.timedelta(seconds=i * 90), float(v), i) for i, v in enumerate([1, 3, 2, 5])]
+    rows += [("a", T0 + dt.timedelta(seconds=i * 90), float(v), 10 + i) for i, v in enumerate([10, 11])]
+    df = spark.createDataFrame(rows, "series string, ts timestamp, value double, seq long")
+    d = metrics.counter_deltas(df, ["series"], tiebreak=["seq"])
+    got = {(r.series, r.seq): r.delta for r in d.collect()}
+    assert got == {(None, 0): None, (None, 1): 2.0, (None, 2): 2.0, (None, 3): 3.0, ("a", 10): None, ("a", 11): 1.0}
+    assert d.columns == ["series", "ts", "value", "seq", "delta"]
