@@ -193,11 +193,14 @@ class Catalogue:
                 continue
             n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             table = f"layer_{name}_{uuid.uuid4().hex[:12]}"
+            # Hash-partitioning by the key first gives one file per bucket
+            # (bucketing uses the same hash); when the frame is already
+            # partitioned on the key (e.g. after a dedup) this adds no shuffle.
             (
-                frame.write.mode("overwrite")
+                frame.repartition(n, bucket_by)
+                .write.mode("overwrite")
                 .format("parquet")
                 .bucketBy(n, bucket_by)
-                .sortBy(bucket_by)
                 .option("path", path)
                 .saveAsTable(table)
             )
