@@ -15,6 +15,7 @@ with them:
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,17 +45,18 @@ METRIC_DAG = "catalogue"
 TASK_LABELS = 10
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+# Per live session (weakly held, so a stopped session's frames go with it).
+_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; the (immutable) DataFrame is defined once per session
     so its schema is inferred once, not in every query."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    frames = _TABLES.setdefault(spark, {})
+    if path not in frames:
+        frames[path] = spark.read.parquet(path)
+    return frames[path]
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
