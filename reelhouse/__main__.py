@@ -1,6 +1,7 @@
 """Run pipeline stages for one date: ``python -m reelhouse <stage> --root R --date D``.
 
-Stages: staging, curated, load, models, test, all. The session comes from
+Stages: ingest (saved JSON pages and lookups -> raw), staging, curated,
+load, models, test, all. The session comes from
 spark-submit (master, resources, ``spark.checkpoint.dir``); each stage prints
 its (layer, dataset, n_rows) counts.
 """
@@ -18,16 +19,22 @@ from reelhouse.session import get_spark
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="reelhouse")
-    p.add_argument("stage", choices=["staging", "curated", "load", "models", "test", "all"])
+    p.add_argument("stage", choices=["ingest", "staging", "curated", "load", "models", "test", "all"])
     p.add_argument("--root", required=True, help="lake root (raw/, staging/, curated/ below it)")
     p.add_argument("--date", default=dt.date.today().isoformat(), help="ingestion date YYYY-MM-DD")
+    p.add_argument("--src", help="folder of saved pages/ and lookup JSON (ingest)")
+    p.add_argument("--max-pages", type=int, default=500)
     p.add_argument("--as-of", default=AS_OF, help="reference date of the recent flag")
     p.add_argument("--namespace", default="raw")
     p.add_argument("--marts", default="marts")
     a = p.parse_args(argv)
 
     spark = get_spark(f"reelhouse-{a.stage}")
-    if a.stage == "staging":
+    if a.stage == "ingest":
+        if not a.src:
+            p.error("ingest needs --src")
+        print(pipeline.ingest_json(spark, a.src, a.root, a.date, a.max_pages))
+    elif a.stage == "staging":
         print(pipeline.run_staging(spark, a.root, a.date))
     elif a.stage == "curated":
         print(pipeline.run_curated(spark, a.root, a.date, a.as_of))

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelhouse.operators import clean, quality
 from reelhouse.plans.catalogue import AS_OF, DIM_COLUMNS, Catalogue, Raw
@@ -44,6 +45,28 @@ def land_raw(spark: SparkSession, root: str, raw: Raw, ingestion_date: str) -> d
     return out
 
 
+def ingest_json(spark: SparkSession, src: str, root: str, ingestion_date: str, max_pages: int = 500) -> dict[str, int]:
+    """Extract stage re-aimed (S3-S6, K1-K3): saved listing pages and lookup
+    documents -> raw date partitions.
+
+    ``src/pages/`` holds one JSON document per listing page (pages past
+    page 1's ``total_pages`` or ``max_pages`` are ignored); ``genres.json`` is
+    wrapped (``{"genres": [...]}``); ``countries.json`` and ``languages.json``
+    are top-level arrays.
+    """
+    def lookup_schema(raw_schema):
+        return StructType([f for f in raw_schema.fields if f.name != io.PARTITION_COL])
+
+    items = io.read_pages(spark, f"{src}/pages", max_pages, schemas.PAGE_DOCUMENT)
+    raw = Raw(
+        items=items,
+        genres=io.read_wrapped_lookup(spark, f"{src}/genres.json", "genres", lookup_schema(schemas.RAW_GENRES)),
+        countries=io.read_array_lookup(spark, f"{src}/countries.json", lookup_schema(schemas.RAW_COUNTRIES)),
+        languages=io.read_array_lookup(spark, f"{src}/languages.json", lookup_schema(schemas.RAW_LANGUAGES)),
+    )
+    return land_raw(spark, root, raw, ingestion_date)
+
+
 def _summary(spark: SparkSession, layer: str, counts: dict[str, int]) -> DataFrame:
     rows = [(layer, k, int(v), "success") for k, v in counts.items()]
     return spark.createDataFrame(rows, "layer string, dataset string, n_rows long, status string")

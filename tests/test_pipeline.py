@@ -95,3 +95,32 @@ def test_sizing_conf():
     conf = sizing_conf(100 * 1024**4, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(sizing_conf(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_pipeline_from_saved_json(spark, tmp_path):
+    import json
+
+    src = tmp_path / "extract"
+    (src / "pages").mkdir(parents=True)
+    items = [
+        {"id": i, "title": f" t{i} ", "original_language": "en" if i % 2 else "fr", "genre_ids": [1, 2] if i % 3 else [2],
+         "popularity": 150.0 - i, "release_date": "2001-02-03" if i % 4 else "", "vote_average": 6.5, "vote_count": i,
+         "adult": False, "video": False}
+        for i in range(1, 61)
+    ]
+    for page in (1, 2, 3, 4):  # page 4 is past page 1's total and is ignored
+        chunk = items[(page - 1) * 20: page * 20] if page < 4 else [dict(items[0], id=999)]
+        (src / "pages" / f"page_{page}.json").write_text(json.dumps({"page": page, "total_pages": 3, "results": chunk}))
+    (src / "genres.json").write_text(json.dumps({"genres": [{"id": 1, "name": "Action"}, {"id": 2, "name": "Drama"}]}))
+    (src / "countries.json").write_text(json.dumps([{"iso_3166_1": "FR", "english_name": "France", "native_name": "France"}]))
+    (src / "languages.json").write_text(json.dumps([
+        {"iso_639_1": "en", "english_name": "English", "name": "English"},
+        {"iso_639_1": "fr", "english_name": "French", "name": "Français"}]))
+    root = str(tmp_path / "lake_json")
+    landed = pipeline.ingest_json(spark, str(src), root, DATE)
+    assert landed == {"movies": 60, "genres": 2, "countries": 1, "languages": 2}
+    out = {(r.layer, r.dataset): r.n_rows for r in pipeline.run_pipeline(
+        spark, root, DATE, namespace="rawj", marts_ns="martsj").collect()}
+    assert out[("marts", "fact_items")] == 60 and out[("marts", "bridge_item_genre")] == 100
+    res = pipeline.run_tests(spark, "rawj", "martsj")
+    assert res.filter("failures > 0").count() == 0  # all 51 declared tests pass on clean input
