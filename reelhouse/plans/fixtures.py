@@ -81,9 +81,10 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = F.when(F.col("o_orderstatus") == "O", F.array(F.lit(FIRST_DATE), F.lit(RELIST_DATE))).otherwise(
         F.array(F.lit(FIRST_DATE))
     )
-    joined = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left").select(
-        "*", F.explode(dates).alias("ingestion_date")
-    )
+    # The listing date is generated on the orders side, before the join, so
+    # a filter on the date (one partition) is applied before joining.
+    listed = orders.select("*", F.explode(dates).alias("ingestion_date"))
+    joined = listed.join(per_order, listed["o_orderkey"] == per_order["l_orderkey"], "left")
     bump = F.when(F.col("ingestion_date") == RELIST_DATE, F.lit(1.0)).otherwise(F.lit(0.0))
     items = joined.select(
         (F.col("o_orderstatus") == "P").alias("adult"),
