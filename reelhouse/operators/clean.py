@@ -116,3 +116,18 @@ def reject_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
         F.sum("_raw").cast("long").alias("n_raw"),
         F.sum("_clean").cast("long").alias("n_clean"),
     ).select("n_raw", "n_clean", (F.col("n_raw") - F.col("n_clean")).alias("rejected"))
+
+
+def item_reject_counts(raw: DataFrame, key: str = "id") -> DataFrame:
+    """A9 for ``clean_items`` in one read of the raw rows.
+
+    Cleaning keeps exactly one row per non-NULL key and drops nothing else,
+    so the clean count is the number of distinct non-NULL keys: one
+    aggregate (a distinct count, planned as a two-level aggregate keyed by
+    the key) gives both counts without reading the raw chain twice.
+    """
+    return raw.agg(
+        F.count(F.lit(1)).alias("n_raw"),
+        F.count_distinct(F.col(key)).alias("n_clean"),
+    ).select("n_raw", "n_clean", (F.col("n_raw") - F.col("n_clean")).alias("rejected"))
+

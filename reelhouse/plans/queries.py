@@ -81,8 +81,7 @@ def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reject_counts(spark: SparkSession, d: str) -> DataFrame:
-    raw = fixtures.raw_items(spark, d)
-    return clean.reject_counts(raw, clean.clean_items(raw))
+    return clean.item_reject_counts(fixtures.raw_items(spark, d))
 
 
 def q_items_enriched(spark: SparkSession, d: str) -> DataFrame:

@@ -50,6 +50,8 @@ def test_reject_counts(spark):
     raw = raw_items(spark)
     r = clean.reject_counts(raw, clean.clean_items(raw)).collect()[0]
     assert (r.n_raw, r.n_clean, r.rejected) == (8, 6, 2)
+    # the one-read form agrees with counting the cleaned output
+    assert clean.item_reject_counts(raw).collect()[0] == r
 
 
 def test_items_enriched_tiers_and_names(spark):
