@@ -116,7 +116,7 @@ def counter_deltas(
     One window task sorts one (series, bucket) group, so ``bucket`` bounds
     the work of a task even for a very hot series (1 minute: a scraped
     series has a handful of samples per bucket; a series carrying a third
-    of 100 TB over a month still has well under 1 GB per bucket). The
+    of 100 TB over a month has about 0.8 GB per bucket). The
     bucket-level frame has at most one row per series and bucket.
     """
     series = list(series)
