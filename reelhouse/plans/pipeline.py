@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelhouse.operators import clean, quality
-from reelhouse.plans.catalogue import AS_OF, DIM_COLUMNS, Catalogue, Raw
+from reelhouse.plans.catalogue import AS_OF, Catalogue, Raw
 from reelhouse.sources import io, schemas
 from reelhouse.sources.load import load_table
 
@@ -212,5 +212,3 @@ def run_pipeline(
     append_run_log(spark, summary, ingestion_date)
     return summary
 
-
-__all__ = ["DIM_COLUMNS", "land_raw", "run_pipeline", "run_tests"]
