@@ -136,36 +136,37 @@ def _fused_scan(df: DataFrame, checks: list[Check]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def _count_rows(check: Check, offending: DataFrame) -> DataFrame:
-    return offending.agg(F.count(F.lit(1)).alias("_n")).select(*_row(check, F.col("_n")))
-
-
 def run_suite(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q6: one row per check with its failure count and pass/fail status."""
     parts: list[DataFrame] = []
-    fused: dict[str, list[Check]] = {}
+    # Models that are the same frame (pass-through views) are tested once;
+    # each declared test still gets its own row.
+    frame_of = {name: id(df) for name, df in models.items()}
+    fused: dict[int, list[Check]] = {}
     for c in checks:
         if c.kind in ("not_null", "accepted_values"):
-            fused.setdefault(c.model, []).append(c)
-    for model, group in fused.items():
-        parts.append(_fused_scan(models[model], group))
+            fused.setdefault(frame_of[c.model], []).append(c)
+    for group in fused.values():
+        parts.append(_fused_scan(models[group[0].model], group))
+    computed: dict[tuple, DataFrame] = {}
     for c in checks:
-        df = models[c.model]
-        if c.kind == "unique":
-            parts.append(_count_rows(c, unique(df, c.columns[0])))
-        elif c.kind == "unique_combination":
-            parts.append(_count_rows(c, unique_combination(df, c.columns)))
-        elif c.kind == "relationships":
-            parts.append(
-                _count_rows(
-                    c,
-                    relationships(
-                        df, c.columns[0], models[c.parent], c.parent_key, probe_parent=c.parent_is_dimension
-                    ),
+        if c.kind in ("not_null", "accepted_values"):
+            continue
+        sig = (c.kind, c.columns, frame_of[c.model], frame_of.get(c.parent), c.parent_key)
+        if sig not in computed:
+            df = models[c.model]
+            if c.kind == "unique":
+                offending = unique(df, c.columns[0])
+            elif c.kind == "unique_combination":
+                offending = unique_combination(df, c.columns)
+            elif c.kind == "relationships":
+                offending = relationships(
+                    df, c.columns[0], models[c.parent], c.parent_key, probe_parent=c.parent_is_dimension
                 )
-            )
-        elif c.kind not in ("not_null", "accepted_values"):
-            raise ValueError(f"unknown check kind {c.kind!r}")
+            else:
+                raise ValueError(f"unknown check kind {c.kind!r}")
+            computed[sig] = offending.agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(computed[sig].select(*_row(c, F.col("_n"))))
     failures = reduce(DataFrame.union, parts)
     # Test metadata is attached once, from a frame of one row per declared
     # test (bounded by the suite, so broadcast), not as literals per part.
