@@ -83,3 +83,19 @@ def test_no_python_in_batch_queries(spark, capsys):
     for name in ("clean_items", "metric_mapping", "dq_suite", "metric_rate"):
         plan = _plan(spark, name, capsys)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_item_checks_on_bucketed_layer_need_no_item_shuffle(no_auto_broadcast, capsys):
+    from reelhouse.operators import quality
+    from reelhouse.plans.catalogue import Catalogue
+
+    cat = Catalogue.from_tables(no_auto_broadcast, SF_SMALL)
+    cat.materialize("stg_items_clean", bucket_by="movie_id")
+    for df in (
+        quality.unique(cat.fact_items, "movie_id"),
+        quality.relationships(cat.bridge_item_genre, "movie_id", cat.fact_items, "movie_id", probe_parent=False),
+    ):
+        df.collect()
+        df.explain("formatted")
+        plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+        assert "hashpartitioning(movie_id" not in plan and "hashpartitioning(_parent_key" not in plan
