@@ -145,10 +145,15 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as metric samples: ts (timestamp), series label, user, value."""
+    """Events as metric samples: ts, series label, user, value.
+
+    ``ts`` stays ``timestamp_ntz`` (wall-clock time, as stored), so windows
+    and day boundaries do not depend on the session time zone; the streaming
+    forms convert it to ``timestamp`` for watermarks.
+    """
     return table(spark, sf_dir, "events").select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
         "event_type",
         "user_id",
         "value",
