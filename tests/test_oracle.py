@@ -56,3 +56,16 @@ def test_entry_smoke(spark):
     rows = entry.entry(spark).collect()
     assert 0 < len(rows) <= 5
     assert entry.entry(spark).columns == ["genre_name", "nb_items", "mean_vote"]
+
+
+@pytest.mark.parametrize("name", ["metric_increase", "metric_sample", "clean_items", "dim_date"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry.queries()[name](spark, SF_SMALL)
+        got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(entry.oracle_sql()[name])
+    assert got == _rows(rel.columns, rel.fetchall())
