@@ -20,15 +20,29 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+# Persisted probes, released with ``release_probes`` once their queries ran.
+_PROBES: list[DataFrame] = []
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
     probe = df.persist(StorageLevel.MEMORY_AND_DISK)
     if probe.count() <= max_rows:
+        _PROBES.append(probe)
         return F.broadcast(probe)
     probe.unpersist()
     return df
 
 
+def release_probes() -> int:
+    """Unpersist the dimensions kept by ``broadcast_if_small`` (call after
+    the actions that use them, e.g. at the end of a pipeline stage)."""
+    n = len(_PROBES)
+    while _PROBES:
+        _PROBES.pop().unpersist()
+    return n
+
+
 def broadcast_bounded(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a side whose row count is known by construction (e.g. a
     calendar of ``n_rows`` days) without running a job to count it."""
