@@ -4,7 +4,7 @@ Terms are words of the lower-cased text and word beginnings of 4 to 6 letters.
 The model is fitted on labelled rows with ``crc32(doc_id) mod 5 != 0``:
 
 1. A bounded sample (``EXAMPLES`` per class, the smallest hashes of the id)
-   gives the examples and, by chi-square, the vocabulary of at most
+   gives the examples and, by likelihood ratio, the vocabulary of at most
    ``VOCABULARY`` terms that go with the label.
 2. One pass over the documents turns every whole text into counts of those
    terms, kept as a narrow table; document frequencies come from all of it.
@@ -28,6 +28,7 @@ example id. Empty documents give an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -45,8 +46,9 @@ EXAMPLES = 4_000
 VOCABULARY = 512
 NEIGHBOURS = 15
 BLOCK = 64
-# Least chi-square of a term with the label, and least share of toxic examples that have it.
-LEAST_CHI2 = 15.0
+# A term is kept when chance would give its link with the label in fewer than
+# exp(-MARGIN) of all tests together, and this share of toxic examples has it.
+MARGIN = 2.0
 LEAST_SHARE = 0.002
 LEAST_COUNT = 3
 PREFIXES = (4, 5, 6)
@@ -66,7 +68,7 @@ def text_terms(text: str | None) -> Counter:
     return out
 
 
-def known_terms(text: str | None, terms: dict[str, int], longest: int) -> dict[int, int]:
+def known_terms(text: str | None, terms: dict[str, int]) -> dict[int, int]:
     """Counts of the vocabulary's terms in a whole text, by term number."""
     out: dict[int, int] = {}
     for w, n in Counter(_WORD.findall((text or "").lower())).items():
@@ -200,7 +202,7 @@ def _sample(docs: DataFrame, train: DataFrame, examples: int) -> DataFrame:
 
 
 def _vocabulary(sample: DataFrame, size: int) -> list[str]:
-    """Terms that go with the toxic label in the sample, best chi-square first."""
+    """Terms that go with the toxic label in the sample, largest likelihood ratio first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
@@ -219,17 +221,23 @@ def _vocabulary(sample: DataFrame, size: int) -> list[str]:
     if not n0 or not n1:
         return []
     least = max(LEAST_COUNT, LEAST_SHARE * n1)
-    a, b = F.col("n1"), F.col("n0")
+    counted = store.write_shared(
+        sample.dropDuplicates(["y", "text"]).select("y", "text")
+        .mapInArrow(run, "term string, n0 long, n1 long")
+        .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .where(F.col("n1") >= least),
+        "tox-terms",
+    )
+    a, b, both = F.col("n1"), F.col("n0"), F.col("n0") + F.col("n1")
     n = float(n0 + n1)
-    # 2 x 2 chi-square of term and label; only terms more common in toxic texts.
-    chi2 = n * F.pow(a * F.lit(float(n0)) - b * F.lit(float(n1)), 2) / ((a + b) * (F.lit(n) - a - b) * F.lit(float(n0) * n1) + F.lit(1e-9))
+    # Log-likelihood ratio of term and label: p is about exp(-g / 2), also for rare terms.
+    gain = 2 * (a * F.log(a * n / (both * n1)) + F.when(b > 0, b * F.log(b * n / (both * n0))).otherwise(0.0))
+    tests = max(1, counted.count())
     rows = (
-        sample.select("y", "text").mapInArrow(run, "term string, n0 long, n1 long")
-        .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where((a >= least) & (a / n1 > 2 * b / n0))
-        .withColumn("chi2", chi2)
-        .where(F.col("chi2") >= LEAST_CHI2)
-        .orderBy(F.desc("chi2"), "term")
+        counted.where(a / n1 > 2 * b / n0)
+        .withColumn("gain", gain)
+        .where(F.col("gain") >= 2 * (math.log(tests) + MARGIN))
+        .orderBy(F.desc("gain"), "term")
         .limit(size)
     )
     return [r["term"] for r in rows.select("term").collect()]
@@ -238,13 +246,12 @@ def _vocabulary(sample: DataFrame, size: int) -> list[str]:
 def _counts(docs: DataFrame, terms: dict[str, int], columns: str) -> DataFrame:
     """``columns`` of docs with the vocabulary counts of the whole text as parallel arrays."""
     names = [c.split()[0] for c in columns.split(", ")]
-    longest = max(map(len, terms), default=0)
     shared = docs.sparkSession.sparkContext.broadcast(terms)  # at most VOCABULARY terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
-            found = [known_terms(t, known, longest) for t in b.column(len(names)).to_pylist()]
+            found = [known_terms(t, known) for t in b.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(len(names))]
                 + [pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
