@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import decontam, exact_dedup, packing, simhash, store, toxicity
+from reelhouse.llm import chat, decontam, exact_dedup, packing, pii, simhash, store, toxicity, warc
 
 # Folder of the public tokenizer files; a parameter of every function that uses one.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -27,11 +27,52 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = store.new_path(spark, "warc")
+    warc.write_archive(store.table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(store.table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = store.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    turns = turns.unionByName(extra).withColumn("parts", chat.text_parts("text"))
+    out = chat.format_conversations(turns).withColumn("pieces", chat.read_pieces(F.col("formatted")))
+    out = out.select(
+        "conv_id",
+        chat.read_turns(F.col("pieces")).alias("turns"),
+        F.array_join(chat.loss_texts(F.col("pieces"), F.col("loss")), "").alias("learnt"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learnt"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(store.table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(pii.span_list(base_only=True), 256).alias("base_sha256"),
+        pii.span_list(base_only=False).alias("spans"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_documents(store.table(spark, sf_dir, "documents"), store.table(spark, sf_dir, "labels"))
     evidence = F.concat_ws(",", F.transform("evidence", lambda e: e["doc_id"].cast("string")))
@@ -48,13 +89,45 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
+    "op4_chat": op4_chat,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
 }
 
 ORACLE = {
+    "op2_warc": r"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), o AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS owner FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN owner END AS refers_to
+        FROM o
+    """,
+    "op4_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), e AS (
+            SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+                      + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 23 AS n
+            FROM t
+        ), g AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS told,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learnt,
+                   sum(n)::BIGINT AS formatted_chars
+            FROM e GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learnt) AS loss_chars,
+               sha256(learnt) AS loss_sha256, formatted_chars
+        FROM g
+    """,
     "op7_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
