@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import chat, decontam, exact_dedup, packing, pii, simhash, store, toxicity, warc
+from reelhouse.llm import chat, decontam, exact_dedup, html_extract, packing, pii, secrets, simhash, store, toxicity, warc
 
 # Folder of the public tokenizer files; a parameter of every function that uses one.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -87,6 +87,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(store.table(spark, sf_dir, "documents"), store.table(spark, sf_dir, "benchmark"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_pages(store.table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(store.table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])],
+        F.sha2(secrets.span_list(base_only=True), 256).alias("base_sha256"),
+        secrets.span_list(base_only=False).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -96,6 +112,8 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_html": op9_html,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
