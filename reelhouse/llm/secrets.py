@@ -173,15 +173,41 @@ def runs(text: str) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
         yield spans, np.array(feats)
 
 
+def _expand_table() -> tuple[np.ndarray, np.ndarray]:
+    """Per shape number: its class, and the numbers of its length and variety features."""
+    per = (len(_STEPS) + 1) * 2
+    cls, rest = np.zeros(N_SHAPES, dtype=np.int64), np.zeros((N_SHAPES, len(_STEPS) + 1), dtype=np.int64)
+    for n in range(N_SHAPES):
+        cls[n] = n // per if n < _WORD else len(_CLASSES) + n - _WORD
+        step, varied = divmod(n % per, 2) if n < _WORD else (0, 0)
+        # One feature per length that the token reaches or not, so lengths between known ones are known too.
+        rest[n] = [2 * i + (step > i) for i in range(len(_STEPS))] + [2 * len(_STEPS) + varied]
+    return cls, rest
+
+
+_CLASS_OF, _SIZE_OF = _expand_table()
+N_CLASSES = int(_CLASS_OF.max()) + 1
+
+
 class Field:
     """Potentials of the linear-chain field: states B, I, O."""
 
-    SIZES = (N_SHAPES, N_SHAPES, N_SHAPES, 2, N_FILE)
+    # Own class, length and variety; classes before and after; name nearby; file.
+    SIZES = (N_CLASSES, *[2 * (len(_STEPS) + 1)] * (len(_STEPS) + 1), N_CLASSES, N_CLASSES, 2, N_FILE)
 
     def __init__(self, weights: np.ndarray | None = None):
-        n = sum(self.SIZES)
-        self.weights = np.zeros((n + 4, 3)) if weights is None else weights
-        self.offsets = np.concatenate([[0], np.cumsum(self.SIZES)])[:-1]
+        starts, at = [], 0
+        for i, n in enumerate(self.SIZES):
+            starts.append(at)
+            at += 0 if 1 <= i < len(_STEPS) + 1 else n  # the size features share one range
+        self.offsets = np.array(starts)
+        self.weights = np.zeros((at + 4, 3)) if weights is None else weights
+
+    def numbers(self, feats: np.ndarray) -> np.ndarray:
+        """Feature numbers of tokens given as (shape, shape before, shape after, near, file)."""
+        own, before, after, near, file = np.moveaxis(feats, -1, 0)
+        parts = [_CLASS_OF[own][..., None], _SIZE_OF[own], *[x[..., None] for x in (_CLASS_OF[before], _CLASS_OF[after], near, file)]]
+        return np.concatenate(parts, axis=-1) + self.offsets
 
     @property
     def links(self) -> np.ndarray:
@@ -196,7 +222,7 @@ class Field:
         return self.links[O]
 
     def emit(self, feats: np.ndarray) -> np.ndarray:
-        return self.weights[feats + self.offsets].sum(axis=-2)
+        return self.weights[self.numbers(feats)].sum(axis=-2)
 
     def viterbi(self, feats: np.ndarray) -> list[int]:
         e, links = self.emit(feats), self.links
@@ -227,24 +253,35 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, ridge: float = RIDGE) -> Field:
-    """Maximum conditional likelihood (forward-backward gradients, Adam steps) from (features, tags) runs."""
+def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], steps: int = STEPS, ridge: float = RIDGE) -> Field:
+    """Maximum conditional likelihood from (features, tags, weight) runs.
+
+    Gradients come from forward and backward sums, steps are Adam's. Each run
+    with a secret is also seen without its context (no name nearby, plain
+    words around), so that shape alone can tell.
+    """
     field = Field()
-    if not any((tags != O).any() for _, tags in examples):
-        field.weights[:-4, O] = 1.0  # nothing to learn from: everything is outside
+    examples = list(examples)
+    for f, y, weight in examples[:]:
+        if (y != O).any():
+            bare = f.copy()
+            bare[0, 1], bare[-1, 2], bare[:, 3], bare[:, 4] = _WORD, _WORD, 0, bare[:, 4] % 2
+            examples.append((bare, y, weight))
+    if not any((y != O).any() for _, y, _ in examples):
+        field.weights[: field.offsets[1], O] = 1.0  # nothing to learn from: everything is outside
         return field
-    groups: dict[int, tuple[list, list]] = {}  # by length, so that each is one array
-    for f, y in examples:
-        groups.setdefault(len(y), ([], []))[0].append(f)
-        groups[len(y)][1].append(y)
-    data = [(np.stack(f), np.stack(y)) for f, y in groups.values()]
-    total = sum(len(y) for _, y in data)
+    groups: dict[int, tuple[list, list, list]] = {}  # by length, so that each is one array
+    for f, y, weight in examples:
+        for to, x in zip(groups.setdefault(len(y), ([], [], [])), (f, y, weight)):
+            to.append(x)
+    data = [(field.numbers(np.stack(f)), np.stack(y), np.array(v)) for f, y, v in groups.values()]
+    total = sum(float(v.sum()) for _, _, v in data)
     w = field.weights
     mean, var = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
         grad = -ridge * w / total
-        for f, y in data:
-            e, links = field.emit(f), field.links
+        for f, y, v in data:
+            e, links = field.weights[f].sum(axis=-2), field.links
             n, length = y.shape
             fwd = [field.first + e[:, 0]]
             for i in range(1, length):
@@ -255,14 +292,14 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, ridge
             bwd = bwd[::-1]
             z = _log_sum(fwd[-1], 1)[:, None]
             for i in range(length):
-                gain = np.eye(3)[y[:, i]] - np.exp(fwd[i] + bwd[i] - z)
-                for k, off in enumerate(field.offsets):
-                    np.add.at(grad, f[:, i, k] + off, gain / total)
+                gain = v[:, None] * (np.eye(3)[y[:, i]] - np.exp(fwd[i] + bwd[i] - z))
+                for k in range(f.shape[-1]):
+                    np.add.at(grad, f[:, i, k], gain / total)
                 if i:
                     pair = np.exp(fwd[i - 1][:, :, None] + links + (e[:, i] + bwd[i])[:, None, :] - z[:, :, None])
                     seen = np.zeros((3, 3))
-                    np.add.at(seen, (y[:, i - 1], y[:, i]), 1)
-                    grad[-4:-1] += (seen - pair.sum(axis=0)) / total
+                    np.add.at(seen, (y[:, i - 1], y[:, i]), v)
+                    grad[-4:-1] += (seen - (v[:, None, None] * pair).sum(axis=0)) / total
                 else:
                     grad[-2] += gain.sum(axis=0) / total  # the link from O to the first token
         mean = 0.9 * mean + 0.1 * grad
@@ -296,8 +333,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
 
     found = sample.mapInArrow(observe, "f array<int>, y array<int>").groupBy("f", "y").count()
     rows = found.orderBy(F.xxhash64("f", "y"), "f", "y").limit(sample_runs).collect()  # bounded by ``sample_runs``
-    pairs = [(np.array(r["f"]).reshape(-1, 5), np.array(r["y"])) for r in rows if len(r["y"]) <= 64]
-    return fit(pairs)
+    return fit([(np.array(r["f"]).reshape(-1, 5), np.array(r["y"]), 1 + np.log(r["count"])) for r in rows])
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
