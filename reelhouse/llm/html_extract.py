@@ -155,15 +155,15 @@ def parse(page: str) -> Node:
     return root
 
 
-def _text(items: list, out: list[str], chrome: bool) -> None:
-    """Texts in page order, with a space at block ends; ``chrome``: with the chrome too."""
+def _text(items: list, out: list[str], chrome: bool, fixed: set[int]) -> None:
+    """Texts in page order, with a space at block ends."""
     todo = [iter(items)]
     ends = [""]
     while todo:
         for x in todo[-1]:
             if isinstance(x, str):
                 out.append(entities.unescape(x) if "&" in x else x)
-            elif x.chrome and not chrome:
+            elif x.chrome and not chrome or id(x) in fixed:
                 out.append(" ")
             else:
                 edge = "" if x.tag in INLINE else " "
@@ -176,10 +176,11 @@ def _text(items: list, out: list[str], chrome: bool) -> None:
             out.append(ends.pop())
 
 
-def text_of(nodes: list[Node], chrome: bool = False) -> str:
+def text_of(nodes: list[Node], chrome: bool = False, fixed: set[int] = frozenset()) -> str:
+    """Text of subtrees, ``chrome``: with the chrome too, without the nodes in ``fixed``."""
     out: list[str] = []
     for n in nodes:
-        _text(n.items, out, chrome)
+        _text(n.items, out, chrome, fixed)
         out.append(" ")
     return " ".join("".join(out).split())
 
@@ -286,32 +287,28 @@ def extract(page: str | None, template: str | None = None, constant: frozenset[i
     """Main text of a page under its host's wrapper."""
     if not page:
         return ""
-    folded = preorder(fold(parse(page)))
+    root = parse(page)
+    folded = preorder(fold(root))
     at = align(template, shape_of(folded)) if template else (-1,) * len(folded)
-    regions, rest, skip = [], [], set()
+    regions: list[tuple[bool, list[Node]]] = []
+    fixed: set[int] = set()  # nodes that are template
+    skip: set[int] = set()  # folded nodes below a decision
     for i, f in enumerate(folded):
-        if id(f) in skip:
-            skip.update(map(id, f.children))
-            continue
         own = [n for n in f.members if not n.chrome]
-        if not own:
-            skip.update(map(id, f.children))
-        elif own[0].region:
-            # The innermost of nested regions: an article inside main.
-            inner = _inner_regions(own)
-            regions.append((at[i] in constant, inner))
-            skip.update(map(id, f.children))
-        elif at[i] in constant:
-            skip.update(map(id, f.children))
-        elif not f.children:
-            rest.append(own)
+        constant_here = at[i] in constant and f.label not in ("", "html", "body")
+        if id(f) not in skip and own and not own[0].region and not constant_here:
+            continue
+        skip.update(map(id, f.children))
+        if id(f) in skip or not own:
+            continue
+        if own[0].region:
+            regions.append((constant_here, _inner_regions(own)))
         else:
-            # Text of its own beside children: kept as a slot, the children decide for themselves.
-            rest.append([_bare(n) for n in own])
+            fixed.update(map(id, f.members))
     if regions:
-        varying = [r for fixed, r in regions if not fixed] or [r for _, r in regions]
+        varying = [r for same, r in regions if not same] or [r for _, r in regions]
         return text_of([n for r in varying for n in r])
-    return " ".join(filter(None, (text_of(r) for r in rest)))
+    return text_of([root], fixed=fixed)
 
 
 def _inner_regions(nodes: list[Node]) -> list[Node]:
@@ -322,13 +319,6 @@ def _inner_regions(nodes: list[Node]) -> list[Node]:
     return out
 
 
-def _bare(n: Node) -> Node:
-    """The node with its texts and inline elements alone."""
-    bare = Node(n.tag, n.label, n.chrome, n.region)
-    bare.items = [x if isinstance(x, str) or x.tag in INLINE else " " for x in n.items]
-    return bare
-
-
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
