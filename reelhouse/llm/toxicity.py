@@ -300,7 +300,8 @@ def calibrate(spark, model: Model, examples: list[tuple[int, dict, int]]) -> Mod
             votes = [shared.value.vote(dict(zip(t[i], c[i])), p[i])[0] for i in range(len(p))]
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(votes, pa.float64())], names=["y", "v"])
 
-    rows = frame.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").orderBy("v", "y").collect()
+    rows = frame.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").collect()
+    rows.sort(key=lambda r: (r["v"], r["y"]))  # a fixed order of summation
     if rows:
         y = np.array([r["y"] for r in rows])
         model.slope, model.shift = fit_curve(logit(np.array([r["v"] for r in rows])), y, model.weights[y] / model.weights[y].mean())
