@@ -3,14 +3,15 @@
 Datasets live under ``<root>/<layer>/<dataset>/ingestion_date=YYYY-MM-DD/``.
 Reads go through the dataset root plus a filter on the partition column, so
 Catalyst prunes partitions (``PartitionFilters``) instead of the caller
-building leaf paths. Writes use dynamic partition overwrite: only the
-partitions present in the output are replaced, other dates stay untouched.
+building leaf paths. A write replaces exactly the leaf of its date, also when
+it has no rows; other dates stay untouched.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,17 +45,20 @@ def read_partition(
 
     With ``schema`` the fixed schema is enforced (partition column included as
     a string); columns absent from the files read as NULL. Only ``*.parquet``
-    files are picked up. A missing dataset gives an empty frame of the schema.
+    files are picked up. A dataset that its file system does not have gives an
+    empty frame of the schema; Spark itself looks, so the rule is the same for
+    plain paths and every URI scheme.
     """
     path = dataset_path(root, layer, dataset)
-    if not os.path.exists(path) and "://" not in path:
-        if schema is None:
-            raise FileNotFoundError(path)
-        return empty_frame(spark, schema)
     reader = spark.read.option("pathGlobFilter", "*.parquet")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(path)
+    try:
+        df = reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or schema is None:
+            raise
+        return empty_frame(spark, schema)
     return df.filter(F.col(PARTITION_COL) == F.lit(ingestion_date))
 
 
@@ -63,25 +67,24 @@ def write_partition(
     root: str,
     layer: str,
     dataset: str,
+    ingestion_date: str,
     max_records_per_file: int | None = None,
 ) -> int:
-    """K1/K2/K4/K5: overwrite the partitions present in ``df``; return rows.
+    """K1/K2/K4/K5: replace the partition of one date with ``df``; return rows.
+
+    The leaf itself is overwritten, so a re-run without rows empties it. The
+    date is the partition's, whatever ``df`` has in that column.
 
     The row count is observed during the write itself (one job, not a
     ``count()`` plus a write). No ``coalesce(1)``: the last stage keeps its
     parallelism and ``maxRecordsPerFile`` bounds file sizes.
     """
     obs = Observation(f"rows_{layer}_{dataset}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    writer = (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(PARTITION_COL)
-    )
+    observed = df.drop(PARTITION_COL).observe(obs, F.count(F.lit(1)).alias("n"))
+    writer = observed.write.mode("overwrite").option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    writer.parquet(dataset_path(root, layer, dataset))
+    writer.parquet(os.path.join(dataset_path(root, layer, dataset), f"{PARTITION_COL}={ingestion_date}"))
     return int(obs.get["n"])
 
 
@@ -93,19 +96,24 @@ def stamp_date(df: DataFrame, ingestion_date: str, col: str = PARTITION_COL) ->
 def read_pages(
     spark: SparkSession,
     path: str,
-    max_pages: int,
     schema: StructType,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """S3 re-aimed: saved listing pages -> item rows.
 
-    Pages beyond ``min(total_pages of page 1, max_pages)`` are ignored, like
-    the paginated download that stops there. Page 1's total is taken through
-    a scalar subquery, so the cap stays one distributed plan.
+    Pages beyond the ``total_pages`` of page 1 (and beyond ``max_pages``, when
+    the caller gives one) are ignored, like the paginated download that stops
+    there. Page 1's total is taken through a scalar subquery, so the cap stays
+    one distributed plan. A malformed document, a document without a page
+    number and a set without page 1 fail the read instead of losing pages.
     """
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
     total = docs.filter(F.col("page") == 1).select(F.max("total_pages")).scalar()
-    cap = F.least(F.coalesce(total, F.lit(1)), F.lit(int(max_pages)))
-    return docs.filter(F.col("page") <= cap).selectExpr("inline(results)")
+    fail = lambda why: F.raise_error(F.lit(f"{path}: {why}"))
+    total = F.coalesce(total, fail("page 1 with its total_pages is missing").cast("long"))
+    cap = total if max_pages is None else F.least(total, F.lit(int(max_pages)).cast("long"))
+    page = F.coalesce(F.col("page").cast("long"), fail("a document has no page number").cast("long"))
+    return docs.filter(page <= cap).selectExpr("inline(results)")
 
 
 def read_wrapped_lookup(spark: SparkSession, path: str, field: str, schema: StructType) -> DataFrame:

@@ -2,15 +2,29 @@
 
 Columns are matched to the target by case-insensitive name: a target column
 missing from the source becomes NULL, an extra source column is ignored.
-Casts are ANSI casts, so one bad value aborts the whole load (K9) instead of
-loading NULLs silently.
+One value that its target type cannot hold aborts the whole load (K9) instead
+of loading a NULL, whatever the session's ANSI setting; the table keeps its
+former rows until the new ones are written in full.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
+
+
+def _strict_cast(name: str, source: DataType, target: DataType) -> Column:
+    """Cast that raises on a value it would lose."""
+    col = F.col(f"`{name}`")
+    if source == target:
+        return col
+    cast = col.try_cast(target)
+    lost = col.isNotNull() & cast.isNull()
+    why = F.concat(F.lit(f"column {name} has a value that is no {target.simpleString()}: "), F.to_json(F.struct(col)))
+    return F.when(lost, F.raise_error(why).cast(target)).otherwise(cast)
 
 
 def align_to_schema(df: DataFrame, target: StructType, strict_cast: bool = True) -> DataFrame:
@@ -22,7 +36,7 @@ def align_to_schema(df: DataFrame, target: StructType, strict_cast: bool = True)
         if src is None:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif strict_cast:
-            cols.append(F.col(f"`{src}`").cast(field.dataType).alias(field.name))
+            cols.append(_strict_cast(src, df.schema[src].dataType, field.dataType).alias(field.name))
         else:
             cols.append(F.col(f"`{src}`").try_cast(field.dataType).alias(field.name))
     return df.select(*cols)
@@ -31,12 +45,20 @@ def align_to_schema(df: DataFrame, target: StructType, strict_cast: bool = True)
 def load_table(spark: SparkSession, df: DataFrame, table: str, target: StructType) -> int:
     """Replace ``table`` with ``df`` aligned to ``target``.
 
-    Overwrite makes re-runs idempotent; the loaded row count is observed on
-    the write itself.
+    The rows are written to a table of their own, which takes the name over
+    only after the write has succeeded: a failed load leaves the old table.
+    The loaded row count is observed on the write itself.
     """
     obs = Observation(f"load_{table}")
     aligned = align_to_schema(df, target).observe(obs, F.count(F.lit(1)).alias("n"))
-    aligned.write.mode("overwrite").format("parquet").saveAsTable(table)
+    aside = f"{table}__load_{uuid.uuid4().hex[:12]}"
+    try:
+        aligned.write.format("parquet").saveAsTable(aside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     return int(obs.get["n"])
 
 

@@ -16,11 +16,11 @@ def _files(path):
 def test_partition_overwrite_keeps_other_dates(spark, tmp_path):
     root = str(tmp_path)
     raw = raw_items(spark)
-    n1 = io.write_partition(raw.filter(F.col("ingestion_date") == D1), root, "raw", "movies")
-    n2 = io.write_partition(raw.filter(F.col("ingestion_date") == D2), root, "raw", "movies")
+    n1 = io.write_partition(raw.filter(F.col("ingestion_date") == D1), root, "raw", "movies", D1)
+    n2 = io.write_partition(raw.filter(F.col("ingestion_date") == D2), root, "raw", "movies", D2)
     assert (n1, n2) == (7, 1)
     # re-run D1 with fewer rows: D2 untouched, no stale D1 rows
-    n1b = io.write_partition(raw.filter((F.col("ingestion_date") == D1) & (F.col("id") <= 2)), root, "raw", "movies")
+    n1b = io.write_partition(raw.filter((F.col("ingestion_date") == D1) & (F.col("id") <= 2)), root, "raw", "movies", D1)
     assert n1b == 2
     d1 = io.read_partition(spark, root, "raw", "movies", D1, schemas.RAW_ITEMS)
     d2 = io.read_partition(spark, root, "raw", "movies", D2, schemas.RAW_ITEMS)
@@ -30,7 +30,9 @@ def test_partition_overwrite_keeps_other_dates(spark, tmp_path):
 
 def test_read_partition_prunes_partitions(spark, tmp_path, capsys):
     root = str(tmp_path)
-    io.write_partition(raw_items(spark), root, "raw", "movies")
+    raw = raw_items(spark)
+    for day in (D1, D2):
+        io.write_partition(raw.filter(F.col("ingestion_date") == day), root, "raw", "movies", day)
     io.read_partition(spark, root, "raw", "movies", D2, schemas.RAW_ITEMS).filter(F.col("id").isNotNull()).explain()
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan and D2 in plan
@@ -44,7 +46,7 @@ def test_read_partition_prunes_partitions(spark, tmp_path, capsys):
 def test_max_records_per_file(spark, tmp_path):
     root = str(tmp_path)
     df = spark.range(0, 4500, 1, 1).select(F.col("id"), F.lit(D1).alias("ingestion_date"))
-    io.write_partition(df, root, "raw", "many", max_records_per_file=2000)
+    io.write_partition(df, root, "raw", "many", D1, max_records_per_file=2000)
     assert len(_files(os.path.join(root, "raw", "many", f"ingestion_date={D1}"))) == 3
 
 
@@ -73,6 +75,47 @@ def test_read_pages_caps_at_page_one_total(spark, tmp_path):
     assert sorted(r.id for r in rows) == [10, 11, 20, 21]
 
 
+def _pages(tmp_path, docs):
+    d = tmp_path / "pages"
+    d.mkdir()
+    for i, doc in enumerate(docs):
+        (d / f"p{i}.json").write_text(doc if isinstance(doc, str) else json.dumps(doc))
+    return str(d)
+
+
+def test_all_announced_pages_are_read(spark, tmp_path):
+    docs = [{"page": p, "total_pages": 600, "results": [_item(p, 1.0)]} for p in (1, 2, 501, 600, 601)]
+    rows = io.read_pages(spark, _pages(tmp_path, docs), schemas.PAGE_DOCUMENT).collect()
+    assert sorted(r.id for r in rows) == [1, 2, 501, 600]
+
+
+@pytest.mark.parametrize("docs", [
+    [{"page": 2, "total_pages": 3, "results": [_item(2, 1.0)]}],
+    [{"page": 1, "total_pages": 3, "results": [_item(1, 1.0)]}, '{"page": 2, "results": [{"id": 2'],
+    [{"page": 1, "total_pages": 3, "results": [_item(1, 1.0)]}, {"total_pages": 3, "results": [_item(9, 1.0)]}],
+])
+def test_lost_pages_fail_the_read(spark, tmp_path, docs):
+    with pytest.raises(Exception, match="page 1 with|FAILFAST|MALFORMED|no page number"):
+        io.read_pages(spark, _pages(tmp_path, docs), schemas.PAGE_DOCUMENT).collect()
+
+
+def test_plain_paths_and_uris_read_the_same(spark, tmp_path):
+    root = str(tmp_path)
+    io.write_partition(raw_items(spark), root, "raw", "movies", D1)
+    n = [io.read_partition(spark, r, "raw", "movies", D1, schemas.RAW_ITEMS).count() for r in (root, f"file:{root}", f"file://{root}")]
+    assert n == [8, 8, 8]
+    assert io.read_partition(spark, f"file://{root}/none", "raw", "movies", D1, schemas.RAW_ITEMS).count() == 0
+
+
+def test_empty_rerun_empties_the_partition(spark, tmp_path):
+    root = str(tmp_path)
+    io.write_partition(raw_items(spark), root, "raw", "movies", D1)
+    io.write_partition(raw_items(spark), root, "raw", "movies", D2)
+    assert io.write_partition(io.empty_frame(spark, schemas.RAW_ITEMS), root, "raw", "movies", D1) == 0
+    read = lambda day: io.read_partition(spark, root, "raw", "movies", day, schemas.RAW_ITEMS).count()
+    assert (read(D1), read(D2)) == (0, 8)
+
+
 def test_lookups_from_json(spark, tmp_path):
     (tmp_path / "genres.json").write_text(json.dumps({"genres": [{"id": 1, "name": "Action"}, {"id": 2, "name": "Drama"}]}))
     (tmp_path / "countries.json").write_text(json.dumps([{"iso_3166_1": "FR", "english_name": "France", "native_name": "France"}]))
@@ -97,10 +140,25 @@ def test_align_to_schema_by_case_insensitive_name(spark):
 
 def test_load_aborts_on_bad_value(spark):
     src = spark.createDataFrame([("x", "Drama")], "genre_id string, genre_name string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="genre_id has a value that is no bigint"):
         load_table(spark, src, "bad_dim_genre", schemas.DIM_GENRE)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_failed_load_leaves_the_old_table(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([("1", "A")], "genre_id string, genre_name string")
+        assert load_table(spark, good, "kept_dim_genre", schemas.DIM_GENRE) == 1
+        with pytest.raises(Exception, match="no bigint"):
+            load_table(spark, good.selectExpr("'1x' AS genre_id", "genre_name"), "kept_dim_genre", schemas.DIM_GENRE)
+        assert [tuple(r) for r in spark.table("kept_dim_genre").collect()] == [(1, "A")]
+        assert not [t for t in spark.catalog.listTables() if "__load_" in t.name]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_load_all_replaces_tables_idempotently(spark):
     frames = {"dim_genre": spark.createDataFrame([(1, "A"), (2, "B")], "genre_id long, genre_name string")}
     targets = {"dim_genre": schemas.DIM_GENRE, "dim_country": schemas.DIM_COUNTRY}
