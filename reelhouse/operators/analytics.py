@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-
 PAGE_SIZE = 20
 
 
@@ -17,18 +15,18 @@ def top_genres(
     bridge: DataFrame,
     genres: DataFrame,
     n: int = 5,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Top ``n`` genres by distinct items, with the mean vote (2 digits).
 
     bridge x fact is a shuffle join on ``movie_id`` (only the two needed fact
-    columns travel); the genre dimension is broadcast after a size check.
+    columns travel); the genre dimension joins without a hint (a small one is
+    broadcast by its size).
     The distinct count is planned as a two-level aggregate keyed by
     (genre, item), so no single genre group is collected whole. Ties on the
     count are broken by genre name.
     """
     f = fact.select("movie_id", "vote_average")
-    g = broadcast_if_small(genres.select("genre_id", "genre_name"), max_broadcast_rows)
+    g = genres.select("genre_id", "genre_name")
     joined = bridge.select("movie_id", "genre_id").join(f, "movie_id").join(g, "genre_id")
     return (
         joined.groupBy("genre_name")
@@ -70,6 +68,29 @@ def discover_page(
     return ordered.offset((page - 1) * page_size).limit(page_size)
 
 
+def listing_after(
+    items: DataFrame,
+    after: tuple | None = None,
+    page_size: int = PAGE_SIZE,
+    sort_col: str = "popularity",
+    id_col: str = "id",
+) -> DataFrame:
+    """T2 by key: the page that follows the row ``after`` = (sort value, id).
+
+    The boundary is a filter, so a deep page costs as much as the first one
+    (``discover_page`` merges page x page_size rows).
+    """
+    df = listing(items)
+    if after is not None:
+        value, last_id = after
+        s = F.col(sort_col)
+        if value is None:  # NULLs sort last in descending order
+            df = df.filter(s.isNull() & (F.col(id_col) > last_id))
+        else:
+            df = df.filter((s < value) | ((s == value) & (F.col(id_col) > last_id)) | s.isNull())
+    return df.orderBy(F.desc(sort_col), F.asc(id_col)).limit(page_size)
+
+
 def top_k_popular(
     items: DataFrame,
     max_pages: int,

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from reelhouse.functions.expressions import FILL_DEFAULTS, parse_date
 from reelhouse.sources.schemas import STAGING_ITEMS
 
-DISPLAY_COLUMNS = ("backdrop_path", "poster_path", "video", "adult")
+KEY, LISTED = "movie_id", "ingestion_date"
+MEASURES = ("popularity", "vote_average", "vote_count")
 TRIMMED_COLUMNS = ("title", "original_title", "overview")
 
 
@@ -54,32 +55,34 @@ def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def clean_items(raw: DataFrame, dedup: str = "latest") -> DataFrame:
+def clean_items(raw: DataFrame, dedup: str = "latest", columns: Sequence[str] | None = None) -> DataFrame:
     """Raw listing rows -> one typed, trimmed, filled row per item.
 
-    Steps: rename ``id``; parse the date (bad or empty text -> NULL); cast
-    measures with NULL on error; trim titles; drop display columns; drop rows
-    without key; keep the latest row per key; fill NULLs with defaults;
-    derive ``release_year``.
+    One projection onto the staging schema: dates that do not parse and
+    measures that do not cast become NULL, texts are trimmed; rows without
+    key go; the latest row per key stays; NULLs get their defaults.
+    ``columns`` names the staging columns a caller needs: only these (with
+    the key and the listing date) are read, shuffled and returned.
     """
-    df = (
-        raw.withColumnRenamed("id", "movie_id")
-        .withColumn("release_date", parse_date("release_date"))
-        .withColumn("popularity", F.col("popularity").try_cast("double"))
-        .withColumn("vote_average", F.col("vote_average").try_cast("double"))
-        .withColumn("vote_count", F.col("vote_count").try_cast("long"))
-    )
-    for c in TRIMMED_COLUMNS:
-        df = df.withColumn(c, F.trim(c))
-    df = df.drop(*DISPLAY_COLUMNS).filter(F.col("movie_id").isNotNull())
+    kept = [f for f in STAGING_ITEMS.fields if columns is None or f.name in columns or f.name in (KEY, LISTED)]
+    if "release_year" in (f.name for f in kept) and not any(f.name == "release_date" for f in kept):
+        kept.append(STAGING_ITEMS["release_date"])
+    source = {KEY: F.col("id"), "release_date": parse_date("release_date")}
+    for name in TRIMMED_COLUMNS:
+        source[name] = F.trim(name)
+    for name in MEASURES:
+        source[name] = F.col(name).try_cast(STAGING_ITEMS[name].dataType)
+    stored = [f.name for f in kept if f.name != "release_year"]
+    df = raw.where(F.col("id").isNotNull()).select(*[source.get(n, F.col(n)).alias(n) for n in stored])
     if dedup == "latest":
-        df = one_per_key(df, ["movie_id"], order_by=["ingestion_date"], latest=True)
+        df = one_per_key(df, [KEY], order_by=[LISTED], latest=True)
     elif dedup == "any":
-        df = any_per_key(df, ["movie_id"])
+        df = any_per_key(df, [KEY])
     else:
         raise ValueError(f"unknown dedup mode {dedup!r}")
-    df = df.fillna(FILL_DEFAULTS).withColumn("release_year", F.year("release_date"))
-    return df.select(*[f.name for f in STAGING_ITEMS.fields])
+    year = F.year("release_date")
+    df = df.fillna({k: v for k, v in FILL_DEFAULTS.items() if k in stored})
+    return df.select(*[year.alias(f.name) if f.name == "release_year" else F.col(f.name) for f in kept])
 
 
 def clean_lookup(

@@ -1,49 +1,28 @@
-"""Join helpers with a checked broadcast.
+"""Broadcast of sides whose size is known by construction.
 
-A side is broadcast only after its row count is checked against a bound; a
-side above the bound is joined with a plain shuffle join (sort-merge, which
-AQE may still turn into a broadcast or split for skew at run time).
-
-The probed side is persisted (memory and disk) before it is counted, so the
-count and the join read the same computed rows instead of deriving the
-dimension twice; a lost cached block is recomputed from lineage. On
-Parquet-backed dimensions the count is answered from file footers.
+Dimension joins carry no hint and run no job while a query is built: Spark
+broadcasts a side whose statistics are below ``autoBroadcastJoinThreshold``,
+and AQE turns a shuffle join into a broadcast join, or splits its skewed
+partitions, from the bytes it measures at run time.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension below this many rows is broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-# Persisted probes, released with ``release_probes`` once their queries ran.
-_PROBES: list[DataFrame] = []
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    probe = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if probe.count() <= max_rows:
-        _PROBES.append(probe)
-        return F.broadcast(probe)
-    probe.unpersist()
-    return df
+# Largest side that is broadcast by a hint.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def release_probes() -> int:
-    """Unpersist the dimensions kept by ``broadcast_if_small`` (call after
-    the actions that use them, e.g. at the end of a pipeline stage)."""
-    n = len(_PROBES)
-    while _PROBES:
-        _PROBES.pop().unpersist()
-    return n
+def broadcast_bounded(df: DataFrame, n_rows: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a side of a known number of rows (e.g. a calendar of
+    ``n_rows`` days) when its rows at their default widths fit the bound."""
+    width = 8 + sum(_width(f.dataType.simpleString()) for f in df.schema)
+    return F.broadcast(df) if n_rows * width <= max_bytes else df
 
 
-def broadcast_bounded(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side whose row count is known by construction (e.g. a
-    calendar of ``n_rows`` days) without running a job to count it."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+def _width(kind: str) -> int:
+    """Bytes a value is taken to have: fixed types as stored, others as a long text."""
+    fixed = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+    return fixed.get(kind, 8 if kind in ("bigint", "double", "timestamp", "timestamp_ntz") else 64)

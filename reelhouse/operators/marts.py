@@ -80,12 +80,11 @@ def fact_items(metrics: DataFrame) -> DataFrame:
     )
 
 
-def stg_item_genres(item_genres: DataFrame, distinct: bool = False) -> DataFrame:
-    """Pairs with both keys present.
+def stg_item_genres(item_genres: DataFrame, distinct: bool = True) -> DataFrame:
+    """Distinct pairs with both keys present.
 
-    The curated bridge is already unique per pair (see ``item_genres``), so
-    the repeated ``DISTINCT`` (and its shuffle) is off by default; the
-    ``unique_combination`` test asserts the contract instead.
+    Pairs straight from ``item_genres`` are unique by construction;
+    ``distinct=False`` then saves the shuffle.
     """
     pairs = item_genres.select("movie_id", "genre_id").dropna(subset=["movie_id", "genre_id"])
     return pairs.distinct() if distinct else pairs
@@ -143,8 +142,6 @@ def fact_by_calendar(fact: DataFrame, calendar: DataFrame, calendar_rows: int |
     cal = calendar.select("date_id", "year", "quarter")
     if calendar_rows is not None:
         cal = broadcast_bounded(cal, calendar_rows)
-    else:
-        cal = F.broadcast(cal)  # a calendar has one row per day: bounded by its range
     joined = fact.join(cal, fact["release_date_id"] == cal["date_id"], "left")
     return joined.groupBy("year", "quarter").agg(
         F.count(F.lit(1)).alias("n_items"),

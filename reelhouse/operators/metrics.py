@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,7 +74,8 @@ def map_metric_names(
     """M1/M2: add ``metric`` and one column per label.
 
     The first matching rule wins; a name no rule matches passes through with
-    dots replaced by underscores and no labels. The index of the first
+    every other sign than letters, digits and underscores replaced by an
+    underscore, and no labels. The index of the first
     matching rule is found once per row (``coalesce`` stops at the first
     match); the metric name and every label are then read by that index: a
     glob ``*`` is exactly one dot-free segment, so ``$n`` is a segment at a
@@ -87,7 +89,7 @@ def map_metric_names(
     # non-null names is typed non-nullable, so a coalesce fallback would be
     # optimized away although a NULL index yields NULL.
     metric = F.when(rule.isNotNull(), F.element_at(F.array(*[F.lit(r.name) for r in rules]), rule)).otherwise(
-        F.regexp_replace(name, r"\.", "_")
+        F.regexp_replace(name, "[^A-Za-z0-9_]", "_")
     )
     out = [metric.alias("metric")]
     for label in labels:
@@ -106,7 +108,7 @@ def counter_deltas(
     ts: str = "ts",
     value: str = "value",
     tiebreak: Sequence[str] = (),
-    bucket: str = "1 minute",
+    bucket: str = "1 second",
 ) -> DataFrame:
     """Per sample, the increase since the previous sample of its series.
 
@@ -114,10 +116,9 @@ def counter_deltas(
     NULL for the first sample of a series (nothing to compare with).
 
     One window task sorts one (series, bucket) group, so ``bucket`` bounds
-    the work of a task even for a very hot series (1 minute: a scraped
-    series has a handful of samples per bucket; a series carrying a third
-    of 100 TB over a month has about 0.8 GB per bucket). The
-    bucket-level frame has at most one row per series and bucket.
+    the work of a task even for a very hot series or a busy minute of it (a
+    series carrying a third of 100 TB over a month has about 13 MB per second).
+    The bucket-level frame has at most one row per series and bucket.
     """
     series = list(series)
     order = [ts, *tiebreak]
@@ -178,6 +179,12 @@ def rate_per_minute(
     )
 
 
+def trailing_increase(deltas: DataFrame, at: Column, lookback: str = "24 hours", ts: str = "ts") -> DataFrame:
+    """M4: ``sum(increase(counter[lookback]))`` over all series at an instant (one row)."""
+    recent = deltas.filter((F.col(ts) <= at) & (F.col(ts) > at - F.expr(f"INTERVAL {lookback}")))
+    return recent.agg(F.coalesce(F.sum("delta"), F.lit(0.0)).alias("increase"))
+
+
 # --- gauges (M5-M7, M9, M10) -------------------------------------------------
 
 
@@ -200,6 +207,9 @@ def last_and_max(
     )
 
 
+QUANTILE_RANGES = 1_024
+
+
 def quantile(
     samples: DataFrame,
     group: Sequence[str],
@@ -207,16 +217,56 @@ def quantile(
     value: str = "value",
     exact: bool = True,
     accuracy: int = 10_000,
+    ranges: int = QUANTILE_RANGES,
 ) -> DataFrame:
-    """M6: q-quantile per group.
+    """M6: q-quantile per group (linear interpolation), NULL for groups without values.
 
-    ``exact`` uses ``percentile`` (linear interpolation; its buffer is a
-    value -> count map, bounded by the distinct values of a group).
-    ``exact=False`` uses ``percentile_approx`` with fixed-size sketches for
-    unbounded value domains.
+    Exact without gathering a group: rows are counted per (group, value), the
+    values of a group are cut into ``ranges`` equal ranges, the running count
+    of the ranges (a bounded frame per group) tells which ranges hold the two
+    ranks needed, and only values of those ranges are ordered.
+    ``exact=False`` uses ``percentile_approx`` with fixed-size sketches.
     """
-    agg = F.percentile(value, q) if exact else F.percentile_approx(value, q, accuracy)
-    return samples.groupBy(*group).agg(agg.alias(f"p{int(round(q * 100))}"))
+    name = f"p{int(round(q * 100))}"
+    group = list(group)
+    if not exact:
+        return samples.groupBy(*group).agg(F.percentile_approx(value, q, accuracy).alias(name))
+    keys = [f"_g{i}" for i in range(len(group))]
+    cols = [F.col(g).alias(k) for g, k in zip(group, keys)]
+    seen = samples.select(*cols, F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    known = seen.where("_v is not null")
+    # One row per group: the ends of its values and the two ranks around the quantile.
+    pos = (F.col("_all") - 1) * F.lit(float(q))
+    ends = known.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_all"))
+    ends = ends.select(
+        *[F.col(k).alias(f"{k}e") for k in keys], "_lo", "_hi", pos.alias("_pos"), F.floor(pos).alias("_below")
+    )
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}e")) for k in keys], F.lit(True))
+    width = F.col("_hi") - F.col("_lo")
+    at = F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * ranges)).otherwise(0)
+    placed = known.join(ends, same).withColumn("_r", F.coalesce(at, F.lit(0)).cast("long"))
+    per_range = placed.groupBy(*keys, "_r").agg(F.sum("_n").alias("_m"), F.first("_below").alias("_below"))
+    w = Window.partitionBy(*keys).orderBy("_r")
+    per_range = per_range.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
+    needed = per_range.where("_before <= _below + 1 and _before + _m > _below").select(
+        *[F.col(k).alias(f"{k}r") for k in keys], F.col("_r").alias("_rr"), "_before"
+    )
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys], F.col("_r") == F.col("_rr"))
+    inside = Window.partitionBy(*keys, "_r").orderBy("_v")
+    ranked = (
+        placed.join(needed, same)
+        .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
+        .where("_end > _below and _end - _n <= _below + 1")
+    )
+    low = F.min(F.when(F.col("_end") > F.col("_below"), F.col("_v")))
+    high = F.min(F.when(F.col("_end") > F.col("_below") + 1, F.col("_v")))
+    part = F.first("_pos") - F.first("_below")
+    found = ranked.groupBy(*keys).agg((low + (F.coalesce(high, low) - low) * part).alias(name))
+    # Groups that have NULL values only still get their row.
+    rest = seen.groupBy(*keys).agg(F.max("_v").alias("_v")).where("_v is null").select(*keys, F.col("_v").alias(name))
+    return found.unionByName(rest).select(*[F.col(k).alias(g) for k, g in zip(keys, group)], name)
 
 
 def in_range(samples: DataFrame, ts: str, as_of: Column, lookback: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 Each test returns the offending rows, like a test query that must come back
 empty. ``run_suite`` evaluates a list of checks into one
-(test_name, kind, model, column_name, failures, status) frame: the not-null
-and accepted-values checks of one model share a single aggregate over one
-scan; unique/combination checks are one grouped count each; relationship
-checks are anti joins.
+(test_name, kind, model, column_name, failures, status) frame. Per frame it
+makes one grouped pass for the uniqueness of a key and all not-null checks,
+one for all accepted-values checks and one for all relationship checks;
+further keys get a grouped count each.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-
 
 class DataQualityError(RuntimeError):
     """Raised by ``assert_suite`` when at least one test has failures."""
@@ -64,25 +62,12 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     )
 
 
-def relationships(
-    child: DataFrame,
-    fk: str,
-    parent: DataFrame,
-    key: str,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    probe_parent: bool = True,
-) -> DataFrame:
+def relationships(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-NULL ``fk`` has no ``key`` in the parent.
 
-    The NULL filter is needed: a left anti join alone returns NULL keys. A
-    parent below the row bound (a dimension) is broadcast after a count
-    check, so the child is not shuffled; a large parent is a shuffle join.
-    ``probe_parent=False`` skips the check for parents known to be large
-    (a fact table), whose keys would only be counted to be rejected.
+    The NULL filter is needed: a left anti join alone returns NULL keys.
     """
     keys = parent.select(F.col(key).alias("_parent_key")).filter(F.col("_parent_key").isNotNull())
-    if probe_parent:
-        keys = broadcast_if_small(keys, max_broadcast_rows)
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_parent_key"), "left_anti")
 
 
@@ -106,7 +91,6 @@ class Check:
     values: tuple = field(default=())
     parent: str | None = None
     parent_key: str | None = None
-    parent_is_dimension: bool = True
 
     @property
     def column_name(self) -> str:
@@ -118,55 +102,103 @@ class Check:
         return f"{base}__{self.parent}" if self.parent else base
 
 
-def _row(check: Check, failures: Column) -> list[Column]:
-    return [F.lit(check.name).alias("test_name"), failures.cast("long").alias("failures")]
+def _counted(one: DataFrame, found: list[tuple[Check, Column]]) -> DataFrame:
+    """A one-row frame of sums as (test_name, failures) rows; no rows at all count as 0."""
+    rows = [
+        F.struct(F.lit(c.name).alias("test_name"), F.coalesce(n, F.lit(0)).cast("long").alias("failures"))
+        for c, n in found
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def _key_pass(df: DataFrame, key: tuple[str, ...], uniques: list[Check], nulls: list[Check]) -> DataFrame:
+    """One grouped pass: repeated keys, and NULLs of every checked column."""
+    cols = sorted({c.columns[0] for c in nulls})
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in cols if c not in key],
+    )
+    # A single key is NULL-free for uniqueness; a combination groups its NULLs.
+    known = F.col(key[0]).isNotNull() if len(key) == 1 else F.lit(True)
+    one = per_key.agg(
+        F.count_if(known & (F.col("_n") > 1)).alias("_repeated"),
+        *[
+            F.sum(F.when(F.col(c).isNull(), F.col("_n")) if c in key else F.col(f"_null_{c}")).alias(f"_null_{c}")
+            for c in cols
+        ],
+    )
+    found = [(c, F.col("_repeated")) for c in uniques] + [(c, F.col(f"_null_{c.columns[0]}")) for c in nulls]
+    return _counted(one, found)
+
+
+def _null_pass(df: DataFrame, nulls: list[Check]) -> DataFrame:
+    cols = sorted({c.columns[0] for c in nulls})
+    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in cols])
+    return _counted(one, [(c, F.col(f"_null_{c.columns[0]}")) for c in nulls])
+
+
+def _value_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Distinct unaccepted values of all checked columns: one scan that keeps violations only."""
+    bad = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"),
+                F.when(~F.col(c.columns[0]).isin(list(c.values)), F.col(c.columns[0]).cast("string")).alias("v"),
+            )
+            for i, c in enumerate(checks)
+        ]
+    )
+    seen = df.select(F.inline(F.filter(bad, lambda x: x["v"].isNotNull()))).distinct()
+    one = seen.agg(*[F.count_if(F.col("i") == i).alias(f"_v{i}") for i in range(len(checks))])
+    return _counted(one, [(c, F.col(f"_v{i}")) for i, c in enumerate(checks)])
 
 
-def _fused_scan(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null / accepted_values checks of one model in one aggregate."""
-    aggs = []
+def _parent_pass(df: DataFrame, checks: list[Check], models: dict[str, DataFrame]) -> DataFrame:
+    """All foreign keys of a frame in one scan: left joins to the distinct parent keys."""
+    df = df.select(*dict.fromkeys(c.columns[0] for c in checks))
     for i, c in enumerate(checks):
-        col = F.col(c.columns[0])
-        if c.kind == "not_null":
-            aggs.append(F.count_if(col.isNull()).alias(f"_f{i}"))
-        else:  # accepted_values: one failure per distinct unaccepted value
-            aggs.append(F.count_distinct(F.when(~col.isin(list(c.values)), col)).alias(f"_f{i}"))
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(*_row(c, F.col(f"_f{i}"))) for i, c in enumerate(checks)])
-    return one.select(F.inline(rows))
+        keys = models[c.parent].select(F.col(c.parent_key).alias(f"_p{i}")).where(f"_p{i} is not null").distinct()
+        df = df.join(keys, F.col(c.columns[0]) == F.col(f"_p{i}"), "left")
+    one = df.agg(
+        *[
+            F.count_if(F.col(c.columns[0]).isNotNull() & F.col(f"_p{i}").isNull()).alias(f"_f{i}")
+            for i, c in enumerate(checks)
+        ]
+    )
+    return _counted(one, [(c, F.col(f"_f{i}")) for i, c in enumerate(checks)])
 
 
-def run_suite(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q6: one row per check with its failure count and pass/fail status."""
-    parts: list[DataFrame] = []
-    # Models that are the same frame (pass-through views) are tested once;
-    # each declared test still gets its own row.
-    frame_of = {name: id(df) for name, df in models.items()}
-    fused: dict[int, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            fused.setdefault(frame_of[c.model], []).append(c)
-    for group in fused.values():
-        parts.append(_fused_scan(models[group[0].model], group))
-    computed: dict[tuple, DataFrame] = {}
+def run_suite(
+    models: dict[str, DataFrame], checks: Sequence[Check], same_rows: dict[str, str] | None = None
+) -> DataFrame:
+    """Q6: one row per check with its failure count and pass/fail status.
+
+    ``same_rows`` names, for a model that is row for row a projection of
+    another, the model to read instead (it must have the checked columns), so
+    that layers of one row set are tested in the same passes.
+    """
+    kinds = {"unique", "unique_combination", "not_null", "accepted_values", "relationships"}
+    frames: dict[int, tuple[DataFrame, list[Check]]] = {}
     for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            continue
-        sig = (c.kind, c.columns, frame_of[c.model], frame_of.get(c.parent), c.parent_key)
-        if sig not in computed:
-            df = models[c.model]
-            if c.kind == "unique":
-                offending = unique(df, c.columns[0])
-            elif c.kind == "unique_combination":
-                offending = unique_combination(df, c.columns)
-            elif c.kind == "relationships":
-                offending = relationships(
-                    df, c.columns[0], models[c.parent], c.parent_key, probe_parent=c.parent_is_dimension
-                )
-            else:
-                raise ValueError(f"unknown check kind {c.kind!r}")
-            computed[sig] = offending.agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(computed[sig].select(*_row(c, F.col("_n"))))
+        if c.kind not in kinds:
+            raise ValueError(f"unknown check kind {c.kind!r}")
+        df = models[(same_rows or {}).get(c.model, c.model)]
+        frames.setdefault(id(df), (df, []))[1].append(c)
+    parts: list[DataFrame] = []
+    for df, own in frames.values():
+        nulls = [c for c in own if c.kind == "not_null"]
+        keys: dict[tuple[str, ...], list[Check]] = {}
+        for c in own:
+            if c.kind in ("unique", "unique_combination"):
+                keys.setdefault(c.columns, []).append(c)
+        for i, (key, uniques) in enumerate(keys.items()):
+            parts.append(_key_pass(df, key, uniques, [] if i else nulls))
+        if nulls and not keys:
+            parts.append(_null_pass(df, nulls))
+        if values := [c for c in own if c.kind == "accepted_values"]:
+            parts.append(_value_pass(df, values))
+        if parents := [c for c in own if c.kind == "relationships"]:
+            parts.append(_parent_pass(df, parents, models))
     failures = reduce(DataFrame.union, parts)
     # Test metadata is attached once, from a frame of one row per declared
     # test (bounded by the suite, so broadcast), not as literals per part.
@@ -188,7 +220,12 @@ def assert_suite(result: DataFrame) -> None:
     Only the failing rows of the suite result come to the driver: one row
     per failing test, bounded by the number of declared tests.
     """
-    failing = result.filter(F.col("failures") > 0).select("test_name", "failures").collect()
+    raise_on_failures(result.filter(F.col("failures") > 0).select("test_name", "failures").collect())
+
+
+def raise_on_failures(rows: Sequence) -> None:
+    """Q7 over collected suite rows (one per declared test)."""
+    failing = [r for r in rows if r.failures > 0]
     if failing:
         detail = ", ".join(f"{r.test_name}={r.failures}" for r in failing)
         raise DataQualityError(f"{len(failing)} data test(s) failed: {detail}")
@@ -217,10 +254,7 @@ def _nn(model: str, col: str) -> Check:
 
 
 def _rel(model: str, col: str, parent: str, key: str) -> Check:
-    return Check(
-        "relationships", model, (col,), parent=parent, parent_key=key,
-        parent_is_dimension=not parent.startswith("fact_"),
-    )
+    return Check("relationships", model, (col,), parent=parent, parent_key=key)
 
 
 POPULARITY_TIERS = ("high", "medium", "low")
@@ -268,3 +302,12 @@ CATALOGUE_SUITE: list[Check] = [
     _nn("bridge_item_genre", "genre_id"),
     _rel("bridge_item_genre", "genre_id", "dim_genre", "genre_id"),
 ]
+
+# Layers of the in-memory chain that are row for row projections of another.
+CHAIN_SAME_ROWS = {
+    "src_items_enriched": "items_all",
+    "stg_items": "items_all",
+    "item_metrics": "items_all",
+    "fact_items": "items_all",
+    "stg_item_genres": "bridge_item_genre",
+}

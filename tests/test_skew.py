@@ -48,3 +48,45 @@ def test_hot_genre_aggregation_is_exact(spark):
     pairs = items.select("movie_id", F.explode(F.array_distinct("genre_ids")).alias("g"))
     want = {f"g{r.g}": r["count"] for r in pairs.groupBy("g").count().collect()}
     assert top == want
+
+
+def test_quantile_with_a_hot_group_is_exact(spark):
+    """One user holds a third of all samples, with values of its own."""
+    import numpy as np
+
+    from reelhouse.operators import metrics
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("user"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.pow(F.col("id") % 9_973, F.lit(1.5))).alias("value"),
+    ).unionByName(spark.createDataFrame([(None, 3.0), (None, 7.0), (77, None), (78, 1.0)], "user long, value double"))
+    plan = metrics.quantile(df, ["user"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {r[0]: r[1] for r in metrics.quantile(df, ["user"], q).collect()}
+        want = {r[0]: r[1] for r in df.groupBy("user").agg(F.percentile("value", q)).collect()}
+        assert got.keys() == want.keys()
+        for k, v in want.items():
+            assert got[k] == v or np.isclose(got[k], v, rtol=1e-12), (k, q)
+
+
+def test_counter_deltas_split_a_busy_minute(spark):
+    """A third of all samples in one minute of one series."""
+    from reelhouse.operators import metrics
+
+    n = 12_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string"))).alias("s"),
+        F.when(F.col("id") % 3 == 0, F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") * 5))
+        .otherwise(F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") * 700)).alias("ts"),
+        F.col("id"),
+        (F.col("id") % 97).cast("double").alias("value"),
+    )
+    got = metrics.increase(metrics.counter_deltas(df, ["s"], tiebreak=["id"]), ["s"], "30 days")
+    from pyspark.sql.window import Window
+
+    prev = F.lag("value").over(Window.partitionBy("s").orderBy("ts", "id"))
+    plain = df.withColumn("d", F.when(F.col("value") < prev, F.col("value")).otherwise(F.col("value") - prev))
+    want = {r.s: r.d for r in plain.groupBy("s").agg(F.sum("d").alias("d")).collect()}
+    assert {r.s: r.increase for r in got.groupBy("s").agg(F.sum("increase").alias("increase")).collect()} == want
