@@ -13,7 +13,6 @@ import datetime as dt
 
 from reelhouse.operators import quality
 from reelhouse.plans import pipeline
-from reelhouse.plans.catalogue import AS_OF
 from reelhouse.session import get_spark
 
 
@@ -23,8 +22,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--root", required=True, help="lake root (raw/, staging/, curated/ below it)")
     p.add_argument("--date", default=dt.date.today().isoformat(), help="ingestion date YYYY-MM-DD")
     p.add_argument("--src", help="folder of saved pages/ and lookup JSON (ingest)")
-    p.add_argument("--max-pages", type=int, default=500)
-    p.add_argument("--as-of", default=AS_OF, help="reference date of the recent flag")
+    p.add_argument("--max-pages", type=int, help="stop after so many pages (default: all that page 1 announces)")
+    p.add_argument("--records-per-file", type=int, help="rows per raw part file (default: unbounded)")
+    p.add_argument("--as-of", help="reference date of the recent flag (default: today)")
     p.add_argument("--namespace", default="raw")
     p.add_argument("--marts", default="marts")
     a = p.parse_args(argv)
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.stage == "ingest":
         if not a.src:
             p.error("ingest needs --src")
-        print(pipeline.ingest_json(spark, a.src, a.root, a.date, a.max_pages))
+        print(pipeline.ingest_json(spark, a.src, a.root, a.date, a.max_pages, a.records_per_file))
     elif a.stage == "staging":
         print(pipeline.run_staging(spark, a.root, a.date))
     elif a.stage == "curated":
@@ -43,9 +43,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.stage == "models":
         print(pipeline.run_models(spark, a.namespace, a.marts, a.as_of))
     elif a.stage == "test":
-        result = pipeline.run_tests(spark, a.namespace, a.marts, a.as_of)
-        result.orderBy("test_name").show(100, truncate=False)
-        quality.assert_suite(result)
+        rows = pipeline.run_tests(spark, a.namespace, a.marts, a.as_of).orderBy("test_name").collect()
+        for r in rows:  # one row per declared test
+            print(r.test_name, r.failures, r.status)
+        quality.raise_on_failures(rows)
     else:
         pipeline.run_pipeline(spark, a.root, a.date, a.as_of, a.namespace, a.marts).show(truncate=False)
 

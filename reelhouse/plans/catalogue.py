@@ -1,27 +1,21 @@
 """The catalogue's layers as one lazy chain of DataFrames.
 
 ``Catalogue`` wires staging -> curated -> marts from any raw inputs. Each
-layer is built on first access only, so a query pays for (and size-checks
-the broadcasts of) just the layers it reads, and Catalyst optimizes the
-chain it does read as one plan.
+layer is built on first access only, building runs no job, and Catalyst
+optimizes the chain a query does read as one plan.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelhouse.functions.expressions import date_key
 from reelhouse.operators import clean, enrich, marts
 from reelhouse.plans import fixtures
-from reelhouse.session import ensure_checkpoint_dir
-
-# Fixed reference date for the recent flag, so results do not drift with
-# the clock.
-AS_OF = "2001-01-01"
+from reelhouse.session import scratch_path
 
 DIM_COLUMNS = {
     "dim_genre": ["genre_id", "genre_name"],
@@ -39,15 +33,31 @@ class Raw:
 
 
 class Catalogue:
-    """Layers of one run; ``raw`` frames in, every model as an attribute."""
+    """Layers of one run; ``raw`` frames in, every model as an attribute.
+
+    ``as_of`` is the reference date of the recent flag (None: today).
+    ``item_columns`` limits the cleaned items to the columns a caller needs.
+    """
 
-    def __init__(self, spark: SparkSession, raw: Raw, as_of: str = AS_OF):
+    def __init__(
+        self, spark: SparkSession, raw: Raw, as_of: str | None = None, item_columns: tuple[str, ...] | None = None
+    ):
         self.spark = spark
         self.raw = raw
         self.as_of = as_of
+        self.item_columns = item_columns
+        self.loaded: set[str] = set()  # layers that come from tables
+
+    def use(self, name: str, frame: DataFrame, loaded: bool = True) -> None:
+        """Set a layer to a stored frame instead of deriving it."""
+        self.__dict__[name] = frame
+        if loaded:
+            self.loaded.add(name)
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Catalogue:
+    def from_tables(
+        cls, spark: SparkSession, sf_dir: str, as_of: str | None = None, item_columns: tuple[str, ...] | None = None
+    ) -> Catalogue:
         """Raw inputs derived from the driver's tables (see ``fixtures``)."""
         return cls(
             spark,
@@ -58,12 +68,13 @@ class Catalogue:
                 languages=fixtures.raw_languages(spark, sf_dir),
             ),
             as_of,
+            item_columns,
         )
 
     # --- staging (C3) -------------------------------------------------------------
     @cached_property
     def stg_items_clean(self) -> DataFrame:
-        return clean.clean_items(self.raw.items)
+        return clean.clean_items(self.raw.items, columns=self.item_columns)
 
     @cached_property
     def stg_genres_clean(self) -> DataFrame:
@@ -120,9 +131,16 @@ class Catalogue:
     def fact_items(self) -> DataFrame:
         return marts.fact_items(self.item_metrics)
 
+    @cached_property
+    def items_all(self) -> DataFrame:
+        """Every column of the item layers, row for row (for the data tests)."""
+        return self.item_metrics.withColumn("release_date_id", date_key("release_date"))
+
     @cached_property
     def stg_item_genres(self) -> DataFrame:
-        return marts.stg_item_genres(self.movie_genres)
+        # The pairs of a chain built here are unique by construction; loaded
+        # tables (see ``pipeline.warehouse_catalogue``) promise nothing.
+        return marts.stg_item_genres(self.movie_genres, distinct="movie_genres" in self.loaded)
 
     @cached_property
     def bridge_item_genre(self) -> DataFrame:
@@ -170,7 +188,7 @@ class Catalogue:
             self.model(n).createOrReplaceTempView(n)
         return list(names)
 
-    def materialize(self, *names: str, bucket_by: str | None = None, buckets: int | None = None) -> None:
+    def materialize(self, *names: str) -> None:
         """Compute the named layers once and cut their lineage.
 
         Each layer is written as Parquet under the shared
@@ -178,30 +196,9 @@ class Catalogue:
         stored rows (columnar, with pruning and pushdown) and a lost
         executor does not recompute the chain. Layers are materialized in
         the given order, so later ones build on earlier stored ones.
-
-        With ``bucket_by`` the layer is stored as a bucketed table (an
-        external table over the same folder): joins and aggregations of
-        models derived from it on that key then need no shuffle.
+        ``session.release_scratch`` deletes the files.
         """
-        root = os.path.join(ensure_checkpoint_dir(self.spark), f"layers-{uuid.uuid4().hex}")
         for name in names:
-            path = os.path.join(root, name)
-            frame = getattr(self, name)
-            if bucket_by is None:
-                frame.write.mode("overwrite").parquet(path)
-                self.__dict__[name] = self.spark.read.parquet(path)
-                continue
-            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            table = f"layer_{name}_{uuid.uuid4().hex[:12]}"
-            # Hash-partitioning by the key first gives one file per bucket
-            # (bucketing uses the same hash); when the frame is already
-            # partitioned on the key (e.g. after a dedup) this adds no shuffle.
-            (
-                frame.repartition(n, bucket_by)
-                .write.mode("overwrite")
-                .format("parquet")
-                .bucketBy(n, bucket_by)
-                .option("path", path)
-                .saveAsTable(table)
-            )
-            self.__dict__[name] = self.spark.table(table)
+            path = scratch_path(self.spark, f"layer-{name}")
+            getattr(self, name).write.mode("overwrite").parquet(path)
+            self.__dict__[name] = self.spark.read.parquet(path)

@@ -40,6 +40,29 @@ LANGUAGE_NAMES = (
 UNDATED_PRIORITY = "4-NOT SPECIFIED"
 # Counter samples wrap around at this value.
 COUNTER_WRAP = 1000
+# Further metric names, by event_id modulo their number: one per mapping rule,
+# and names that no rule matches.
+SYSTEM_NAMES = (
+    "airflow.dagrun.duration.success.my-dag",
+    "airflow.dagrun.duration.failed.my-dag",
+    "airflow.dag.my-dag.load.duration",
+    "airflow.ti.finish.my-dag.load.skipped",
+    "airflow.ti.start.my-dag.load",
+    "airflow.dagrun.dependency-check.my-dag",
+    "airflow.dagrun_succeeded",
+    "airflow.dagrun_failed",
+    "airflow.ti_successes",
+    "airflow.ti_failures",
+    "airflow.scheduler_heartbeat",
+    "airflow.scheduler.tasks.running",
+    "airflow.scheduler.tasks.executable",
+    "airflow.executor.open_slots",
+    "airflow.executor.running_tasks",
+    "airflow.executor.queued_tasks",
+    "airflow.zombies",
+    "airflow.pool.open-slots.default pool",
+    "statsd.my-dag:x",
+)
 # Task labels: task_<user_id % 10> in the pipeline "catalogue".
 METRIC_DAG = "catalogue"
 TASK_LABELS = 10
@@ -178,8 +201,8 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dotted metric names emitted by events, three per event: the specific
-    name, a one-segment name and a two-segment name."""
+    """Dotted metric names emitted by events, four per event: the specific
+    name, a one-segment name, a two-segment name and one of SYSTEM_NAMES."""
     ev = event_samples(spark, sf_dir)
     task = F.concat(F.lit("task_"), (F.col("user_id") % TASK_LABELS).cast("string"))
     t = F.col("event_type")
@@ -191,5 +214,8 @@ def metric_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(t == "signup", F.lit("airflow.scheduler_heartbeat"))
         .otherwise(F.concat(F.lit("airflow."), t))
     )
-    names = F.array(specific, F.concat(F.lit("airflow."), t), F.concat(F.lit("airflow."), t, F.lit(".total")))
+    system = F.element_at(
+        F.array(*[F.lit(n) for n in SYSTEM_NAMES]), (F.col("event_id") % len(SYSTEM_NAMES) + 1).cast("int")
+    )
+    names = F.array(specific, F.concat(F.lit("airflow."), t), F.concat(F.lit("airflow."), t, F.lit(".total")), system)
     return ev.select("event_id", "ts", "value", F.explode(names).alias("name"))

@@ -1,14 +1,12 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
 Written as plain SQL over the driver's views, independent of the Spark code
-path, so the two engines check each other.
+path: rules, thresholds and declared tests are stated here again, so the two
+engines check each other.
 """
 
 from __future__ import annotations
 
-from reelhouse.operators import metrics
-from reelhouse.operators.quality import CATALOGUE_SUITE, Check
-
 RAW = """
 li AS (
   SELECT l_orderkey, list(DISTINCT l_partkey % 19) AS genre_ids, count(*) AS n, sum(l_quantity) AS q
@@ -175,23 +173,53 @@ ev_names AS (
       WHEN 'signup' THEN 'airflow.scheduler_heartbeat'
       ELSE 'airflow.' || event_type END,
     'airflow.' || event_type,
-    'airflow.' || event_type || '.total']) AS name
+    'airflow.' || event_type || '.total',
+    CASE event_id % 19
+      WHEN 0 THEN 'airflow.dagrun.duration.success.my-dag' WHEN 1 THEN 'airflow.dagrun.duration.failed.my-dag'
+      WHEN 2 THEN 'airflow.dag.my-dag.load.duration' WHEN 3 THEN 'airflow.ti.finish.my-dag.load.skipped'
+      WHEN 4 THEN 'airflow.ti.start.my-dag.load' WHEN 5 THEN 'airflow.dagrun.dependency-check.my-dag'
+      WHEN 6 THEN 'airflow.dagrun_succeeded' WHEN 7 THEN 'airflow.dagrun_failed'
+      WHEN 8 THEN 'airflow.ti_successes' WHEN 9 THEN 'airflow.ti_failures'
+      WHEN 10 THEN 'airflow.scheduler_heartbeat' WHEN 11 THEN 'airflow.scheduler.tasks.running'
+      WHEN 12 THEN 'airflow.scheduler.tasks.executable' WHEN 13 THEN 'airflow.executor.open_slots'
+      WHEN 14 THEN 'airflow.executor.running_tasks' WHEN 15 THEN 'airflow.executor.queued_tasks'
+      WHEN 16 THEN 'airflow.zombies' WHEN 17 THEN 'airflow.pool.open-slots.default pool'
+      ELSE 'statsd.my-dag:x' END]) AS name
   FROM events)"""
 
 
-def mapping_sql() -> str:
-    """The ordered mapping rules as CASE chains (first match wins)."""
-    rules = metrics.MAPPING_RULES
-    whens = " ".join(f"WHEN regexp_full_match(name, '{r.regex}') THEN '{r.name}'" for r in rules)
-    cols = [f"CASE {whens} ELSE replace(name, '.', '_') END AS metric"]
-    for label in metrics.MAPPED_LABELS:
-        parts = []
-        for r in rules:
-            ref = r.labels.get(label)
-            val = f"regexp_extract(name, '{r.regex}', {int(ref[1:])})" if ref else "CAST(NULL AS VARCHAR)"
-            parts.append(f"WHEN regexp_full_match(name, '{r.regex}') THEN {val}")
-        cols.append(f"CASE {' '.join(parts)} END AS {label}")
-    return f"mapped AS (SELECT *, {', '.join(cols)} FROM ev_names)"
+# First match wins; a name that none matches keeps its letters, digits and underscores.
+MAPPED = r"""
+segs AS (SELECT *, string_split(name, '.') AS s FROM ev_names),
+ruled AS (
+  SELECT *, CASE
+    WHEN len(s) = 5 AND name LIKE 'airflow.dagrun.duration.success.%' THEN 'dag_success'
+    WHEN len(s) = 5 AND name LIKE 'airflow.dagrun.duration.failed.%' THEN 'dag_failed'
+    WHEN len(s) = 5 AND name LIKE 'airflow.dag.%.duration' THEN 'task_duration'
+    WHEN len(s) = 6 AND name LIKE 'airflow.ti.finish.%' THEN 'finish'
+    WHEN len(s) = 5 AND name LIKE 'airflow.ti.start.%' THEN 'start'
+    WHEN len(s) = 4 AND name LIKE 'airflow.dagrun.dependency-check.%' THEN 'dependency'
+    WHEN name IN ('airflow.dagrun_succeeded', 'airflow.dagrun_failed', 'airflow.ti_successes', 'airflow.ti_failures')
+      THEN 'total'
+    WHEN name IN ('airflow.scheduler_heartbeat', 'airflow.scheduler.tasks.running',
+                  'airflow.scheduler.tasks.executable', 'airflow.executor.open_slots',
+                  'airflow.executor.running_tasks', 'airflow.executor.queued_tasks') THEN 'gauge'
+    WHEN len(s) = 2 AND s[1] = 'airflow' THEN 'rest' END AS rule
+  FROM segs),
+mapped AS (
+  SELECT event_id, ts, value, name,
+    CASE rule WHEN 'dag_success' THEN 'airflow_dagrun_duration_success_seconds'
+      WHEN 'dag_failed' THEN 'airflow_dagrun_duration_failed_seconds'
+      WHEN 'task_duration' THEN 'airflow_task_duration_seconds' WHEN 'finish' THEN 'airflow_ti_finish_total'
+      WHEN 'start' THEN 'airflow_ti_start_total' WHEN 'dependency' THEN 'airflow_dagrun_dependency_check_seconds'
+      WHEN 'total' THEN replace(name, '.', '_') || '_total' WHEN 'rest' THEN 'airflow_unmapped'
+      ELSE regexp_replace(name, '[^A-Za-z0-9_]', '_', 'g') END AS metric,
+    CASE WHEN rule IN ('dag_success', 'dag_failed') THEN s[5] WHEN rule = 'task_duration' THEN s[3]
+      WHEN rule IN ('finish', 'start', 'dependency') THEN s[4] END AS dag_id,
+    CASE WHEN rule = 'task_duration' THEN s[4] WHEN rule IN ('finish', 'start') THEN s[5] END AS task_id,
+    CASE WHEN rule = 'finish' THEN s[6] END AS state,
+    CASE WHEN rule = 'rest' THEN s[2] END AS raw_metric
+  FROM ruled)"""
 
 
 def with_(*ctes: str) -> str:
@@ -200,48 +228,106 @@ def with_(*ctes: str) -> str:
 
 # --- data-quality suite ------------------------------------------------------------
 
-SUITE_MODELS = {
-    "src_items_enriched": "items_enriched",
-    "src_dim_genre": "dim_genre",
-    "src_dim_country": "dim_country",
-    "src_dim_language": "dim_language",
-    "src_item_genres": "item_genres",
-}
+# The declared tests: kind, model, its columns, then values, or parent and key.
+# Models with another name in the SQL above are given as model=table.
+SUITE = """
+unique src_items_enriched=items_enriched movie_id
+not_null src_items_enriched=items_enriched movie_id
+unique src_dim_genre=dim_genre genre_id
+not_null src_dim_genre=dim_genre genre_id
+not_null src_dim_genre=dim_genre genre_name
+unique src_dim_country=dim_country country_code
+not_null src_dim_country=dim_country country_code
+unique src_dim_language=dim_language language_code
+not_null src_dim_language=dim_language language_code
+not_null src_item_genres=item_genres movie_id
+not_null src_item_genres=item_genres genre_id
+unique stg_items movie_id
+not_null stg_items movie_id
+accepted_values stg_items popularity_tier high,medium,low
+accepted_values stg_items vote_tier excellent,good,average,poor
+unique stg_genres genre_id
+not_null stg_genres genre_id
+not_null stg_genres genre_name
+unique stg_countries country_code
+not_null stg_countries country_code
+unique stg_languages language_code
+not_null stg_languages language_code
+unique_combination stg_item_genres movie_id,genre_id
+not_null stg_item_genres movie_id
+not_null stg_item_genres genre_id
+unique item_metrics movie_id
+not_null item_metrics movie_id
+not_null item_metrics composite_score
+unique dim_genre genre_id
+not_null dim_genre genre_id
+not_null dim_genre genre_name
+unique dim_country country_code
+not_null dim_country country_code
+unique dim_language language_code
+not_null dim_language language_code
+unique dim_date date_id
+not_null dim_date date_id
+unique dim_date date_day
+not_null dim_date date_day
+not_null dim_date year
+unique fact_items movie_id
+not_null fact_items movie_id
+relationships fact_items release_date_id dim_date date_id
+relationships fact_items language_code dim_language language_code
+not_null fact_items popularity
+not_null fact_items vote_average
+unique_combination bridge_item_genre movie_id,genre_id
+not_null bridge_item_genre movie_id
+relationships bridge_item_genre movie_id fact_items movie_id
+not_null bridge_item_genre genre_id
+relationships bridge_item_genre genre_id dim_genre genre_id
+"""
+
+DIRTY = """
+unique raw_items id
+unique raw_languages iso_639_1
+not_null raw_items original_language
+not_null raw_items id
+accepted_values raw_items original_language en,fr,de
+accepted_values raw_items overview ^O^
+unique_combination raw_items id,vote_count
+relationships raw_items original_language raw_languages iso_639_1
+relationships raw_items vote_count raw_countries code
+"""
 
 
-def _check_sql(c: Check) -> str:
-    t = SUITE_MODELS.get(c.model, c.model)
-    col = c.columns[0]
-    if c.kind == "not_null":
+def _check_sql(line: str) -> str:
+    kind, model, columns, *rest = line.split(" ")
+    model, _, t = model.partition("=")
+    t = t or model
+    col = columns.split(",")[0]
+    name = f"{kind}_{model}_{columns.replace(',', '_')}"
+    if kind == "not_null":
         failures = f"(SELECT count(*) FROM {t} WHERE {col} IS NULL)"
-    elif c.kind == "accepted_values":
-        vals = ", ".join(f"'{v}'" for v in c.values)
+    elif kind == "accepted_values":
+        vals = ", ".join(f"'{v.replace('^', ' ')}'" for v in rest[0].split(","))
         failures = f"(SELECT count(DISTINCT {col}) FROM {t} WHERE {col} NOT IN ({vals}))"
-    elif c.kind == "unique":
-        failures = (
-            f"(SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
-            f"GROUP BY {col} HAVING count(*) > 1) x)"
-        )
-    elif c.kind == "unique_combination":
-        cols = ", ".join(c.columns)
-        failures = f"(SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x)"
-    else:
-        p = SUITE_MODELS.get(c.parent, c.parent)
+    elif kind == "relationships":
+        parent, key = rest
+        name += f"__{parent}"
         failures = (
             f"(SELECT count(*) FROM {t} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {p} pp WHERE pp.{c.parent_key} = c.{col}))"
+            f"(SELECT 1 FROM {parent} pp WHERE pp.{key} = c.{col}))"
         )
+    else:
+        known = f"WHERE {col} IS NOT NULL " if kind == "unique" else ""
+        failures = f"(SELECT count(*) FROM (SELECT 1 FROM {t} {known}GROUP BY {columns} HAVING count(*) > 1) x)"
     return (
-        f"SELECT '{c.name}' AS test_name, '{c.kind}' AS kind, '{c.model}' AS model, "
-        f"'{c.column_name}' AS column_name, CAST({failures} AS BIGINT) AS failures"
+        f"SELECT '{name}' AS test_name, '{kind}' AS kind, '{model}' AS model, "
+        f"'{columns}' AS column_name, CAST({failures} AS BIGINT) AS failures"
     )
 
 
-def suite_sql() -> str:
-    body = "\n  UNION ALL ".join(_check_sql(c) for c in CATALOGUE_SUITE)
-    return (
-        with_(PIPELINE, f"\nsuite AS ({body})")
-        + "\nSELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM suite"
+def suite_sql(ctes: str, lines: str) -> str:
+    body = "\n  UNION ALL ".join(map(_check_sql, lines.strip().split("\n")))
+    return with_(ctes, f"\nsuite AS ({body})") + (
+        "\nSELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM suite"
     )
 
 
@@ -253,6 +339,36 @@ ORACLE: dict[str, str] = {
 SELECT id, title, original_language, {GENRE_LIST} AS genre_list, popularity, release_date, vote_average,
        vote_count, adult, video, ingestion_date
 FROM raw_items WHERE ingestion_date = '2024-01-02'""",
+    "lake_roundtrip": with_(RAW)
+    + f"""
+SELECT id, title, original_language, {GENRE_LIST} AS genre_list, popularity, release_date, vote_average,
+       vote_count, adult, video, ingestion_date
+FROM raw_items WHERE ingestion_date = '2024-01-02'""",
+    "lake_rerun_empty": with_(RAW)
+    + """
+SELECT '2024-01-01' AS ingestion_date, count(*) AS n_rows FROM raw_items WHERE ingestion_date = '2024-01-01'
+UNION ALL SELECT '2024-01-02', 0""",
+    "pages_landed": with_(RAW)
+    + f"""
+SELECT id, title, {GENRE_LIST} AS genre_list, popularity, release_date, vote_count
+FROM raw_items WHERE ingestion_date = '2024-01-01'""",
+    "load_counts": with_(PIPELINE)
+    + """
+SELECT dataset, n_rows, n_rows AS n_table, 'success' AS status FROM (
+  SELECT 'dim_genre' AS dataset, count(*) AS n_rows FROM dim_genre
+  UNION ALL SELECT 'dim_country', count(*) FROM dim_country
+  UNION ALL SELECT 'dim_language', count(*) FROM dim_language
+  UNION ALL SELECT 'movies_enriched', count(*) FROM items_enriched
+  UNION ALL SELECT 'movie_genres', count(*) FROM item_genres) t""",
+    "listing_after": with_(RAW)
+    + """
+SELECT id, title, popularity, release_date FROM raw_items
+WHERE ingestion_date = '2024-01-01' AND NOT coalesce(adult, false) AND NOT coalesce(video, false)
+ORDER BY popularity DESC, id LIMIT 20 OFFSET 40""",
+    "metric_increase_total": with_(COUNTER)
+    + """
+SELECT coalesce(sum(delta), 0.0) AS increase FROM deltas
+WHERE ts > (SELECT max(ts) FROM samples) - INTERVAL 24 HOUR""",
     "stamp_date": "SELECT *, '2024-01-01' AS ingestion_date FROM nation",
     "clean_items": with_(RAW, CLEAN)
     + f"""
@@ -302,6 +418,8 @@ FROM orders""",
     + """
 SELECT 'raw_items' AS table_name, count(*) AS n_rows FROM raw_items
 UNION ALL SELECT 'stg_items', count(*) FROM clean_items
+UNION ALL SELECT 'movies_enriched', count(*) FROM items_enriched
+UNION ALL SELECT 'movie_genres', count(*) FROM item_genres
 UNION ALL SELECT 'fact_items', count(*) FROM fact_items
 UNION ALL SELECT 'bridge_item_genre', count(*) FROM bridge_item_genre
 UNION ALL SELECT 'dim_genre', count(*) FROM dim_genre
@@ -348,8 +466,12 @@ WHERE original_language NOT IN ('en', 'fr', 'de') GROUP BY original_language""",
 SELECT f.movie_id, f.language_code FROM fact_items f
 WHERE f.language_code IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM dim_language d WHERE d.language_code = f.language_code)""",
-    "dq_suite": suite_sql(),
-    "metric_mapping": with_(metric_names_sql(), mapping_sql())
+    "dq_suite": suite_sql(PIPELINE, SUITE),
+    "dq_suite_dirty": suite_sql(
+        ",".join([RAW, LOOKUPS.replace("lpad(CAST(n_nationkey AS VARCHAR), 2, '0')", "n_nationkey AS code, lpad(CAST(n_nationkey AS VARCHAR), 2, '0')")]),
+        DIRTY,
+    ),
+    "metric_mapping": with_(metric_names_sql(), MAPPED)
     + """
 SELECT metric, dag_id, task_id, state, raw_metric, count(*) AS n_samples FROM mapped
 GROUP BY metric, dag_id, task_id, state, raw_metric""",
@@ -384,7 +506,7 @@ stepped AS (
 SELECT event_type, step_start, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type, step_start ORDER BY ts DESC, event_id DESC) AS rn
   FROM stepped) t WHERE rn = 1""",
-    "metric_by_state": with_(metric_names_sql(), mapping_sql())
+    "metric_by_state": with_(metric_names_sql(), MAPPED)
     + """
 SELECT dag_id, task_id, state, count(*) AS n_samples FROM mapped
 WHERE metric = 'airflow_ti_finish_total' GROUP BY dag_id, task_id, state""",

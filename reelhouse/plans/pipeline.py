@@ -3,9 +3,9 @@
 raw (lake) -> staging (lake) -> curated (lake) -> warehouse tables ->
 marts tables -> data tests. Each layer is written before the next one reads
 it: the written Parquet is the durable boundary that cuts lineage, so a lost
-executor costs at most the current layer. Partition writes are dynamic
-overwrites and table writes are replacements, so re-running a date gives the
-same result (K16).
+executor costs at most the current layer. A partition write replaces its
+date, a table write the table, and the run log the rows of its date, so
+re-running a date gives the same result (K16).
 """
 
 from __future__ import annotations
@@ -17,14 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelhouse.operators import clean, quality
-from reelhouse.operators.joins import release_probes
-from reelhouse.plans.catalogue import AS_OF, Catalogue, Raw
+from reelhouse.plans.catalogue import Catalogue, Raw
 from reelhouse.sources import io, schemas
 from reelhouse.sources.load import load_table
 
-# Part files of the raw listing hold 100 pages of 20 rows.
-RAW_RECORDS_PER_FILE = 2000
-
 MART_SCHEMAS = {
     "fact_items": schemas.FACT_ITEMS,
     "bridge_item_genre": schemas.BRIDGE_ITEM_GENRE,
@@ -35,42 +31,56 @@ MART_SCHEMAS = {
 }
 
 
-def land_raw(spark: SparkSession, root: str, raw: Raw, ingestion_date: str) -> dict[str, int]:
-    """K1-K3: write raw frames as the date partition of the raw layer."""
+def land_raw(
+    spark: SparkSession, root: str, raw: Raw, ingestion_date: str, records_per_file: int | None = None
+) -> dict[str, int]:
+    """K1-K3: write raw frames as the date partition of the raw layer.
+
+    ``records_per_file`` bounds the part files of the listing (the demo's
+    files hold 2,000 rows); unset, files are as large as their tasks."""
     frames = {"movies": raw.items, "genres": raw.genres, "countries": raw.countries, "languages": raw.languages}
     out = {}
     for name, df in frames.items():
         stamped = io.stamp_date(df.drop(io.PARTITION_COL) if io.PARTITION_COL in df.columns else df, ingestion_date)
-        per_file = RAW_RECORDS_PER_FILE if name == "movies" else None
-        out[name] = io.write_partition(stamped, root, "raw", name, per_file)
+        per_file = records_per_file if name == "movies" else None
+        out[name] = io.write_partition(stamped, root, "raw", name, ingestion_date, per_file)
     return out
 
 
-def ingest_json(spark: SparkSession, src: str, root: str, ingestion_date: str, max_pages: int = 500) -> dict[str, int]:
+def ingest_json(
+    spark: SparkSession,
+    src: str,
+    root: str,
+    ingestion_date: str,
+    max_pages: int | None = None,
+    records_per_file: int | None = None,
+) -> dict[str, int]:
     """Extract stage re-aimed (S3-S6, K1-K3): saved listing pages and lookup
     documents -> raw date partitions.
 
     ``src/pages/`` holds one JSON document per listing page (pages past
-    page 1's ``total_pages`` or ``max_pages`` are ignored); ``genres.json`` is
+    page 1's ``total_pages``, or ``max_pages`` when given, are ignored); ``genres.json`` is
     wrapped (``{"genres": [...]}``); ``countries.json`` and ``languages.json``
     are top-level arrays.
     """
     def lookup_schema(raw_schema):
         return StructType([f for f in raw_schema.fields if f.name != io.PARTITION_COL])
 
-    items = io.read_pages(spark, f"{src}/pages", max_pages, schemas.PAGE_DOCUMENT)
+    items = io.read_pages(spark, f"{src}/pages", schemas.PAGE_DOCUMENT, max_pages)
     raw = Raw(
         items=items,
         genres=io.read_wrapped_lookup(spark, f"{src}/genres.json", "genres", lookup_schema(schemas.RAW_GENRES)),
         countries=io.read_array_lookup(spark, f"{src}/countries.json", lookup_schema(schemas.RAW_COUNTRIES)),
         languages=io.read_array_lookup(spark, f"{src}/languages.json", lookup_schema(schemas.RAW_LANGUAGES)),
     )
-    return land_raw(spark, root, raw, ingestion_date)
+    return land_raw(spark, root, raw, ingestion_date, records_per_file)
+
+
+LOG_SCHEMA = "layer string, dataset string, n_rows long, status string"
 
 
 def _summary(spark: SparkSession, layer: str, counts: dict[str, int]) -> DataFrame:
-    rows = [(layer, k, int(v), "success") for k, v in counts.items()]
-    return spark.createDataFrame(rows, "layer string, dataset string, n_rows long, status string")
+    return spark.createDataFrame([(layer, k, int(v), "success") for k, v in counts.items()], LOG_SCHEMA)
 
 
 def run_staging(spark: SparkSession, root: str, ingestion_date: str) -> dict[str, int]:
@@ -83,18 +93,18 @@ def run_staging(spark: SparkSession, root: str, ingestion_date: str) -> dict[str
     )
     cat = Catalogue(spark, raw)
     items, seen_raw, seen_clean = clean.observed_cleaning(raw.items)
-    n_items = io.write_partition(items, root, "staging", "movies")
+    n_items = io.write_partition(items, root, "staging", "movies", ingestion_date)
     return {
         "movies": n_items,
         "movies_raw": int(seen_raw.get["n"]),
         "movies_rejected": int(seen_raw.get["n"]) - int(seen_clean.get["n"]),
-        "genres": io.write_partition(cat.stg_genres_clean, root, "staging", "genres"),
-        "countries": io.write_partition(cat.stg_countries_clean, root, "staging", "countries"),
-        "languages": io.write_partition(cat.stg_languages_clean, root, "staging", "languages"),
+        "genres": io.write_partition(cat.stg_genres_clean, root, "staging", "genres", ingestion_date),
+        "countries": io.write_partition(cat.stg_countries_clean, root, "staging", "countries", ingestion_date),
+        "languages": io.write_partition(cat.stg_languages_clean, root, "staging", "languages", ingestion_date),
     }
 
 
-def _staging_catalogue(spark: SparkSession, root: str, ingestion_date: str, as_of: str) -> Catalogue:
+def _staging_catalogue(spark: SparkSession, root: str, ingestion_date: str, as_of: str | None) -> Catalogue:
     """A catalogue whose staging layers are the written staging partitions."""
     cat = Catalogue(spark, Raw(None, None, None, None), as_of)  # type: ignore[arg-type]
     reads = {
@@ -105,17 +115,17 @@ def _staging_catalogue(spark: SparkSession, root: str, ingestion_date: str, as_o
     }
     for attr, (dataset, schema) in reads.items():
         df = io.read_partition(spark, root, "staging", dataset, ingestion_date, schema)
-        cat.__dict__[attr] = df.select(*[f.name for f in schema.fields])
+        cat.use(attr, df.select(*[f.name for f in schema.fields]), loaded=False)
     return cat
 
 
-def run_curated(spark: SparkSession, root: str, ingestion_date: str, as_of: str = AS_OF) -> dict[str, int]:
+def run_curated(spark: SparkSession, root: str, ingestion_date: str, as_of: str | None = None) -> dict[str, int]:
     """Staging partitions -> five curated partitions."""
     cat = _staging_catalogue(spark, root, ingestion_date, as_of)
     out = {}
     for name, df in cat.curated().items():
         stamped = io.stamp_date(df.drop(io.PARTITION_COL) if io.PARTITION_COL in df.columns else df, ingestion_date)
-        out[name] = io.write_partition(stamped, root, "curated", name)
+        out[name] = io.write_partition(stamped, root, "curated", name, ingestion_date)
     return out
 
 
@@ -129,7 +139,7 @@ def run_load(spark: SparkSession, root: str, ingestion_date: str, namespace: str
     return out
 
 
-def warehouse_catalogue(spark: SparkSession, namespace: str = "raw", as_of: str = AS_OF) -> Catalogue:
+def warehouse_catalogue(spark: SparkSession, namespace: str = "raw", as_of: str | None = None) -> Catalogue:
     """A catalogue whose curated layers are the loaded warehouse tables."""
     cat = Catalogue(spark, Raw(None, None, None, None), as_of)  # type: ignore[arg-type]
     for attr, table in {
@@ -139,12 +149,12 @@ def warehouse_catalogue(spark: SparkSession, namespace: str = "raw", as_of: str
         "movies_enriched": "movies_enriched",
         "movie_genres": "movie_genres",
     }.items():
-        cat.__dict__[attr] = spark.table(io.qualified_name(namespace, table))
+        cat.use(attr, spark.table(io.qualified_name(namespace, table)))
     return cat
 
 
 def run_models(
-    spark: SparkSession, namespace: str = "raw", marts_ns: str = "marts", as_of: str = AS_OF
+    spark: SparkSession, namespace: str = "raw", marts_ns: str = "marts", as_of: str | None = None
 ) -> dict[str, int]:
     """Staging views + intermediate model stay lazy; marts are tables."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {marts_ns}")
@@ -162,7 +172,7 @@ def run_tests(
     spark: SparkSession,
     namespace: str = "raw",
     marts_ns: str | None = "marts",
-    as_of: str = AS_OF,
+    as_of: str | None = None,
     checks=None,
 ) -> DataFrame:
     """Q6 over the loaded sources, the lazy staging views and the marts.
@@ -173,44 +183,68 @@ def run_tests(
     cat = warehouse_catalogue(spark, namespace, as_of)
     if marts_ns is not None:
         for name in MART_SCHEMAS:
-            cat.__dict__[name] = spark.table(io.qualified_name(marts_ns, name))
+            cat.use(name, spark.table(io.qualified_name(marts_ns, name)))
     names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent})
     return quality.run_suite(cat.models(names), checks)
 
 
-def append_run_log(spark: SparkSession, summary: DataFrame, ingestion_date: str, table: str = "run_log") -> None:
-    """Append this run's counts to the run log table."""
-    summary.select(F.lit(ingestion_date).alias("run_date"), "*").write.mode("append").format(
-        "parquet"
-    ).saveAsTable(table)
+def write_run_log(spark: SparkSession, summary: DataFrame, ingestion_date: str, table: str = "run_log") -> None:
+    """The run log's rows of this date, one per layer and dataset; a re-run replaces them."""
+    rows = summary.withColumn("run_date", F.lit(ingestion_date))
+    if not spark.catalog.tableExists(table):
+        rows.write.format("parquet").partitionBy("run_date").saveAsTable(table)
+        return
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
 
 
 def run_pipeline(
     spark: SparkSession,
     root: str,
     ingestion_date: str,
-    as_of: str = AS_OF,
+    as_of: str | None = None,
     namespace: str = "raw",
     marts_ns: str = "marts",
     fail_on_test: bool = True,
 ) -> DataFrame:
     """The whole run for one date; returns a (layer, dataset, n_rows,
-    status) summary. Raises ``DataQualityError`` after the tests when any
-    declared test fails (Q7) and ``fail_on_test`` is set."""
-    parts = [
-        _summary(spark, "staging", run_staging(spark, root, ingestion_date)),
-        _summary(spark, "curated", run_curated(spark, root, ingestion_date, as_of)),
-        _summary(spark, "warehouse", run_load(spark, root, ingestion_date, namespace)),
-    ]
-    release_probes()  # dimensions kept for the curated joins are written now
-    # Q7: the source tests gate the marts build.
-    if fail_on_test:
-        quality.assert_suite(run_tests(spark, namespace, None, as_of, SOURCE_CHECKS))
-    parts.append(_summary(spark, "marts", run_models(spark, namespace, marts_ns, as_of)))
+    status) summary. The source tests gate the marts, the others follow them
+    (Q7): with ``fail_on_test`` a failing one raises ``DataQualityError``.
+    The run log gets every step's status, also of a run that fails: the step
+    that raised is ``failed`` and those after it are ``skipped``."""
+    own = [c for c in quality.CATALOGUE_SUITE if c not in SOURCE_CHECKS]
+
+    def tested(marts: str | None, checks) -> dict[str, int]:
+        results = run_tests(spark, namespace, marts, as_of, checks).collect()  # one row per declared test
+        if fail_on_test:
+            quality.raise_on_failures(results)
+        return {"tests": len(results)}
+
+    steps = {
+        "staging": lambda: run_staging(spark, root, ingestion_date),
+        "curated": lambda: run_curated(spark, root, ingestion_date, as_of),
+        "warehouse": lambda: run_load(spark, root, ingestion_date, namespace),
+        "source_tests": lambda: tested(None, SOURCE_CHECKS),
+        "marts": lambda: run_models(spark, namespace, marts_ns, as_of),
+        "model_tests": lambda: tested(marts_ns, own),
+    }
+    parts: list[DataFrame] = []
+    failure: Exception | None = None
+    for layer, step in steps.items():
+        if failure is not None:
+            parts.append(spark.createDataFrame([(layer, "-", 0, "skipped")], LOG_SCHEMA))
+            continue
+        try:
+            parts.append(_summary(spark, layer, step()))
+        except Exception as e:  # logged below, then raised
+            failure = e
+            parts.append(spark.createDataFrame([(layer, "-", 0, "failed")], LOG_SCHEMA))
     summary = reduce(DataFrame.unionByName, parts)
-    results = run_tests(spark, namespace, marts_ns, as_of)
-    if fail_on_test:
-        quality.assert_suite(results)
-    append_run_log(spark, summary, ingestion_date)
+    write_run_log(spark, summary, ingestion_date)
+    if failure is not None:
+        raise failure
     return summary
-

@@ -7,21 +7,26 @@ whole. Arrays are reported as sorted comma lists and timestamps as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.functions.expressions import explode_distinct
 from reelhouse.operators import analytics, clean, marts, metrics, quality
 from reelhouse.plans import fixtures
 from reelhouse.plans.catalogue import Catalogue
-from reelhouse.sources import io
-from reelhouse.sources.load import align_to_schema
+from reelhouse.session import scratch_path
+from reelhouse.sources import io, schemas
+from reelhouse.sources.load import align_to_schema, load_all
 from reelhouse.sources.schemas import schema_of
 
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType
 
 # Fixed values of the registered queries.
+# Reference date of the recent flag, so results do not drift with the clock.
+AS_OF = "2001-01-01"
 DISCOVER_PAGE = 3
 MAX_PAGES = 3
 TOP_GENRES = 5
@@ -81,15 +86,16 @@ def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reject_counts(spark: SparkSession, d: str) -> DataFrame:
-    return clean.item_reject_counts(fixtures.raw_items(spark, d))
+    raw = fixtures.raw_items(spark, d)
+    return clean.reject_counts(raw, clean.clean_items(raw, columns=("movie_id",)))
 
 
 def q_items_enriched(spark: SparkSession, d: str) -> DataFrame:
-    return Catalogue.from_tables(spark, d).movies_enriched
+    return Catalogue.from_tables(spark, d, AS_OF).movies_enriched
 
 
 def q_bridge_item_genre(spark: SparkSession, d: str) -> DataFrame:
-    return Catalogue.from_tables(spark, d).movie_genres
+    return Catalogue.from_tables(spark, d, AS_OF).movie_genres
 
 
 def q_distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -98,7 +104,7 @@ def q_distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _mart(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return Catalogue.from_tables(spark, d).model(name)
+        return Catalogue.from_tables(spark, d, AS_OF).model(name)
 
     run.__name__ = f"q_{name}"
     return run
@@ -114,7 +120,7 @@ def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_fact_by_calendar(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d)
+    cat = Catalogue.from_tables(spark, d, AS_OF)
     return marts.fact_by_calendar(cat.fact_items, cat.dim_date, marts.calendar_days())
 
 
@@ -131,22 +137,97 @@ def q_load_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d)
-    cat.materialize("stg_items_clean")  # shared by four of the counts
+    """Counts from the columns that decide them: keys and genre arrays. The
+    dimension joins of the enriched items, fact and pairs look up unique keys,
+    so these have the rows of the items and of the exploded arrays."""
+    cat = Catalogue.from_tables(spark, d, AS_OF, item_columns=("movie_id", "genre_ids"))
+    items = cat.stg_items_clean.select("movie_id")
+    pairs = cat.stg_items_clean.select("movie_id", explode_distinct("genre_ids").alias("genre_id"))
     return analytics.row_counts(
         {
             "raw_items": cat.raw.items,
-            "stg_items": cat.stg_items_clean,
-            "fact_items": cat.fact_items,
-            "bridge_item_genre": cat.bridge_item_genre,
-            "dim_genre": cat.dim_genre,
-            "dim_country": cat.dim_country,
-            "dim_language": cat.dim_language,
+            "stg_items": items,
+            "movies_enriched": items,
+            "movie_genres": pairs,
+            "fact_items": items,
+            "bridge_item_genre": pairs,
+            "dim_genre": cat.dim_genre.select("genre_id"),
+            "dim_country": cat.dim_country.select("country_code"),
+            "dim_language": cat.dim_language.select("language_code"),
             "dim_date": cat.dim_date,
         }
     )
 
 
+# --- the lake and the tables, really written and read ------------------------------
+
+
+def _lake(spark: SparkSession, d: str, dates=(fixtures.FIRST_DATE, fixtures.RELIST_DATE)) -> str:
+    """A lake with the raw listing in one partition per date."""
+    root = scratch_path(spark, "lake")
+    raw = fixtures.raw_items(spark, d)
+    for day in dates:
+        io.write_partition(raw.filter(F.col(io.PARTITION_COL) == F.lit(day)), root, "raw", "movies", day)
+    return root
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    return df.select(
+        "id", "title", "original_language", genre_list().alias("genre_list"), "popularity",
+        "release_date", "vote_average", "vote_count", "adult", "video", "ingestion_date",
+    )
+
+
+def q_lake_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    root = _lake(spark, d)
+    return _listed(io.read_partition(spark, root, "raw", "movies", fixtures.RELIST_DATE, schemas.RAW_ITEMS))
+
+
+def q_lake_rerun_empty(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per date after the second date was written again without rows."""
+    root = _lake(spark, d)
+    empty = io.empty_frame(spark, schemas.RAW_ITEMS)
+    io.write_partition(empty, root, "raw", "movies", fixtures.RELIST_DATE)
+    days = {
+        day: io.read_partition(spark, root, "raw", "movies", day, schemas.RAW_ITEMS)
+        for day in (fixtures.FIRST_DATE, fixtures.RELIST_DATE)
+    }
+    return analytics.row_counts(days, "ingestion_date")
+
+
+def q_pages_landed(spark: SparkSession, d: str) -> DataFrame:
+    """The first listing saved as JSON documents of up to 1,000 ids, read back as rows."""
+    path = scratch_path(spark, "pages")
+    raw = fixtures.raw_items(spark, d).filter(F.col(io.PARTITION_COL) == F.lit(fixtures.FIRST_DATE))
+    item = schemas.PAGE_DOCUMENT["results"].dataType.elementType.fieldNames()
+    page = (F.floor(F.col("id") / 1000) + 1).cast("long")
+    last = raw.select(F.max(page)).scalar()
+    docs = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*item)).alias("results"))  # <= 1,000 ids a page
+    docs = docs.select("page", "results", last.alias("total_pages"))
+    # Page numbers without an item are pages too; page 1 is always there.
+    first = spark.range(1, 2).select(F.col("id").alias("page"), last.alias("total_pages"))
+    docs = docs.unionByName(first.join(docs.select("page"), "page", "left_anti"), allowMissingColumns=True)
+    docs.write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)  # a document is a file
+    rows = io.read_pages(spark, path, schemas.PAGE_DOCUMENT)
+    return rows.select("id", "title", genre_list().alias("genre_list"), "popularity", "release_date", "vote_count")
+
+
+def q_load_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the five loaded tables, loaded twice, counted in the tables."""
+    cat = Catalogue.from_tables(spark, d, AS_OF)
+    cat.materialize("stg_items_clean")
+    namespace = f"load_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {namespace}")
+    try:
+        for _ in range(2):
+            loaded = load_all(spark, cat.curated(), schemas.WAREHOUSE_TABLES, namespace).collect()
+        counts = {t: spark.table(f"{namespace}.{t}").count() for t in schemas.WAREHOUSE_TABLES}
+    finally:
+        spark.sql(f"DROP DATABASE {namespace} CASCADE")
+    rows = [(r.dataset, r.n_rows, counts[r.dataset], r.status) for r in loaded]
+    return spark.createDataFrame(rows, "dataset string, n_rows long, n_table long, status string")
+
+
 # --- analytics -------------------------------------------------------------------------
 
 
@@ -166,12 +247,20 @@ def q_top_k_popular(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_top_genres(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d)
-    # fact and bridge both derive from the cleaned items: store them once,
-    # bucketed by item, so the raw chain runs once and bridge x fact is a
-    # co-located join.
-    cat.materialize("stg_items_clean", bucket_by="movie_id")
-    return analytics.top_genres(cat.fact_items, cat.bridge_item_genre, cat.dim_genre, TOP_GENRES)
+    """Fact and bridge from the three columns the ranking needs: no language
+    lookup, no stored layer; both sides of the item join come from the dedup's
+    partitioning."""
+    cat = Catalogue.from_tables(spark, d, AS_OF, item_columns=("movie_id", "genre_ids", "vote_average"))
+    pairs = cat.stg_items_clean.select("movie_id", explode_distinct("genre_ids").alias("genre_id"))
+    return analytics.top_genres(cat.stg_items_clean, pairs, cat.dim_genre, TOP_GENRES)
+
+
+def q_listing_after(spark: SparkSession, d: str) -> DataFrame:
+    """The listing page after the row that ends page DISCOVER_PAGE - 1, by key."""
+    before = analytics.discover_page(_listing(spark, d), DISCOVER_PAGE - 1).orderBy("popularity", F.desc("id"))
+    end = before.select("popularity", "id").first()  # one row: the client's bookmark
+    page = analytics.listing_after(_listing(spark, d), tuple(end) if end else None)
+    return page.select("id", "title", "popularity", "release_date")
 
 
 # --- data quality ------------------------------------------------------------------------
@@ -194,20 +283,42 @@ def q_dq_accepted_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_dq_relationships(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d)
+    cat = Catalogue.from_tables(spark, d, AS_OF)
     orphans = quality.relationships(cat.fact_items, "language_code", cat.dim_language, "language_code")
     return orphans.select("movie_id", "language_code")
 
 
 def q_dq_suite(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d)
-    # The 51 checks read 17 models built from the cleaned items: those are
-    # stored once, bucketed by item (shared checkpoint folder), so the raw
-    # chain runs once and the item-level checks (uniqueness, bridge -> fact)
-    # group and join on the bucketing key without a shuffle.
-    cat.materialize("stg_items_clean", bucket_by="movie_id")
-    names = sorted({c.model for c in quality.CATALOGUE_SUITE} | {c.parent for c in quality.CATALOGUE_SUITE if c.parent})
-    return quality.run_suite(cat.models(names), quality.CATALOGUE_SUITE)
+    cat = Catalogue.from_tables(spark, d, AS_OF)
+    # The checks read 17 models built from the cleaned items: those are
+    # stored once (shared checkpoint folder), so the raw chain runs once.
+    cat.materialize("stg_items_clean")
+    names = {c.model for c in quality.CATALOGUE_SUITE} | {c.parent for c in quality.CATALOGUE_SUITE if c.parent}
+    names |= set(quality.CHAIN_SAME_ROWS.values())
+    return quality.run_suite(cat.models(sorted(names)), quality.CATALOGUE_SUITE, quality.CHAIN_SAME_ROWS)
+
+
+DIRTY_SUITE = [
+    quality.Check("unique", "raw_items", ("id",)),
+    quality.Check("unique", "raw_languages", ("iso_639_1",)),
+    quality.Check("not_null", "raw_items", ("original_language",)),
+    quality.Check("not_null", "raw_items", ("id",)),
+    quality.Check("accepted_values", "raw_items", ("original_language",), values=ACCEPTED_LANGUAGES),
+    quality.Check("accepted_values", "raw_items", ("overview",), values=(" O ",)),
+    quality.Check("unique_combination", "raw_items", ("id", "vote_count")),
+    quality.Check("relationships", "raw_items", ("original_language",), parent="raw_languages", parent_key="iso_639_1"),
+    quality.Check("relationships", "raw_items", ("vote_count",), parent="raw_countries", parent_key="code"),
+]
+
+
+def q_dq_suite_dirty(spark: SparkSession, d: str) -> DataFrame:
+    """The suite over uncleaned rows: every kind of check has failures."""
+    models = {
+        "raw_items": fixtures.raw_items(spark, d),
+        "raw_languages": fixtures.raw_languages(spark, d),
+        "raw_countries": fixtures.raw_countries(spark, d).select(F.col("iso_3166_1").cast("long").alias("code")),
+    }
+    return quality.run_suite(models, DIRTY_SUITE)
 
 
 # --- metric series ---------------------------------------------------------------------
@@ -234,6 +345,12 @@ def q_metric_increase(spark: SparkSession, d: str) -> DataFrame:
     return inc.select("event_type", _ntz("window_start").alias("window_start"), "increase")
 
 
+def q_metric_increase_total(spark: SparkSession, d: str) -> DataFrame:
+    """Increase of all series in the 24 hours before the last sample."""
+    at = fixtures.counter_samples(spark, d).select(F.max("ts")).scalar()
+    return metrics.trailing_increase(_deltas(spark, d), at)
+
+
 def q_metric_last(spark: SparkSession, d: str) -> DataFrame:
     return metrics.last_and_max(fixtures.event_samples(spark, d), ["event_type", "user_id"], tiebreak=["event_id"])
 
@@ -271,6 +388,9 @@ def q_metric_by_state(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_partition": q_scan_partition,
+    "lake_roundtrip": q_lake_roundtrip,
+    "lake_rerun_empty": q_lake_rerun_empty,
+    "pages_landed": q_pages_landed,
     "stamp_date": q_stamp_date,
     "clean_items": q_clean_items,
     "clean_lookup": q_clean_lookup,
@@ -288,8 +408,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": q_dim_date,
     "fact_by_calendar": q_fact_by_calendar,
     "load_by_name": q_load_by_name,
+    "load_counts": q_load_counts,
     "row_counts": q_row_counts,
     "discover_page": q_discover_page,
+    "listing_after": q_listing_after,
     "top_k_popular": q_top_k_popular,
     "top_genres": q_top_genres,
     "dq_unique": q_dq_unique,
@@ -298,9 +420,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_accepted_values": q_dq_accepted_values,
     "dq_relationships": q_dq_relationships,
     "dq_suite": q_dq_suite,
+    "dq_suite_dirty": q_dq_suite_dirty,
     "metric_mapping": q_metric_mapping,
     "metric_rate": q_metric_rate,
     "metric_increase": q_metric_increase,
+    "metric_increase_total": q_metric_increase_total,
     "metric_last": q_metric_last,
     "metric_p99": q_metric_p99,
     "metric_status": q_metric_status,

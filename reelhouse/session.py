@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +89,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reelhouse/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders ``scratch_path`` named in this process; returns how many.
+
+    Call it when no frame that reads them is used any more.
+    """
+    n = len(_scratch)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _scratch:
+        path = hadoop(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

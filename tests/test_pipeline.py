@@ -74,7 +74,7 @@ def test_models_as_views_answer_the_analyst_sql(spark):
     assert via_sql == via_df and len(via_sql) == 5
 
 
-def test_source_tests_pass_and_run_log_appends(spark, tmp_path):
+def test_source_tests_pass_and_run_log_replaces_a_date(spark, tmp_path):
     root = str(tmp_path / "lake4")
     cat = Catalogue.from_tables(spark, SF_SMALL)
     pipeline.land_raw(spark, root, cat.raw, DATE)
@@ -83,10 +83,33 @@ def test_source_tests_pass_and_run_log_appends(spark, tmp_path):
     pipeline.run_load(spark, root, DATE)
     src = pipeline.run_tests(spark, marts_ns=None, checks=pipeline.SOURCE_CHECKS)
     assert src.count() == 11 and src.filter("failures > 0").count() == 0
-    before = spark.table("run_log").count() if spark.catalog.tableExists("run_log") else 0
-    summary = pipeline._summary(spark, "staging", {"movies": 1})
-    pipeline.append_run_log(spark, summary, DATE)
-    assert spark.table("run_log").count() == before + 1
+    for day, n in ((DATE, 1), (DATE, 2), ("2024-01-02", 3)):
+        pipeline.write_run_log(spark, pipeline._summary(spark, "staging", {"movies": n}), day, "log_test")
+    rows = sorted((r.run_date, r.dataset, r.n_rows, r.status) for r in spark.table("log_test").collect())
+    assert rows == [("2024-01-02", "movies", 3, "success"), (DATE, "movies", 2, "success")][::-1]
+
+
+def test_failed_run_is_logged(spark, tmp_path):
+    day = "2024-02-03"
+    cat = Catalogue.from_tables(spark, SF_SMALL)
+    pipeline.land_raw(spark, str(tmp_path), cat.raw, day)
+    with pytest.raises(quality.DataQualityError):
+        pipeline.run_pipeline(spark, str(tmp_path), day, namespace="rawf", marts_ns="martsf")
+    log = {r.layer: r.status for r in spark.table("run_log").filter(F.col("run_date") == day).collect()}
+    assert log["marts"] == "success" and log["model_tests"] == "failed"
+
+
+def test_recent_flag_follows_today_by_default(spark):
+    import datetime as dt
+
+    from tests.helpers import genres, languages, raw_items
+    from reelhouse.plans.catalogue import Raw
+
+    year = dt.date.today().year
+    rows = [(i, "t", "en", [1], 1.0, f"{y}-01-01", 5.0, 5, DATE) for i, y in ((1, year - 5), (2, year - 7), (3, 2001))]
+    empty = spark.createDataFrame([], "iso_3166_1 string, english_name string, native_name string, ingestion_date string")
+    cat = Catalogue(spark, Raw(raw_items(spark, rows), genres(spark), empty, languages(spark)))
+    assert {r.movie_id: r.is_recent for r in cat.item_metrics.collect()} == {1: True, 2: False, 3: False}
 
 
 def test_sizing_conf():
