@@ -5,16 +5,20 @@ watermark bounds the state each aggregate keeps: a window is emitted (append
 mode) and its state dropped once the watermark passes the window end, so
 state grows with the lateness allowed, not with the stream.
 
-Counter deltas need the previous sample of the series across micro-batches;
-that is per-series state, kept by ``applyInPandasWithState`` (one small state
-row per series: last ts and last value).
+Counter increases need the previous sample of the series. Samples are first
+summarised per (series, bucket) behind the watermark, natively: samples that
+come in any order within the lateness are sorted inside their bucket, later
+ones are dropped, and a hot series is split over its buckets. Only the
+summaries, one row per series and bucket, reach the per-series state
+(``applyInPandasWithState``: last value, open window and its sum). Spark takes
+no such state behind an aggregate, so these are two queries with a table of
+summaries between them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +32,8 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def samples_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file source of samples (Parquet); new files are new micro-batches."""
+def samples_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = 1_000) -> DataFrame:
+    """A file source of samples (Parquet); new files are new micro-batches of a bounded number of files."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -122,48 +126,87 @@ def dedup_events(stream: DataFrame, keys: Sequence[str], lateness: str = "10 min
     return event_time(stream, ts).withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
-# --- counter deltas with per-series state ----------------------------------
+# --- counters: bucket summaries, then a small state per series ---------------
 
 
-DELTA_SCHEMA = "series string, ts timestamp, value double, delta double"
-DELTA_STATE = "last_ts timestamp, last_value double"
-
-
-def _deltas_for_series(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Deltas of one series in one micro-batch, continuing from the state."""
-    frame = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "tiebreak"], kind="mergesort")
-    values = frame["value"].to_numpy(dtype="float64")
-    first_prev = state.get[1] if state.exists else np.nan
-    prev = np.concatenate([[first_prev], values[:-1]])
-    delta = np.where(values < prev, values, values - prev)  # NaN where no previous
-    state.update((frame["ts"].iloc[-1].to_pydatetime(), float(values[-1])))
-    yield pd.DataFrame(
-        {"series": key[0], "ts": frame["ts"], "value": frame["value"], "delta": pd.array(np.where(np.isnan(prev), None, delta), dtype="Float64")}
-    )
-
-
-def counter_deltas_stream(
+def bucket_summaries(
     stream: DataFrame,
     series: str = "event_type",
     ts: str = "ts",
     value: str = "value",
     tiebreak: str = "event_id",
+    bucket: str = "1 second",
+    lateness: str = "1 minute",
 ) -> DataFrame:
-    """W2 on a stream: per sample, increase since the series' previous sample.
+    """(series, bucket, first, last, inner) per series and closed bucket:
+    first and last value, and the increase between them (resets handled)."""
+    s = event_time(stream, ts).filter(F.col(value).isNotNull()).withWatermark(ts, lateness)
+    ordered = F.sort_array(F.collect_list(F.struct(ts, tiebreak, F.col(value).cast("double").alias("v"))))["v"]
+    grouped = s.groupBy(F.col(series).cast("string").alias("series"), F.window(ts, bucket).alias("w")).agg(
+        ordered.alias("v")
+    )
+    step = lambda p, x: F.when(x < p, x).otherwise(x - p)
+    pairs = F.zip_with(F.slice("v", 1, F.size("v") - 1), F.slice("v", 2, F.size("v") - 1), step)
+    return grouped.select(
+        "series",
+        F.col("w.start").alias("bucket"),
+        F.element_at("v", 1).alias("first"),
+        F.element_at("v", -1).alias("last"),
+        F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x).alias("inner"),
+    )
 
-    Samples arriving out of order across micro-batches are compared with the
-    last sample seen, as a scraper would. The state is one row per series.
-    """
-    s = event_time(stream, ts).select(
-        F.col(series).cast("string").alias("series"),
-        F.col(ts).alias("ts"),
-        F.col(value).cast("double").alias("value"),
-        F.col(tiebreak).alias("tiebreak"),
-    ).filter(F.col("value").isNotNull())
-    return s.groupBy("series").applyInPandasWithState(
-        _deltas_for_series, DELTA_SCHEMA, DELTA_STATE, "append", GroupStateTimeout.NoTimeout
+
+INCREASE_SCHEMA = "series string, window_start timestamp, increase double"
+INCREASE_STATE = "last_bucket timestamp, last_value double, window_start timestamp, total double"
+
+
+def _increases(seconds: int):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Increases of the windows that the series' buckets have left."""
+        seen, last, window, total = state.get if state.exists else (None, None, None, 0.0)
+        out = []
+        rows = pd.concat(list(batches), ignore_index=True).sort_values("bucket")  # summaries only
+        if seen is not None:  # a bucket behind the last one is late: no reset, no increase
+            rows = rows[rows["bucket"] > pd.Timestamp(seen)]
+        starts = rows["bucket"].dt.floor(f"{seconds}s")
+        for bucket, start, first, end, inner in zip(rows["bucket"], starts, rows["first"], rows["last"], rows["inner"]):
+            if window is None or start != pd.Timestamp(window):
+                if window is not None:
+                    out.append((key[0], window, total))
+                window, total = start, 0.0
+            # As in the batch form the first sample of a series has no increase.
+            carried = 0.0 if last is None else first if first < last else first - last
+            total, last, seen = total + carried + inner, float(end), bucket
+        if seen is not None:
+            state.update((pd.Timestamp(seen).to_pydatetime(), last, pd.Timestamp(window).to_pydatetime(), float(total)))
+        yield pd.DataFrame(out, columns=["series", "window_start", "increase"])
+
+    return run
+
+
+SUMMARY_SCHEMA = "series string, bucket timestamp, first double, last double, inner double"
+
+
+def increase_stream(summaries: DataFrame, window: str = "1 day") -> DataFrame:
+    """M4 on a stream of ``bucket_summaries`` as stored: (series, window_start,
+    increase), a window being given out once the series has a bucket in a
+    later one. Read the table without a limit of files per trigger: the files
+    of one micro-batch belong together."""
+    return summaries.groupBy("series").applyInPandasWithState(
+        _increases(_seconds(window)), INCREASE_SCHEMA, INCREASE_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def status_stream(summaries: DataFrame, window: str = "1 day") -> DataFrame:
+    """M8 on a stream: rate and failure lights of every closed window."""
+    per_min = F.col("increase") / F.lit(_seconds(window) / 60.0)
+    return increase_stream(summaries, window).select(
+        "series",
+        "window_start",
+        "increase",
+        per_min.alias("rate_per_min"),
+        batch.rate_status(per_min).alias("rate_status"),
+        batch.failure_status(F.col("increase")).alias("failure_status"),
     )
 
 
@@ -176,6 +219,26 @@ def _seconds(interval: str) -> int:
 # --- jobs ----------------------------------------------------------------------
 
 
+def run_summary_stream(
+    spark: SparkSession,
+    samples: DataFrame,
+    path: str,
+    name: str = "summaries",
+    checkpoint: str | None = None,
+    **options,
+):
+    """Store the bucket summaries of a stream of samples below ``path`` (append, exactly once)."""
+    return (
+        bucket_summaries(samples, **options)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint or stream_checkpoint(spark, name))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint folder of a named stream, under the shared checkpoint dir."""
     from reelhouse.session import ensure_checkpoint_dir

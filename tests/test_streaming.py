@@ -78,19 +78,47 @@ def test_labelled_counts_and_dedup(spark, tmp_path):
     assert dd.count() == ev.count()
 
 
-def test_counter_deltas_stream_equals_batch(spark, tmp_path):
+def _summaries(spark, tmp_path, samples):
+    path = str(tmp_path / "summaries")
+    stream.run_summary_stream(spark, samples, path, checkpoint=str(tmp_path / "ckpt_sum")).awaitTermination()
+    return spark.readStream.schema(stream.SUMMARY_SCHEMA).parquet(path)
+
+
+def test_increase_stream_equals_batch(spark, tmp_path):
     cs = fixtures.counter_samples(spark, SF_SMALL)
-    src = str(tmp_path / "cs")
-    # ordered files: each micro-batch continues the previous one
-    cs.repartitionByRange(4, "ts").write.parquet(src)
-    _order_files(src)
-    s = spark.readStream.schema(cs.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = _run(stream.counter_deltas_stream(s), tmp_path, "cd")
-    got = {(r.series, r.ts): r.delta for r in out.collect()}
-    b = batch.counter_deltas(cs, ["event_type"], tiebreak=["event_id"])
-    exp = {(r.event_type, r.ts): r.delta for r in b.collect()}
-    assert got == exp
-    assert os.path.isdir(src)
+    out = _run(stream.status_stream(_summaries(spark, tmp_path, _file_stream(spark, tmp_path, cs, "cs"))), tmp_path, "inc")
+    got = {(r.series, r.window_start): (r.increase, r.rate_status, r.failure_status) for r in out.collect()}
+    daily = batch.increase(batch.counter_deltas(cs, ["event_type"], tiebreak=["event_id"]), ["event_type"], "1 day")
+    per_min = F.col("increase") / 1440.0
+    daily = daily.select("*", batch.rate_status(per_min).alias("rs"), batch.failure_status(F.col("increase")).alias("fs"))
+    exp = {(r.event_type, r.window_start): (r.increase or 0.0, r.rs, r.fs) for r in daily.collect()}
+    assert got and all(exp[k] == v for k, v in got.items())
+    assert len(got) >= len(exp) - 5 * 2  # the open windows of five series
+
+
+def test_out_of_order_samples_are_no_resets(spark, tmp_path):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    row = lambda i, sec, v: (i, t0 + dt.timedelta(seconds=sec), "a", v)
+    batches = [
+        [row(1, 0, 1.0), row(2, 20, 5.0)],
+        [row(3, 10, 3.0), row(4, 30, 6.0)],  # 10 s comes after 20 s, within the lateness
+        [row(5, 40, 2.0), row(6, 3 * 86400, 4.0)],  # a reset; then far ahead
+        [row(9, 3 * 86400 + 1, 4.0)],  # the watermark for late rows follows one batch behind
+        [row(7, 5, 100.0), row(8, 4 * 86400, 5.0)],  # later than the lateness allows: dropped
+    ]
+    src = tmp_path / "ooo"
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(src))
+        for f in src.glob("*.parquet"):
+            if f.stat().st_mtime > 1_700_000_100:
+                os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = _run(stream.increase_stream(_summaries(spark, tmp_path, s)), tmp_path, "ooo")
+    # 1, 3, 5, 6 then a reset to 2: 5 + 2 on the first day
+    assert [(r.window_start.day, r.increase) for r in out.orderBy("window_start").collect()][0] == (1, 7.0)
 
 
 def test_rate_stream_job_is_exactly_once(spark, tmp_path):
