@@ -8,25 +8,19 @@ and never a recomputation of the whole chain.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.session import ensure_checkpoint_dir
+from reelhouse.session import scratch_path
 
 # Rows per Arrow batch sent to Python workers; documents can be long, so the
 # default of 10,000 rows would make a batch of a few hundred MB.
 ARROW_ROWS = 1_000
 
-_scratch: list[str] = []
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reelhouse-llm/{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
-    return path
+    """A fresh path below the shared checkpoint folder; ``session.release_scratch`` deletes it."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:
@@ -36,14 +30,6 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the shared tables this process made. Call when no result of them is read any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
 def python_ready(spark: SparkSession) -> None:
     """Prepare a session for Python tasks over whole documents.
 
