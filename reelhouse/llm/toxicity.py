@@ -1,7 +1,9 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are words of the lower-cased text and word beginnings of 4 to 6 letters.
-The model is fitted on labelled rows with ``crc32(doc_id) mod 5 != 0``:
+Terms are words of the lower-cased text and word beginnings of 4 to 6 letters;
+all words outside the vocabulary together are one more term, so that a cosine
+sees how much of a text the telling terms make up. Term frequencies count by
+their square root. The model is fitted on labelled rows with ``crc32(doc_id) mod 5 != 0``:
 
 1. A bounded sample (``EXAMPLES`` per class, the smallest hashes of the id)
    gives the examples and, by likelihood ratio, the vocabulary of at most
@@ -16,9 +18,8 @@ The model is fitted on labelled rows with ``crc32(doc_id) mod 5 != 0``:
    labelled rows over its share of the sample. A logistic curve fitted on the
    examples' own leave-one-out votes turns the vote into the score.
 
-A text without any term of the vocabulary (an empty or null text too) has
-cosine 0 with every example and gets the share of toxic rows among examples
-like it. Evidence is the list of the neighbours with their cosines. Nulls: rows of
+A text without any term of the vocabulary (an empty or null text too) gets the
+share of toxic rows among examples like it. Evidence is the list of the neighbours with their cosines. Nulls: rows of
 ``labels`` without id or label are ignored; a null doc_id is scored and not
 held out. A label table that is empty gives score 0; one with a single class
 gives that class's label. Repeated rows are scored alike; of contradicting
@@ -69,14 +70,19 @@ def text_terms(text: str | None) -> Counter:
 
 
 def known_terms(text: str | None, terms: dict[str, int]) -> dict[int, int]:
-    """Counts of the vocabulary's terms in a whole text, by term number."""
+    """Counts of the vocabulary's terms in a whole text, by term number; all
+    words without a term count as the term after the last."""
     out: dict[int, int] = {}
+    other = 0
     for w, n in Counter(_WORD.findall((text or "").lower())).items():
-        if w in terms:
-            out[terms[w]] = out.get(terms[w], 0) + n
-        for size in PREFIXES:
-            if len(w) > size and (p := w[:size] + "*") in terms:
-                out[terms[p]] = out.get(terms[p], 0) + n
+        found = [terms[w]] if w in terms else []
+        found += [terms[p] for size in PREFIXES if len(w) > size and (p := w[:size] + "*") in terms]
+        for t in found:
+            out[t] = out.get(t, 0) + n
+        if not found:
+            other += n
+    if other:
+        out[len(terms)] = other
     return out
 
 
@@ -88,8 +94,9 @@ class BlockMaxIndex:
     """Exact cosine search: postings by (term, block of examples) with block maxima."""
 
     def __init__(self, vectors: list[dict[int, float]], ids: list[int], n_terms: int, block: int = BLOCK):
-        # Examples with the same leading term sit together, which keeps block maxima tight.
-        order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get), ids[i]))
+        # Examples with the same leading term at a like weight sit together, which keeps block maxima tight.
+        lead = [max(v, key=v.get) for v in vectors]
+        order = sorted(range(len(vectors)), key=lambda i: (lead[i], round(vectors[i][lead[i]], 2), ids[i]))
         self.ids = np.array([ids[i] for i in order], dtype=np.int64)
         self.position = {i: p for p, i in enumerate(order)}
         self.block = block
@@ -141,13 +148,13 @@ class Model:
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
         """TF-IDF of unit length."""
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
+        raw = {t: np.sqrt(n) * self.idf[t] for t, n in counts.items()}
         norm = float(np.sqrt(sum(v * v for v in raw.values())))
         return {t: v / norm for t, v in sorted(raw.items())}
 
     def vote(self, counts: dict[int, int], skip: int | None = None) -> tuple[float | None, list[tuple[int, float]]]:
         """Weighted share of toxic neighbours (None: no neighbour), and the neighbours."""
-        if not counts or self.index is None:
+        if self.index is None or not counts.keys() - {len(self.terms)}:
             return None, []
         near = self.index.search(self.vector(counts), self.k, skip)
         if not near:
@@ -160,7 +167,7 @@ class Model:
         vote, near = self.vote(counts)
         if vote is None:
             return self.bare, []
-        return float(1 / (1 + np.exp(-(self.slope * logit(vote) + self.shift)))), near
+        return float(1 / (1 + np.exp(-np.clip(self.slope * logit(vote) + self.shift, -30, 30)))), near
 
 
 def logit(p):
@@ -264,7 +271,7 @@ def _counts(docs: DataFrame, terms: dict[str, int], columns: str) -> DataFrame:
 def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: dict[str, int], k: int) -> Model:
     """The model from all documents' term counts and the examples."""
     n_docs = vectors.count()
-    df = np.zeros(max(1, len(terms)))
+    df = np.zeros(len(terms) + 1)
     for t, n in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # <= VOCABULARY rows
         df[t] = n
     idf = np.log((n_docs + 1) / (df + 1)) + 1
@@ -273,20 +280,21 @@ def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: dict[str
     y = np.array([r["y"] for r in rows], dtype=np.int64)
     weights = np.array([totals.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1)])
     counts = [dict(zip(r["terms"], r["counts"])) for r in rows]
-    empty = np.array([not c for c in counts], dtype=bool)
+    bare = np.array([not c.keys() - {len(terms)} for c in counts], dtype=bool)  # none of the terms
 
     def share(of: np.ndarray) -> float:
         w = weights[y[of]]
         return float((w * y[of]).sum() / w.sum()) if of.any() and w.sum() else 0.0
 
-    model = Model(terms, idf, None, y[~empty], weights, share(empty) if empty.any() else share(empty | True), k=k)
-    if not terms or empty.all():
+    model = Model(terms, idf, None, y, weights, share(bare) if bare.any() else share(bare | True), k=k)
+    if not terms or bare.all():
         return model
-    at = np.flatnonzero(~empty).tolist()
-    model.index = BlockMaxIndex([model.vector(counts[i]) for i in at], [rows[i]["id"] for i in at], len(terms))
+    at = [i for i, c in enumerate(counts) if c]  # a text without words has no vector
+    model.index = BlockMaxIndex([model.vector(counts[i]) for i in at], [rows[i]["id"] for i in at], len(terms) + 1)
     order = sorted(model.index.position, key=model.index.position.get)
     model.labels = y[np.array(at)[order]]
-    return calibrate(vectors.sparkSession, model, [(model.index.position[p], counts[i], int(y[i])) for p, i in enumerate(at)])
+    told = [(model.index.position[p], counts[i], int(y[i])) for p, i in enumerate(at) if not bare[i]]
+    return calibrate(vectors.sparkSession, model, told)
 
 
 def calibrate(spark, model: Model, examples: list[tuple[int, dict, int]]) -> Model:
