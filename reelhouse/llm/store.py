@@ -18,6 +18,7 @@ from reelhouse.session import scratch_path
 # default of 10,000 rows would make a batch of a few hundred MB.
 ARROW_ROWS = 1_000
 
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder; ``session.release_scratch`` deletes it."""
     return scratch_path(spark, f"llm-{name}")
