@@ -55,6 +55,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFram
         normalised(text_col).alias("_norm"),
     ]
     if carry:
+        cols.append(F.xxhash64(F.col(text_col)).alias("_t"))
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     return docs.select(*cols).withColumn("_h", F.xxhash64("_norm"))
 
@@ -63,11 +64,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
     """One row per distinct normalised text: (_h, text_sha256, keep_id, group_size[, _row])."""
     # bitwise_not reverses the order of ids without overflow; nulls stay last.
     order = [F.col("_n"), F.bitwise_not(F.col("_id")).alias("_r")]
-    best = F.max(F.struct(*order, *([F.col("_row")] if carry else []))).alias("_best")
+    best = [F.max(F.struct(*order)).alias("_best")]
+    if carry:
+        best.append(F.max_by("_row", F.struct(*order, "_t")).alias("_row"))
     grouped = (
         _keyed(docs, id_col, text_col, carry)
         .groupBy("_h", "_norm")
-        .agg(best, F.count(F.lit(1)).alias("group_size"))
+        .agg(*best, F.count(F.lit(1)).alias("group_size"))
     )
     out = [
         "_h",
@@ -75,7 +78,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
         F.bitwise_not(F.col("_best._r")).alias("keep_id"),
         "group_size",
     ]
-    return grouped.select(*out, *([F.col("_best._row").alias("_row")] if carry else []))
+    return grouped.select(*out, *(["_row"] if carry else []))
 
 
 def slot_of(h: str | Column, depth: int = MAX_DEPTH) -> Column:

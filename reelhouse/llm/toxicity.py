@@ -205,7 +205,9 @@ def _sample(docs: DataFrame, train: DataFrame, examples: int) -> DataFrame:
     ids = store.write_shared(parts[0].unionByName(parts[1]), "tox-ids")
     # At most 2 * examples ids of 12 bytes: the broadcast has a fixed bound.
     found = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"]).select("id", "y", "text")
-    return store.write_shared(found.dropDuplicates(["id"]), "tox-sample")
+    # Of rows that repeat an id with different texts the smallest text is the example.
+    found = found.groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    return store.write_shared(found, "tox-sample")
 
 
 def _vocabulary(sample: DataFrame, size: int) -> list[str]:
