@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.functions.expressions import explode_distinct
+from reelhouse.functions.expressions import date_key, explode_distinct
 from reelhouse.operators import analytics, clean, marts, metrics, quality
 from reelhouse.plans import fixtures
 from reelhouse.plans.catalogue import Catalogue
@@ -120,8 +120,10 @@ def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_fact_by_calendar(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d, AS_OF)
-    return marts.fact_by_calendar(cat.fact_items, cat.dim_date, marts.calendar_days())
+    """From the fact columns it counts: no language lookup on the way."""
+    cat = Catalogue.from_tables(spark, d, AS_OF, item_columns=("movie_id", "release_date", "vote_count", "popularity"))
+    fact = cat.stg_items_clean.select(date_key("release_date").alias("release_date_id"), "vote_count", "popularity")
+    return marts.fact_by_calendar(fact, cat.dim_date, marts.calendar_days())
 
 
 def q_load_by_name(spark: SparkSession, d: str) -> DataFrame:
@@ -283,8 +285,9 @@ def q_dq_accepted_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_dq_relationships(spark: SparkSession, d: str) -> DataFrame:
-    cat = Catalogue.from_tables(spark, d, AS_OF)
-    orphans = quality.relationships(cat.fact_items, "language_code", cat.dim_language, "language_code")
+    cat = Catalogue.from_tables(spark, d, AS_OF, item_columns=("movie_id", "original_language"))
+    fact = cat.stg_items_clean.select("movie_id", F.col("original_language").alias("language_code"))
+    orphans = quality.relationships(fact, "language_code", cat.dim_language, "language_code")
     return orphans.select("movie_id", "language_code")
 
 
