@@ -39,7 +39,7 @@ from reelhouse.llm import store
 CAPACITY = 4_096
 END_ID = 1
 # Entries the word cache of one worker holds before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

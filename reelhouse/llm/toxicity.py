@@ -53,6 +53,8 @@ MARGIN = 2.0
 LEAST_SHARE = 0.002
 LEAST_COUNT = 3
 PREFIXES = (4, 5, 6)
+# Scores with their evidence that a worker remembers before it starts afresh.
+KEPT_SCORES = 4_000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -340,12 +342,16 @@ def score_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         seen: dict[tuple, tuple] = {}  # equal vectors have equal scores
+        bare = model.bare, []
         for b in batches:
             out = []
             for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if not set(t) - {len(model.terms)}:
+                    out.append(bare)
+                    continue
                 key = tuple(sorted(zip(t, c)))
                 if key not in seen:
-                    if len(seen) > 50_000:
+                    if len(seen) > KEPT_SCORES:
                         seen.clear()
                     score, near = model.score(dict(key))
                     seen[key] = score, [{"doc_id": int(model.index.ids[p]), "cosine": s} for p, s in near]
