@@ -1,6 +1,7 @@
 """PII (native): regular expressions propose, checksums confirm, context words adjust the score.
 
-Base kinds are email, ip, card (Luhn) and phone; the method adds iban (mod 97)
+Base kinds are email, ip, card (Luhn) and phone; the method adds iban (mod 97;
+its length is that of its country, so it ends where it ends whatever follows)
 and ssn (only near a word that names it). A proposal of a base kind that its
 validator confirms is always a span; an added kind needs a score of
 ``LEAST_SCORE``, which is the kind's own score plus ``CONTEXT_GAIN`` when one
@@ -33,6 +34,18 @@ CONTEXT_GAIN = 0.3
 LEAST_SCORE = 0.5
 _BLOCK = 256  # matches whose positions are summed at a time
 
+# Countries by the length of their IBAN (ISO 13616 registry and the partial adopters).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_BODIES = "|".join(
+    rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, codes in IBAN_LENGTHS.items()
+)
+
 _L = "[A-Za-z0-9._%+-]"
 _D = "[A-Za-z0-9-]"
 
@@ -53,7 +66,7 @@ KINDS = (
     # A whole run of digits with single separators; runs of fewer than 14 digits can't pass.
     Kind("card", r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,}+", None, True, 0.7, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", True, 0.6, "phone|call|tel|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None, False, 0.6, "iban|account|bank"),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_BODIES})", None, False, 0.6, "iban|account|bank"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", False, 0.3, r"\bssn\b|social security"),
 )
 

@@ -67,6 +67,14 @@ def test_added_kinds_need_checksum_or_context(docs):
     assert got[0].spans[0].score == pytest.approx(0.9)
 
 
+def test_iban_ends_at_its_countrys_length(docs):
+    iban, other = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [f"pay {iban}{rest}" for rest in (" Thanks", " BIC COBADEFF", " 2024", f" {other} OK", ".", "")]
+    got = rows(pii.find_pii(docs(texts + [f"pay {iban}0 Thanks", f"X{iban}"])))
+    spans = [[(s.start, s.end) for s in got[i].spans if s.kind == "iban"] for i in range(8)]
+    assert spans == [[(4, 31)]] * 3 + [[(4, 31), (32, 54)]] + [[(4, 31)]] * 2 + [[], []]
+
+
 def test_empty_and_native(docs):
     out = pii.find_pii(docs([]))
     assert out.count() == 0 and "Python" not in out._jdf.queryExecution().executedPlan().toString()
