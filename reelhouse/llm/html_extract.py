@@ -60,7 +60,7 @@ CLOSES = {
     "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
 }
 SCOPES = frozenset("table ul ol dl select article section div body main aside nav td th blockquote".split())
-# Chrome by tag, by role, and by word of class or id.
+# Chrome by tag, by role, and by class or id (see _chrome_name).
 CHROME_TAGS = frozenset("head nav header footer aside form button select menu dialog".split()) | RAW
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 CHROME_WORDS = frozenset(
@@ -69,7 +69,11 @@ CHROME_WORDS = frozenset(
     " replies respond notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe signup"
     " login share sharing social related recommended pagination pager toolbar skip legal copyright".split()
 )
+# Words that may stand beside a chrome word in a class or id.
+PLACES = frozenset("site page main top bottom left right primary secondary global".split())
 REGION_TAGS = ("article", "main")
+# Chrome that may hold teasers: kept as chrome while a page has a region elsewhere.
+ASIDES = frozenset("head nav footer aside select menu dialog button".split()) | RAW
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*+|[^<>]*)>", re.S
@@ -80,32 +84,42 @@ _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Node:
-    __slots__ = ("tag", "label", "chrome", "region", "items")
+    __slots__ = ("tag", "label", "chrome", "region", "hidden", "items")
 
-    def __init__(self, tag: str, label: str, chrome: bool, region: bool):
-        self.tag, self.label, self.chrome, self.region = tag, label, chrome, region
+    def __init__(self, tag: str, label: str, chrome: bool, region: bool, hidden: bool = False):
+        self.tag, self.label, self.chrome, self.region, self.hidden = tag, label, chrome, region, hidden
         self.items: list = []  # texts and nodes in page order
 
 
+def _chrome_name(token: str, heading: set[str]) -> bool:
+    """Whether a whole class or id names chrome: all its words do, or say where it is.
+
+    ``sidebar``, ``cookie-banner`` and ``site-footer`` do; ``has-sidebar`` and ``legal-news`` do not.
+    """
+    words = set(_WORDS.findall(token))
+    return bool(words & CHROME_WORDS - heading) and words <= CHROME_WORDS - heading | PLACES
+
+
 @lru_cache(maxsize=20_000)
-def _kind(tag: str, attrs: str, in_region: bool) -> tuple[str, bool, bool]:
-    """Label, chrome and region of an element."""
+def _kind(tag: str, attrs: str, in_region: bool) -> tuple[str, bool, bool, bool]:
+    """Label, chrome, region and hiddenness of an element."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs else {}
-    words = _WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    words = _WORDS.findall(names)
     role = found.get("role", "").lower()
     # An article's own header holds its title.
     heading = {"header"} if in_region else set()
+    hidden = bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs)) or "display:none" in found.get("style", "").replace(" ", "").lower()
     chrome = (
         tag in CHROME_TAGS - heading
         or role in CHROME_ROLES
-        or any(w in CHROME_WORDS and w not in heading for w in words)
-        or bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs))
-        or "display:none" in found.get("style", "").replace(" ", "").lower()
+        or any(_chrome_name(x, heading) for x in names.split())
+        or hidden
     )
     if tag in ("html", "body"):
-        chrome = False
+        chrome = hidden = False
     region = tag in REGION_TAGS or role == "main" or found.get("itemprop") == "articleBody"
-    return tag + "".join(f".{w}" for w in words[:3]), chrome, region and not chrome
+    return tag + "".join(f".{w}" for w in words[:3]), chrome, region and not chrome, hidden
 
 
 def parse(page: str) -> Node:
@@ -113,6 +127,7 @@ def parse(page: str) -> Node:
     root = Node("", "", False, False)
     stack, at = [root], 0
     regions = 0
+    held: list[tuple[Node, list[Node]]] = []  # regions and the chrome around them
     match = _TAG.search
     while m := match(page, at):
         if m.start() > at:
@@ -141,6 +156,10 @@ def parse(page: str) -> Node:
                     break
         node = Node(tag, *_kind(tag, attrs, regions > 0))
         stack[-1].items.append(node)
+        if node.region:
+            held.append((node, [n for n in stack if n.chrome]))
+        if tag in ("svg", "math") and attrs.endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -152,9 +171,23 @@ def parse(page: str) -> Node:
             regions += node.region
     if at < len(page):
         stack[-1].items.append(page[at:])
+    _open_chrome(held)
     return root
 
 
+def _open_chrome(held: list[tuple[Node, list[Node]]]) -> None:
+    """What holds an article or main is not chrome.
+
+    An article in an aside, menu, footer or hidden element counts only where no
+    region stands elsewhere: there it is a teaser.
+    """
+    teaser = lambda node, n: n.hidden or n.tag in ASIDES and node.tag != "main"
+    shown = [x for x in held if not any(teaser(x[0], n) for n in x[1])]
+    for _, around in shown or held:
+        for n in around:
+            n.chrome = False
+
+
 def _text(items: list, out: list[str], chrome: bool, fixed: set[int]) -> None:
     """Texts in page order, with a space at block ends."""
     todo = [iter(items)]
@@ -302,7 +335,7 @@ def extract(page: str | None, template: str | None = None, constant: frozenset[i
         if id(f) in skip or not own:
             continue
         if own[0].region:
-            regions.append((constant_here, _inner_regions(own)))
+            regions.append((constant_here, own))
         else:
             fixed.update(map(id, f.members))
     if regions:
@@ -311,14 +344,6 @@ def extract(page: str | None, template: str | None = None, constant: frozenset[i
     return text_of([root], fixed=fixed)
 
 
-def _inner_regions(nodes: list[Node]) -> list[Node]:
-    out = []
-    for n in nodes:
-        inner = [x for x in n.items if isinstance(x, Node) and x.tag == "article" and not x.chrome] if n.tag != "article" else []
-        out += inner or [n]
-    return out
-
-
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 

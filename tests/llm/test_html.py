@@ -56,6 +56,21 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert set(texts(spark, rows).values()) == {"Same again"}
 
 
+def test_words_of_a_class_do_not_hide_an_article():
+    for name in ("has-sidebar", "with-nav", "legal-news", "share-price"):
+        assert hx.extract(f"<div class='{name}'><p>text</p></div>") == "text"
+    for name in ("sidebar", "cookie-banner", "site-footer", "x nav"):
+        assert hx.extract(f"<div class='{name}'><p>no</p></div><p>text</p>") == "text"
+        assert hx.extract(f"<div class='{name}'><article>text</article></div>") == "text"
+    assert hx.extract("<form><nav>no</nav><main>text</main></form>") == "text"
+    assert hx.extract("<article>text</article><aside><article>teaser</article></aside>") == "text"
+
+
+def test_self_closed_svg_and_all_of_main():
+    assert hx.extract("<p>a</p><svg/><p>b</p><math /><p>c</p><svg><path/>d</svg><p>e</p>") == "a b c e"
+    assert hx.extract("<main><h1>Head</h1><p>lede</p><nav>no</nav><article>one</article><article>two</article></main>") == "Head lede one two"
+
+
 def stm(a, b):
     """Plain simple tree matching of (label, children) trees: its size."""
     if a[0] != b[0]:
