@@ -12,11 +12,13 @@
 3. A template node is constant when at least ``MIN_PAGES`` different pages
    align with it and ``CONSTANT_SHARE`` of them have the same text there;
    other nodes are slots.
-4. Extraction aligns each page with its wrapper again. A varying article or
-   main region is a content slot and kept whole, except for chrome (menus,
-   headers, footers, sidebars, notices, adverts, forms, comments, by tag, role
-   or class word). A page without such a region gives the text of its slots;
-   constant nodes are left out.
+4. Extraction aligns each page with its wrapper again and leaves out chrome
+   (menus, headers, footers, sidebars, notices, adverts, forms, comments, by
+   tag, role or class) and the constant nodes that have the constant's text on
+   this very page, inside an article or main region as outside. Of the rest the
+   regions are the page's text, unless the slots outside them say more; a page
+   without a region gives all of its slots. Where the regions of a page are
+   constant throughout and nothing longer stands outside, they are its text.
 
 Blocks are joined by one space and white space is collapsed; character
 references are decoded. A host with too few pages has no constant nodes.
@@ -316,32 +318,38 @@ def align(template: str, page: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-def extract(page: str | None, template: str | None = None, constant: frozenset[int] = frozenset()) -> str:
-    """Main text of a page under its host's wrapper."""
+def extract(page: str | None, template: str | None = None, constant: dict[int, int] | None = None) -> str:
+    """Main text of a page under its host's wrapper; ``constant``: text hash by constant template node."""
     if not page:
         return ""
     root = parse(page)
     folded = preorder(fold(root))
     at = align(template, shape_of(folded)) if template else (-1,) * len(folded)
-    regions: list[tuple[bool, list[Node]]] = []
+    constant = constant or {}
+    regions: list[Node] = []
     fixed: set[int] = set()  # nodes that are template
     skip: set[int] = set()  # folded nodes below a decision
+    inside: set[int] = set()  # folded nodes within a region
     for i, f in enumerate(folded):
         own = [n for n in f.members if not n.chrome]
-        constant_here = at[i] in constant and f.label not in ("", "html", "body")
-        if id(f) not in skip and own and not own[0].region and not constant_here:
-            continue
-        skip.update(map(id, f.children))
         if id(f) in skip or not own:
+            skip.update(map(id, f.children))
             continue
-        if own[0].region:
-            regions.append((constant_here, own))
-        else:
+        if id(f) in inside or own[0].region:
+            if id(f) not in inside:
+                regions += own
+            inside.update(map(id, f.children))
+        if at[i] in constant and f.label not in ("", "html", "body") and _hash(text_of(f.members, chrome=True)) == constant[at[i]]:
             fixed.update(map(id, f.members))
-    if regions:
-        varying = [r for same, r in regions if not same] or [r for _, r in regions]
-        return text_of([n for r in varying for n in r])
-    return text_of([root], fixed=fixed)
+            skip.update(map(id, f.children))
+    if not regions:
+        return text_of([root], fixed=fixed)
+    # Regions that are template as a whole yield to the others, but a page keeps its only text.
+    kept = [n for n in regions if id(n) not in fixed]
+    told = text_of(kept, fixed=fixed) or text_of(regions)
+    beside = text_of([root], fixed=fixed | set(map(id, regions)))
+    # A region that says less than the slots outside is a teaser: the page is all of its slots.
+    return text_of([root], fixed=fixed) or told if len(beside) > len(told) else told
 
 
 def _hash(text: str) -> int:
@@ -372,7 +380,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols = (b.column(i).to_pylist() for i in (2, 3, 4))
-        texts = [extract(page, t, frozenset(c or ())) for page, t, c in zip(*cols)]
+        texts = [extract(page, t, {x["node"]: x["hash"] for x in c or ()}) for page, t, c in zip(*cols)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -384,7 +392,7 @@ def _rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
 
 
 def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template, constant): one wrapper per host, as a shared table."""
+    """(host, template, constant): one wrapper per host with its constant nodes and their texts' hashes, as a shared table."""
     store.python_ready(pages.sparkSession)
     seen = _rows(pages, id_col, url_col, html_col).select("host", "html")
     seen = seen.mapInArrow(_observe, "host string, shape string, hashes array<bigint>")
@@ -401,16 +409,18 @@ def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         .groupBy("host", F.col("x.nodes").alias("node"), F.col("x.hashes").alias("hash"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    stats = counts.groupBy("host", "node").agg(F.sum("n").alias("pages"), F.max("n").alias("most"))
+    stats = counts.groupBy("host", "node").agg(
+        F.sum("n").alias("pages"), F.max("n").alias("most"), F.max_by("hash", F.struct("n", "hash")).alias("hash")
+    )
     fixed = stats.where((F.col("pages") >= MIN_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("pages")))
-    constant = fixed.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant"))
+    constant = fixed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "hash"))).alias("constant"))
     return store.write_shared(templates.join(constant, "host", "left"), "html-wrappers")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: page_id, url, text."""
     wrappers = induce(pages, id_col, url_col, html_col)
-    size = wrappers.agg(F.sum(F.octet_length("host") + F.octet_length("template") + 64 + 4 * F.coalesce(F.size("constant"), F.lit(0)))).first()[0]
+    size = wrappers.agg(F.sum(F.octet_length("host") + F.octet_length("template") + 64 + 12 * F.coalesce(F.size("constant"), F.lit(0)))).first()[0]
     if (size or 0) <= BROADCAST_BYTES:
         wrappers = F.broadcast(wrappers)
     rows = _rows(pages, id_col, url_col, html_col).join(wrappers, "host", "left")

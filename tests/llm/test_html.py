@@ -71,6 +71,18 @@ def test_self_closed_svg_and_all_of_main():
     assert hx.extract("<main><h1>Head</h1><p>lede</p><nav>no</nav><article>one</article><article>two</article></main>") == "Head lede one two"
 
 
+def test_constant_nodes_go_by_their_text(spark):
+    plain = lambda i, x: (i, f"http://p.org/{i}", f"<body><div class='top'>Hello</div><div class='story'>{x}</div><div class='key'>{i}</div></body>")
+    got = texts(spark, [plain(i, "Nothing new" if i < 19 else "Real news") for i in range(20)])
+    assert got[19] == "Real news 19" and got[3] == "3"
+    inner = lambda i: f"<article><h1>T{i}</h1><div class='hint'>Read our terms</div><p>Body {i}</p></article>"
+    got = texts(spark, [(i, "http://q.org", f"<body>{inner(i)}</body>") for i in range(12)])
+    assert got[5] == "T5 Body 5"
+    teaser = lambda i: f"<article>More {i}</article><div class='story'>A long story, number {i}</div>"
+    got = texts(spark, [(i, "http://r.org", f"<body>{teaser(i)}</body>") for i in range(12)])
+    assert got[5] == "More 5 A long story, number 5"
+
+
 def stm(a, b):
     """Plain simple tree matching of (label, children) trees: its size."""
     if a[0] != b[0]:
