@@ -10,7 +10,9 @@ the spans of the base patterns as labels, on a bounded sample: the
 ``SAMPLE_DOCS`` documents with the smallest id hashes.
 
 One structural zero keeps decoding exact and cheap: a plain word (letters
-only, fewer than ``LONG`` signs) and a bare sign are always O. Tokens next to
+only, all lower-case or capitalised, fewer than ``LONG`` signs, with or without
+signs of ``_EDGE`` around it) and a bare sign are always O; every other token
+is open, also one without a digit (mixed case, mixed signs). Tokens next to
 such a token have no link across it, so the best path of the text is the best
 path of each run of other tokens, and only those are decoded.
 
@@ -39,6 +41,7 @@ from reelhouse.llm import store
 # The sample the field is fitted on: documents, and runs of tokens from them.
 SAMPLE_DOCS = 20_000
 SAMPLE_RUNS = 20_000
+PIECE = 16
 LONG = 20
 NEAR_CHARS = 40
 RIDGE = 0.05
@@ -57,12 +60,14 @@ _NAMES = re.compile("passw|secret|token|api_?key|credential|private|auth", re.I
 _SIGN = r"[^\s\"'`=:;,(){}\[\]<>]"
 _TOKEN = re.compile(rf"{_SIGN}+|[\"'`=:;,(){{}}\[\]<>]")
 _EDGE = ".!?#*%$&|~^"
-# Tokens the field may tag: with a digit or underscore, or long.
-_OPEN = re.compile(rf"(?<!{_SIGN})(?:(?={_SIGN}*[0-9_])|(?={_SIGN}{{{LONG}}})){_SIGN}+")
+# Tokens the field may tag: all but plain words; ``plain`` has the last word on other alphabets.
+_OPEN = re.compile(
+    rf"(?<!{_SIGN})(?![{re.escape(_EDGE)}]*+(?:[^\W\d_][a-z\xdf-\xf6\xf8-\xff]{{0,{LONG - 2}}}+)?[{re.escape(_EDGE)}]*+(?!{_SIGN})){_SIGN}+"
+)
 
 B, I, O = 0, 1, 2
 # Shapes: character class x length step x variety of signs; then words and single signs.
-_CLASSES = ("digits", "number", "lowhex", "uphex", "lowalnum", "upalnum", "mixed", "mixedsigns", "at", "letters", "other")
+_CLASSES = ("digits", "number", "lowhex", "uphex", "lowalnum", "upalnum", "mixed", "mixedsigns", "at", "letters", "other", "mixedcase", "lettersigns")
 _STEPS = (4, 8, 12, 16, 20, 24, 32, 48)
 _WORD, _NAME, _END = (len(_CLASSES) * (len(_STEPS) + 1) * 2 + i for i in range(3))
 _SIGNS = {c: _END + 1 + i for i, c in enumerate("=:\"'`;,(){}[]<>")}
@@ -93,12 +98,18 @@ def _secret_parts(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def shape(token: str) -> int:
-    """Shape number of a token."""
+def plain(token: str) -> bool:
+    """A bare sign or a short word in lower case or capitalised: always outside."""
+    t = token.strip(_EDGE)
+    return not t or t.isalpha() and len(t) < LONG and t[1:] == t[1:].lower()
+
+
+def shape(token: str, own: bool = False) -> int:
+    """Shape number of a token; ``own``: of one that is tagged, where names of secrets are signs too."""
     if token in _SIGNS:
         return _SIGNS[token]
     t = token.strip(_EDGE)
-    if t.isalpha() and len(t) < LONG or not t:
+    if t.isalpha() and len(t) < LONG and not own or not t:
         return _NAME if t and _NAMES.search(t) else _WORD
     low, up = t != t.upper(), t != t.lower()
     digit = any(c.isdigit() for c in t)
@@ -109,12 +120,14 @@ def shape(token: str) -> int:
     elif digit and not low and not up:
         kind = 1
     elif t.isalpha():
-        kind = 9
+        kind = 9 if t[1:] == t[1:].lower() else 11
     elif t.isalnum() and t.isascii():
         hexa = all(c in "0123456789abcdefABCDEF" for c in t)
         kind = 6 if low and up else (2 if low else 3) if hexa else 4 if low else 5
     elif digit and all(c.isascii() and (c.isalnum() or c in "+/_-.") for c in t):
         kind = 7
+    elif not digit and all(c.isalpha() or c in "+/_-.!?#*%$&|~^\\" for c in t):
+        kind = 12
     else:
         kind = 10
     step = sum(len(t) >= s for s in _STEPS)
@@ -154,9 +167,9 @@ def runs(text: str) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
     file = -1
     last_end = -1
     for m in _OPEN.finditer(text):
-        own = shape(m[0])
-        if own in (_WORD, _NAME):  # plain once its edge signs are gone
+        if plain(m[0]):
             continue
+        own = shape(m[0], own=True)
         if file < 0:
             file = file_features(text)
         if spans and not text[last_end : m.start()].isspace():
@@ -274,14 +287,21 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], steps: int = STEPS
     for f, y, weight in examples:
         for to, x in zip(groups.setdefault(len(y), ([], [], [])), (f, y, weight)):
             to.append(x)
-    data = [(field.numbers(np.stack(f)), np.stack(y), np.array(v)) for f, y, v in groups.values()]
+    # Tokens with equal features are summed up before their weights are touched.
+    kinds, of = np.unique(np.concatenate([np.concatenate(f) for f, _, _ in groups.values()]), axis=0, return_inverse=True)
+    numbers, of, data, at = field.numbers(kinds), of.ravel(), [], 0
+    for length, (f, y, v) in groups.items():
+        data.append((of[at : at + len(f) * length].reshape(len(f), length), np.stack(y), np.array(v)))
+        at += len(f) * length
     total = sum(float(v.sum()) for _, _, v in data)
     w = field.weights
     mean, var = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
         grad = -ridge * w / total
+        emitted, gains = field.weights[numbers].sum(axis=-2), np.zeros((len(kinds), 3))
+        links = field.links
         for f, y, v in data:
-            e, links = field.weights[f].sum(axis=-2), field.links
+            e = emitted[f]
             n, length = y.shape
             fwd = [field.first + e[:, 0]]
             for i in range(1, length):
@@ -291,17 +311,16 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, float]], steps: int = STEPS
                 bwd.append(_log_sum(links + (e[:, i] + bwd[-1])[:, None, :], 2))
             bwd = bwd[::-1]
             z = _log_sum(fwd[-1], 1)[:, None]
-            for i in range(length):
-                gain = v[:, None] * (np.eye(3)[y[:, i]] - np.exp(fwd[i] + bwd[i] - z))
-                for k in range(f.shape[-1]):
-                    np.add.at(grad, f[:, i, k], gain / total)
-                if i:
-                    pair = np.exp(fwd[i - 1][:, :, None] + links + (e[:, i] + bwd[i])[:, None, :] - z[:, :, None])
-                    seen = np.zeros((3, 3))
-                    np.add.at(seen, (y[:, i - 1], y[:, i]), v)
-                    grad[-4:-1] += (seen - (v[:, None, None] * pair).sum(axis=0)) / total
-                else:
-                    grad[-2] += gain.sum(axis=0) / total  # the link from O to the first token
+            gain = v[:, None, None] * (np.eye(3)[y] - np.exp(np.stack(fwd, 1) + np.stack(bwd, 1) - z[:, None]))
+            for s in range(3):
+                gains[:, s] += np.bincount(f.ravel(), gain[:, :, s].ravel(), len(kinds))
+            grad[-2] += gain[:, 0].sum(axis=0) / total  # the link from O to the first token
+            for i in range(1, length):
+                pair = np.exp(fwd[i - 1][:, :, None] + links + (e[:, i] + bwd[i])[:, None, :] - z[:, :, None])
+                seen = np.bincount(3 * y[:, i - 1] + y[:, i], v, 9).reshape(3, 3)
+                grad[-4:-1] += (seen - (v[:, None, None] * pair).sum(axis=0)) / total
+        for k in range(numbers.shape[-1]):
+            np.add.at(grad, numbers[:, k], gains / total)
         mean = 0.9 * mean + 0.1 * grad
         var = 0.99 * var + 0.01 * grad**2
         field.weights = w = w + 0.2 * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-8)
@@ -325,8 +344,13 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
                     for p, q in spans:
                         hit = next((s for s in parts if s[0] < q and p < s[1]), None)
                         y.append(O if hit is None else I if y and y[-1] != O and hit[0] < p else B)
-                    feats.append(f.ravel())
-                    tags.append(y)
+                    # What follows an O starts like a run, so a long run is learnt in pieces.
+                    lo = 0
+                    for hi in range(1, len(y) + 1):
+                        if hi == len(y) or hi - lo >= PIECE and y[hi - 1] == O:
+                            feats.append(f[lo:hi].ravel())
+                            tags.append(y[lo:hi])
+                            lo = hi
             yield pa.RecordBatch.from_arrays(
                 [pa.array(feats, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int32()))], names=["f", "y"]
             )

@@ -59,6 +59,25 @@ def test_trained_field_finds_labelled_and_new_secrets(docs):
     assert got[1].spans == [] and got[2].spans == []
 
 
+def test_tokens_without_a_digit_are_open():
+    tokens = ["Tr!ck+y-Pass/Word", "xK+pQ/zRtWvB", "CorrectHorseStaple", "accessToken", "QWERTY", "a-b", "a" * sc.LONG, "ÉtÉ"]
+    for t in tokens:
+        assert [[(4, 4 + len(t))]] == [spans for spans, _ in sc.runs(f"the {t} word")]
+        assert sc.shape(t, own=True) < sc._WORD
+    for t in ("word", "Word", "Été", "наш", "word.", "!", "?!", "*Word*", "über", "a", "I", "a" * (sc.LONG - 1)):
+        assert not list(sc.runs(f"the {t} word")) and sc.plain(t)
+
+
+def test_field_finds_secrets_without_a_digit(docs):
+    rnd = random.Random(11)
+    key = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/") for _ in range(16))
+    texts = [f"well-known words and so on, password = {key()} end" if i % 3 == 0 else f"a by-and-by note no {i}" for i in range(300)]
+    field = sc.train(docs(texts).select("doc_id", "text"))
+    token = "xKpQ/zRtWvBmNoLs"
+    assert field.secrets(f"my password is {token} now") == [(15, 31)]
+    assert field.secrets("a by-and-by note, well-known") == []
+
+
 def brute_best(field, feats):
     e, links = field.emit(feats), field.links
     score = lambda y: field.first[y[0]] + sum(e[i, t] for i, t in enumerate(y)) + sum(links[a, b] for a, b in zip(y, y[1:]))
