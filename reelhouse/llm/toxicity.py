@@ -328,15 +328,20 @@ def score_documents(
     examples: int = EXAMPLES,
     vocabulary: int = VOCABULARY,
     k: int = NEIGHBOURS,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted, evidence (neighbour id and cosine)."""
+    """Per row of ``docs``: doc_id, held_out, score, predicted, evidence (neighbour id and cosine).
+
+    ``key_col``: a long column that is carried along, to tell rows apart.
+    """
     spark = docs.sparkSession
     store.python_ready(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    carried = [key_col] if key_col else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carried)
     train = store.write_shared(_labelled(labels), "tox-train")
     sample = _sample(rows, train, examples)
     terms = {t: i for i, t in enumerate(_vocabulary(sample, vocabulary))}
-    vectors = store.write_shared(_counts(rows, terms, "doc_id long"), "tox-vectors")
+    vectors = store.write_shared(_counts(rows, terms, ", ".join(f"{c} long" for c in ["doc_id", *carried])), "tox-vectors")
     shared = spark.sparkContext.broadcast(fit(vectors, sample, train, terms, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +350,7 @@ def score_documents(
         bare = model.bare, []
         for b in batches:
             out = []
-            for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist()):
                 if not set(t) - {len(model.terms)}:
                     out.append(bare)
                     continue
@@ -361,12 +366,14 @@ def score_documents(
                     b.column(0),
                     pa.array([s for s, _ in out], pa.float64()),
                     pa.array([e for _, e in out], pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
+                    *[b.column(c) for c in carried],
                 ],
-                names=["doc_id", "score", "evidence"],
+                names=["doc_id", "score", "evidence", *carried],
             )
 
-    scored = vectors.mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id: bigint, cosine: double>>")
+    schema = "doc_id long, score double, evidence array<struct<doc_id: bigint, cosine: double>>"
+    scored = vectors.mapInArrow(run, ", ".join([schema, *[f"{c} long" for c in carried]]))
     held = F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False))
     return scored.select(
-        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", *carried
     )
