@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL, with production parameters."""
+"""The registered queries of the operators and their SQL, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import chat, decontam, exact_dedup, html_extract, packing, pii, secrets, simhash, store, toxicity, warc
+from reelhouse.llm import align, chat, decontam, exact_dedup, html_extract, packing, pii, secrets, simhash, spelling, store, topk, toxicity, warc
 
 # Folder of the public tokenizer files; a parameter of every function that uses one.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -103,6 +103,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(store.table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(store.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = store.table(spark, sf_dir, "documents")
+    return align.align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -114,6 +127,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_html": op9_html,
     "op10_secrets": op10_secrets,
+    "op11_spelling": op11_spelling,
+    "op12_topk": op12_topk,
+    "op13_align": op13_align,
 }
 
 ORACLE = {
@@ -176,4 +192,16 @@ ORACLE = {
         GROUP BY doc_id, item_id
         HAVING count(*) * 10 >= any_value(item_shingles) * 8
     """,
+    "op12_topk": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 5
+    """,
 }

@@ -4,10 +4,10 @@ import duckdb
 import pytest
 
 from conftest import SF_SMALL
-from llm import test_packing, test_pii, test_secrets, test_simhash
+from llm import test_align, test_packing, test_pii, test_secrets, test_simhash, test_spelling
 from reelhouse.llm import queries
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +85,28 @@ def test_op9_has_the_article_text(spark, duck):
         body = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
         body = re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", body))
         assert got[i].text == " ".join(html.unescape(body).split()) and got[i].n_chars == len(got[i].text)
+
+
+def test_op11(spark, duck):
+    words = test_spelling.brute_counts(documents(duck).items())
+    assert test_spelling.got(queries.op11_spelling(spark, SF_SMALL)) == test_spelling.brute_groups(words)
+
+
+def test_op13(spark, duck):
+    from reelhouse.llm import align
+
+    both = align.Aligner(test_align.A, test_align.B)
+    docs = documents(duck)
+    want = {i: test_align.brute(both, t) for i, t in docs.items()}
+    total, most = {}, {}
+    for w in want.values():
+        for p, n in w[4].items():
+            total[p] = total.get(p, 0) + n
+    for (_, b), n in total.items():
+        most[b] = max(most.get(b, 0), n)
+    for r in queries.op13_align(spark, SF_SMALL).collect():
+        a, b, g, h, links = want.pop(r.doc_id)
+        best = sum(n for p, n in links.items() if total[p] == most[p[1]])
+        sums = sum(n * total[p] for p, n in links.items())
+        assert tuple(r) == (r.doc_id, a, b, g, g, best, sums, h)
+    assert not want
