@@ -7,8 +7,11 @@ Thresholds and defaults are arguments whose defaults are the catalogue's.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 ColumnOrName = Column | str
 
@@ -145,3 +148,8 @@ def explode_distinct(arr: ColumnOrName) -> Column:
     De-duplicating inside the array replaces a shuffle on (key, element).
     """
     return F.explode(F.array_distinct(F.array_compact(_col(arr))))
+
+
+def wall_clock(at: dt.datetime, like: DataType) -> Column:
+    """A point of time as a literal of a timestamp column's type, by its wall-clock reading."""
+    return F.lit(at.isoformat(sep=" ")).cast(like)

@@ -10,6 +10,7 @@ first sample of a bucket from the last value of the previous non-empty bucket
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelhouse.functions.expressions import wall_clock
+
 # --- metric-name mapping (M1, M2) -------------------------------------------
 
 
@@ -179,10 +182,39 @@ def rate_per_minute(
     )
 
 
-def trailing_increase(deltas: DataFrame, at: Column, lookback: str = "24 hours", ts: str = "ts") -> DataFrame:
-    """M4: ``sum(increase(counter[lookback]))`` over all series at an instant (one row)."""
-    recent = deltas.filter((F.col(ts) <= at) & (F.col(ts) > at - F.expr(f"INTERVAL {lookback}")))
-    return recent.agg(F.coalesce(F.sum("delta"), F.lit(0.0)).alias("increase"))
+def last_before(samples: DataFrame, series: Sequence[str], before: Column, ts: str = "ts", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The last sample of each series up to an instant (as-of predecessor), whole rows.
+
+    A plain aggregate, combined map-side: one row per series and task moves.
+    """
+    order = F.struct(*[F.col(c) for c in [ts, *tiebreak]])
+    rest = [c for c in samples.columns if c not in series]
+    kept = samples.filter(F.col(ts) <= before).groupBy(*series).agg(F.max_by(F.struct(*rest), order).alias("_s"))
+    return kept.select(*series, "_s.*").select(*samples.columns)
+
+
+def trailing_increase(
+    samples: DataFrame,
+    series: Sequence[str],
+    at: dt.datetime,
+    lookback: dt.timedelta = dt.timedelta(hours=24),
+    ts: str = "ts",
+    value: str = "value",
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """M4: ``sum(increase(counter[lookback]))`` over all series at an instant (one row).
+
+    Only the samples of the look-back window are compared with each other; the
+    window is a literal range of the time, so it is a pushed filter of their
+    scan. Each series' sample before the window joins them as the predecessor
+    of its first one, so an increase across the window's start counts.
+    """
+    until, since = (wall_clock(t, samples.schema[ts].dataType) for t in (at, at - lookback))
+    known = samples.select(*series, ts, *tiebreak, value).filter(F.col(value).isNotNull())
+    recent = known.filter((F.col(ts) <= until) & (F.col(ts) > since))
+    both = recent.unionByName(last_before(known, series, since, ts, tiebreak))
+    deltas = counter_deltas(both, series, ts, value, tiebreak).filter(F.col(ts) > since)
+    return deltas.agg(F.coalesce(F.sum("delta"), F.lit(0.0)).alias("increase"))
 
 
 # --- gauges (M5-M7, M9, M10) -------------------------------------------------
@@ -207,7 +239,50 @@ def last_and_max(
     )
 
 
-QUANTILE_RANGES = 1_024
+# Size parameter of the quantile sketches: a rank is right to about a quarter of a percent.
+SKETCH_K = 2_048
+# Ranks around the quantile at which a group's values are cut, as distances from it.
+PIVOT_DISTANCES = (1 / 256, 1 / 64, 1 / 16, 1 / 4)
+
+
+def _keyed(group: Sequence[str], suffix: str = "") -> list[str]:
+    return [f"_g{i}{suffix}" for i in range(len(group))]
+
+
+def _same_group(group: Sequence[str], suffix: str) -> Column:
+    """Equality of the group's keys with those of the same names and a suffix (NULL equals NULL)."""
+    pairs = zip(_keyed(group), _keyed(group, suffix))
+    return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs], F.lit(True))
+
+
+def quantile_ranges(rows: DataFrame, group: Sequence[str], q: float, sketch_k: int = SKETCH_K) -> DataFrame:
+    """The ranges of values that hold a group's quantile, at most two per group.
+
+    ``rows``: the group's keys as ``_keyed`` names them, and ``_v``. Returns
+    the keys with suffix r, the range's number, its smallest and largest value
+    ``_lo`` and ``_hi``, the values in it and ``_before`` it, and the position
+    of the quantile in the group.
+    """
+    keys = _keyed(group)
+    known = rows.where("_v is not null")
+    # One row per group: its count, the ranks around the quantile, the pivots.
+    groups = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.kll_sketch_agg_double("_v", F.lit(sketch_k)).alias("_s"))
+    ranks = sorted({min(max(q + d * sign, 0.0), 1.0) for d in PIVOT_DISTANCES for sign in (-1, 1)})
+    pivots = F.array(*[F.kll_sketch_get_quantile_double("_s", F.lit(r)) for r in ranks])
+    pos = (F.col("_n") - 1) * F.lit(float(q))
+    cut = groups.where("_n > 0").select(
+        *[F.col(k).alias(f"{k}c") for k in keys], pos.alias("_pos"), F.floor(pos).alias("_below"), pivots.alias("_p")
+    )
+    # A value's range is the number of pivots up to it.
+    number = reduce(lambda x, y: x + y, [(F.col("_v") >= F.get("_p", F.lit(i))).cast("int") for i in range(len(ranks))])
+    placed = known.join(cut, _same_group(group, "c")).select(*keys, "_v", "_pos", "_below", number.alias("_r"))
+    counted = placed.groupBy(*keys, "_r", "_pos", "_below").agg(
+        F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    running = Window.partitionBy(*keys).orderBy("_r")
+    counted = counted.withColumn("_before", F.sum("_m").over(running) - F.col("_m"))
+    needed = counted.where("_before <= _below + 1 and _before + _m > _below")
+    return needed.select(*[F.col(k).alias(f"{k}r") for k in keys], F.col("_r").alias("_range"), "_pos", "_below", "_before", "_m", "_lo", "_hi")
 
 
 def quantile(
@@ -217,46 +292,38 @@ def quantile(
     value: str = "value",
     exact: bool = True,
     accuracy: int = 10_000,
-    ranges: int = QUANTILE_RANGES,
+    sketch_k: int = SKETCH_K,
 ) -> DataFrame:
     """M6: q-quantile per group (linear interpolation), NULL for groups without values.
 
-    Exact without gathering a group: rows are counted per (group, value), the
-    values of a group are cut into ``ranges`` equal ranges, the running count
-    of the ranges (a bounded frame per group) tells which ranges hold the two
-    ranks needed, and only values of those ranges are ordered.
-    ``exact=False`` uses ``percentile_approx`` with fixed-size sketches.
+    Exact without ordering or gathering a group, in three passes that shuffle
+    a bounded number of rows per task and group, the last one also the rows
+    around the quantile:
+
+    1. a mergeable sketch per group (KLL, combined map-side) and the count of
+       its values give pivots at ranks around the quantile;
+    2. the values between neighbouring pivots are counted exactly, and the
+       running counts tell which ranges hold the two ranks needed;
+    3. only values of those ranges are counted by value and ordered.
+
+    Pivots follow ranks, not values, so an outlier widens no range that
+    matters, and a range holds about one in a hundred of a group's rows. The
+    sketch only decides where the cuts are: the counts make the result exact
+    wherever they fall. ``exact=False`` uses ``percentile_approx``.
     """
     name = f"p{int(round(q * 100))}"
     group = list(group)
     if not exact:
         return samples.groupBy(*group).agg(F.percentile_approx(value, q, accuracy).alias(name))
-    keys = [f"_g{i}" for i in range(len(group))]
-    cols = [F.col(g).alias(k) for g, k in zip(group, keys)]
-    seen = samples.select(*cols, F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    known = seen.where("_v is not null")
-    # One row per group: the ends of its values and the two ranks around the quantile.
-    pos = (F.col("_all") - 1) * F.lit(float(q))
-    ends = known.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_all"))
-    ends = ends.select(
-        *[F.col(k).alias(f"{k}e") for k in keys], "_lo", "_hi", pos.alias("_pos"), F.floor(pos).alias("_below")
-    )
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}e")) for k in keys], F.lit(True))
-    width = F.col("_hi") - F.col("_lo")
-    at = F.when(width > 0, F.floor((F.col("_v") - F.col("_lo")) / width * ranges)).otherwise(0)
-    placed = known.join(ends, same).withColumn("_r", F.coalesce(at, F.lit(0)).cast("long"))
-    per_range = placed.groupBy(*keys, "_r").agg(F.sum("_n").alias("_m"), F.first("_below").alias("_below"))
-    w = Window.partitionBy(*keys).orderBy("_r")
-    per_range = per_range.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
-    needed = per_range.where("_before <= _below + 1 and _before + _m > _below").select(
-        *[F.col(k).alias(f"{k}r") for k in keys], F.col("_r").alias("_rr"), "_before"
-    )
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys], F.col("_r") == F.col("_rr"))
-    inside = Window.partitionBy(*keys, "_r").orderBy("_v")
+    keys = _keyed(group)
+    rows = samples.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(value).cast("double").alias("_v"))
+    needed = quantile_ranges(rows, group, q, sketch_k)
+    inside = Window.partitionBy(*keys, "_range").orderBy("_v")
     ranked = (
-        placed.join(needed, same)
+        rows.where("_v is not null")
+        .join(needed, _same_group(group, "r") & (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        .groupBy(*keys, "_range", "_pos", "_below", "_before", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .where("_end > _below and _end - _n <= _below + 1")
     )
@@ -265,7 +332,7 @@ def quantile(
     part = F.first("_pos") - F.first("_below")
     found = ranked.groupBy(*keys).agg((low + (F.coalesce(high, low) - low) * part).alias(name))
     # Groups that have NULL values only still get their row.
-    rest = seen.groupBy(*keys).agg(F.max("_v").alias("_v")).where("_v is null").select(*keys, F.col("_v").alias(name))
+    rest = rows.groupBy(*keys).agg(F.max("_v").alias(name)).where(F.col(name).isNull())
     return found.unionByName(rest).select(*[F.col(k).alias(g) for k, g in zip(keys, group)], name)
 
 

@@ -331,6 +331,12 @@ def suite_sql(ctes: str, lines: str) -> str:
     )
 
 
+# The chain of the first listing date alone.
+DATED_RUN = ",".join([
+    RAW.replace("raw_items AS", "all_items AS") + ",\nraw_items AS (SELECT * FROM all_items WHERE ingestion_date = '2024-01-01')",
+    CLEAN, LOOKUPS, ENRICH,
+])
+
 GENRE_LIST = "array_to_string(list_sort(genre_ids), ',')"
 
 ORACLE: dict[str, str] = {
@@ -352,6 +358,64 @@ UNION ALL SELECT '2024-01-02', 0""",
     + f"""
 SELECT id, title, {GENRE_LIST} AS genre_list, popularity, release_date, vote_count
 FROM raw_items WHERE ingestion_date = '2024-01-01'""",
+    "pages_complete": """
+WITH numbers AS (
+  SELECT unnest(range(1, (SELECT max(o_orderkey) // 250 + 2 FROM orders))) AS page),
+saved AS (
+  SELECT page, CASE WHEN page % 4 = 0 THEN 2 ELSE 1 END AS n FROM numbers WHERE page % 5 <> 3)
+SELECT 'gap' AS kind, page AS page_from, page AS page_to, CAST(1 AS BIGINT) AS n FROM numbers WHERE page % 5 = 3
+UNION ALL SELECT 'repeated', page, page, n FROM saved WHERE n > 1""",
+    "lake_rerun_failed": with_(RAW)
+    + """
+SELECT ingestion_date, count(*) AS n_rows, CAST(sum(vote_count) AS BIGINT) AS n_votes FROM raw_items GROUP BY ingestion_date""",
+    "load_versions": with_(RAW)
+    + """,
+days AS (
+  SELECT ingestion_date AS day, count(*) AS n_rows, CAST(sum(vote_count) AS BIGINT) AS n_votes
+  FROM raw_items GROUP BY ingestion_date),
+steps(step, day, n_versions) AS (
+  VALUES ('1 loaded', '2024-01-01', 1), ('2 died before publishing', '2024-01-01', 2),
+         ('3 failed', '2024-01-01', 2), ('4 loaded again', '2024-01-02', 2))
+SELECT step, n_rows, n_votes, n_versions FROM steps JOIN days USING (day)""",
+    "latest_merge": with_(RAW)
+    + """,
+listed AS (
+  SELECT id, ingestion_date, popularity, title FROM raw_items
+  UNION ALL SELECT id, '2024-01-03', popularity * 2, title FROM raw_items WHERE ingestion_date = '2024-01-01' AND id % 3 = 0)
+SELECT id, ingestion_date, popularity, title FROM listed WHERE id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingestion_date DESC) = 1""",
+    "drift_gate": with_(RAW)
+    + """
+SELECT trim(overview) AS status, count(*) AS n_rows, CAST(sum(vote_count) AS BIGINT) AS n_votes, CAST(2 AS BIGINT) AS n_drifted
+FROM raw_items WHERE trim(overview) = 'F' GROUP BY 1""",
+    "dated_run": with_(DATED_RUN)
+    + """,
+c AS (
+  SELECT (SELECT count(*) FROM raw_items) AS raw, (SELECT count(*) FROM clean_items) AS items,
+         (SELECT count(*) FROM item_genres) AS pairs, (SELECT count(*) FROM dim_genre) AS genres,
+         (SELECT count(*) FROM dim_country) AS countries, (SELECT count(*) FROM dim_language) AS languages)
+SELECT layer, dataset, n_rows, 'success' AS status FROM c, LATERAL (VALUES
+  ('ingest', 'movies', raw), ('ingest', 'genres', genres), ('ingest', 'countries', countries), ('ingest', 'languages', languages),
+  ('staging', 'movies', items), ('staging', 'movies_raw', raw), ('staging', 'movies_rejected', raw - items),
+  ('staging', 'genres', genres), ('staging', 'countries', countries), ('staging', 'languages', languages),
+  ('curated', 'movies_enriched', items), ('curated', 'movie_genres', pairs), ('curated', 'dim_genre', genres),
+  ('curated', 'dim_country', countries), ('curated', 'dim_language', languages),
+  ('warehouse', 'movies_enriched', items), ('warehouse', 'movie_genres', pairs), ('warehouse', 'dim_genre', genres),
+  ('warehouse', 'dim_country', countries), ('warehouse', 'dim_language', languages),
+  ('source_tests', 'tests', 11), ('model_tests', 'tests', 40), ('counts', 'tables', 6),
+  ('marts', 'fact_items', items), ('marts', 'bridge_item_genre', pairs), ('marts', 'dim_genre', genres),
+  ('marts', 'dim_country', countries), ('marts', 'dim_language', languages), ('marts', 'dim_date', 47846)
+) t(layer, dataset, n_rows)""",
+    "top_genres_rollup": with_(PIPELINE)
+    + """
+SELECT g.genre_name, count(DISTINCT b.movie_id) AS nb_items, round(avg(f.vote_average), 2) AS mean_vote
+FROM fact_items f JOIN bridge_item_genre b ON f.movie_id = b.movie_id
+JOIN dim_genre g ON b.genre_id = g.genre_id
+GROUP BY g.genre_name ORDER BY nb_items DESC, g.genre_name LIMIT 5""",
+    "metric_retention": """
+WITH mx AS (SELECT max(ts) AS m FROM events)
+SELECT CAST(ts AS DATE) AS day, count(*) AS n_kept, count(*) FILTER (ts >= m - INTERVAL 36 HOUR) AS n_recent
+FROM events, mx WHERE CAST(ts AS DATE) >= CAST(m - INTERVAL 7 DAY AS DATE) GROUP BY 1""",
     "load_counts": with_(PIPELINE)
     + """
 SELECT dataset, n_rows, n_rows AS n_table, 'success' AS status FROM (

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelhouse.operators import clean, quality
+from reelhouse.operators import analytics, clean, marts, quality
 from reelhouse.plans.catalogue import Catalogue, Raw
-from reelhouse.sources import io, schemas
+from reelhouse.sources import drift, io, schemas
 from reelhouse.sources.load import load_table
 
 MART_SCHEMAS = {
@@ -83,8 +83,24 @@ def _summary(spark: SparkSession, layer: str, counts: dict[str, int]) -> DataFra
     return spark.createDataFrame([(layer, k, int(v), "success") for k, v in counts.items()], LOG_SCHEMA)
 
 
-def run_staging(spark: SparkSession, root: str, ingestion_date: str) -> dict[str, int]:
-    """Raw partition -> cleaned staging partition, per dataset."""
+RAW_SCHEMAS = {
+    "movies": schemas.RAW_ITEMS,
+    "genres": schemas.RAW_GENRES,
+    "countries": schemas.RAW_COUNTRIES,
+    "languages": schemas.RAW_LANGUAGES,
+}
+
+
+def run_staging(spark: SparkSession, root: str, ingestion_date: str, set_drift_aside: bool = False) -> dict[str, int]:
+    """Raw partition -> cleaned staging partition, per dataset.
+
+    Every raw part file passes the drift gate first (S7): a drifted one stops
+    the stage by name, or is set aside and counted when that is asked for.
+    """
+    drifted = {
+        f"{name}_drifted": drift.drift_gate(spark, root, "raw", name, ingestion_date, schema, set_drift_aside)
+        for name, schema in RAW_SCHEMAS.items()
+    }
     raw = Raw(
         items=io.read_partition(spark, root, "raw", "movies", ingestion_date, schemas.RAW_ITEMS),
         genres=io.read_partition(spark, root, "raw", "genres", ingestion_date, schemas.RAW_GENRES),
@@ -101,6 +117,7 @@ def run_staging(spark: SparkSession, root: str, ingestion_date: str) -> dict[str
         "genres": io.write_partition(cat.stg_genres_clean, root, "staging", "genres", ingestion_date),
         "countries": io.write_partition(cat.stg_countries_clean, root, "staging", "countries", ingestion_date),
         "languages": io.write_partition(cat.stg_languages_clean, root, "staging", "languages", ingestion_date),
+        **{name: n for name, n in drifted.items() if n},
     }
 
 
@@ -188,6 +205,23 @@ def run_tests(
     return quality.run_suite(cat.models(names), checks)
 
 
+def run_counts(spark: SparkSession, curated: dict[str, int], marts_ns: str = "marts") -> dict[str, int]:
+    """Q8: the marts hold the rows that the curated layer promised; raises where one does not."""
+    expected = {
+        "fact_items": curated["movies_enriched"],
+        "bridge_item_genre": curated["movie_genres"],
+        **{name: curated[name] for name in ("dim_genre", "dim_country", "dim_language")},
+        "dim_date": marts.calendar_days(),
+    }
+    actual = analytics.row_counts({name: spark.table(io.qualified_name(marts_ns, name)) for name in expected})
+    wanted = spark.createDataFrame(list(expected.items()), "table_name string, n_rows long")
+    differing = quality.expect_counts(actual, wanted).collect()  # at most one row per mart
+    if differing:
+        told = ", ".join(f"{r.table_name} has {r.actual} rows for {r.expected}" for r in differing)
+        raise quality.DataQualityError(f"row counts differ: {told}")
+    return {"tables": len(expected)}
+
+
 def write_run_log(spark: SparkSession, summary: DataFrame, ingestion_date: str, table: str = "run_log") -> None:
     """The run log's rows of this date, one per layer and dataset; a re-run replaces them."""
     rows = summary.withColumn("run_date", F.lit(ingestion_date))
@@ -210,10 +244,13 @@ def run_pipeline(
     namespace: str = "raw",
     marts_ns: str = "marts",
     fail_on_test: bool = True,
+    set_drift_aside: bool = False,
+    log_table: str = "run_log",
 ) -> DataFrame:
     """The whole run for one date; returns a (layer, dataset, n_rows,
     status) summary. The source tests gate the marts, the others follow them
-    (Q7): with ``fail_on_test`` a failing one raises ``DataQualityError``.
+    (Q7): with ``fail_on_test`` a failing one raises ``DataQualityError``. The
+    row counts of the marts are compared with the curated layer last (Q8).
     The run log gets every step's status, also of a run that fails: the step
     that raised is ``failed`` and those after it are ``skipped``."""
     own = [c for c in quality.CATALOGUE_SUITE if c not in SOURCE_CHECKS]
@@ -224,13 +261,15 @@ def run_pipeline(
             quality.raise_on_failures(results)
         return {"tests": len(results)}
 
+    done: dict[str, dict[str, int]] = {}
     steps = {
-        "staging": lambda: run_staging(spark, root, ingestion_date),
+        "staging": lambda: run_staging(spark, root, ingestion_date, set_drift_aside),
         "curated": lambda: run_curated(spark, root, ingestion_date, as_of),
         "warehouse": lambda: run_load(spark, root, ingestion_date, namespace),
         "source_tests": lambda: tested(None, SOURCE_CHECKS),
         "marts": lambda: run_models(spark, namespace, marts_ns, as_of),
         "model_tests": lambda: tested(marts_ns, own),
+        "counts": lambda: run_counts(spark, done["curated"], marts_ns),
     }
     parts: list[DataFrame] = []
     failure: Exception | None = None
@@ -239,12 +278,13 @@ def run_pipeline(
             parts.append(spark.createDataFrame([(layer, "-", 0, "skipped")], LOG_SCHEMA))
             continue
         try:
-            parts.append(_summary(spark, layer, step()))
+            done[layer] = step()
+            parts.append(_summary(spark, layer, done[layer]))
         except Exception as e:  # logged below, then raised
             failure = e
             parts.append(spark.createDataFrame([(layer, "-", 0, "failed")], LOG_SCHEMA))
     summary = reduce(DataFrame.unionByName, parts)
-    write_run_log(spark, summary, ingestion_date)
+    write_run_log(spark, summary, ingestion_date, log_table)
     if failure is not None:
         raise failure
     return summary

@@ -7,18 +7,21 @@ whole. Arrays are reported as sorted comma lists and timestamps as
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions.expressions import date_key, explode_distinct
-from reelhouse.operators import analytics, clean, marts, metrics, quality
-from reelhouse.plans import fixtures
+from reelhouse.operators import analytics, clean, marts, metrics, quality, rollup
+from reelhouse.plans import fixtures, pipeline
 from reelhouse.plans.catalogue import Catalogue
 from reelhouse.session import scratch_path
-from reelhouse.sources import io, schemas
+from reelhouse.sources import drift, io, load, samples, schemas, snapshot
 from reelhouse.sources.load import align_to_schema, load_all
 from reelhouse.sources.schemas import schema_of
 
@@ -28,12 +31,17 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType
 # Reference date of the recent flag, so results do not drift with the clock.
 AS_OF = "2001-01-01"
 DISCOVER_PAGE = 3
+PAGE_IDS = 250
 MAX_PAGES = 3
 TOP_GENRES = 5
 ACCEPTED_LANGUAGES = ("en", "fr", "de")
 P99_SERIES = "view"
 SAMPLE_STEP = "15 seconds"
 RETENTION = "7 days"
+RETENTION_DAYS = 7
+RANGE_HOURS = 36
+THIRD_DATE = "2024-01-03"
+SNAPSHOT_BUCKETS = 16
 
 ORDERS_TARGET = schema_of(
     ("o_orderkey", LongType()),
@@ -197,23 +205,86 @@ def q_lake_rerun_empty(spark: SparkSession, d: str) -> DataFrame:
     return analytics.row_counts(days, "ingestion_date")
 
 
-def q_pages_landed(spark: SparkSession, d: str) -> DataFrame:
-    """The first listing saved as JSON documents of up to 1,000 ids, read back as rows."""
-    path = scratch_path(spark, "pages")
+def _page_documents(spark: SparkSession, d: str, ids: int) -> DataFrame:
+    """The first listing as page documents of ``ids`` ids each; page numbers without an item are pages too."""
     raw = fixtures.raw_items(spark, d).filter(F.col(io.PARTITION_COL) == F.lit(fixtures.FIRST_DATE))
     item = schemas.PAGE_DOCUMENT["results"].dataType.elementType.fieldNames()
-    page = (F.floor(F.col("id") / 1000) + 1).cast("long")
-    last = raw.select(F.max(page)).scalar()
-    docs = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*item)).alias("results"))  # <= 1,000 ids a page
-    docs = docs.select("page", "results", last.alias("total_pages"))
-    # Page numbers without an item are pages too; page 1 is always there.
-    first = spark.range(1, 2).select(F.col("id").alias("page"), last.alias("total_pages"))
-    docs = docs.unionByName(first.join(docs.select("page"), "page", "left_anti"), allowMissingColumns=True)
+    page = (F.floor(F.col("id") / ids) + 1).cast("long")
+    last = raw.select(F.max(page).alias("total_pages"))
+    docs = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*item)).alias("results"))  # <= ids rows a page
+    every = last.select("total_pages", F.explode(F.sequence(F.lit(1).cast("long"), "total_pages")).alias("page"))
+    return every.join(docs, "page", "left")
+
+
+def _save_pages(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)  # a document is a file
+
+
+def q_pages_landed(spark: SparkSession, d: str) -> DataFrame:
+    """The first listing saved as JSON documents of up to 1,000 ids, read back as rows."""
+    path = scratch_path(spark, "pages")
+    _save_pages(_page_documents(spark, d, 1_000), path)
     rows = io.read_pages(spark, path, schemas.PAGE_DOCUMENT)
     return rows.select("id", "title", genre_list().alias("genre_list"), "popularity", "release_date", "vote_count")
 
 
+def q_pages_complete(spark: SparkSession, d: str) -> DataFrame:
+    """What is amiss with a listing whose pages were partly lost and partly saved twice."""
+    path = scratch_path(spark, "pages")
+    docs = _page_documents(spark, d, PAGE_IDS).filter(F.col("page") % 5 != 3)
+    again = F.when(F.col("page") % 4 == 0, 2).otherwise(1)
+    _save_pages(docs.select("*", F.explode(F.sequence(F.lit(1), again))).drop("col"), path)
+    return io.page_report(spark, path, schemas.PAGE_DOCUMENT)
+
+
+def q_lake_rerun_failed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and votes per date after a second write of the second date has failed half-way."""
+    root = _lake(spark, d)
+    raw = fixtures.raw_items(spark, d).filter(F.col(io.PARTITION_COL) == F.lit(fixtures.RELIST_DATE))
+    last = raw.select(F.max("id")).scalar()
+    broken = raw.withColumn("id", F.when(F.col("id") == last, F.raise_error(F.lit("lost half-way")).cast("long")).otherwise(F.col("id")))
+    try:
+        io.write_partition(broken, root, "raw", "movies", fixtures.RELIST_DATE)
+    except PySparkException as e:
+        if "lost half-way" not in str(e):
+            raise
+    else:
+        raise AssertionError("the broken write did not fail")
+    days = [
+        io.read_partition(spark, root, "raw", "movies", day, schemas.RAW_ITEMS)
+        for day in (fixtures.FIRST_DATE, fixtures.RELIST_DATE)
+    ]
+    return days[0].unionByName(days[1]).groupBy("ingestion_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("vote_count").alias("n_votes")
+    )
+
+
+def q_load_versions(spark: SparkSession, d: str) -> DataFrame:
+    """What a reader of a table sees, and the versions there are, after a load, a load that
+    died before publishing, a load that failed, and a good one."""
+    raw = fixtures.raw_items(spark, d)
+    first, second = (raw.filter(F.col(io.PARTITION_COL) == F.lit(day)) for day in (fixtures.FIRST_DATE, fixtures.RELIST_DATE))
+    rows = []
+
+    def seen(step: str) -> None:
+        now = spark.table(table).agg(F.count(F.lit(1)), F.sum("vote_count")).first()
+        rows.append((step, now[0], now[1], len(load.table_versions(spark, table))))
+
+    with _namespace(spark, "load") as namespace:
+        table = f"{namespace}.movies"
+        load.load_table(spark, first, table, schemas.RAW_ITEMS)
+        seen("1 loaded")
+        load.write_version(spark, second, table, schemas.RAW_ITEMS)
+        seen("2 died before publishing")
+        try:
+            load.load_table(spark, second.withColumn("vote_count", F.col("original_title")), table, schemas.RAW_ITEMS)
+        except PySparkException:
+            seen("3 failed")
+        load.load_table(spark, second, table, schemas.RAW_ITEMS)
+        seen("4 loaded again")
+    return spark.createDataFrame(rows, "step string, n_rows long, n_votes long, n_versions int")
+
+
 def q_load_counts(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the five loaded tables, loaded twice, counted in the tables."""
     cat = Catalogue.from_tables(spark, d, AS_OF)
@@ -230,6 +301,77 @@ def q_load_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, n_rows long, n_table long, status string")
 
 
+@contextmanager
+def _namespace(spark: SparkSession, kind: str) -> Iterator[str]:
+    """A database of its own for the time of a query that loads tables."""
+    name = f"{kind}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def q_latest_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The latest row per item after three dates, merged into the snapshot one by one."""
+    raw = fixtures.raw_items(spark, d).select("id", "ingestion_date", "popularity", "title")
+    first, second = (raw.filter(F.col(io.PARTITION_COL) == F.lit(day)) for day in (fixtures.FIRST_DATE, fixtures.RELIST_DATE))
+    third = first.filter(F.col("id") % 3 == 0).withColumn("ingestion_date", F.lit(THIRD_DATE))
+    third = third.withColumn("popularity", F.col("popularity") * 2)
+    path = scratch_path(spark, "latest")
+    with _namespace(spark, "latest") as namespace:
+        table = f"{namespace}.items"
+        for rows in (first, third, second):  # a late date changes nothing that is newer
+            snapshot.merge_latest(spark, table, rows, ["id"], ["ingestion_date"], SNAPSHOT_BUCKETS)
+        spark.table(table).write.parquet(path)
+    return spark.read.schema(raw.schema).parquet(path)
+
+
+def q_dated_run(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run of a date, from saved pages and lookups to the tested marts: its log."""
+    src, root = scratch_path(spark, "extract"), scratch_path(spark, "lake")
+    raw = Catalogue.from_tables(spark, d, AS_OF)
+    _save_pages(_page_documents(spark, d, 1_000), f"{src}/pages")
+    lookups = {
+        "genres.json": (raw.stg_genres_clean, F.to_json(F.struct(F.col("rows").alias("genres")))),
+        "countries.json": (raw.stg_countries_clean, F.to_json("rows")),
+        "languages.json": (raw.stg_languages_clean, F.to_json("rows")),
+    }
+    for name, (rows, document) in lookups.items():  # one document each, of the distinct codes
+        one = F.struct(*[c for c in rows.columns if c != io.PARTITION_COL])
+        rows.agg(F.collect_list(one).alias("rows")).select(document).write.text(f"{src}/{name}")
+    landed = pipeline.ingest_json(spark, src, root, fixtures.FIRST_DATE)
+    log = [("ingest", k, n, "success") for k, n in landed.items()]
+    with _namespace(spark, "run_raw") as namespace, _namespace(spark, "run_marts") as marts_ns:
+        table = f"{marts_ns}.run_log"
+        pipeline.run_pipeline(
+            spark, root, fixtures.FIRST_DATE, AS_OF, namespace, marts_ns, fail_on_test=False, log_table=table
+        )
+        log += [tuple(r) for r in spark.table(table).select("layer", "dataset", "n_rows", "status").collect()]
+    return spark.createDataFrame(log, pipeline.LOG_SCHEMA)
+
+
+def q_drift_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per listing status that staging reads after the gate has set drifted files aside,
+    and how many files it set aside: one status lacks a column, one has another type."""
+    root = scratch_path(spark, "lake")
+    raw = fixtures.raw_items(spark, d).drop(io.PARTITION_COL)
+    leaf = f"{io.dataset_path(root, 'raw', 'movies')}/{io.PARTITION_COL}={fixtures.FIRST_DATE}"
+    status = F.trim("overview")
+    parts = {
+        "F": raw.filter(status == "F"),
+        "O": raw.filter(status == "O").withColumn("vote_count", F.col("vote_count").cast("string")),
+        "P": raw.filter(status == "P").drop("title").withColumn("tagline", F.lit("x")),
+    }
+    for part in parts.values():
+        part.coalesce(1).write.mode("append").parquet(leaf)  # one part file of each kind
+    n = drift.drift_gate(spark, root, "raw", "movies", fixtures.FIRST_DATE, schemas.RAW_ITEMS, set_aside=True)
+    rows = io.read_partition(spark, root, "raw", "movies", fixtures.FIRST_DATE, schemas.RAW_ITEMS)
+    return rows.groupBy(F.trim("overview").alias("status")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("vote_count").alias("n_votes")
+    ).withColumn("n_drifted", F.lit(n).cast("long"))
+
+
 # --- analytics -------------------------------------------------------------------------
 
 
@@ -257,6 +399,15 @@ def q_top_genres(spark: SparkSession, d: str) -> DataFrame:
     return analytics.top_genres(cat.stg_items_clean, pairs, cat.dim_genre, TOP_GENRES)
 
 
+def q_top_genres_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking from a stored daily rollup with bitmaps."""
+    cat = Catalogue.from_tables(spark, d, AS_OF, item_columns=("movie_id", "genre_ids", "vote_average"))
+    pairs = cat.stg_items_clean.select("movie_id", explode_distinct("genre_ids").alias("genre_id"))
+    path = scratch_path(spark, "rollup")
+    rollup.genre_rollup(cat.stg_items_clean, pairs).write.partitionBy("day").parquet(path)
+    return rollup.top_genres(spark.read.parquet(path), cat.dim_genre, TOP_GENRES)
+
+
 def q_listing_after(spark: SparkSession, d: str) -> DataFrame:
     """The listing page after the row that ends page DISCOVER_PAGE - 1, by key."""
     before = analytics.discover_page(_listing(spark, d), DISCOVER_PAGE - 1).orderBy("popularity", F.desc("id"))
@@ -350,8 +501,9 @@ def q_metric_increase(spark: SparkSession, d: str) -> DataFrame:
 
 def q_metric_increase_total(spark: SparkSession, d: str) -> DataFrame:
     """Increase of all series in the 24 hours before the last sample."""
-    at = fixtures.counter_samples(spark, d).select(F.max("ts")).scalar()
-    return metrics.trailing_increase(_deltas(spark, d), at)
+    samples = fixtures.counter_samples(spark, d)
+    at = samples.agg(F.max("ts")).first()[0]  # the instant that a client asks about
+    return metrics.trailing_increase(samples, ["event_type"], at, tiebreak=["event_id"])
 
 
 def q_metric_last(spark: SparkSession, d: str) -> DataFrame:
@@ -384,6 +536,21 @@ def q_metric_sample(spark: SparkSession, d: str) -> DataFrame:
     return s.select("event_type", _ntz("step_start").alias("step_start"), "value")
 
 
+def q_metric_retention(spark: SparkSession, d: str) -> DataFrame:
+    """Samples per day that are kept, and those of the last RANGE_HOURS, after expiry."""
+    ev = fixtures.event_samples(spark, d).select("event_id", "ts", "event_type", "value")
+    path = scratch_path(spark, "samples")
+    samples.write_samples(ev, path)
+    as_of = ev.agg(F.max("ts")).first()[0]
+    samples.expire_samples(spark, path, as_of, dt.timedelta(days=RETENTION_DAYS))
+    stored = spark.read.schema(ev.schema).parquet(path).select("ts", F.lit(0).alias("recent"))
+    recent = samples.read_samples(spark, path, ev.schema, as_of - dt.timedelta(hours=RANGE_HOURS), as_of)
+    both = stored.unionByName(recent.select("ts", F.lit(1).alias("recent")))
+    return both.groupBy(F.to_date("ts").alias("day")).agg(
+        F.sum(1 - F.col("recent")).alias("n_kept"), F.sum("recent").alias("n_recent")
+    )
+
+
 def q_metric_by_state(spark: SparkSession, d: str) -> DataFrame:
     mapped = metrics.map_metric_names(fixtures.metric_names(spark, d))
     return metrics.counts_by_labels(mapped, "airflow_ti_finish_total", ["dag_id", "task_id", "state"])
@@ -411,12 +578,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": q_dim_date,
     "fact_by_calendar": q_fact_by_calendar,
     "load_by_name": q_load_by_name,
+    "pages_complete": q_pages_complete,
+    "lake_rerun_failed": q_lake_rerun_failed,
     "load_counts": q_load_counts,
+    "load_versions": q_load_versions,
+    "latest_merge": q_latest_merge,
+    "drift_gate": q_drift_gate,
+    "dated_run": q_dated_run,
     "row_counts": q_row_counts,
     "discover_page": q_discover_page,
     "listing_after": q_listing_after,
     "top_k_popular": q_top_k_popular,
     "top_genres": q_top_genres,
+    "top_genres_rollup": q_top_genres_rollup,
     "dq_unique": q_dq_unique,
     "dq_unique_combination": q_dq_unique_combination,
     "dq_not_null": q_dq_not_null,
@@ -433,4 +607,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_status": q_metric_status,
     "metric_sample": q_metric_sample,
     "metric_by_state": q_metric_by_state,
+    "metric_retention": q_metric_retention,
 }

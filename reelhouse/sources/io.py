@@ -3,8 +3,10 @@
 Datasets live under ``<root>/<layer>/<dataset>/ingestion_date=YYYY-MM-DD/``.
 Reads go through the dataset root plus a filter on the partition column, so
 Catalyst prunes partitions (``PartitionFilters``) instead of the caller
-building leaf paths. A write replaces exactly the leaf of its date, also when
-it has no rows; other dates stay untouched.
+building leaf paths. A write replaces exactly the partition of its date, also
+when it has no rows; other dates stay untouched. The rows are staged beside
+the dataset and take the partition's place when the whole write has succeeded,
+so a write that fails leaves the former rows.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,22 +72,33 @@ def write_partition(
     ingestion_date: str,
     max_records_per_file: int | None = None,
 ) -> int:
-    """K1/K2/K4/K5: replace the partition of one date with ``df``; return rows.
+    """Replace the partition of one date with ``df``; return rows.
 
-    The leaf itself is overwritten, so a re-run without rows empties it. The
-    date is the partition's, whatever ``df`` has in that column.
+    A dynamic overwrite of one static partition: tasks write below a staging
+    folder, and only the commit of the finished job puts the partition in the
+    place of the old one. A failed or killed write leaves the old rows. A write
+    without rows commits nothing that way, so the partition is emptied after
+    it, when its emptiness is known. The date is the partition's, whatever
+    ``df`` has in that column.
 
     The row count is observed during the write itself (one job, not a
     ``count()`` plus a write). No ``coalesce(1)``: the last stage keeps its
     parallelism and ``maxRecordsPerFile`` bounds file sizes.
     """
     obs = Observation(f"rows_{layer}_{dataset}")
-    observed = df.drop(PARTITION_COL).observe(obs, F.count(F.lit(1)).alias("n"))
-    writer = observed.write.mode("overwrite").option("compression", "snappy")
+    rows = df.drop(PARTITION_COL)
+    observed = rows.observe(obs, F.count(F.lit(1)).alias("n")).withColumn(PARTITION_COL, F.lit(ingestion_date))
+    writer = observed.write.mode("overwrite").partitionBy(PARTITION_COL)
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    writer.parquet(os.path.join(dataset_path(root, layer, dataset), f"{PARTITION_COL}={ingestion_date}"))
-    return int(obs.get["n"])
+    path = dataset_path(root, layer, dataset)
+    writer.parquet(path)
+    n = int(obs.get["n"])
+    if not n:
+        leaf = os.path.join(path, f"{PARTITION_COL}={ingestion_date}")
+        empty_frame(df.sparkSession, rows.schema).write.mode("overwrite").parquet(leaf)
+    return n
 
 
 def stamp_date(df: DataFrame, ingestion_date: str, col: str = PARTITION_COL) -> DataFrame:
@@ -93,27 +106,97 @@ def stamp_date(df: DataFrame, ingestion_date: str, col: str = PARTITION_COL) ->
     return df.withColumn(col, F.lit(ingestion_date))
 
 
+# Page numbers that one task of the gap search orders.
+PAGE_BUCKET = 100_000
+
+
+def _page_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Saved pages as read, with the time and name of their file."""
+    docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return docs.select("*", "_metadata.file_modification_time", "_metadata.file_path")
+
+
+def _page_cap(docs: DataFrame, max_pages: int | None) -> DataFrame:
+    """One row ``cap``: the last page that is read, NULL without page 1."""
+    total = docs.filter(F.col("page") == 1).agg(F.max("total_pages").cast("long").alias("cap"))
+    return total if max_pages is None else total.select(F.when(F.col("cap") > max_pages, int(max_pages)).otherwise(F.col("cap")).alias("cap"))
+
+
+def page_gaps(pages: DataFrame, cap: DataFrame, bucket: int = PAGE_BUCKET) -> DataFrame:
+    """(page_from, page_to): runs of page numbers 1..cap that ``pages`` (column page) lacks.
+
+    Gaps and islands: each page is compared with the next one that is there,
+    page 0 and the page after the cap standing for the ends. The next page is
+    looked up inside ranges of ``bucket`` numbers, and for a range's last page
+    in the next range that has any, so no task orders more than a range.
+    """
+    ends = cap.select(F.explode(F.array(F.lit(0).cast("long"), F.col("cap") + 1)).alias("page"))
+    last = cap.scalar()
+    seen = pages.select(F.col("page").cast("long").alias("page")).filter(F.col("page").between(1, last))
+    seen = seen.unionByName(ends).distinct().withColumn("_b", F.floor(F.col("page") / bucket))
+    inside = Window.partitionBy("_b").orderBy("page")
+    seen = seen.withColumn("_next", F.lead("page").over(inside))
+    first = seen.groupBy("_b").agg(F.min("page").alias("_first"))
+    # One row per range of numbers.
+    ahead = first.select("_b", F.lead("_first").over(Window.orderBy("_b")).alias("_ahead"))
+    following = F.coalesce("_next", "_ahead")
+    gaps = seen.join(ahead, "_b").filter(following > F.col("page") + 1)
+    return gaps.select((F.col("page") + 1).alias("page_from"), (following - 1).alias("page_to"))
+
+
+def page_report(spark: SparkSession, path: str, schema: StructType, max_pages: int | None = None) -> DataFrame:
+    """S3: what is amiss with a set of saved pages: (kind, page_from, page_to, n), one row per
+    ``gap`` (n pages lacking) and per ``repeated`` page (n documents)."""
+    docs = _page_documents(spark, path, schema).select(F.col("page").cast("long").alias("page"), "total_pages")
+    cap = _page_cap(docs, max_pages)
+    counted = docs.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counted.filter((F.col("n") > 1) & (F.col("page") <= cap.scalar()))
+    gaps = page_gaps(counted, cap).withColumn("n", F.col("page_to") - F.col("page_from") + 1)
+    return gaps.select(F.lit("gap").alias("kind"), "page_from", "page_to", "n").unionByName(
+        repeated.select(F.lit("repeated").alias("kind"), F.col("page").alias("page_from"), F.col("page").alias("page_to"), "n")
+    )
+
+
 def read_pages(
     spark: SparkSession,
     path: str,
     schema: StructType,
     max_pages: int | None = None,
 ) -> DataFrame:
-    """S3 re-aimed: saved listing pages -> item rows.
+    """S3 re-aimed: saved listing pages -> item rows, the set being complete.
 
     Pages beyond the ``total_pages`` of page 1 (and beyond ``max_pages``, when
     the caller gives one) are ignored, like the paginated download that stops
-    there. Page 1's total is taken through a scalar subquery, so the cap stays
-    one distributed plan. A malformed document, a document without a page
-    number and a set without page 1 fail the read instead of losing pages.
+    there. All others have to be there: a missing page fails the read, and the
+    error names the first gap. A page that was saved again counts once, as
+    saved last. A malformed document, a document without a page number and a
+    set without page 1 fail the read too.
+
+    One distributed plan: the cap and the gaps come in through scalar
+    subqueries over page numbers; only documents of repeated pages are
+    shuffled.
     """
-    docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    total = docs.filter(F.col("page") == 1).select(F.max("total_pages")).scalar()
-    fail = lambda why: F.raise_error(F.lit(f"{path}: {why}"))
-    total = F.coalesce(total, fail("page 1 with its total_pages is missing").cast("long"))
-    cap = total if max_pages is None else F.least(total, F.lit(int(max_pages)).cast("long"))
-    page = F.coalesce(F.col("page").cast("long"), fail("a document has no page number").cast("long"))
-    return docs.filter(page <= cap).selectExpr("inline(results)")
+    docs = _page_documents(spark, path, schema)
+    fail = lambda why: F.raise_error(F.concat(F.lit(f"{path}: "), why)).cast("long")
+    number = F.coalesce(F.col("page").cast("long"), fail(F.lit("a document has no page number")))
+    docs = docs.withColumn("page", number)
+    counted = docs.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    cap = _page_cap(docs, max_pages)
+    first = F.min(F.struct("page_from", "page_to"))
+    lacking = page_gaps(counted, cap).agg(
+        F.concat(
+            F.sum(F.col("page_to") - F.col("page_from") + 1).cast("string"), F.lit(" pages are missing, the first are "),
+            first["page_from"].cast("string"), F.lit(" to "), first["page_to"].cast("string"),
+        )
+    ).scalar()
+    last = F.coalesce(cap.scalar(), fail(F.lit("page 1 with its total_pages is missing")))
+    last = F.when(lacking.isNull(), last).otherwise(fail(lacking))
+    again = counted.filter("n > 1").select("page")
+    kept = docs.filter(F.col("page") <= last)
+    once = kept.join(again, "page", "left_anti").select("results")
+    saved = F.struct("file_modification_time", "file_path", F.xxhash64(F.to_json(F.struct("results"))).alias("h"))
+    newest = kept.join(again, "page", "left_semi").groupBy("page").agg(F.max_by(F.struct("results"), saved).alias("d"))
+    return once.unionByName(newest.select("d.results")).selectExpr("inline(results)")
 
 
 def read_wrapped_lookup(spark: SparkSession, path: str, field: str, schema: StructType) -> DataFrame:

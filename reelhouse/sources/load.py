@@ -9,6 +9,7 @@ former rows until the new ones are written in full.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -42,24 +43,93 @@ def align_to_schema(df: DataFrame, target: StructType, strict_cast: bool = True)
     return df.select(*cols)
 
 
-def load_table(spark: SparkSession, df: DataFrame, table: str, target: StructType) -> int:
-    """Replace ``table`` with ``df`` aligned to ``target``.
+_VERSION = "__v"
+# Versions kept behind the current one for queries that are still reading them.
+KEEP_VERSIONS = 1
+
+
+def _split(table: str) -> tuple[str, str]:
+    namespace, _, name = table.rpartition(".")
+    return namespace, name
+
+
+def table_versions(spark: SparkSession, table: str) -> list[str]:
+    """All versions of a table, oldest first (their names begin with the time of the load)."""
+    namespace, name = _split(table)
+    found = spark.catalog.listTables(namespace or None, f"{name}{_VERSION}*")
+    prefix = f"{namespace}." if namespace else ""
+    return sorted(f"{prefix}{t.name}" for t in found if not t.isTemporary)
+
 
-    The rows are written to a table of their own, which takes the name over
-    only after the write has succeeded: a failed load leaves the old table.
-    The loaded row count is observed on the write itself.
+def version_name(table: str) -> str:
+    """The name of a new version; later ones sort behind."""
+    return f"{table}{_VERSION}{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
+
+
+def current_version(spark: SparkSession, table: str) -> str | None:
+    """The version that the table's view shows; None where there is no such view."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()  # a handful of catalog entries
+    return {r["key"]: r["value"] for r in rows}.get("version")
+
+
+def write_version(spark: SparkSession, df: DataFrame, table: str, target: StructType) -> tuple[str, int]:
+    """Write ``df`` aligned to ``target`` as a new, unpublished version; (version, rows).
+
+    The row count is observed on the write itself. A failed write leaves no version.
     """
     obs = Observation(f"load_{table}")
     aligned = align_to_schema(df, target).observe(obs, F.count(F.lit(1)).alias("n"))
-    aside = f"{table}__load_{uuid.uuid4().hex[:12]}"
+    version = version_name(table)
     try:
-        aligned.write.format("parquet").saveAsTable(aside)
+        aligned.write.format("parquet").saveAsTable(version)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
-    return int(obs.get["n"])
+    return version, int(obs.get["n"])
+
+
+def publish_version(spark: SparkSession, table: str, version: str) -> None:
+    """Let ``table`` show ``version``: one replacement of its view in the catalog."""
+    if spark.catalog.tableExists(table) and current_version(spark, table) is None:
+        # A plain table, as written before there were versions, has to make room once.
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {version}")
+
+
+def drop_old_versions(spark: SparkSession, table: str, keep: int = KEEP_VERSIONS) -> int:
+    """Drop versions older than the current one, but for the last ``keep``; return how many.
+
+    Versions newer than the current one may be loads under way and stay; one
+    left by a load that died goes once a later load is current.
+    """
+    current = current_version(spark, table)
+    old = [v for v in table_versions(spark, table) if current is not None and v < current]
+    gone = old[: max(0, len(old) - keep)]
+    for version in gone:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+    return len(gone)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """The table with all its versions."""
+    if current_version(spark, table) is not None:
+        spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for version in table_versions(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+
+
+def load_table(spark: SparkSession, df: DataFrame, table: str, target: StructType) -> int:
+    """Replace ``table`` with ``df`` aligned to ``target``; return rows.
+
+    Written, then published, then old versions dropped: whatever step fails,
+    the table shows the former rows or the new ones, whole.
+    """
+    version, n = write_version(spark, df, table, target)
+    publish_version(spark, table, version)
+    drop_old_versions(spark, table)
+    return n
 
 
 def load_all(

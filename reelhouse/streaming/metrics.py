@@ -9,10 +9,9 @@ Counter increases need the previous sample of the series. Samples are first
 summarised per (series, bucket) behind the watermark, natively: samples that
 come in any order within the lateness are sorted inside their bucket, later
 ones are dropped, and a hot series is split over its buckets. Only the
-summaries, one row per series and bucket, reach the per-series state
-(``applyInPandasWithState``: last value, open window and its sum). Spark takes
-no such state behind an aggregate, so these are two queries with a table of
-summaries between them.
+summaries, one row per series and bucket, reach the per-series state of the
+same query (``transformWithState``: last value, open window and its sum), whose
+event-time timers close the windows.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from reelhouse.operators import metrics as batch
 
@@ -157,50 +156,93 @@ def bucket_summaries(
 
 
 INCREASE_SCHEMA = "series string, window_start timestamp, increase double"
-INCREASE_STATE = "last_bucket timestamp, last_value double, window_start timestamp, total double"
 
 
-def _increases(seconds: int):
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Increases of the windows that the series' buckets have left."""
-        seen, last, window, total = state.get if state.exists else (None, None, None, 0.0)
+class WindowIncreases(StatefulProcessor):
+    """Counter increases per series and window, closed by the watermark.
+
+    State is one row per series: its last bucket and value, the open window and
+    what it has counted. A window is given out by the event-time timer set at
+    its end, so a series that falls silent gets its last window when the
+    watermark passes, or at once when its next bucket lies in a later window.
+    A second timer forgets a series that has been silent for ``forget``; should
+    it speak again it starts anew, as a series does.
+    """
+
+    def __init__(self, seconds: int, forget: int):
+        self._ms, self._forget = seconds * 1_000, forget * 1_000
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        # Times in milliseconds; window -1: none open.
+        self._state = handle.getValueState("series", "bucket long, value double, window long, total double")
+
+    def _out(self, key: tuple, window: int, total: float) -> tuple:
+        return key[0], pd.Timestamp(window, unit="ms"), total
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("bucket")  # summaries only
-        if seen is not None:  # a bucket behind the last one is late: no reset, no increase
-            rows = rows[rows["bucket"] > pd.Timestamp(seen)]
-        starts = rows["bucket"].dt.floor(f"{seconds}s")
-        for bucket, start, first, end, inner in zip(rows["bucket"], starts, rows["first"], rows["last"], rows["inner"]):
-            if window is None or start != pd.Timestamp(window):
-                if window is not None:
-                    out.append((key[0], window, total))
+        known = self._state.get()
+        seen, last, window, total = known if known is not None else (None, None, -1, 0.0)
+        new = pd.concat(list(rows), ignore_index=True).sort_values("bucket")  # summaries, a few per micro-batch
+        ms = new["bucket"].astype("datetime64[ms]").astype("int64")
+        for at, first, end, inner in zip(ms, new["first"], new["last"], new["inner"]):
+            start = at - at % self._ms
+            if start != window:
+                if window >= 0:
+                    out.append(self._out(key, window, total))
                 window, total = start, 0.0
+                self._handle.registerTimer(window + self._ms)
             # As in the batch form the first sample of a series has no increase.
             carried = 0.0 if last is None else first if first < last else first - last
-            total, last, seen = total + carried + inner, float(end), bucket
-        if seen is not None:
-            state.update((pd.Timestamp(seen).to_pydatetime(), last, pd.Timestamp(window).to_pydatetime(), float(total)))
+            total, last, seen = total + carried + inner, float(end), int(at)
+        self._state.update((seen, last, int(window), float(total)))
+        self._handle.registerTimer(seen + self._forget)
         yield pd.DataFrame(out, columns=["series", "window_start", "increase"])
 
-    return run
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        known = self._state.get()
+        if known is not None:
+            seen, last, window, total = known
+            at = expiredTimerInfo.getExpiryTimeInMs()
+            if window >= 0 and window + self._ms <= at:
+                out.append(self._out(key, window, total))
+                window, total = -1, 0.0
+                self._state.update((seen, last, window, total))
+            if seen + self._forget <= at:
+                self._state.clear()
+        yield pd.DataFrame(out, columns=["series", "window_start", "increase"])
 
+    def close(self) -> None:
+        pass
 
-SUMMARY_SCHEMA = "series string, bucket timestamp, first double, last double, inner double"
 
+def increase_stream(samples: DataFrame, window: str = "1 day", forget: str = "30 days", **options) -> DataFrame:
+    """M4 on a stream of samples, one query: (series, window_start, increase) of closed windows.
 
-def increase_stream(summaries: DataFrame, window: str = "1 day") -> DataFrame:
-    """M4 on a stream of ``bucket_summaries`` as stored: (series, window_start,
-    increase), a window being given out once the series has a bucket in a
-    later one. Read the table without a limit of files per trigger: the files
-    of one micro-batch belong together."""
-    return summaries.groupBy("series").applyInPandasWithState(
-        _increases(_seconds(window)), INCREASE_SCHEMA, INCREASE_STATE, "append", GroupStateTimeout.NoTimeout
+    ``options`` are those of ``bucket_summaries``. A window is given out once,
+    when the watermark has passed its end or a later window of the series has
+    begun. Needs the RocksDB state store (``stateful_session``).
+    """
+    stateful_session(samples.sparkSession)
+    summaries = bucket_summaries(samples, **options)
+    processor = WindowIncreases(_seconds(window), _seconds(forget))
+    return summaries.groupBy("series").transformWithStateInPandas(
+        processor, INCREASE_SCHEMA, outputMode="append", timeMode="eventTime"
     )
 
 
-def status_stream(summaries: DataFrame, window: str = "1 day") -> DataFrame:
+def stateful_session(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB: it may outgrow the memory of an executor, and timers need it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def status_stream(samples: DataFrame, window: str = "1 day", **options) -> DataFrame:
     """M8 on a stream: rate and failure lights of every closed window."""
     per_min = F.col("increase") / F.lit(_seconds(window) / 60.0)
-    return increase_stream(summaries, window).select(
+    return increase_stream(samples, window, **options).select(
         "series",
         "window_start",
         "increase",
@@ -219,26 +261,6 @@ def _seconds(interval: str) -> int:
 # --- jobs ----------------------------------------------------------------------
 
 
-def run_summary_stream(
-    spark: SparkSession,
-    samples: DataFrame,
-    path: str,
-    name: str = "summaries",
-    checkpoint: str | None = None,
-    **options,
-):
-    """Store the bucket summaries of a stream of samples below ``path`` (append, exactly once)."""
-    return (
-        bucket_summaries(samples, **options)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint or stream_checkpoint(spark, name))
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint folder of a named stream, under the shared checkpoint dir."""
     from reelhouse.session import ensure_checkpoint_dir

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from reelhouse.sources import io, schemas
+from reelhouse.sources import io, load, schemas
 from reelhouse.sources.load import align_to_schema, load_all, load_table
 from tests.helpers import D1, D2, raw_items
 
@@ -84,9 +84,55 @@ def _pages(tmp_path, docs):
 
 
 def test_all_announced_pages_are_read(spark, tmp_path):
-    docs = [{"page": p, "total_pages": 600, "results": [_item(p, 1.0)]} for p in (1, 2, 501, 600, 601)]
+    # every announced page, in many files of a few documents each
+    pages = [{"page": p, "total_pages": 600, "results": [_item(p, 1.0)]} for p in range(1, 602)]
+    docs = [json.dumps(pages[i : i + 40]) for i in range(0, 601, 40)]
     rows = io.read_pages(spark, _pages(tmp_path, docs), schemas.PAGE_DOCUMENT).collect()
-    assert sorted(r.id for r in rows) == [1, 2, 501, 600]
+    assert sorted(r.id for r in rows) == list(range(1, 601))
+
+
+def test_missing_pages_are_named(spark, tmp_path):
+    docs = [{"page": p, "total_pages": 9, "results": [_item(p, 1.0)]} for p in (1, 3, 4, 8)]
+    path = _pages(tmp_path, docs)
+    with pytest.raises(Exception, match="5 pages are missing, the first are 2 to 2"):
+        io.read_pages(spark, path, schemas.PAGE_DOCUMENT).collect()
+    # a smaller cap needs only its own pages
+    with pytest.raises(Exception, match="1 pages are missing"):
+        io.read_pages(spark, path, schemas.PAGE_DOCUMENT, max_pages=4).collect()
+    assert [r.id for r in io.read_pages(spark, path, schemas.PAGE_DOCUMENT, max_pages=1).collect()] == [1]
+    report = io.page_report(spark, path, schemas.PAGE_DOCUMENT)
+    assert sorted(tuple(r) for r in report.collect()) == [("gap", 2, 2, 1), ("gap", 5, 7, 3), ("gap", 9, 9, 1)]
+
+
+def test_gaps_across_ranges_of_page_numbers(spark):
+    pages = spark.createDataFrame([(p,) for p in (2, 3, 9, 10, 11, 40, 41, 41)], "page long")
+    cap = spark.createDataFrame([(50,)], "cap long")
+    want = [(1, 1), (4, 8), (12, 39), (42, 50)]
+    for bucket in (1, 4, 10, 1_000):
+        assert sorted(tuple(r) for r in io.page_gaps(pages, cap, bucket).collect()) == want
+    whole = spark.range(1, 51).select(F.col("id").alias("page"))
+    assert io.page_gaps(whole, cap, 7).count() == 0
+    assert [tuple(r) for r in io.page_gaps(whole.limit(0), cap, 7).collect()] == [(1, 50)]
+
+
+def test_a_page_saved_again_counts_once_as_saved_last(spark, tmp_path):
+    docs = [
+        {"page": 1, "total_pages": 3, "results": [_item(10, 1.0)]},
+        {"page": 3, "total_pages": 3, "results": [_item(30, 1.0)]},
+        {"page": 2, "total_pages": 3, "results": [_item(20, 1.0)]},
+        {"page": 3, "total_pages": 3, "results": [_item(31, 1.0), _item(32, 1.0)]},
+    ]
+    path = _pages(tmp_path, docs)
+    for i in range(4):
+        os.utime(os.path.join(path, f"p{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    rows = io.read_pages(spark, path, schemas.PAGE_DOCUMENT).collect()
+    assert sorted(r.id for r in rows) == [10, 20, 31, 32]
+    # twice in one file, and the same twice
+    (tmp_path / "pages" / "p4.json").write_text(json.dumps([docs[2], docs[2]]))
+    rows = io.read_pages(spark, path, schemas.PAGE_DOCUMENT).collect()
+    assert sorted(r.id for r in rows) == [10, 20, 31, 32]
+    repeated = io.page_report(spark, path, schemas.PAGE_DOCUMENT).collect()
+    assert sorted(tuple(r) for r in repeated) == [("repeated", 2, 2, 3), ("repeated", 3, 3, 2)]
 
 
 @pytest.mark.parametrize("docs", [
@@ -151,10 +197,11 @@ def test_failed_load_leaves_the_old_table(spark, ansi):
     try:
         good = spark.createDataFrame([("1", "A")], "genre_id string, genre_name string")
         assert load_table(spark, good, "kept_dim_genre", schemas.DIM_GENRE) == 1
+        versions = load.table_versions(spark, "kept_dim_genre")
         with pytest.raises(Exception, match="no bigint"):
             load_table(spark, good.selectExpr("'1x' AS genre_id", "genre_name"), "kept_dim_genre", schemas.DIM_GENRE)
         assert [tuple(r) for r in spark.table("kept_dim_genre").collect()] == [(1, "A")]
-        assert not [t for t in spark.catalog.listTables() if "__load_" in t.name]
+        assert load.table_versions(spark, "kept_dim_genre") == versions
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
@@ -172,3 +219,47 @@ def test_load_all_replaces_tables_idempotently(spark):
 def test_schema_drift_is_case_insensitive(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "ID long, Name string, extra double")
     assert schemas.schema_drift(df.schema, schemas.RAW_GENRES) == {"missing": ["ingestion_date"], "unexpected": ["extra"]}
+
+
+def test_failed_rerun_keeps_the_partition(spark, tmp_path):
+    root = str(tmp_path)
+    io.write_partition(raw_items(spark), root, "raw", "movies", D1)
+    broken = raw_items(spark).repartition(4).withColumn("id", F.when(F.col("id") == 5, F.raise_error(F.lit("no"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="no"):
+        io.write_partition(broken, root, "raw", "movies", D1)
+    read = lambda: io.read_partition(spark, root, "raw", "movies", D1, schemas.RAW_ITEMS)
+    assert read().count() == 8
+    # a re-run may read the rows it replaces
+    assert io.write_partition(read().filter("id > 2"), root, "raw", "movies", D1) == 4
+    assert read().count() == 4
+
+
+def _genres(spark, *names):
+    return spark.createDataFrame(list(enumerate(names)), "genre_id long, genre_name string")
+
+
+def _names(spark, table):
+    return sorted(r.genre_name for r in spark.table(table).collect())
+
+
+def test_readers_see_whole_versions(spark):
+    table = "versioned_genre"
+    load_table(spark, _genres(spark, "a", "b"), table, schemas.DIM_GENRE)
+    version, n = load.write_version(spark, _genres(spark, "c"), table, schemas.DIM_GENRE)
+    assert n == 1 and _names(spark, table) == ["a", "b"]  # in mid-load, or after a crash there
+    load_table(spark, _genres(spark, "d", "e", "f"), table, schemas.DIM_GENRE)
+    assert _names(spark, table) == ["d", "e", "f"]
+    # the dead version is behind the current one, so the next loads drop it
+    load_table(spark, _genres(spark, "g"), table, schemas.DIM_GENRE)
+    load_table(spark, _genres(spark, "h"), table, schemas.DIM_GENRE)
+    assert len(load.table_versions(spark, table)) == 1 + load.KEEP_VERSIONS
+    assert version not in load.table_versions(spark, table)
+    load.drop_table(spark, table)
+    assert not spark.catalog.tableExists(table) and load.table_versions(spark, table) == []
+
+
+def test_a_plain_table_becomes_a_versioned_one(spark):
+    _genres(spark, "old").write.saveAsTable("plain_genre")
+    assert load_table(spark, _genres(spark, "new"), "plain_genre", schemas.DIM_GENRE) == 1
+    assert _names(spark, "plain_genre") == ["new"]
+    assert spark.table("plain_genre").schema == schemas.DIM_GENRE

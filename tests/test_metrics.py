@@ -90,3 +90,58 @@ def test_null_labelled_series_is_its_own_series(spark):
     got = {(r.series, r.seq): r.delta for r in d.collect()}
     assert got == {(None, 0): None, (None, 1): 2.0, (None, 2): 2.0, (None, 3): 3.0, ("a", 10): None, ("a", 11): 1.0}
     assert d.columns == ["series", "ts", "value", "seq", "delta"]
+
+
+def _increase_cases():
+    # (series, hours before the instant, value)
+    return [
+        ("a", 30, 5.0), ("a", 25, 9.0), ("a", 23, 10.0), ("a", 2, 14.0), ("a", 1, 3.0),  # predecessor 9; a reset
+        ("b", 50, 7.0),  # silent in the window
+        ("c", 24, 2.0), ("c", 5, 6.0),  # a sample at the open end is the predecessor
+        ("d", 3, 8.0), ("d", 0, 9.0),  # its first sample has no increase; the instant counts
+        (None, 26, 1.0), (None, 4, 4.0), ("e", 1, None),
+    ]
+
+
+def test_trailing_increase_looks_back_no_further_than_it_must(spark, tmp_path, capsys):
+    at = dt.datetime(2024, 1, 10, 12)
+    rows = [(s, at - dt.timedelta(hours=h), v, i) for i, (s, h, v) in enumerate(_increase_cases())]
+    rows.append(("a", at + dt.timedelta(hours=1), 500.0, 99))  # later than the instant
+    path = str(tmp_path / "s")
+    spark.createDataFrame(rows, "series string, ts timestamp_ntz, value double, seq long").write.parquet(path)
+    df = metrics.trailing_increase(spark.read.parquet(path), ["series"], at, tiebreak=["seq"])
+    assert df.collect()[0].increase == (1 + 4 + 3) + 4 + 1 + 3
+    df.explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = [x for x in plan.splitlines() if "PushedFilters" in x]
+    recent = [x for x in pushed if "GreaterThan(ts,2024-01-09T12:00)" in x and "LessThanOrEqual(ts,2024-01-10T12:00)" in x]
+    before = [x for x in pushed if "LessThanOrEqual(ts,2024-01-09T12:00)" in x]
+    assert recent and before and len(recent) + len(before) == len(pushed)
+    # the window and what is before it are read once each
+    assert plan.split("== Initial Plan ==")[0].count("Scan parquet") == 2
+
+
+def test_last_before_is_the_as_of_row(spark):
+    s = _samples(spark, [5, 1, 7, 3], step_s=10)
+    last = metrics.last_before(s, ["series"], F.lit(T0 + dt.timedelta(seconds=20)).cast("timestamp"), tiebreak=["seq"])
+    assert [tuple(r) for r in last.collect()] == [("s", T0 + dt.timedelta(seconds=20), 7.0, 2)]
+
+
+def test_quantile_orders_a_bounded_share_beside_an_outlier(spark):
+    """One value of 1e12 in a hot group: equal-width ranges would put all others into one."""
+    import numpy as np
+
+    n = 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("user"),
+        (F.col("id") * 7919 % 1_000_003).cast("double").alias("value"),
+    ).unionByName(spark.createDataFrame([(0, 1e12), (0, -1e12)], "user long, value double"))
+    out = metrics.quantile(df, ["user"], 0.99)
+    got = {r.user: r.p99 for r in out.collect()}
+    want = {r.user: r.p for r in df.groupBy("user").agg(F.percentile("value", 0.99).alias("p")).collect()}
+    assert got.keys() == want.keys() and all(np.isclose(got[k], want[k], rtol=1e-12) for k in want)
+    # rows of the hot group that are ordered in the end
+    rows = df.select(F.col("user").alias("_g0"), F.col("value").alias("_v"))
+    ranges = metrics.quantile_ranges(rows, ["user"], 0.99).filter("_g0r = 0").collect()
+    hot = df.filter("user = 0").count()
+    assert 1 <= len(ranges) <= 2 and sum(r._m for r in ranges) < 0.05 * hot

@@ -78,15 +78,9 @@ def test_labelled_counts_and_dedup(spark, tmp_path):
     assert dd.count() == ev.count()
 
 
-def _summaries(spark, tmp_path, samples):
-    path = str(tmp_path / "summaries")
-    stream.run_summary_stream(spark, samples, path, checkpoint=str(tmp_path / "ckpt_sum")).awaitTermination()
-    return spark.readStream.schema(stream.SUMMARY_SCHEMA).parquet(path)
-
-
 def test_increase_stream_equals_batch(spark, tmp_path):
     cs = fixtures.counter_samples(spark, SF_SMALL)
-    out = _run(stream.status_stream(_summaries(spark, tmp_path, _file_stream(spark, tmp_path, cs, "cs"))), tmp_path, "inc")
+    out = _run(stream.status_stream(_file_stream(spark, tmp_path, cs, "cs")), tmp_path, "inc")
     got = {(r.series, r.window_start): (r.increase, r.rate_status, r.failure_status) for r in out.collect()}
     daily = batch.increase(batch.counter_deltas(cs, ["event_type"], tiebreak=["event_id"]), ["event_type"], "1 day")
     per_min = F.col("increase") / 1440.0
@@ -116,7 +110,7 @@ def test_out_of_order_samples_are_no_resets(spark, tmp_path):
             if f.stat().st_mtime > 1_700_000_100:
                 os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    out = _run(stream.increase_stream(_summaries(spark, tmp_path, s)), tmp_path, "ooo")
+    out = _run(stream.increase_stream(s), tmp_path, "ooo")
     # 1, 3, 5, 6 then a reset to 2: 5 + 2 on the first day
     assert [(r.window_start.day, r.increase) for r in out.orderBy("window_start").collect()][0] == (1, 7.0)
 
@@ -139,3 +133,49 @@ def test_rate_stream_job_is_exactly_once(spark, tmp_path):
     }
     assert got and all(exp[k] == v for k, v in got.items())
     assert len(got) >= len(exp) - 20  # only windows within the final watermark delay stay open
+
+
+def test_a_silent_series_gets_its_last_window_by_the_watermark(spark, tmp_path):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    row = lambda i, sec, s, v: (i, t0 + dt.timedelta(seconds=sec), s, v)
+    batches = [
+        [row(1, 0, "quiet", 1.0), row(2, 20, "quiet", 5.0), row(3, 10, "loud", 1.0)],
+        [row(4, 86400 + 5, "loud", 4.0)],  # quiet never speaks again
+        [row(5, 2 * 86400 + 5, "loud", 6.0)],
+        [row(6, 3 * 86400, "loud", 7.0)],
+    ]
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    src = tmp_path / "quiet"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(src))
+        for f in src.glob("*.parquet"):
+            if f.stat().st_mtime > 1_700_000_100:
+                os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = _run(stream.increase_stream(s), tmp_path, "quiet")
+    got = sorted((r.series, r.window_start.day, r.increase) for r in out.collect())
+    batch_rows = spark.createDataFrame([r for b in batches for r in b], schema)
+    daily = batch.increase(batch.counter_deltas(batch_rows, ["event_type"], tiebreak=["event_id"]), ["event_type"], "1 day")
+    want = sorted((r.event_type, r.window_start.day, r.increase or 0.0) for r in daily.collect())
+    assert got == [w for w in want if w[1] <= 2 or w in got]  # days the watermark has passed
+    assert ("quiet", 1, 4.0) in got and [g for g in got if g[0] == "loud"][:2] == [("loud", 1, 0.0), ("loud", 2, 3.0)]
+
+
+def test_a_forgotten_series_starts_anew(spark, tmp_path):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(0, 1.0, "a"), (10, 3.0, "a"), (3 * 86400, 1.0, "b"), (6 * 86400, 9.0, "b"), (9 * 86400, 50.0, "a"), (9 * 86400 + 9, 53.0, "a"), (12 * 86400, 1.0, "b"), (15 * 86400, 2.0, "b")]
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    src = tmp_path / "anew"
+    for i, (sec, v, s) in enumerate(rows):
+        spark.createDataFrame([(i, t0 + dt.timedelta(seconds=sec), s, v)], schema).coalesce(1).write.mode("append").parquet(str(src))
+        for f in src.glob("*.parquet"):
+            if f.stat().st_mtime > 1_700_000_100:
+                os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = _run(stream.increase_stream(s, forget="2 days"), tmp_path, "anew")
+    got = {(r.series, r.window_start.day): r.increase for r in out.collect()}
+    assert got["a", 1] == 2.0 and got["a", 10] == 3.0  # not 50: the silent series was forgotten
