@@ -44,15 +44,16 @@ from reelhouse.llm import store
 
 SCALE = 256
 K = 5
-SHARD_VECTORS = 8_192
-# Queries of a shard beyond this go to further tasks.
-QUERY_ROWS = 16_384
+# Long postings make a step of the search cheap; a shard's index takes about 100 MB at 64 dimensions.
+SHARD_VECTORS = 65_536
+# Queries of a shard beyond this go to further tasks, which build its index again.
+QUERY_ROWS = 512
 # Impact levels of a dimension.
 LEVELS = 16
 # Possible members that are rescored rather than narrowed further.
-RESCORE = 128
-# The bound is checked this often while the segments are processed.
-_CHECKS = 24
+RESCORE = 2_048
+# The bound is checked when these shares of the postings are processed.
+_CHECKS = (0.5, 0.6, 0.7, 0.78, 0.85, 0.9, 0.95)
 
 
 class Shard:
@@ -69,7 +70,7 @@ class Shard:
         for d in range(dims):
             column, values = level[order[:, d], d], vectors[order[:, d], d]
             cuts = np.flatnonzero(np.diff(column, prepend=-1))
-            self.postings += np.split(order[:, d].astype(np.int32), cuts[1:])
+            self.postings += np.split(np.ascontiguousarray(order[:, d]), cuts[1:])
             dim.append(np.full(len(cuts), d))
             least.append(np.minimum.reduceat(values, cuts))
             most.append(np.maximum.reduceat(values, cuts))
@@ -96,13 +97,13 @@ class Shard:
         after[by_dim[:-1][same]] = worth[by_dim[1:][same]]
         left, floor = int(ahead.sum()), int(base.sum())
         total = np.zeros(n, dtype=np.int64)
-        done, check_at = 0, n * dims // _CHECKS
+        done, checks = 0, [int(c * n * dims) for c in reversed(_CHECKS)]
         for s in order.tolist():
             total[self.postings[s]] += worth[s]
             left -= int(worth[s] - after[s])
             done += int(self.size[s])
-            if done >= check_at:
-                check_at = done + n * dims // _CHECKS
+            if checks and done >= checks[-1]:
+                checks.pop()
                 lead = np.argpartition(total, n - k)[n - k :]
                 threshold = int((self.vectors[lead] @ query).min())
                 able = np.flatnonzero(total >= threshold - floor - left)
