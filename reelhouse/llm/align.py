@@ -8,13 +8,12 @@ a span is only taken where a token ends at the end of a character, and the
 tokens inside are placed by their decoded bytes. Places where an A and a B
 token both end cut the text into groups; the two tokens ending there are a link.
 
-A long text is taken in pieces that both tokenizers treat alone: A's pattern
-never joins a letter or sign with a space that stands alone behind it, or a
-letter with the ASCII sign or line feed after it, and no entry of B's
-vocabulary has either across its characters (looked up in the vocabulary when
-it is loaded; a cut it does not grant is not made). Tokens cannot cross such a
-place, so pieces give the tokens of the whole text, and a worker aligns each
-distinct piece once while it remembers it.
+A text is taken word by word: A's pattern never joins what stands before a
+single space with that space, and no entry of B's vocabulary has a space
+behind another sign (looked up when the vocabulary is loaded; without it, and
+beside other white space, nothing is cut). So the tokens of a text are those of
+its words. A worker remembers the words it has aligned, and aligns new ones
+many at a time, as one text.
 
 Links of a document are written with it, once per pair of ids, counted over
 the corpus by a combined aggregate (a pair in a third of all links is reduced
@@ -33,10 +32,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
-from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -45,19 +44,21 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm import store
 
-# Distinct words and pieces a worker remembers, and the longest that it does.
-CACHE_PIECES = 300_000
-CACHE_LETTERS = 64
+# Words, and letters of words, that a worker remembers before it starts afresh.
+CACHE_WORDS = 600_000
+CACHE_LETTERS = 20_000_000
+# Documents looked at together, and letters of new words aligned as one text.
+DOCUMENTS = 64
+BLOCK_LETTERS = 50_000
 # A pair of ids as one number: A's id times this, plus B's.
 PAIR = 1 << 31
 # A pair table up to this many rows (32 bytes each) is broadcast.
 BROADCAST_PAIRS = 2_000_000
 _NONE = np.zeros(0, dtype=np.int64)
 
-_SPACE = r"(?<=\S)(?= \S)"
+# A space that stands alone between other signs, and one beside white space.
+_SPACE = re.compile(r"(?<=\S)(?= \S)")
 _BESIDE = re.compile(r"\s | \s")
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SIGN = rf"(?<=[{_LETTERS}])(?=[!-/:-@\[-`{{-~\n])"
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -69,7 +70,7 @@ def byte_of_sign() -> dict[str, int]:
 
 
 class Aligner:
-    """Both tokenizers in one worker."""
+    """Both tokenizers in one worker, and the words it knows."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -80,9 +81,11 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         sign = byte_of_sign()
         vocab = self.a.get_vocab()
-        self.a_bytes = {i: bytes(sign[c] for c in w) for w, i in vocab.items() if all(c in sign for c in w)}
-        self.b_bytes = []
-        plain = []
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for w, i in vocab.items():
+            if all(c in sign for c in w):
+                self.a_bytes[i] = bytes(sign[c] for c in w)
+        self.b_bytes, plain = [], []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             if self.b.is_byte(i):
@@ -92,118 +95,125 @@ class Aligner:
             self.b_bytes.append(piece.encode())
             if not (self.b.is_control(i) or self.b.is_unknown(i)):  # those never stand for text
                 plain.append(piece)
-        # Cuts are made where no entry of B's vocabulary has them inside. A piece that does not
-        # start with a space is encoded behind a line feed, which no entry may hold then.
-        grants = lambda cut: not any(re.search(cut, p) for p in plain)
-        self.words_alone = grants(_SPACE) and grants(r"[^ ] ")
-        feed = self.b.encode("\n")
-        self.feed = len(feed)
-        self.signs_alone = grants(_SIGN) and grants(r"\n") and self.b.encode("\na")[: self.feed] == feed
-        self.known: dict[str, tuple | None] = {}
-        self.known_words: dict[str, tuple | None] = {}
+        self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.words_alone = not any(re.search(r"[^ ] ", p) for p in plain)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}  # word -> its number in the lists below
+        self.letters = 0
+        self.groups: list[str] = []
+        self.told = array("q")  # per word: A tokens (-1: bytes not given back), B tokens, its first pair, its pairs
+        self.pairs = array("q")
 
     def words(self, text: str) -> list[str]:
-        """Pieces of space + text that start with a space each, which is left out here."""
+        """The words of space + text that start with a space each, which is left out here."""
         if not self.words_alone:
             return [text]
         if text.endswith(" ") or _BESIDE.search(" " + text):  # a space beside white space stays inside
-            return [w[1:] for w in re.split(_SPACE, " " + text)]
+            return [w[1:] for w in _SPACE.split(" " + text)]
         return text.split(" ")
 
-    def _ends(self, size: list[int], coarse: list[int | None]) -> list[int]:
-        """Ends in bytes: a coarse end where one is sure, decoded bytes in between."""
-        out, at = [], 0
-        for n, end in zip(size, coarse):
-            at = at + n if end is None else end
-            out.append(at)
-        return out
-
-    def _encode_a(self, text: str) -> tuple[list[int], list[int], bool]:
-        found = self.a.encode(text, add_special_tokens=False)
-        ids = found.ids
-        parts = [self.a_bytes.get(i, b"") for i in ids]
-        if text.isascii():  # characters are bytes: the offsets are the ends
-            ends = [q for _, q in found.offsets]
-        else:
-            byte_end = [0]
-            for c in text:
-                byte_end.append(byte_end[-1] + len(c.encode()))
-            spans = found.offsets
-            # A character that the next token starts within or at again is cut: its end is not this token's.
-            sure = [byte_end[q] if k + 1 == len(spans) or spans[k + 1][0] >= q else None for k, (_, q) in enumerate(spans)]
-            ends = self._ends([len(p) for p in parts], sure)
-        return ids, ends, b"".join(parts) == text.encode()
-
-    def _encode_b(self, text: str) -> tuple[list[int], list[int], bool]:
-        if text.startswith(" "):  # the space that B adds itself, which spans do not count
-            pieces, before = self.b.encode(text[1:], return_type="proto").pieces, 1
-        else:  # inside of a text: behind a line feed, whose tokens are left out
-            pieces, before = self.b.encode("\n" + text, return_type="proto").pieces[self.feed :], -1
-        ids, size, sure = [], [], []
-        for p in pieces:
-            ids.append(p.id)
-            size.append(len(self.b_bytes[p.id]))
-            # Tokens of one byte of a longer character carry an empty span, but for the last.
-            sure.append(p.end + before if p.end > p.begin else None)
-        return ids, self._ends(size, sure), b"".join(self.b_bytes[i] for i in ids) == text.encode()
-
-    def align(self, piece: str) -> tuple[str, int, int, tuple[int, ...]] | None:
-        """(groups as text, A tokens, B tokens, linked pairs) of space + text; None if bytes are not given back."""
-        a, a_end, a_same = self._encode_a(piece)
-        b, b_end, b_same = self._encode_b(piece)
-        if not (a_same and b_same):
-            return None
-        groups, pairs, i, j, p, q = [], [], 0, 0, 0, 0
-        while p < len(a) and q < len(b):
-            if a_end[p] == b_end[q]:
-                groups.append(f"{','.join(map(str, a[i : p + 1]))}|{','.join(map(str, b[j : q + 1]))}")
-                pairs.append(a[p] * PAIR + b[q])
-                i = p = p + 1
-                j = q = q + 1
-            elif a_end[p] < b_end[q]:
-                p += 1
-            else:
-                q += 1
-        return ";".join(groups), len(a), len(b), tuple(pairs)
-
-    def _remembered(self, known: dict, text: str, find: Callable[[str], tuple | None]) -> tuple | None:
-        found = known.get(text, 0)
-        if found == 0:
-            found = find(text)
-            if len(text) <= CACHE_LETTERS:
-                if len(known) >= CACHE_PIECES:
-                    known.clear()
-                known[text] = found
-        return found
-
-    def _word(self, word: str) -> tuple | None:
-        """A word with its leading space, taken in pieces at signs."""
-        pieces = re.split(_SIGN, " " + word) if self.signs_alone else [" " + word]
-        told = [self._remembered(self.known, p, self.align) for p in pieces]
-        if None in told:
-            return None
-        if len(told) == 1:
-            return told[0]
-        groups, a, b, pairs = zip(*told)
-        return ";".join(groups), sum(a), sum(b), tuple(chain.from_iterable(pairs))
-
-    def document(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
-        """(A tokens, B tokens, groups, their SHA-256, linked pairs, how often each is linked)."""
-        words = self.words(text) if text else []
-        counted = Counter(words)
-        told = [self._remembered(self.known_words, w, self._word) for w in counted]
-        if not told or None in told:
+    @staticmethod
+    def _ends(size: np.ndarray, coarse: np.ndarray, sure: np.ndarray) -> np.ndarray:
+        """Ends in bytes: the coarse ones where they are sure, decoded bytes from there on."""
+        by_size = np.cumsum(size)
+        last = np.maximum.accumulate(np.where(sure, np.arange(len(size)), -1))
+        return by_size + np.where(last >= 0, (coarse - by_size)[last], 0)
+
+    def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and ends in bytes of A and B for space + text."""
+        whole = " " + text
+        letters = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)
+        ends = np.concatenate([[0], np.cumsum(1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF))])
+        found = self.a.encode(whole, add_special_tokens=False)
+        a = np.array(found.ids, dtype=np.int64)
+        spans = np.fromiter(chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(a)).reshape(-1, 2)
+        # A token whose character the next one starts within or at again ends inside that character.
+        sure = np.append(spans[1:, 0], len(whole)) >= spans[:, 1]
+        a_end = self._ends(self.a_size[a], ends[spans[:, 1]], sure)
+        pieces = self.b.encode(text, return_type="proto").pieces
+        b, begin, end = (np.array(x, dtype=np.int64) for x in ([p.id for p in pieces], [p.begin for p in pieces], [p.end for p in pieces]))
+        # The added space is in no span. Bytes of a longer character carry an empty span, but for the last.
+        b_end = self._ends(self.b_size[b], end + 1, end > begin)
+        return a, a_end, b, b_end
+
+    def _given_back(self, ids: list[int], of: list[bytes], ends: list[int], texts: list[bytes]) -> list[bool]:
+        """Which texts the bytes of their tokens give back; ``ends``: tokens up to each text's end."""
+        parts = list(map(of.__getitem__, ids))
+        if b"".join(parts) == b"".join(texts):
+            return [True] * len(texts)
+        return [b"".join(parts[i:j]) == t for i, j, t in zip([0, *ends], ends, texts)]
+
+    def learn(self, words: list[str]) -> None:
+        """Align new words; together they are one text, each behind its space."""
+        a, a_end, b, b_end = self._encode(" ".join(words))
+        raw = [b" " + w.encode() for w in words]
+        last = np.cumsum(list(map(len, raw)))  # where each word ends
+        _, at_a, at_b = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
+        to = np.searchsorted(a_end[at_a], last, "right")  # groups up to each word's end
+        done = (to > 0) & (a_end[at_a[to - 1]] == last) if len(at_a) else np.zeros(len(words), dtype=bool)
+        if len(words) > 1 and not done.all():  # no word's tokens reach into another, so this is not met
+            for w in words:
+                self.learn([w])
+            return
+        same = [
+            x and y and z
+            for x, y, z in zip(
+                done.tolist(),
+                self._given_back(a.tolist(), self.a_bytes, np.searchsorted(a_end, last, "right").tolist(), raw),
+                self._given_back(b.tolist(), self.b_bytes, np.searchsorted(b_end, last, "right").tolist(), raw),
+            )
+        ]
+        ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        p, q = (at_a + 1).tolist(), (at_b + 1).tolist()
+        groups = [
+            f"{ids_a[i] if j - i == 1 else ','.join(ids_a[i:j])}|{ids_b[m] if n - m == 1 else ','.join(ids_b[m:n])}"
+            for i, j, m, n in zip([0, *p], p, [0, *q], q)
+        ]
+        n_groups = np.diff(to, prepend=0)
+        n_a, n_b = (np.diff(np.append(0, np.append(0, at + 1)[to]), prepend=0)[1:] for at in (at_a, at_b))
+        first = len(self.pairs) + to - n_groups
+        self.told.frombytes(np.stack([np.where(same, n_a, -1), n_b, first, n_groups], axis=1).astype(np.int64).tobytes())
+        self.pairs.frombytes((a[at_a] * PAIR + b[at_b]).astype(np.int64).tobytes())
+        self.known.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
+        self.letters += sum(map(len, words))
+        ends = to.tolist()
+        self.groups.extend([";".join(groups[i:j]) for i, j in zip([0, *ends], ends)])
+
+    def documents(self, texts: list[str | None]) -> list[tuple]:
+        """Per text: (A tokens, B tokens, groups, their SHA-256, linked pairs, how often each is linked)."""
+        if len(self.known) > CACHE_WORDS or self.letters > CACHE_LETTERS:
+            self.forget()
+        split = [self.words(t) if t else [] for t in texts]
+        counted = [Counter(w) for w in split]
+        block, size = [], 0
+        for word in set().union(*counted) - self.known.keys():
+            block.append(word)
+            size += len(word)
+            if size > BLOCK_LETTERS:
+                self.learn(block)
+                block, size = [], 0
+        if block:
+            self.learn(block)
+        # Views of the lists, given up before the next words come.
+        told, pairs = np.frombuffer(self.told, dtype=np.int64).reshape(-1, 4), np.frombuffer(self.pairs, dtype=np.int64)
+        return [self._document(w, c, told, pairs) for w, c in zip(split, counted)]
+
+    def _document(self, words: list[str], counted: Counter, told: np.ndarray, pairs: np.ndarray) -> tuple:
+        numbers = list(map(self.known.__getitem__, counted))
+        at = np.array(numbers, dtype=np.int64)
+        if not words or (told[at, 0] < 0).any():
             return 0, 0, 0, "", _NONE, _NONE
-        times = list(counted.values())
-        told_groups, a, b, pairs = zip(*told)
-        groups = dict(zip(counted, told_groups))
+        times = np.fromiter(counted.values(), dtype=np.int64, count=len(counted))
+        first, size = told[at, 2], told[at, 3]
+        where = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+        linked, inverse = np.unique(pairs[where], return_inverse=True)
+        n = np.bincount(inverse, weights=np.repeat(times, size), minlength=len(linked)).astype(np.int64)
+        groups = dict(zip(counted, map(self.groups.__getitem__, numbers)))
         line = ";".join(map(groups.__getitem__, words))
-        size = list(map(len, pairs))
-        n = sum(size)
-        linked, where = np.unique(np.fromiter(chain.from_iterable(pairs), dtype=np.int64, count=n), return_inverse=True)
-        linked_times = np.bincount(where, weights=np.repeat(times, size), minlength=len(linked)).astype(np.int64)
-        n_a, n_b = sum(map(mul, a, times)), sum(map(mul, b, times))
-        return n_a, n_b, int(linked_times.sum()), hashlib.sha256(line.encode()).hexdigest(), linked, linked_times
+        n_a, n_b = int(told[at, 0] @ times), int(told[at, 1] @ times)
+        return n_a, n_b, int(n.sum()), hashlib.sha256(line.encode()).hexdigest(), linked, n
 
 
 # One per pair of tokenizer files in a worker, so that its tasks share what it remembers.
@@ -226,7 +236,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
         for b in batches:
-            rows = [both.document(t) for t in b.column(2).to_pylist()]
+            texts = b.column(2).to_pylist()
+            rows = [r for i in range(0, len(texts), DOCUMENTS) for r in both.documents(texts[i : i + DOCUMENTS])]
             offsets = pa.array(np.cumsum([0, *(len(r[4]) for r in rows)]).astype(np.int32))
             pairs, times = (np.concatenate([_NONE, *(r[k] for r in rows)]) for k in (4, 5))
             yield pa.RecordBatch.from_arrays(

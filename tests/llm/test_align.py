@@ -42,7 +42,7 @@ def brute(both, text):
 
 
 def told(both, text):
-    *head, pairs, times = both.document(text)
+    *head, pairs, times = both.documents([text])[0]
     return (*head, {(p // align.PAIR, p % align.PAIR): n for p, n in zip(pairs.tolist(), times.tolist())})
 
 
@@ -53,23 +53,33 @@ HARD = [
 
 
 def test_pieces_give_the_tokens_of_the_whole_text(both):
-    assert both.words_alone and both.signs_alone
+    assert both.words_alone
     for text in HARD:
         assert told(both, text) == brute(both, text), text
     rng = random.Random(2)
     signs = [*"abZé'ß \n\t.,!?09𝕏漢▁\r-_　\x1c"] + ["'re", "</s>", "<0x41>", "don't ", " the", "Ünï", "  "]
-    for _ in range(4_000):
-        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 14)))
-        assert told(both, text) == brute(both, text), text
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 14))) for _ in range(4_000)]
+    for text, got in zip(texts, both.documents(texts)):
+        *head, pairs, times = got
+        links = {(p // align.PAIR, p % align.PAIR): n for p, n in zip(pairs.tolist(), times.tolist())}
+        assert (*head, links) == brute(both, text), text
 
 
 def test_without_cuts_the_result_is_the_same(both):
     whole = align.Aligner(A, B)
-    whole.words_alone = whole.signs_alone = False
+    whole.words_alone = False
     for text in HARD:
         assert told(whole, text) == told(both, text)
 
 
+def test_a_worker_that_forgets_gives_the_same(both, monkeypatch):
+    want = [told(both, t) for t in HARD]
+    monkeypatch.setattr(align, "CACHE_WORDS", 3)
+    monkeypatch.setattr(align, "BLOCK_LETTERS", 5)
+    small = align.Aligner(A, B)
+    assert [told(small, t) for t in HARD] == want and [told(small, t) for t in HARD] == want
+
+
 @pytest.mark.parametrize("limit", [align.BROADCAST_PAIRS, 0])
 def test_documents(both, docs, limit):
     texts = [*HARD, "the cat. the cat", "the cat. the cat", "The dog, the cat"]
