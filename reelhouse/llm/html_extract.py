@@ -2,7 +2,8 @@
 
 1. Every page is parsed into a DOM tree and folded: neighbouring siblings with
    the same label (tag and class words) become one node, so a list or a run of
-   paragraphs is one slot whatever its length. The folded shape and a hash of
+   paragraphs is one slot whatever its length (plain containers only with the
+   same kinds of blocks in them). The folded shape and a hash of
    each node's text go to a narrow table.
 2. The wrapper of a host starts from its most frequent shape. Each page's tree
    is aligned with it by simple tree matching (the largest order-preserving
@@ -16,9 +17,12 @@
    (menus, headers, footers, sidebars, notices, adverts, forms, comments, by
    tag, role or class) and the constant nodes that have the constant's text on
    this very page, inside an article or main region as outside. Of the rest the
-   regions are the page's text, unless the slots outside them say more; a page
-   without a region gives all of its slots. Where the regions of a page are
-   constant throughout and nothing longer stands outside, they are its text.
+   regions are the page's text; a page without a region gives all of its slots.
+   A region that is constant throughout is the text where there is no other.
+5. Whether a host's regions are only teasers is told by its pages together:
+   where on most of them the slots outside say more, links aside, those slots
+   join the regions on these pages. What stands beside one page's article, be
+   it longer, changes nothing.
 
 Blocks are joined by one space and white space is collapsed; character
 references are decoded. A host with too few pages has no constant nodes.
@@ -71,8 +75,19 @@ CHROME_WORDS = frozenset(
     " replies respond notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe signup"
     " login share sharing social related recommended pagination pager toolbar skip legal copyright".split()
 )
-# Words that may stand beside a chrome word in a class or id.
-PLACES = frozenset("site page main top bottom left right primary secondary global".split())
+# Of these, words that name what they stand for whatever comes before them (article-comments).
+CHROME_HEADS = frozenset(
+    "ads advert adverts advertisement advertising adsense sponsor sponsored promo sidebar navbar breadcrumb breadcrumbs"
+    " comment comments disqus replies cookie cookies gdpr popup newsletter pagination widget".split()
+)
+# Words that may stand beside a chrome word in a class or id: where it is, and what holds it.
+PLACES = frozenset("site page main top bottom left right primary secondary global user users reader readers".split())
+HOLDERS = frozenset(
+    "area bar block body box button buttons container content form group holder icons inner item items link links list lists"
+    " module panel placeholder post posts region row section slot strip text thread unit wrap wrapper zone".split()
+)
+# A class with one of these says that something else has, or has not, what it names.
+DENIALS = frozenset("has have with without no not is in hide show".split())
 REGION_TAGS = ("article", "main")
 # Chrome that may hold teasers: kept as chrome while a page has a region elsewhere.
 ASIDES = frozenset("head nav footer aside select menu dialog button".split()) | RAW
@@ -94,17 +109,25 @@ class Node:
 
 
 def _chrome_name(token: str, heading: set[str]) -> bool:
-    """Whether a whole class or id names chrome: all its words do, or say where it is.
+    """Whether a whole class or id names chrome.
 
-    ``sidebar``, ``cookie-banner`` and ``site-footer`` do; ``has-sidebar`` and ``legal-news`` do not.
+    Its head decides, the last word that is not just a holder: ``comment-list``,
+    ``ad-slot``, ``article-comments`` and ``site-footer`` are chrome,
+    ``share-price`` and ``legal-news`` are not, nor is ``has-sidebar``. Words
+    with other meanings too (header, menu, share) are only chrome among words
+    that are chrome, places or holders themselves.
     """
-    words = set(_WORDS.findall(token))
-    return bool(words & CHROME_WORDS - heading) and words <= CHROME_WORDS - heading | PLACES
+    words = _WORDS.findall(token)
+    if not DENIALS.isdisjoint(words):
+        return False
+    known = CHROME_WORDS - heading
+    named = [w for w in words if w not in HOLDERS]
+    return bool(named) and (named[-1] in CHROME_HEADS or any(w in known for w in named) and all(w in known or w in PLACES for w in named))
 
 
 @lru_cache(maxsize=20_000)
 def _kind(tag: str, attrs: str, in_region: bool) -> tuple[str, bool, bool, bool]:
-    """Label, chrome, region and hiddenness of an element."""
+    """Label, chrome, region and hiddenness of an element. A region that is chrome too is so by its class or role."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs else {}
     names = f"{found.get('class', '')} {found.get('id', '')}".lower()
     words = _WORDS.findall(names)
@@ -121,7 +144,7 @@ def _kind(tag: str, attrs: str, in_region: bool) -> tuple[str, bool, bool, bool]
     if tag in ("html", "body"):
         chrome = hidden = False
     region = tag in REGION_TAGS or role == "main" or found.get("itemprop") == "articleBody"
-    return tag + "".join(f".{w}" for w in words[:3]), chrome, region and not chrome, hidden
+    return tag + "".join(f".{w}" for w in words[:3]), chrome, region and not hidden, hidden
 
 
 def parse(page: str) -> Node:
@@ -130,6 +153,7 @@ def parse(page: str) -> Node:
     stack, at = [root], 0
     regions = 0
     held: list[tuple[Node, list[Node]]] = []  # regions and the chrome around them
+    named: list[tuple[Node, list[Node]]] = []  # those that have a chrome class
     match = _TAG.search
     while m := match(page, at):
         if m.start() > at:
@@ -159,7 +183,12 @@ def parse(page: str) -> Node:
         node = Node(tag, *_kind(tag, attrs, regions > 0))
         stack[-1].items.append(node)
         if node.region:
-            held.append((node, [n for n in stack if n.chrome]))
+            around = [n for n in stack if n.chrome]
+            if node.chrome:  # an article by its tag, chrome by its class
+                named.append((node, around))
+                node.region = False
+            else:
+                held.append((node, around))
         if tag in ("svg", "math") and attrs.endswith("/"):
             continue
         if tag in RAW:
@@ -173,6 +202,10 @@ def parse(page: str) -> Node:
             regions += node.region
     if at < len(page):
         stack[-1].items.append(page[at:])
+    if not held:  # the only articles of the page are its text whatever their class
+        for node, _ in named:
+            node.chrome, node.region = False, True
+        held = named
     _open_chrome(held)
     return root
 
@@ -190,7 +223,7 @@ def _open_chrome(held: list[tuple[Node, list[Node]]]) -> None:
             n.chrome = False
 
 
-def _text(items: list, out: list[str], chrome: bool, fixed: set[int]) -> None:
+def _text(items: list, out: list[str], chrome: bool, fixed: set[int], links: bool = True) -> None:
     """Texts in page order, with a space at block ends."""
     todo = [iter(items)]
     ends = [""]
@@ -198,7 +231,7 @@ def _text(items: list, out: list[str], chrome: bool, fixed: set[int]) -> None:
         for x in todo[-1]:
             if isinstance(x, str):
                 out.append(entities.unescape(x) if "&" in x else x)
-            elif x.chrome and not chrome or id(x) in fixed:
+            elif x.chrome and not chrome or id(x) in fixed or x.tag == "a" and not links:
                 out.append(" ")
             else:
                 edge = "" if x.tag in INLINE else " "
@@ -211,25 +244,32 @@ def _text(items: list, out: list[str], chrome: bool, fixed: set[int]) -> None:
             out.append(ends.pop())
 
 
-def text_of(nodes: list[Node], chrome: bool = False, fixed: set[int] = frozenset()) -> str:
+def text_of(nodes: list[Node], chrome: bool = False, fixed: set[int] = frozenset(), links: bool = True) -> str:
     """Text of subtrees, ``chrome``: with the chrome too, without the nodes in ``fixed``."""
     out: list[str] = []
     for n in nodes:
-        _text(n.items, out, chrome, fixed)
+        _text(n.items, out, chrome, fixed, links)
         out.append(" ")
     return " ".join("".join(out).split())
 
 
 class Folded:
-    __slots__ = ("label", "members", "children")
+    __slots__ = ("label", "members", "children", "kind")
 
-    def __init__(self, label: str, members: list[Node]):
-        self.label, self.members = label, members
+    def __init__(self, label: str, members: list[Node], kind: frozenset = frozenset()):
+        self.label, self.members, self.kind = label, members, kind
         self.children: list[Folded] = []
 
 
+def _blocks(node: Node) -> frozenset:
+    """Tags of the blocks in a plain container: a menu and a story may both be a ``div``."""
+    if node.tag not in ("div", "section"):
+        return frozenset()
+    return frozenset(x.tag for x in node.items if not isinstance(x, str) and x.tag not in INLINE and x.tag not in VOID)
+
+
 def fold(root: Node) -> Folded:
-    """Merge runs of siblings with the same label, level by level."""
+    """Merge runs of siblings with the same label (and, plain containers, the same kinds of blocks), level by level."""
     top = Folded(root.label, [root])
     todo = [top]
     while todo:
@@ -239,10 +279,11 @@ def fold(root: Node) -> Folded:
                 # Inline mark-up belongs to the text of its block.
                 if isinstance(x, str) or x.tag in INLINE or x.tag in VOID:
                     continue
-                if f.children and f.children[-1].label == x.label:
+                kind = _blocks(x)
+                if f.children and f.children[-1].label == x.label and f.children[-1].kind == kind:
                     f.children[-1].members.append(x)
                 else:
-                    f.children.append(Folded(x.label, [x]))
+                    f.children.append(Folded(x.label, [x], kind))
         todo += f.children
     return top
 
@@ -320,8 +361,16 @@ def align(template: str, page: str) -> tuple[int, ...]:
 
 def extract(page: str | None, template: str | None = None, constant: dict[int, int] | None = None) -> str:
     """Main text of a page under its host's wrapper; ``constant``: text hash by constant template node."""
+    return extract_both(page, template, constant)[0]
+
+
+def extract_both(page: str | None, template: str | None = None, constant: dict[int, int] | None = None) -> tuple[str, str | None]:
+    """The text of a page's regions, and where the slots outside say more, of all its slots.
+
+    A page without a region has only its slots: (text, None).
+    """
     if not page:
-        return ""
+        return "", None
     root = parse(page)
     folded = preorder(fold(root))
     at = align(template, shape_of(folded)) if template else (-1,) * len(folded)
@@ -343,13 +392,12 @@ def extract(page: str | None, template: str | None = None, constant: dict[int, i
             fixed.update(map(id, f.members))
             skip.update(map(id, f.children))
     if not regions:
-        return text_of([root], fixed=fixed)
+        return text_of([root], fixed=fixed), None
     # Regions that are template as a whole yield to the others, but a page keeps its only text.
     kept = [n for n in regions if id(n) not in fixed]
     told = text_of(kept, fixed=fixed) or text_of(regions)
-    beside = text_of([root], fixed=fixed | set(map(id, regions)))
-    # A region that says less than the slots outside is a teaser: the page is all of its slots.
-    return text_of([root], fixed=fixed) or told if len(beside) > len(told) else told
+    beside = text_of([root], fixed=fixed | set(map(id, regions)), links=False)
+    return told, text_of([root], fixed=fixed) or told if len(beside) > len(told) else None
 
 
 def _hash(text: str) -> int:
@@ -379,9 +427,12 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cols = (b.column(i).to_pylist() for i in (2, 3, 4))
-        texts = [extract(page, t, {x["node"]: x["hash"] for x in c or ()}) for page, t, c in zip(*cols)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+        cols = (b.column(i).to_pylist() for i in (3, 4, 5))
+        texts = [extract_both(page, t, {x["node"]: x["hash"] for x in c or ()}) for page, t, c in zip(*cols)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), b.column(2)] + [pa.array([t[i] for t in texts], pa.string()) for i in (0, 1)],
+            names=["page_id", "url", "host", "text", "wide"],
+        )
 
 
 def _rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -424,4 +475,16 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     if (size or 0) <= BROADCAST_BYTES:
         wrappers = F.broadcast(wrappers)
     rows = _rows(pages, id_col, url_col, html_col).join(wrappers, "host", "left")
-    return rows.select("page_id", "url", "html", "template", "constant").mapInArrow(_extracted, "page_id long, url string, text string")
+    rows = rows.select("page_id", "url", "host", "html", "template", "constant")
+    told = rows.mapInArrow(_extracted, "page_id long, url string, host string, text string, wide string")
+    told = store.write_shared(told, "html-texts")
+    # Hosts whose regions are teasers: most of their pages say more outside of them.
+    teasers = told.groupBy("host").agg(F.count("wide").alias("n"), F.count(F.lit(1)).alias("pages"))
+    teasers = store.write_shared(teasers.where("n * 2 > pages and pages >= " + str(MIN_PAGES)).select("host"), "html-teasers")
+    size = teasers.agg(F.sum(F.octet_length("host") + 16)).first()[0] or 0
+    if not size:
+        return told.select("page_id", "url", "text")
+    if size <= BROADCAST_BYTES:
+        teasers = F.broadcast(teasers)
+    told = told.join(teasers.withColumn("teaser", F.lit(True)), "host", "left")
+    return told.select("page_id", "url", F.when(F.col("teaser"), F.coalesce("wide", "text")).otherwise(F.col("text")).alias("text"))

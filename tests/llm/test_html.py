@@ -66,6 +66,51 @@ def test_words_of_a_class_do_not_hide_an_article():
     assert hx.extract("<article>text</article><aside><article>teaser</article></aside>") == "text"
 
 
+CHROME = (
+    "comment-list comments-section comment-body user-comments comments-area article-comments post_comments ad-container ad-slot"
+    " advert-box promo-box cookie-bar cookie-notice newsletter-box newsletter-signup related-posts share-buttons social-links"
+    " widget-area login-form site-header top-nav main-menu sidebar-left sponsored-content"
+).split()
+TEXT = "has-sidebar with-nav no-comments legal-news share-price content text-block post post-body story left-col section-1 menu-of-the-day header-image-caption".split()
+
+
+def test_the_head_of_a_class_decides():
+    for name in CHROME:
+        assert hx.extract(f"<div class='{name}'><p>no</p></div><p>text</p>") == "text", name
+        if "header" not in name:  # an article has its own
+            assert hx.extract(f"<article><p>text</p><div class='{name}'>no</div></article>") == "text", name
+    for name in TEXT:
+        assert hx.extract(f"<article><p>a</p><div class='{name}'>text</div></article>") == "a text", name
+        assert hx.extract(f"<p>a</p><div class='{name}'>text</div>") == "a text", name
+
+
+def test_an_article_is_kept_whatever_its_class():
+    for name in ("promo", "comment", "sidebar", "ad-slot", "widget"):
+        assert hx.extract(f"<nav>no</nav><article class='{name}'>text</article>") == "text"
+    assert hx.extract("<article>text</article><article class='comment'>me too</article>") == "text"
+    assert hx.extract("<main>text<article class='promo'>buy</article></main>") == "text"
+
+
+def test_what_is_longer_beside_one_article_changes_nothing(spark):
+    links = "".join(f"<a href='/{i}'>Another headline of the day number {i}</a> " for i in range(30))
+    remark = "I have read this and think otherwise, at length. " * 20
+    assert hx.extract(f"<article>Short story</article><div class='latest'>{links}</div>") == "Short story"
+    assert hx.extract(f"<article>Short story</article><section>{remark}</section>") == "Short story"
+    rows = [(i, f"http://s.org/{i}", f"<article><h1>T{i}</h1><p>Story of the day {i}</p></article><section>{remark + str(i) if i == 3 else 'ok'}</section>") for i in range(9)]
+    rows += [(20 + i, f"http://l.org/{i}", f"<article>Story {i}</article><div class='latest'>{links}{i}</div>") for i in range(9)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"T{i} Story of the day {i}" for i in range(9))
+    assert all(got[20 + i] == f"Story {i}" for i in range(9))
+
+
+def test_pages_without_article(spark):
+    """The wrapper alone tells menu and text apart: no region, no telling class."""
+    body = lambda i: f"<div><a>Home</a><a>About</a></div><div><h2>Title {i}</h2><p>First {i}.</p><p>Second {i * 3}.</p></div><div>Imprint and terms</div>"
+    rows = [(i, f"http://n.org/{i}", f"<html><body>{body(i)}<div class='comments'>nice {i}</div></body></html>") for i in range(15)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"Title {i} First {i}. Second {i * 3}." for i in range(15))
+
+
 def test_self_closed_svg_and_all_of_main():
     assert hx.extract("<p>a</p><svg/><p>b</p><math /><p>c</p><svg><path/>d</svg><p>e</p>") == "a b c e"
     assert hx.extract("<main><h1>Head</h1><p>lede</p><nav>no</nav><article>one</article><article>two</article></main>") == "Head lede one two"
