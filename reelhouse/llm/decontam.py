@@ -14,39 +14,41 @@ document past it (containment MinHash):
   candidate search loses nothing, whatever the document's length.
 * Every candidate is verified by exact containment of the shingles as strings.
 
-Items travel to the tasks in blocks of at most ``BLOCK_SHINGLES`` shingles
-(a few MB); a larger benchmark takes more passes over the documents, never a
-larger broadcast. Documents are never shuffled.
-
-Words are maximal runs of letters and digits of the lower-cased text. A text
-of fewer than five words has one shingle, its whole word sequence; one without
-words has none and is never contained. Nulls: a null text has no words; a null
-item id or document id is carried as it is. Repeated items or documents give
-repeated rows. Empty tables give an empty result. Extra columns are ignored.
+Items, sketches and shingles are tables made by tasks. One pass over the
+documents takes out the shingles that may be an item's, told by a filter of
+``FILTER_BITS`` bits (its size does not depend on the benchmark's; a fuller
+filter only lets more shingles through), and the joins with sketches and
+shingles are Spark's, by measured size. Texts are never shuffled.
+
+Words are maximal runs of letters and digits of the lower-cased text. An item
+of fewer than five words is one shingle, its whole word sequence, and is
+looked for in the documents' windows of as many words; an item without words
+is never contained, nor is one longer than the document. Nulls: a null text
+has no words; a null item id or document id is carried as it is. Repeated
+items or documents give repeated rows; ties cannot arise. Very long texts are
+read whole. Empty tables give an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm import store
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-# Shingles of the benchmark broadcast in one pass: about 20 MB of strings.
-BLOCK_SHINGLES = 200_000
+# Bits of the filter that tells a document's shingles apart: 2 MB in every task.
+FILTER_BITS = 1 << 24
 # Word hashes a worker remembers before it starts afresh.
 CACHE_WORDS = 400_000
 
 _WORD = re.compile(r"[^\W_]+")
-_SCHEMA = "doc_id long, item_id long, matched int, item_shingles int, containment double"
 
 
 def words(text: str | None) -> list[str]:
@@ -54,8 +56,7 @@ def words(text: str | None) -> list[str]:
 
 
 def shingles(ws: list[str], k: int = SHINGLE_WORDS) -> set[str]:
-    if len(ws) < k:
-        return {" ".join(ws)} if ws else set()
+    """Distinct runs of k words; none where there are fewer."""
     return {" ".join(ws[i : i + k]) for i in range(len(ws) - k + 1)}
 
 
@@ -83,10 +84,10 @@ class WordHashes:
 
 
 def shingle_hashes(h: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
-    """Hash of every k-word shingle (of the whole sequence when shorter) from the word hashes."""
-    n = max(1, len(h) - k + 1) if len(h) else 0
+    """Hash of every run of k words from the word hashes."""
+    n = max(0, len(h) - k + 1)
     out = np.full(n, 0x9E3779B97F4A7C15, dtype=np.uint64)
-    for i in range(min(k, len(h))):
+    for i in range(k):
         out = (out ^ h[i : i + n]) * np.uint64(0xFF51AFD7ED558CCD)
         out ^= out >> np.uint64(33)
     return out
@@ -103,92 +104,67 @@ def sketch_size(n: int, t: float) -> int:
     return largest - needed(largest, t) + 1
 
 
-class ItemBlock:
-    """Sketches and shingles of a bounded block of items, as the tasks use them."""
-
-    def __init__(self, items: list[tuple[int | None, list[str]]], k: int, t: float):
-        self.k, self.t = k, t
-        self.items = []  # (item_id, shingle set)
-        hashes, owner = [], []
-        memory = WordHashes()
-        for item_id, shingle_list in items:
-            at = len(self.items)
-            self.items.append((item_id, set(shingle_list)))
-            h = np.sort(np.array([shingle_hashes(memory.of(s.split(" ")), len(s.split(" ")))[0] for s in shingle_list], dtype=np.uint64))
-            low = h[: sketch_size(len(h), t)]
-            hashes.append(low)
-            owner.append(np.full(len(low), at))
-        h, o = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (hashes, owner))
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.owner = h[order], o[order].astype(np.int64)
-        # A bit per 16 low hash bits: lets most shingles of a document pass by one look-up.
-        self.seen = np.zeros(1 << 16, dtype=bool)
-        self.seen[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-
-    def candidates(self, doc_hashes: np.ndarray) -> np.ndarray:
-        near = doc_hashes[self.seen[(doc_hashes & np.uint64(0xFFFF)).astype(np.int64)]]
-        if not len(near):
-            return self.owner[:0]
-        near = np.unique(near)
-        lo = np.searchsorted(self.hashes, near, "left")
-        hi = np.searchsorted(self.hashes, near, "right")
-        found = [self.owner[p:q] for p, q in zip(lo[hi > lo], hi[hi > lo])]
-        return np.unique(np.concatenate(found)) if found else self.owner[:0]
-
-    def matches(self, ws: list[str], memory: WordHashes) -> list[tuple]:
-        if not ws:
-            return []
-        found = self.candidates(shingle_hashes(memory.of(ws), self.k))
-        if not len(found):
-            return []
-        own = shingles(ws, self.k)
-        out = []
-        for at in found.tolist():
-            item_id, wanted = self.items[at]
-            got = len(wanted & own)
-            if got >= needed(len(wanted), self.t):
-                out.append((item_id, got, len(wanted), got / len(wanted)))
-        return out
-
-
-def _search(docs: DataFrame, block: ItemBlock) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)  # at most BLOCK_SHINGLES shingles
+def _items(benchmark: DataFrame, k: int, t: float) -> DataFrame:
+    """(item_id, k, shingles, hashes, sketch) of every item that has words; short items have a k of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, items = WordHashes(), shared.value
+        memory = WordHashes()
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for row in items.matches(words(text), memory):
-                    for c, v in zip(cols, (doc_id, *row)):
-                        c.append(v)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, types)],
-                names=["doc_id", "item_id", "matched", "item_shingles", "containment"],
-            )
-
-    return docs.mapInArrow(run, _SCHEMA)
-
-
-def _item_blocks(items: DataFrame, k: int, limit: int) -> Iterator[list[tuple]]:
-    """Items with their distinct shingles, in blocks of a bounded number of shingles."""
+            rows = []
+            for item_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ws = words(text)
+                if not ws:
+                    continue
+                size = min(k, len(ws))
+                own = sorted(shingles(ws, size))
+                h = [int(shingle_hashes(memory.of(s.split(" ")), size)[0]) for s in own]
+                low = sorted(h)[: sketch_size(len(h), t)]
+                signed = [[x - (1 << 64) if x >> 63 else x for x in v] for v in (h, low)]
+                rows.append((item_id, size, own, *signed))
+            cols = list(zip(*rows)) or [()] * 5
+            types = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)], ["item_id", "k", "shingles", "hashes", "sketch"])
+
+    return benchmark.mapInArrow(run, "item_id long, k int, shingles array<string>, hashes array<long>, sketch array<long>")
+
+
+def _filter_words(hashes: DataFrame) -> dict[int, bytes]:
+    """Per shingle size the filter of the items' shingle hashes (k, h)."""
+    bit = F.col("h").bitwiseAND(FILTER_BITS - 1)
+    words_ = hashes.groupBy("k", F.shiftright(bit, 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")
+    )
+    out: dict[int, np.ndarray] = {}
+    for r in words_.collect():  # at most FILTER_BITS / 64 rows per size, whatever the benchmark
+        out.setdefault(r["k"], np.zeros(FILTER_BITS // 64, dtype=np.int64))[r["w"]] = r["bits"]
+    return {k: v.tobytes() for k, v in out.items()}
+
+
+def _hits(docs: DataFrame, filters: dict[int, bytes]) -> DataFrame:
+    """(row, doc_id, k, h, shingle): distinct shingles of each document that pass the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)  # FILTER_BITS bits for each of at most k sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordHashes()
+        bits = {k: np.unpackbits(np.frombuffer(v, dtype=np.uint8), bitorder="little").view(bool) for k, v in shared.value.items()}
         for b in batches:
-            sets = [sorted(shingles(words(t), k)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.string()))], names=["item_id", "s"])
-
-    block, size = [], 0
-    # toLocalIterator: one partition of the benchmark at a time, one block kept.
-    for item_id, s in items.mapInArrow(run, "item_id long, s array<string>").where(F.size("s") > 0).toLocalIterator():
-        if block and size + len(s) > limit:
-            yield block
-            block, size = [], 0
-        block.append((item_id, s))
-        size += len(s)
-    if block:
-        yield block
+            rows = []
+            for row, doc_id, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+                ws = words(text)
+                known = memory.of(ws) if ws else None
+                for k, passes in bits.items():
+                    if len(ws) < k:
+                        continue
+                    h = shingle_hashes(known, k)
+                    at = np.flatnonzero(passes[(h & np.uint64(FILTER_BITS - 1)).astype(np.int64)])
+                    if len(at):
+                        found = {" ".join(ws[i : i + k]): x for i, x in zip(at.tolist(), h[at].view(np.int64).tolist())}
+                        rows += [(row, doc_id, k, x, s) for s, x in found.items()]
+            cols = list(zip(*rows)) or [()] * 5
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)], ["row", "doc_id", "k", "h", "shingle"])
+
+    return docs.mapInArrow(run, "row long, doc_id long, k int, h long, shingle string")
 
 
 def contaminated(
@@ -200,12 +176,28 @@ def contaminated(
     item_text_col: str = "text",
     k: int = SHINGLE_WORDS,
     containment: float = CONTAINMENT,
-    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """One row per (document, item) pair whose containment reaches the threshold."""
-    spark: SparkSession = docs.sparkSession
-    store.python_ready(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    store.python_ready(docs.sparkSession)
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-    found = [_search(rows, ItemBlock(b, k, containment)) for b in _item_blocks(items, k, block_shingles)]
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], _SCHEMA)
+    items = store.write_shared(_items(items, k, containment), "decon-items")
+    # Items with the same shingles are searched once.
+    sets = items.dropDuplicates(["k", "shingles"]).select(F.monotonically_increasing_id().alias("item"), "k", "shingles", "hashes", "sketch")
+    sets = store.write_shared(sets, "decon-sets")
+    members = items.join(sets.select("item", "k", "shingles"), ["k", "shingles"]).select("item", "item_id", F.size("shingles").alias("n"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    hits = _hits(rows, _filter_words(sets.select("k", F.explode("hashes").alias("h"))))
+    hits = store.write_shared(hits, "decon-hits")
+    # The search: a document that contains an item has one of its sketch's hashes.
+    sketches = sets.select("k", "item", F.explode("sketch").alias("h"))
+    candidates = hits.select("row", "k", "h").join(sketches, ["k", "h"]).select("row", "item").distinct()
+    # The check: shingles that document and item share, as strings.
+    own = sets.select("k", "item", F.explode("shingles").alias("shingle"))
+    shared = hits.join(own, ["k", "shingle"]).groupBy("row", "item").agg(F.count(F.lit(1)).alias("matched"), F.first("doc_id").alias("doc_id"))
+    found = shared.join(candidates, ["row", "item"], "left_semi").join(members, "item")
+    # matched >= ceil(t * n), exact for decimals like 0.8 (see needed).
+    least = F.ceil(F.round(F.lit(containment) * F.col("n"), 6))
+    return found.where(F.col("matched") >= F.greatest(F.lit(1), least)).select(
+        "doc_id", "item_id", F.col("matched").cast("int").alias("matched"), F.col("n").alias("item_shingles"),
+        (F.col("matched") / F.col("n")).alias("containment"),
+    )

@@ -179,16 +179,16 @@ ORACLE = {
             SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
         ), iw AS (
             SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
-        ), ds AS (
-            SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
-            FROM dw, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS r(p)
         ), its AS (
-            SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS s
+            SELECT DISTINCT item_id, least(len(w), 5) AS k, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s
             FROM iw, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS r(p)
+        ), ds AS (
+            SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS s
+            FROM dw, (SELECT DISTINCT k FROM its) AS sizes, unnest(range(1, len(w) - k + 2)) AS r(p)
         ), n AS (SELECT item_id, count(*) AS item_shingles FROM its GROUP BY item_id)
         SELECT doc_id, item_id, count(*)::INT AS matched, any_value(item_shingles)::INT AS item_shingles,
                count(*)::DOUBLE / any_value(item_shingles) AS containment
-        FROM ds JOIN its USING (s) JOIN n USING (item_id)
+        FROM ds JOIN its USING (s, k) JOIN n USING (item_id)
         GROUP BY doc_id, item_id
         HAVING count(*) * 10 >= any_value(item_shingles) * 8
     """,

@@ -6,9 +6,11 @@ from reelhouse.llm import decontam as dc
 def brute(texts, items):
     out = set()
     for item_id, t in items:
-        want = dc.shingles(dc.words(t))
+        ws = dc.words(t)
+        k = min(5, len(ws))
+        want = dc.shingles(ws, k) if ws else set()
         for i, x in enumerate(texts):
-            got = len(want & dc.shingles(dc.words(x)))
+            got = len(want & dc.shingles(dc.words(x), k))
             if want and got * 10 >= len(want) * 8:
                 out.add((i, item_id, got, len(want)))
     return out
@@ -36,10 +38,28 @@ def test_matches_brute_force_at_every_threshold_side(spark, docs):
     assert got == want and len(want) > 40
 
 
-def test_small_blocks_give_the_same_rows(spark, docs):
+def test_short_items_are_found_inside_long_texts(spark, docs):
+    items = [(1, "the secret answer"), (2, "Answer"), (3, "one two three four"), (4, "a b c d e"), (5, "..."), (6, "the secret answer")]
+    texts = [
+        "well the secret answer is here", "the secret", "The Secret, answer!", "x " * 3_000 + "one two three four five", "one two four three",
+        "a b c d", "a b c d e", None, "answers",
+    ]
+    got = {(r.doc_id, r.item_id, r.matched, r.item_shingles) for r in dc.contaminated(docs(texts), frame(spark, items)).collect()}
+    assert got == brute(texts, items)
+    assert {(i, j) for i, j, _, _ in got} == {(0, 1), (0, 6), (2, 1), (2, 6), (0, 2), (2, 2), (3, 3), (6, 4)}
+
+
+def test_repeated_documents_and_items_give_repeated_rows(spark, docs):
+    text = " ".join(f"w{j}" for j in range(12))
+    found = dc.contaminated(docs([text, text, text], [1, 1, None]), frame(spark, [(7, text), (7, text), (None, text)])).collect()
+    assert sorted((r.doc_id or 0, r.item_id or 0) for r in found) == sorted([(1, 7)] * 4 + [(1, 0)] * 2 + [(0, 7)] * 2 + [(0, 0)])
+
+
+def test_a_full_filter_changes_nothing(spark, docs, monkeypatch):
     items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(9)]
     texts = [t for _, t in items] + ["nothing here"]
-    got = dc.contaminated(docs(texts), frame(spark, items), block_shingles=16)
+    monkeypatch.setattr(dc, "FILTER_BITS", 64)  # every shingle passes
+    got = dc.contaminated(docs(texts), frame(spark, items))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(9)}
 
 
