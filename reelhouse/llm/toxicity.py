@@ -1,30 +1,36 @@
-"""Toxicity: nearest labelled examples by exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words of the lower-cased text and word beginnings of 4 to 6 letters;
-all words outside the vocabulary together are one more term, so that a cosine
-sees how much of a text the telling terms make up. Term frequencies count by
-their square root. The model is fitted on labelled rows with ``crc32(doc_id) mod 5 != 0``:
+Terms are all words of the labelled examples. Words and word beginnings (4 to 6
+letters) that go with the label count ``TELLING`` and ``TELLING_START`` times as
+much, so that a cosine is led by them where a text has any and by its other
+words where it has none. Term frequencies count by their square root. The model is fitted on
+labelled rows with ``crc32(doc_id) mod 5 != 0``:
 
 1. A bounded sample (``EXAMPLES`` per class, the smallest hashes of the id)
-   gives the examples and, by likelihood ratio, the vocabulary of at most
-   ``VOCABULARY`` terms that go with the label.
-2. One pass over the documents turns every whole text into counts of those
-   terms, kept as a narrow table; document frequencies come from all of it.
-3. Postings of each term are cut into blocks of ``BLOCK`` examples with the
-   largest weight of each block. A query bounds every block by its maxima,
-   visits blocks by falling bound and stops when no block can reach its
-   ``NEIGHBOURS`` best: the result equals the full scan.
+   gives the examples and their terms. A term is telling when chance does not
+   explain its link with the label (likelihood ratio); all others stay terms.
+2. One pass over the documents turns every whole text into counts of terms;
+   document frequencies come from all of it. Words that no example has are one
+   more term, which only adds to a text's length.
+3. Examples lie in blocks of ``BLOCK``. Rare terms are added up over their
+   postings; of common terms a query first takes each block's largest weight,
+   which bounds what the block's examples can reach, and opens only blocks
+   that can still reach the ``NEIGHBOURS`` best: the result equals the full scan.
 4. Neighbours vote with weight cosine squared, times the class's share of all
-   labelled rows over its share of the sample. A logistic curve fitted on the
-   examples' own leave-one-out votes turns the vote into the score.
-
-A text without any term of the vocabulary (an empty or null text too) gets the
-share of toxic rows among examples like it. Evidence is the list of the neighbours with their cosines. Nulls: rows of
-``labels`` without id or label are ignored; a null doc_id is scored and not
-held out. A label table that is empty gives score 0; one with a single class
-gives that class's label. Repeated rows are scored alike; of contradicting
-labels of a document, toxic counts. Ties among neighbours go to the smaller
-example id. Empty documents give an empty result.
+   labelled rows over its share of the sample; all examples as near as the last
+   neighbour vote too, so nothing but the texts decides. A logistic curve
+   fitted on the examples' own leave-one-out votes turns the vote into the score.
+
+Every text with a word of any example is searched. A text without one (an empty
+or null text too) gets the share of toxic rows. Evidence is the list of the
+nearest examples with their cosines, of equally near ones the smaller ids. A row
+that is an example itself is its own nearest neighbour, as an equal text is.
+Nulls: rows of ``labels`` without id or label are ignored; a null doc_id is
+scored and not held out. A label table that is empty gives score 0; one with a
+single class gives that class's label. Repeated rows are scored alike; of
+contradicting labels of a document, toxic counts. Very long texts are read
+whole. Extra columns are not read, whatever their names. Empty documents give
+an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +49,18 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm import store
 
-# Bounds of the fitted model: examples per class and terms.
+# Bound of the fitted model: labelled examples per class.
 EXAMPLES = 4_000
-VOCABULARY = 512
+# How much more a telling word counts, and a telling beginning, which other words may share.
+TELLING = 6.0
+TELLING_START = 2.0
 NEIGHBOURS = 15
 BLOCK = 64
-# A term is kept when chance would give its link with the label in fewer than
-# exp(-MARGIN) of all tests together, and this share of toxic examples has it.
+# Terms with more postings than this are taken block by block.
+COMMON = 64
+# A term is telling when chance would give its link with the label in fewer than
+# exp(-MARGIN) of all tests together, and as many toxic examples have it.
 MARGIN = 2.0
-LEAST_SHARE = 0.002
 LEAST_COUNT = 3
 PREFIXES = (4, 5, 6)
 # Scores with their evidence that a worker remembers before it starts afresh.
@@ -71,21 +81,35 @@ def text_terms(text: str | None) -> Counter:
     return out
 
 
-def known_terms(text: str | None, terms: dict[str, int]) -> dict[int, int]:
-    """Counts of the vocabulary's terms in a whole text, by term number; all
-    words without a term count as the term after the last."""
-    out: dict[int, int] = {}
-    other = 0
-    for w, n in Counter(_WORD.findall((text or "").lower())).items():
-        found = [terms[w]] if w in terms else []
-        found += [terms[p] for size in PREFIXES if len(w) > size and (p := w[:size] + "*") in terms]
-        for t in found:
-            out[t] = out.get(t, 0) + n
-        if not found:
-            other += n
-    if other:
-        out[len(terms)] = other
-    return out
+class Terms:
+    """Numbers of the examples' words and of telling word beginnings."""
+
+    def __init__(self, words: list[str], telling: list[str]):
+        starts = [t for t in telling if t.endswith("*")]
+        self.numbers = {w: i for i, w in enumerate([*words, *starts])}
+        self.size = len(self.numbers) + 1  # and one term for all other words
+        self.factor = np.ones(self.size)
+        for t in telling:
+            self.factor[self.numbers[t]] = TELLING_START if t.endswith("*") else TELLING
+        self.stems = {t[: PREFIXES[0]] for t in starts}
+
+    def of(self, text: str | None) -> dict[int, int]:
+        """Counts of the terms in a whole text, by number."""
+        out: dict[int, int] = {}
+        other = 0
+        for w, n in Counter(_WORD.findall((text or "").lower())).items():
+            at = self.numbers.get(w)
+            if at is None:
+                other += n
+            else:
+                out[at] = n
+            if w[: PREFIXES[0]] in self.stems:
+                for size in PREFIXES:
+                    if len(w) > size and (p := self.numbers.get(w[:size] + "*")) is not None:
+                        out[p] = out.get(p, 0) + n
+        if other:
+            out[self.size - 1] = other
+        return out
 
 
 def fold_of(id_col) -> F.Column:
@@ -93,52 +117,105 @@ def fold_of(id_col) -> F.Column:
 
 
 class BlockMaxIndex:
-    """Exact cosine search: postings by (term, block of examples) with block maxima."""
-
-    def __init__(self, vectors: list[dict[int, float]], ids: list[int], n_terms: int, block: int = BLOCK):
-        # Examples with the same leading term at a like weight sit together, which keeps block maxima tight.
-        lead = [max(v, key=v.get) for v in vectors]
-        order = sorted(range(len(vectors)), key=lambda i: (lead[i], round(vectors[i][lead[i]], 2), ids[i]))
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.position = {i: p for p, i in enumerate(order)}
-        self.block = block
-        self.n_blocks = -(-len(order) // block)
-        self.maxima = np.zeros((n_terms, self.n_blocks))
-        self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for p, i in enumerate(order):
-            for t, w in vectors[i].items():
-                lists.setdefault((t, p // block), []).append((p % block, w))
-                self.maxima[t, p // block] = max(self.maxima[t, p // block], w)
-        for key, x in lists.items():
-            self.postings[key] = (np.array([a for a, _ in x]), np.array([w for _, w in x]))
-
-    def search(self, query: dict[int, float], k: int, skip: int | None = None) -> list[tuple[int, float]]:
-        """The k largest cosines above 0 as (position, cosine); ties to the smaller example id."""
-        terms = list(query)
-        bounds = np.array([query[t] for t in terms]) @ self.maxima[terms]
-        best: list[tuple[float, int, int]] = []  # (-cosine, id, position), sorted
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
-                break
-            sims = np.zeros(self.block)
-            for t in terms:
-                hit = self.postings.get((t, b))
-                if hit is not None:
-                    sims[hit[0]] += query[t] * hit[1]
-            floor = -best[-1][0] - 1e-9 if len(best) == k else 0.0
-            for i in np.flatnonzero(sims > max(floor, 0.0)).tolist():
-                at = b * self.block + i
-                if at != skip:
-                    best.append((-round(float(sims[i]), 9), int(self.ids[at]), at))
-            best.sort()
-            del best[k:]
-        return [(at, -s) for s, _, at in best]
+    """Exact cosine search over sparse unit vectors.
+
+    ``terms``, ``weights``: the vectors one behind the other; ``sizes``: their lengths.
+    """
+
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, sizes: np.ndarray, ids: np.ndarray, n_terms: int, block: int = BLOCK, common: int = COMMON):
+        n = len(sizes)
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(n), sizes)
+        # Examples with the same leading term sit together, which keeps block maxima tight.
+        lead = np.full(n, -1)
+        top = np.lexsort((terms, weights, owner))  # the last entry of each owner is its largest
+        lead[owner[top]] = terms[top]
+        place = np.lexsort((ids, lead))
+        self.ids = ids[place]
+        self.position = np.empty(n, dtype=np.int64)
+        self.position[place] = np.arange(n)
+        # Forward: the vectors in the new order.
+        at = np.repeat(first[place], sizes[place]) + np.arange(len(terms)) - np.repeat(np.cumsum(sizes[place]) - sizes[place], sizes[place])
+        self.sizes = sizes[place]
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.terms, self.weights = terms[at].astype(np.int32), weights[at]
+        # Inverted: postings by term.
+        by_term = np.argsort(self.terms, kind="stable")
+        self.posts = np.repeat(np.arange(n), self.sizes)[by_term]
+        self.post_weights = self.weights[by_term]
+        self.df = np.bincount(self.terms, minlength=n_terms)
+        self.post_first = np.cumsum(self.df) - self.df
+        # Block maxima of the common terms.
+        self.block, self.n_blocks = block, -(-n // block)
+        self.row = np.full(n_terms, -1)
+        often = np.flatnonzero(self.df > common)
+        self.row[often] = np.arange(len(often))
+        self.maxima = np.zeros((len(often), self.n_blocks))
+        sorted_terms = self.terms[by_term]
+        for_maxima = self.row[sorted_terms] >= 0
+        np.maximum.at(self.maxima, (self.row[sorted_terms[for_maxima]], self.posts[for_maxima] // block), self.post_weights[for_maxima])
+        self.opened = 0  # blocks opened so far
+
+    def _slices(self, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+    def _add(self, total: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """``total`` and what the postings of the terms add."""
+        size = self.df[terms]
+        at = self._slices(self.post_first[terms], size)
+        return total + np.bincount(self.posts[at], self.post_weights[at] * np.repeat(weights, size), minlength=len(total))
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines above 0 of the k nearest, and of all as near as the last, by cosine and id."""
+        n = len(self.ids)
+        row = self.row[terms]
+        often = row >= 0
+        total = self._add(np.zeros(n), terms[~often], weights[~often])
+        if often.any():
+            bound = weights[often] @ self.maxima[row[often]]
+            reach = np.maximum.reduceat(total, np.arange(0, n, self.block)) + bound
+            order = np.argsort(-reach, kind="stable")
+            # The blocks that reach highest are opened first; the k-th cosine among them is a threshold.
+            some = order[: max(1, -(-(k + 1) // self.block))]
+            exact = self._exact(some, terms, weights)
+            here = self._members(some)
+            if skip is not None:
+                exact[here == skip] = 0.0
+            least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else 0.0
+            able = order[reach[order] >= least - 1e-9]
+            self.opened += len(able)
+            if len(able) * 4 > self.n_blocks:  # most of the index: its postings are the shorter way
+                total = self._add(total, terms[often], weights[often])
+            else:
+                full = np.zeros(n)
+                full[self._members(able)] = self._exact(able, terms, weights)
+                total = full
+        if skip is not None:
+            total[skip] = 0.0
+        total = np.round(total, 9)
+        hit = np.flatnonzero(total > 0)
+        if len(hit) > k:
+            hit = hit[total[hit] >= np.partition(total[hit], len(hit) - k)[len(hit) - k]]
+        hit = hit[np.lexsort((self.ids[hit], -total[hit]))]
+        return hit, total[hit]
+
+    def _members(self, blocks: np.ndarray) -> np.ndarray:
+        at = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+        return at[at < len(self.ids)]
+
+    def _exact(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of the members of some blocks, from their vectors."""
+        here = self._members(blocks)
+        wanted = np.zeros(len(self.df))
+        wanted[terms] = weights
+        size = self.sizes[here]
+        at = self._slices(self.first[here], size)
+        return np.bincount(np.repeat(np.arange(len(here)), size), self.weights[at] * wanted[self.terms[at]], minlength=len(here))
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]
+    terms: Terms
     idf: np.ndarray
     index: BlockMaxIndex | None
     labels: np.ndarray  # by position in the index
@@ -148,25 +225,28 @@ class Model:
     shift: float = 0.0
     k: int = NEIGHBOURS
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """TF-IDF of unit length."""
-        raw = {t: np.sqrt(n) * self.idf[t] for t, n in counts.items()}
-        norm = float(np.sqrt(sum(v * v for v in raw.values())))
-        return {t: v / norm for t, v in sorted(raw.items())}
+        raw = np.sqrt(counts) * self.idf[terms] * self.terms.factor[terms]
+        return raw / np.sqrt(raw @ raw)
 
-    def vote(self, counts: dict[int, int], skip: int | None = None) -> tuple[float | None, list[tuple[int, float]]]:
+    def vote(self, terms: np.ndarray, counts: np.ndarray, skip: int | None = None) -> tuple[float | None, list[tuple[int, float]]]:
         """Weighted share of toxic neighbours (None: no neighbour), and the neighbours."""
-        if self.index is None or not counts.keys() - {len(self.terms)}:
+        if self.index is None or not len(terms):
             return None, []
-        near = self.index.search(self.vector(counts), self.k, skip)
-        if not near:
+        order = np.argsort(terms)  # a fixed order of summation
+        terms, counts = terms[order], counts[order]
+        weights = self.vector(terms, counts)
+        known = terms < self.terms.size - 1
+        near, cosines = self.index.search(terms[known], weights[known], self.k, skip)
+        if not len(near):
             return None, []
-        y = self.labels[[p for p, _ in near]]
-        w = np.array([s * s for _, s in near]) * self.weights[y]
-        return float((w * y).sum() / w.sum()), near
+        y = self.labels[near]
+        w = cosines * cosines * self.weights[y]
+        return float((w * y).sum() / w.sum()), list(zip(near[: self.k].tolist(), cosines[: self.k].tolist()))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[int, float]]]:
-        vote, near = self.vote(counts)
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[int, float]]]:
+        vote, near = self.vote(terms, counts)
         if vote is None:
             return self.bare, []
         return float(1 / (1 + np.exp(-np.clip(self.slope * logit(vote) + self.shift, -30, 30)))), near
@@ -212,8 +292,8 @@ def _sample(docs: DataFrame, train: DataFrame, examples: int) -> DataFrame:
     return store.write_shared(found, "tox-sample")
 
 
-def _vocabulary(sample: DataFrame, size: int) -> list[str]:
-    """Terms that go with the toxic label in the sample, largest likelihood ratio first."""
+def _terms(sample: DataFrame) -> Terms:
+    """All words of the examples, and the telling terms among words and word beginnings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
@@ -227,92 +307,94 @@ def _vocabulary(sample: DataFrame, size: int) -> list[str]:
             names=["term", "n0", "n1"],
         )
 
-    totals = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
+    texts = store.write_shared(sample.dropDuplicates(["y", "text"]).select("y", "text"), "tox-texts")
+    totals = {r[0]: r[1] for r in texts.groupBy("y").count().collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
+    counted = texts.mapInArrow(run, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = store.write_shared(counted, "tox-terms")
+    # Bounded by the texts of the examples.
+    words = counted.where(~F.col("term").endswith("*")).select("term").orderBy("term").toArrow().column(0).to_pylist()
     if not n0 or not n1:
-        return []
-    least = max(LEAST_COUNT, LEAST_SHARE * n1)
-    counted = store.write_shared(
-        sample.dropDuplicates(["y", "text"]).select("y", "text")
-        .mapInArrow(run, "term string, n0 long, n1 long")
-        .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where(F.col("n1") >= least),
-        "tox-terms",
-    )
+        return Terms(words, [])
     a, b, both = F.col("n1"), F.col("n0"), F.col("n0") + F.col("n1")
     n = float(n0 + n1)
     # Log-likelihood ratio of term and label: p is about exp(-g / 2), also for rare terms.
     gain = 2 * (a * F.log(a * n / (both * n1)) + F.when(b > 0, b * F.log(b * n / (both * n0))).otherwise(0.0))
-    tests = max(1, counted.count())
-    rows = (
-        counted.where(a / n1 > 2 * b / n0)
-        .withColumn("gain", gain)
-        .where(F.col("gain") >= 2 * (math.log(tests) + MARGIN))
-        .orderBy(F.desc("gain"), "term")
-        .limit(size)
-    )
-    return [r["term"] for r in rows.select("term").collect()]
+    frequent = counted.where(F.col("n1") >= LEAST_COUNT)
+    tests = max(1, frequent.count())
+    telling = frequent.where((a / n1 > 2 * b / n0) & (gain >= 2 * (math.log(tests) + MARGIN))).orderBy("term")
+    return Terms(words, [r["term"] for r in telling.select("term").collect()])
 
 
-def _counts(docs: DataFrame, terms: dict[str, int], columns: str) -> DataFrame:
-    """``columns`` of docs with the vocabulary counts of the whole text as parallel arrays."""
+def _counts(docs: DataFrame, terms: Terms, columns: str) -> DataFrame:
+    """``columns`` of docs with the counts of the terms in the whole text as parallel arrays."""
     names = [c.split()[0] for c in columns.split(", ")]
-    shared = docs.sparkSession.sparkContext.broadcast(terms)  # at most VOCABULARY terms
+    shared = docs.sparkSession.sparkContext.broadcast(terms)  # bounded by the texts of the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
-            found = [known_terms(t, known) for t in b.column(len(names)).to_pylist()]
+            found = [known.of(t) for t in b.column(len(names)).to_pylist()]
+            offsets = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+            flat = [pa.array(list(chain.from_iterable(v)), pa.int32()) for v in (found, (f.values() for f in found))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(i) for i in range(len(names))]
-                + [pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                [b.column(i) for i in range(len(names))] + [pa.ListArray.from_arrays(offsets, v) for v in flat],
                 names=[*names, "terms", "counts"],
             )
 
     return docs.select(*names, "text").mapInArrow(run, f"{columns}, terms array<int>, counts array<int>")
 
 
-def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: dict[str, int], k: int) -> Model:
+def _vectors_of(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(terms, counts) of each row, without Python objects per entry."""
+    t, c = (b.column(x) for x in ("terms", "counts"))
+    ends = np.cumsum(t.value_lengths().to_numpy())
+    terms, counts = t.flatten().to_numpy(), c.flatten().to_numpy()
+    for i, j in zip([0, *ends.tolist()], ends.tolist()):
+        yield terms[i:j], counts[i:j]
+
+
+def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: Terms, k: int) -> Model:
     """The model from all documents' term counts and the examples."""
     n_docs = vectors.count()
-    df = np.zeros(len(terms) + 1)
-    for t, n in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # <= VOCABULARY rows
-        df[t] = n
+    df = np.zeros(terms.size)
+    found = vectors.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()  # a row per term
+    df[found.column(0).to_numpy()] = found.column(1).to_numpy()
     idf = np.log((n_docs + 1) / (df + 1)) + 1
     totals = {r[0]: r[1] for r in train.groupBy("y").count().collect()}
-    rows = _counts(sample, terms, "id long, y int").orderBy("id").collect()  # <= 2 * EXAMPLES rows of few terms
-    y = np.array([r["y"] for r in rows], dtype=np.int64)
+    examples = store.write_shared(_counts(sample, terms, "id long, y int"), "tox-examples")
+    rows = examples.orderBy("id").toArrow().combine_chunks()  # <= 2 * EXAMPLES texts' counts
+    y, ids = rows.column("y").to_numpy().astype(np.int64), rows.column("id").to_numpy()
     weights = np.array([totals.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1)])
-    counts = [dict(zip(r["terms"], r["counts"])) for r in rows]
-    bare = np.array([not c.keys() - {len(terms)} for c in counts], dtype=bool)  # none of the terms
-
-    def share(of: np.ndarray) -> float:
-        w = weights[y[of]]
-        return float((w * y[of]).sum() / w.sum()) if of.any() and w.sum() else 0.0
-
-    model = Model(terms, idf, None, y, weights, share(bare) if bare.any() else share(bare | True), k=k)
-    if not terms or bare.all():
+    share = float((weights[y] * y).sum() / weights[y].sum()) if len(y) else 0.0
+    model = Model(terms, idf, None, y, weights, share, k=k)
+    flat_terms, sizes, flat_weights = [], [], []
+    for b in rows.to_batches():
+        for t, c in _vectors_of(b):
+            order = np.argsort(t)
+            t, w = t[order], model.vector(t[order], c[order]) if len(t) else np.zeros(0)
+            flat_terms.append(t)
+            flat_weights.append(w)
+            sizes.append(len(t))
+    if not sum(sizes):
         return model
-    at = [i for i, c in enumerate(counts) if c]  # a text without words has no vector
-    model.index = BlockMaxIndex([model.vector(counts[i]) for i in at], [rows[i]["id"] for i in at], len(terms) + 1)
-    order = sorted(model.index.position, key=model.index.position.get)
-    model.labels = y[np.array(at)[order]]
-    told = [(model.index.position[p], counts[i], int(y[i])) for p, i in enumerate(at) if not bare[i]]
-    return calibrate(vectors.sparkSession, model, told)
+    flat = [np.concatenate(x) for x in (flat_terms, flat_weights)]
+    model.index = BlockMaxIndex(flat[0], flat[1], np.array(sizes), ids, terms.size)
+    model.labels = y[np.argsort(model.index.position)]
+    return calibrate(examples, model)
 
 
-def calibrate(spark, model: Model, examples: list[tuple[int, dict, int]]) -> Model:
+def calibrate(examples: DataFrame, model: Model) -> Model:
     """Fit the curve on leave-one-out votes, computed by tasks over the bounded examples."""
-    shared = spark.sparkContext.broadcast(model)
-    frame = spark.createDataFrame([(p, list(c), list(c.values()), y) for p, c, y in examples], "p int, t array<int>, c array<int>, y int")
+    shared = examples.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {i: p for p, i in enumerate(shared.value.index.ids.tolist())}
         for b in batches:
-            p, t, c, y = (b.column(i).to_pylist() for i in range(4))
-            votes = [shared.value.vote(dict(zip(t[i], c[i])), p[i])[0] for i in range(len(p))]
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(votes, pa.float64())], names=["y", "v"])
+            votes = [shared.value.vote(t, c, at[i])[0] for i, (t, c) in zip(b.column("id").to_pylist(), _vectors_of(b))]
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(votes, pa.float64())], names=["y", "v"])
 
-    rows = frame.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").collect()
+    rows = examples.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").collect()
     rows.sort(key=lambda r: (r["v"], r["y"]))  # a fixed order of summation
     if rows:
         y = np.array([r["y"] for r in rows])
@@ -326,7 +408,6 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     examples: int = EXAMPLES,
-    vocabulary: int = VOCABULARY,
     k: int = NEIGHBOURS,
     key_col: str | None = None,
 ) -> DataFrame:
@@ -340,25 +421,21 @@ def score_documents(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carried)
     train = store.write_shared(_labelled(labels), "tox-train")
     sample = _sample(rows, train, examples)
-    terms = {t: i for i, t in enumerate(_vocabulary(sample, vocabulary))}
+    terms = _terms(sample)
     vectors = store.write_shared(_counts(rows, terms, ", ".join(f"{c} long" for c in ["doc_id", *carried])), "tox-vectors")
     shared = spark.sparkContext.broadcast(fit(vectors, sample, train, terms, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         seen: dict[tuple, tuple] = {}  # equal vectors have equal scores
-        bare = model.bare, []
         for b in batches:
             out = []
-            for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist()):
-                if not set(t) - {len(model.terms)}:
-                    out.append(bare)
-                    continue
-                key = tuple(sorted(zip(t, c)))
+            for t, c in _vectors_of(b):
+                key = t.tobytes(), c.tobytes()
                 if key not in seen:
                     if len(seen) > KEPT_SCORES:
                         seen.clear()
-                    score, near = model.score(dict(key))
+                    score, near = model.score(t, c)
                     seen[key] = score, [{"doc_id": int(model.index.ids[p]), "cosine": s} for p, s in near]
                 out.append(seen[key])
             yield pa.RecordBatch.from_arrays(

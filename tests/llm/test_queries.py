@@ -76,6 +76,49 @@ def test_op6_on_held_out_rows(spark, duck):
     assert sum(got[i].predicted == labels[i] for i in held) / len(held) > 0.8
 
 
+def test_op6_equals_a_full_scan(spark, duck):
+    """Neighbours and scores of the query against cosines with every example."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+    from reelhouse.llm import store, toxicity as tox
+
+    docs, labels = (store.table(spark, SF_SMALL, t) for t in ("documents", "labels"))
+    train = store.write_shared(tox._labelled(labels), "t")
+    sample = tox._sample(docs, train, tox.EXAMPLES)
+    terms = tox._terms(sample)
+    texts = {i: terms.of(t) for i, t in documents(duck).items()}
+    df = Counter(t for c in texts.values() for t in c)
+    idf = {t: math.log((len(texts) + 1) / (df[t] + 1)) + 1 for t in range(terms.size)}
+
+    def vector(counts):
+        raw = {t: math.sqrt(n) * idf[t] * terms.factor[t] for t, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {t: x / norm for t, x in raw.items()}
+
+    examples = {r.id: (r.y, vector(texts[r.id])) for r in sample.collect() if texts[r.id]}
+    got = {r.doc_id: r for r in tox.score_documents(docs, labels).collect()}
+    votes = {}
+    for i, counts in texts.items():
+        q = vector(counts) if counts else {}
+        q.pop(terms.size - 1, None)
+        sims = sorted(((-round(sum(x * v.get(t, 0.0) for t, x in q.items()), 9), j) for j, (_, v) in examples.items()))
+        sims = [x for x in sims if x[0] < 0]
+        near = [x for x in sims if x[0] <= sims[min(15, len(sims)) - 1][0] + 2e-9]
+        assert [e.cosine for e in got[i].evidence] == [pytest.approx(-s, abs=3e-9) for s, _ in near[:15]]
+        if near:
+            y = np.array([examples[j][0] for _, j in near])
+            totals = dict(train.groupBy("y").count().collect()) if not votes else totals  # noqa: F821
+            share = [totals[c] / sum(e[0] == c for e in examples.values()) for c in (0, 1)]
+            w = np.array([s * s for s, _ in near]) * np.array(share)[y]
+            votes[i] = float((w * y).sum() / w.sum())
+    # The score rises with the vote, and equal votes have equal scores.
+    order = sorted(votes, key=votes.get)
+    assert all(got[a].score <= got[b].score + 1e-6 for a, b in zip(order, order[1:]))
+    assert len([i for i, c in texts.items() if c and not got[i].evidence]) < 0.05 * len(texts)
+
+
 def test_op9_has_the_article_text(spark, duck):
     import html
     import re
