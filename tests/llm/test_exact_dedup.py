@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from llm.conftest import rows
 from reelhouse.llm import exact_dedup as ed
 
@@ -63,3 +65,39 @@ def test_small_buckets_give_the_same_groups(docs):
 def test_hot_group_is_combined_before_the_shuffle(docs):
     plan = ed.classes(docs(["same"] * 300))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Python" not in plan
+
+
+def test_lookup_goes_through_bucket_and_chain(docs):
+    texts = [f"text {i % 40}" for i in range(200)]
+    index = ed.build_index(docs(texts), capacity=3)
+    plan = ed.lookup(index, docs(texts))._jdf.queryExecution().optimizedPlan().toString()
+    join = next(x for x in plan.splitlines() if "Join Inner" in x and "bucket" in x)
+    assert "_h" in join and "slot" in plan and "chain" in plan and "Python" not in plan
+    # a text that the index does not hold has no row
+    assert rows(ed.lookup(index, docs(["text 1", "unknown"]))).keys() == {0}
+
+
+def test_colliding_hashes_are_chained(docs, spark, monkeypatch):
+    """All hashes alike: one bucket, one chain, told apart by digest."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ed.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    got = {i: (r.keep_id, r.group_size, r.kept, r.text_sha256) for i, r in rows(ed.exact_groups(docs(TEXTS))).items()}
+    assert got == brute(enumerate(TEXTS))
+    index = ed.build_index(docs(TEXTS))
+    assert index.entries.agg({"chain": "max"}).first()[0] == len({v[0] for v in got.values()})
+
+
+def test_bytes_that_differ_under_one_digest_fail(docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ed.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    monkeypatch.setattr(ed.F, "sha2", lambda c, n: F.lit("digest"))
+    with pytest.raises(ValueError, match="differ"):
+        ed.exact_groups(docs(["a", "b"]))
+
+
+def test_texts_without_a_copy_do_not_move(docs):
+    plan = ed.classes(docs(["same"] * 300))._jdf.queryExecution().executedPlan().toString()
+    shuffled = [x for x in plan.splitlines() if "partial_max" in x]
+    assert shuffled and all("_norm" not in x.split("output=")[-1] for x in shuffled)
