@@ -13,7 +13,12 @@ word, ... and a sticky overflow word) add it to 64 distances at once, and a
 (query, word) pair is abandoned as soon as all its lanes exceed the radius.
 Links inside a block leave it as a spanning forest, so a block of k near
 copies emits k - 1 edges, not k * k / 2. A block of more than ``CHUNK``
-fingerprints is split into chunks, and each pair of chunks is a task.
+fingerprints is dealt again: two of its fingerprints within the radius differ
+in at most ``radius`` of the bits that its key leaves open, so they agree on
+one of ``radius + 1`` parts of those, and each part is a longer key. This is
+done up to ``REKEYS`` times; only a block that is large even then, so of
+fingerprints that agree nearly everywhere, is split into chunks, each pair of
+which is a task.
 
 Nulls: a null text is an empty text with fingerprint zero, linked like any
 other. A null id is kept in the result but is no component's smallest id
@@ -25,6 +30,7 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +46,7 @@ RADIUS = 3
 # Five fields of 12 or 13 bits: ten tables keyed by two fields (about 25 bits).
 BLOCKS = 5
 CHUNK = 4_096
+REKEYS = 3
 SEED = 42
 _SLICE = 1 << 16  # shingles hashed at a time
 _PAIRS = 1 << 17  # (query, word) pairs compared at a time
@@ -221,29 +228,57 @@ def _compare(radius: int):
     return run
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """(a, b): links of distinct fingerprints that connect all pairs within ``radius`` bits."""
-    distinct = fps.select("fp").distinct()
-    masks = F.array(*[F.lit(_signed(m)) for m in block_keys(radius, blocks)])
-    dealt = distinct.select("fp", F.posexplode(masks).alias("mask", "_m")).select(
-        "fp", "mask", F.col("fp").bitwiseAND(F.col("_m")).alias("key")
-    )
-    large = (
-        dealt.groupBy("mask", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > chunk)
-        .select("mask", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    )
+def longer_keys(mask: int, radius: int = RADIUS) -> list[int]:
+    """The mask with each of ``radius + 1`` parts of the bits that it leaves open."""
+    left = [b for b in range(64) if not mask >> b & 1]
+    parts = [left[i :: radius + 1] for i in range(radius + 1)]
+    return [mask | sum(1 << b for b in p) for p in parts if p]
+
+
+def block_tasks(
+    fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, chunk: int = CHUNK, rekeys: int = REKEYS
+) -> DataFrame:
+    """(fp, mask, key, own, i, j): the distinct fingerprints dealt to blocks; chunks i and j of a block meet."""
+    spark = fps.sparkSession
+    masks = block_keys(radius, blocks)
+    key = F.col("fp").bitwiseAND(F.col("mask")).alias("key")
+    dealt = fps.select("fp").distinct().select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
+    dealt = dealt.select("fp", "mask", key)
+    none = F.lit(0)
+    done: list[DataFrame] = []
+
+    def large(df: DataFrame) -> DataFrame:
+        sizes = df.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
+        return store.write_shared(sizes.select("mask", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "simhash-large")
+
+    for _ in range(rekeys):
+        hot = large(dealt)
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, dealt.select("fp", "mask", "key", *[none.alias(c) for c in ("own", "i", "j")])])
+        cold = dealt.join(hot, ["mask", "key"], "left_anti")
+        done.append(cold.select("fp", "mask", "key", *[none.alias(c) for c in ("own", "i", "j")]))
+        # The masks there are is a number that radius and blocks fix, not the data.
+        longer = [(_signed(m), [_signed(x) for x in longer_keys(m, radius)]) for m in masks]
+        masks = list(dict.fromkeys(m for x in masks for m in longer_keys(x, radius)))
+        longer = F.broadcast(spark.createDataFrame(longer, "mask long, longer array<long>"))
+        dealt = dealt.join(hot, ["mask", "key"], "left_semi").join(longer, "mask")
+        dealt = dealt.select("fp", F.explode("longer").alias("mask")).select("fp", "mask", key).distinct()
+        dealt = store.write_shared(dealt, "simhash-rekeyed")
     parts = F.coalesce(F.col("chunks"), F.lit(1))
-    tasks = (
-        dealt.join(large, ["mask", "key"], "left")
+    rest = (
+        dealt.join(large(dealt), ["mask", "key"], "left")
         .withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "fp", "mask", "key", "own",
-            F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        )
+        .select("fp", "mask", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
+    return reduce(DataFrame.unionByName, [*done, rest])
+
+
+def near_links(
+    fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, chunk: int = CHUNK, rekeys: int = REKEYS
+) -> DataFrame:
+    """(a, b): links of distinct fingerprints that connect all pairs within ``radius`` bits."""
+    tasks = block_tasks(fps, radius, blocks, chunk, rekeys)
     keys = ["mask", "key", "i", "j"]
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return tasks.repartition(n, *keys).sortWithinPartitions(*keys, "fp").mapInArrow(_compare(radius), "a long, b long")

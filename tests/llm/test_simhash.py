@@ -66,6 +66,63 @@ def test_links_connect_what_is_near(spark):
         assert groups(got) == groups(want)
 
 
+def test_copies_of_a_hot_block_stay_linear(spark):
+    """50,000 fingerprints that agree in two fields: dealt again, not compared chunk by chunk."""
+    rng = np.random.default_rng(4)
+    n = 50_000
+    open_ = np.uint64(sum(1 << b for b in range(64)) ^ sh.block_keys()[0])
+    base = rng.integers(0, 1 << 63, dtype=np.uint64)
+    fps = (base & ~open_) | (rng.integers(0, 1 << 63, n, dtype=np.uint64) & open_)
+    pairs = rng.permutation(n)[:600].reshape(2, 300)  # and some near pairs
+    for a, b in pairs.T:
+        fps[b] = int(near(random.Random(int(a)), int(fps[a]), 3))
+    fps = np.unique(fps)
+    frame = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    plain, tasks = 10 * len(fps), sh.block_tasks(frame)
+    assert tasks.where("i <> j").isEmpty()  # no block had to be split into chunks
+    assert tasks.count() < plain + 4 * 4 * len(fps)
+    links = {tuple(sorted((r.a, r.b))) for r in sh.near_links(frame).collect()}
+    want = set()
+    for part in range(4):  # brute force: pairs within 3 bits agree on one of four 16-bit fields
+        key = (fps >> np.uint64(16 * part)) & np.uint64(0xFFFF)
+        by = np.argsort(key, kind="stable")
+        cuts = np.flatnonzero(np.diff(key[by], prepend=key[by][:1] + np.uint64(1)))
+        for lo, hi in zip(cuts, [*cuts[1:], len(by)]):
+            group = fps[by[lo:hi]]
+            for s in range(0, len(group), 512):
+                d = np.bitwise_count(group[s : s + 512, None] ^ group[None])
+                for x, y in zip(*np.nonzero((d <= 3) & (d > 0))):
+                    want.add(tuple(sorted((int(group[s + x].view(np.int64)), int(group[y].view(np.int64))))))
+    assert links <= want and len(want) >= 290
+    nodes = sorted({x for p in want for x in p})
+    at = {x: i for i, x in enumerate(nodes)}
+    components = lambda edges: brute_edges(len(nodes), [(at[a], at[b]) for a, b in edges])
+    assert components(links) == components(want)
+
+
+def brute_edges(n, edges):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def test_a_cluster_that_no_key_parts_is_still_whole(spark):
+    rnd = random.Random(8)
+    fps = sorted({near(rnd, 12345678901234567, rnd.randint(0, 3)) for _ in range(600)})
+    frame = spark.createDataFrame([(sh._signed(f),) for f in fps], "fp long")
+    for rekeys in (0, 1, 3):
+        links = sh.near_links(frame, chunk=16, rekeys=rekeys)
+        assert {x for r in links.collect() for x in r} == {sh._signed(f) for f in fps}
+
+
 def test_within_counts_distances():
     rnd = random.Random(1)
     fps = np.array(sample(rnd, 64), dtype=np.uint64)
