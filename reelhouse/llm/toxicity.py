@@ -39,11 +39,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,21 +213,37 @@ class BlockMaxIndex:
         return np.bincount(np.repeat(np.arange(len(here)), size), self.weights[at] * wanted[self.terms[at]], minlength=len(here))
 
 
-@dataclass
 class Model:
-    terms: Terms
-    idf: np.ndarray
-    index: BlockMaxIndex | None
-    labels: np.ndarray  # by position in the index
-    weights: np.ndarray  # by label: share in all labelled rows over share in the sample
-    bare: float  # score of a text with none of the terms
-    slope: float = 1.0
-    shift: float = 0.0
-    k: int = NEIGHBOURS
+    """Examples, document frequencies and the curve. Travels as counts of terms; workers index them."""
+
+    def __init__(self, factor: np.ndarray, idf: np.ndarray, examples: tuple, y: np.ndarray, weights: np.ndarray, bare: float, k: int = NEIGHBOURS):
+        self.factor, self.idf, self.k = factor, idf, k
+        self.weights = weights  # by label: share in all labelled rows over share in the sample
+        self.bare = bare  # score of a text with none of the terms
+        self.slope, self.shift = 1.0, 0.0
+        self._examples, self._y = examples, y  # (terms, counts, sizes, ids) and their labels
+        self._index()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "labels")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._index()
+
+    def _index(self) -> None:
+        terms, counts, sizes, ids = self._examples
+        self.index = self.labels = None
+        if len(terms):
+            raw = np.sqrt(counts.astype(np.float64)) * self.idf[terms] * self.factor[terms]
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            norm = np.sqrt(np.bincount(owner, raw * raw, minlength=len(sizes)))
+            self.index = BlockMaxIndex(terms, raw / norm[owner], sizes, ids, len(self.idf))
+            self.labels = self._y[np.argsort(self.index.position)]
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """TF-IDF of unit length."""
-        raw = np.sqrt(counts) * self.idf[terms] * self.terms.factor[terms]
+        raw = np.sqrt(counts) * self.idf[terms] * self.factor[terms]
         return raw / np.sqrt(raw @ raw)
 
     def vote(self, terms: np.ndarray, counts: np.ndarray, skip: int | None = None) -> tuple[float | None, list[tuple[int, float]]]:
@@ -237,7 +253,7 @@ class Model:
         order = np.argsort(terms)  # a fixed order of summation
         terms, counts = terms[order], counts[order]
         weights = self.vector(terms, counts)
-        known = terms < self.terms.size - 1
+        known = terms < len(self.idf) - 1  # the last one stands for words that no example has
         near, cosines = self.index.search(terms[known], weights[known], self.k, skip)
         if not len(near):
             return None, []
@@ -354,8 +370,9 @@ def _vectors_of(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield terms[i:j], counts[i:j]
 
 
-def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: Terms, k: int) -> Model:
-    """The model from all documents' term counts and the examples."""
+def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: Terms, k: int) -> tuple[Broadcast, tuple[float, float]]:
+    """The model from all documents' term counts and the examples, and its curve."""
+    spark = vectors.sparkSession
     n_docs = vectors.count()
     df = np.zeros(terms.size)
     found = vectors.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()  # a row per term
@@ -367,26 +384,24 @@ def fit(vectors: DataFrame, sample: DataFrame, train: DataFrame, terms: Terms, k
     y, ids = rows.column("y").to_numpy().astype(np.int64), rows.column("id").to_numpy()
     weights = np.array([totals.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1)])
     share = float((weights[y] * y).sum() / weights[y].sum()) if len(y) else 0.0
-    model = Model(terms, idf, None, y, weights, share, k=k)
-    flat_terms, sizes, flat_weights = [], [], []
+    sizes, flat_terms, flat_counts = [], [], []
     for b in rows.to_batches():
         for t, c in _vectors_of(b):
             order = np.argsort(t)
-            t, w = t[order], model.vector(t[order], c[order]) if len(t) else np.zeros(0)
-            flat_terms.append(t)
-            flat_weights.append(w)
+            flat_terms.append(t[order])
+            flat_counts.append(c[order])
             sizes.append(len(t))
-    if not sum(sizes):
-        return model
-    flat = [np.concatenate(x) for x in (flat_terms, flat_weights)]
-    model.index = BlockMaxIndex(flat[0], flat[1], np.array(sizes), ids, terms.size)
-    model.labels = y[np.argsort(model.index.position)]
-    return calibrate(examples, model)
+    flat = [np.concatenate(x) if x else np.zeros(0, dtype=np.int32) for x in (flat_terms, flat_counts)]
+    flat[1] = flat[1].astype(np.min_scalar_type(int(flat[1].max(initial=0))))
+    model = Model(terms.factor, idf, (*flat, np.array(sizes, dtype=np.int64), ids), y, weights, share, k)
+    shared = spark.sparkContext.broadcast(model)  # the counts of at most 2 * EXAMPLES texts
+    return shared, calibrate(examples, model, shared)
 
 
-def calibrate(examples: DataFrame, model: Model) -> Model:
-    """Fit the curve on leave-one-out votes, computed by tasks over the bounded examples."""
-    shared = examples.sparkSession.sparkContext.broadcast(model)
+def calibrate(examples: DataFrame, model: Model, shared: Broadcast) -> tuple[float, float]:
+    """The curve of the leave-one-out votes, computed by tasks over the bounded examples."""
+    if model.index is None:
+        return model.slope, model.shift
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {i: p for p, i in enumerate(shared.value.index.ids.tolist())}
@@ -396,10 +411,10 @@ def calibrate(examples: DataFrame, model: Model) -> Model:
 
     rows = examples.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").collect()
     rows.sort(key=lambda r: (r["v"], r["y"]))  # a fixed order of summation
-    if rows:
-        y = np.array([r["y"] for r in rows])
-        model.slope, model.shift = fit_curve(logit(np.array([r["v"] for r in rows])), y, model.weights[y] / model.weights[y].mean())
-    return model
+    if not rows:
+        return model.slope, model.shift
+    y = np.array([r["y"] for r in rows])
+    return fit_curve(logit(np.array([r["v"] for r in rows])), y, model.weights[y] / model.weights[y].mean())
 
 
 def score_documents(
@@ -423,10 +438,11 @@ def score_documents(
     sample = _sample(rows, train, examples)
     terms = _terms(sample)
     vectors = store.write_shared(_counts(rows, terms, ", ".join(f"{c} long" for c in ["doc_id", *carried])), "tox-vectors")
-    shared = spark.sparkContext.broadcast(fit(vectors, sample, train, terms, k))
+    shared, curve = fit(vectors, sample, train, terms, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        model.slope, model.shift = curve
         seen: dict[tuple, tuple] = {}  # equal vectors have equal scores
         for b in batches:
             out = []
