@@ -111,3 +111,19 @@ def test_no_secrets_and_empty(docs):
     assert sc.find_secrets(docs([])).count() == 0
     got = rows(sc.find_secrets(docs(["no secret x1y2z3", "a1"])))
     assert got[0].spans == [] and got[1].spans == []
+
+
+def test_field_alone_finds_the_base_secrets_of_held_out_documents(spark):
+    """Fitted on one half of the documents, asked without the base patterns on the other."""
+    from conftest import SF_CHECK
+
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    field = sc.train(docs.where("doc_id % 2 = 1"))
+    found = lost = wrong = 0
+    for r in docs.where("doc_id % 2 = 0").collect():
+        want, got = sc._secret_parts(r.text or ""), field.secrets(r.text or "")
+        hit = lambda s, of: any(s[0] < q and p < s[1] for p, q in of)
+        found += sum(hit(s, got) for s in want)
+        lost += sum(not hit(s, got) for s in want)
+        wrong += sum(not hit(s, want) for s in got)
+    assert found >= 10 and lost <= 0.1 * found and wrong <= 0.1 * found
