@@ -58,9 +58,10 @@ def test_mapping_matches_regex_semantics(spark):
     import re
 
     names = ["airflow.a", "airflow.", "airflow..x", "airflow.ti.start.x.", "airflow.ti.start.x.y.z", "other.a", "airflow"]
+    names += ["other.my-dag:load time", "statsd.é/x", "airflow.pool.open-slots.default pool"]
     out = {r.name: r.metric for r in metrics.map_metric_names(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
     for n in names:
-        want = next((r.name for r in metrics.MAPPING_RULES if re.fullmatch(r.regex[1:-1], n)), n.replace(".", "_"))
+        want = next((r.name for r in metrics.MAPPING_RULES if re.fullmatch(r.regex[1:-1], n)), re.sub("[^A-Za-z0-9_]", "_", n))
         assert out[n] == want, n
 
 
