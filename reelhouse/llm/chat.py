@@ -17,7 +17,8 @@ read an output back.
 Turns are ordered by turn, then role, then text, so repeated rows and ties
 have a fixed place; a null turn comes first. Null roles and texts are empty; a null array of
 parts is a turn without parts; a null conversation id is one conversation. An
-unknown part type is an attachment of 0 tokens. Extra columns are ignored. An
+unknown part type is an attachment of 0 tokens. Very long texts are formatted
+whole. Extra columns are ignored. An
 empty table gives an empty result. A conversation is one output row, so all
 its turns meet in one task by definition.
 """

@@ -30,8 +30,9 @@ Wrappers reach the pages by a broadcast join when their measured size is at
 most ``BROADCAST_BYTES``, and by a join on the host otherwise.
 
 Nulls: null html is an empty page with empty text; a null or hostless url
-makes the host empty. Repeated rows are extracted each. Unclosed and stray
-tags are repaired as they come. Extra columns are ignored. Empty tables give
+makes the host empty. Repeated rows are extracted each. Very long pages are
+read whole. Ties: of equally frequent shapes the greatest is the template.
+Unclosed and stray tags are repaired as they come. Extra columns are ignored. Empty tables give
 an empty result.
 """
 

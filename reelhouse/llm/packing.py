@@ -17,7 +17,8 @@ join of those numbers with the plan.
 
 Nulls: a null text is an empty one (its single id is the end mark). A null id
 is carried. Repeated rows are separate documents. Very long texts are cut into
-full pieces. An empty table gives an empty result.
+full pieces. Ties (pieces of equal length) go by hash bucket and are
+interchangeable. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations

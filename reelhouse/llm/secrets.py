@@ -21,7 +21,8 @@ runs that overlap none of them, as kind ``crf``. Spans are code points of the
 whole text, end exclusive.
 
 Nulls: a null text is empty; a null id is carried. A sample without any secret
-gives a field that adds nothing. Repeated rows are reported each. Extra
+gives a field that adds nothing. Very long texts are scanned whole. Ties: of
+equally good tags the first of B, I, O wins. Repeated rows are reported each. Extra
 columns are ignored. Empty tables give an empty result.
 """
 

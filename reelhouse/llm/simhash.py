@@ -23,8 +23,9 @@ which is a task.
 Nulls: a null text is an empty text with fingerprint zero, linked like any
 other. A null id is kept in the result but is no component's smallest id
 unless the component has no other. Repeated rows and copies share a
-fingerprint. Very long texts are hashed in slices. An empty table gives an
-empty result.
+fingerprint. Very long texts are hashed in slices. Ties: a bit that half the
+hashes have is 0. Extra columns are not read. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Nulls: a null payload is empty; a null url is an empty URI; a null id never
 is the one that others refer to unless no row with that payload has an id, and
 is written as ``none``. Rows that repeat an id with the same payload are the
 same page and get the same record type. Line breaks in a URI are
-percent-encoded in its header. An empty table gives an empty archive.
+percent-encoded in its header. Very long payloads are stored whole. Extra columns
+are not read, whatever their names. An empty table gives an empty archive.
 """
 
 from __future__ import annotations
