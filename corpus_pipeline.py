@@ -5,7 +5,7 @@ kept. All but the last return the columns of ``documents``.
 
 1. toxicity: documents predicted toxic go.
 2. exact_dedup: of equal normalised texts the longest original (then the
-   smallest id) stays.
+   smallest id) stays, as the extendible-hash index tells.
 3. simhash: of each component of near copies one row stays, that with the
    smallest id (nulls last; among equal ids the smallest text hash).
 4. decontamination: documents that contain a benchmark item go.
@@ -14,7 +14,9 @@ kept. All but the last return the columns of ``documents``.
 Stages 1, 3 and 4 write their input with a row key, decide by row and drop by
 that key, which no stage returns. So rows with a null doc_id, or with one that
 other rows share, are judged each by itself. Nulls: a null text is an empty
-text. Extra columns are carried up to packing. Empty tables pass through.
+text; very long texts pass whole. Ties are broken as each stage says, the last
+one by the row key. Extra columns are carried up to packing, whatever their
+names. Empty tables pass through.
 """
 
 from __future__ import annotations
