@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-pages", type=int, help="stop after so many pages (default: all that page 1 announces)")
     p.add_argument("--records-per-file", type=int, help="rows per raw part file (default: unbounded)")
     p.add_argument("--as-of", help="reference date of the recent flag (default: today)")
+    p.add_argument("--set-drift-aside", action="store_true", help="move drifted raw files aside instead of stopping")
     p.add_argument("--namespace", default="raw")
     p.add_argument("--marts", default="marts")
     a = p.parse_args(argv)
@@ -35,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
             p.error("ingest needs --src")
         print(pipeline.ingest_json(spark, a.src, a.root, a.date, a.max_pages, a.records_per_file))
     elif a.stage == "staging":
-        print(pipeline.run_staging(spark, a.root, a.date))
+        print(pipeline.run_staging(spark, a.root, a.date, a.set_drift_aside))
     elif a.stage == "curated":
         print(pipeline.run_curated(spark, a.root, a.date, a.as_of))
     elif a.stage == "load":
@@ -48,7 +49,10 @@ def main(argv: list[str] | None = None) -> None:
             print(r.test_name, r.failures, r.status)
         quality.raise_on_failures(rows)
     else:
-        pipeline.run_pipeline(spark, a.root, a.date, a.as_of, a.namespace, a.marts).show(truncate=False)
+        done = pipeline.run_pipeline(
+            spark, a.root, a.date, a.as_of, a.namespace, a.marts, set_drift_aside=a.set_drift_aside
+        )
+        done.show(truncate=False)
 
 
 if __name__ == "__main__":

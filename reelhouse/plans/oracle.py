@@ -411,6 +411,12 @@ SELECT layer, dataset, n_rows, 'success' AS status FROM c, LATERAL (VALUES
 SELECT g.genre_name, count(DISTINCT b.movie_id) AS nb_items, round(avg(f.vote_average), 2) AS mean_vote
 FROM fact_items f JOIN bridge_item_genre b ON f.movie_id = b.movie_id
 JOIN dim_genre g ON b.genre_id = g.genre_id
+GROUP BY g.genre_name ORDER BY nb_items DESC, g.genre_name LIMIT 5""",
+    "views_top_genres": with_(PIPELINE)
+    + """
+SELECT g.genre_name, count(DISTINCT b.movie_id) AS nb_items, round(avg(f.vote_average), 2) AS mean_vote
+FROM fact_items f JOIN bridge_item_genre b ON f.movie_id = b.movie_id
+JOIN dim_genre g ON b.genre_id = g.genre_id
 GROUP BY g.genre_name ORDER BY nb_items DESC, g.genre_name LIMIT 5""",
     "metric_retention": """
 WITH mx AS (SELECT max(ts) AS m FROM events)

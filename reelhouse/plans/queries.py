@@ -43,6 +43,15 @@ RANGE_HOURS = 36
 THIRD_DATE = "2024-01-03"
 SNAPSHOT_BUCKETS = 16
 
+ANALYST_SQL = f"""
+    SELECT g.genre_name, COUNT(DISTINCT b.movie_id) AS nb_items, ROUND(AVG(f.vote_average), 2) AS mean_vote
+    FROM fact_items f
+    JOIN bridge_item_genre b USING (movie_id)
+    JOIN dim_genre g USING (genre_id)
+    GROUP BY g.genre_name
+    ORDER BY nb_items DESC, genre_name
+    LIMIT {TOP_GENRES}"""
+
 ORDERS_TARGET = schema_of(
     ("o_orderkey", LongType()),
     ("o_custkey", LongType()),
@@ -408,6 +417,22 @@ def q_top_genres_rollup(spark: SparkSession, d: str) -> DataFrame:
     return rollup.top_genres(spark.read.parquet(path), cat.dim_genre, TOP_GENRES)
 
 
+def q_views_top_genres(spark: SparkSession, d: str) -> DataFrame:
+    """The analyst's SQL over the models as views, the models over loaded tables of a named source."""
+    cat = Catalogue.from_tables(spark, d, AS_OF)
+    cat.materialize("stg_items_clean")
+    with _namespace(spark, "src") as namespace:
+        load_all(spark, cat.curated(), schemas.WAREHOUSE_TABLES, namespace)
+        models = pipeline.warehouse_catalogue(spark, namespace, AS_OF)
+        views = models.register_views(("fact_items", "bridge_item_genre", "dim_genre"))
+        try:
+            rows = spark.sql(ANALYST_SQL).collect()  # TOP_GENRES rows
+        finally:
+            for view in views:
+                spark.catalog.dropTempView(view)
+    return spark.createDataFrame(rows, "genre_name string, nb_items long, mean_vote double")
+
+
 def q_listing_after(spark: SparkSession, d: str) -> DataFrame:
     """The listing page after the row that ends page DISCOVER_PAGE - 1, by key."""
     before = analytics.discover_page(_listing(spark, d), DISCOVER_PAGE - 1).orderBy("popularity", F.desc("id"))
@@ -591,6 +616,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_k_popular": q_top_k_popular,
     "top_genres": q_top_genres,
     "top_genres_rollup": q_top_genres_rollup,
+    "views_top_genres": q_views_top_genres,
     "dq_unique": q_dq_unique,
     "dq_unique_combination": q_dq_unique_combination,
     "dq_not_null": q_dq_not_null,
