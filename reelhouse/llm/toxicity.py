@@ -14,8 +14,9 @@ labelled rows with ``crc32(doc_id) mod 5 != 0``:
    more term, which only adds to a text's length.
 3. Examples lie in blocks of ``BLOCK``. Rare terms are added up over their
    postings; of common terms a query first takes each block's largest weight,
-   which bounds what the block's examples can reach, and opens only blocks
-   that can still reach the ``NEIGHBOURS`` best: the result equals the full scan.
+   which bounds what the block's examples can reach. Where few blocks can still
+   reach the ``NEIGHBOURS`` best, only those are opened; else the common terms
+   of many queries are added in one product. The result equals the full scan.
 4. Neighbours vote with weight cosine squared, times the class's share of all
    labelled rows over its share of the sample; all examples as near as the last
    neighbour vote too, so nothing but the texts decides. A logistic curve
@@ -56,8 +57,13 @@ TELLING = 6.0
 TELLING_START = 2.0
 NEIGHBOURS = 15
 BLOCK = 64
-# Terms with more postings than this are taken block by block.
+# Terms of more examples than this, and than this share of them, are common: taken block by block.
 COMMON = 64
+COMMON_SHARE = 1 / 10
+# Queries searched together.
+QUERIES = 64
+# Postings of a term above which it is added by itself.
+_LOOP = 32
 # A term is telling when chance would give its link with the label in fewer than
 # exp(-MARGIN) of all tests together, and as many toxic examples have it.
 MARGIN = 2.0
@@ -95,18 +101,14 @@ class Terms:
 
     def of(self, text: str | None) -> dict[int, int]:
         """Counts of the terms in a whole text, by number."""
-        out: dict[int, int] = {}
-        other = 0
-        for w, n in Counter(_WORD.findall((text or "").lower())).items():
-            at = self.numbers.get(w)
-            if at is None:
-                other += n
-            else:
-                out[at] = n
-            if w[: PREFIXES[0]] in self.stems:
-                for size in PREFIXES:
-                    if len(w) > size and (p := self.numbers.get(w[:size] + "*")) is not None:
-                        out[p] = out.get(p, 0) + n
+        found = Counter(_WORD.findall((text or "").lower()))
+        out = {at: n for at, n in zip(map(self.numbers.get, found), found.values()) if at is not None}
+        other = found.total() - sum(out.values())
+        size0 = PREFIXES[0]
+        for w in [w for w in found if w[:size0] in self.stems]:
+            for size in PREFIXES:
+                if len(w) > size and (p := self.numbers.get(w[:size] + "*")) is not None:
+                    out[p] = out.get(p, 0) + found[w]
         if other:
             out[self.size - 1] = other
         return out
@@ -138,79 +140,99 @@ class BlockMaxIndex:
         at = np.repeat(first[place], sizes[place]) + np.arange(len(terms)) - np.repeat(np.cumsum(sizes[place]) - sizes[place], sizes[place])
         self.sizes = sizes[place]
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.terms, self.weights = terms[at].astype(np.int32), weights[at]
+        self.terms, self.weights = terms[at].astype(np.int64), weights[at]
         # Inverted: postings by term.
         by_term = np.argsort(self.terms, kind="stable")
         self.posts = np.repeat(np.arange(n), self.sizes)[by_term]
         self.post_weights = self.weights[by_term]
         self.df = np.bincount(self.terms, minlength=n_terms)
         self.post_first = np.cumsum(self.df) - self.df
-        # Block maxima of the common terms.
+        # Common terms: a column over all examples, and its block maxima.
         self.block, self.n_blocks = block, -(-n // block)
-        self.row = np.full(n_terms, -1)
-        often = np.flatnonzero(self.df > common)
-        self.row[often] = np.arange(len(often))
-        self.maxima = np.zeros((len(often), self.n_blocks))
-        sorted_terms = self.terms[by_term]
-        for_maxima = self.row[sorted_terms] >= 0
-        np.maximum.at(self.maxima, (self.row[sorted_terms[for_maxima]], self.posts[for_maxima] // block), self.post_weights[for_maxima])
+        self.column = np.full(n_terms, -1)
+        often = np.flatnonzero(self.df > max(common, n * COMMON_SHARE))
+        self.column[often] = np.arange(len(often))
+        self.columns = np.zeros((len(often), n))
+        at = self._slices(self.post_first[often], self.df[often])
+        self.columns[np.repeat(np.arange(len(often)), self.df[often]), self.posts[at]] = self.post_weights[at]
+        self.maxima = np.maximum.reduceat(self.columns, np.arange(0, n, block), axis=1)
+        self._wanted = np.zeros(n_terms)
         self.opened = 0  # blocks opened so far
 
     def _slices(self, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
-    def _add(self, total: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """``total`` and what the postings of the terms add."""
-        size = self.df[terms]
-        at = self._slices(self.post_first[terms], size)
-        return total + np.bincount(self.posts[at], self.post_weights[at] * np.repeat(weights, size), minlength=len(total))
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines above 0 of the k nearest, and of all as near as the last, by cosine and id."""
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (terms, weights) the positions and cosines above 0 of the k nearest, and of all as near
+        as the last, by cosine and id. ``skip``: a position per query that is left out."""
         n = len(self.ids)
-        row = self.row[terms]
-        often = row >= 0
-        total = self._add(np.zeros(n), terms[~often], weights[~often])
-        if often.any():
-            bound = weights[often] @ self.maxima[row[often]]
-            reach = np.maximum.reduceat(total, np.arange(0, n, self.block)) + bound
-            order = np.argsort(-reach, kind="stable")
-            # The blocks that reach highest are opened first; the k-th cosine among them is a threshold.
-            some = order[: max(1, -(-(k + 1) // self.block))]
-            exact = self._exact(some, terms, weights)
-            here = self._members(some)
-            if skip is not None:
-                exact[here == skip] = 0.0
-            least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else 0.0
-            able = order[reach[order] >= least - 1e-9]
-            self.opened += len(able)
-            if len(able) * 4 > self.n_blocks:  # most of the index: its postings are the shorter way
-                total = self._add(total, terms[often], weights[often])
-            else:
-                full = np.zeros(n)
-                full[self._members(able)] = self._exact(able, terms, weights)
-                total = full
+        total = np.zeros((len(queries), n))
+        asked = np.zeros((len(queries), len(self.columns)))
+        for i, (terms, weights) in enumerate(queries):
+            self._add(total[i], asked[i], terms, weights)
         if skip is not None:
-            total[skip] = 0.0
-        total = np.round(total, 9)
-        hit = np.flatnonzero(total > 0)
-        if len(hit) > k:
-            hit = hit[total[hit] >= np.partition(total[hit], len(hit) - k)[len(hit) - k]]
-        hit = hit[np.lexsort((self.ids[hit], -total[hit]))]
-        return hit, total[hit]
-
-    def _members(self, blocks: np.ndarray) -> np.ndarray:
-        at = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-        return at[at < len(self.ids)]
-
-    def _exact(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of the members of some blocks, from their vectors."""
-        here = self._members(blocks)
-        wanted = np.zeros(len(self.df))
-        wanted[terms] = weights
+            total[np.arange(len(queries)), skip] = -np.inf
+        # What the examples have so far only grows, so the k-th of it is a threshold, and a
+        # block's maxima bound what the common terms can add there.
+        reach = np.maximum.reduceat(total, np.arange(0, n, self.block), axis=1) + asked @ self.maxima
+        able = reach >= self._kth(total, k)[:, None] - 1e-9
+        few = able.sum(axis=1) <= max(1, self.n_blocks // 64)
+        most = np.flatnonzero(~few)
+        if len(most):  # their common terms in one product over all blocks
+            total[most] += asked[most] @ self.columns
+        out = []
+        for i, (terms, weights) in enumerate(queries):
+            if few[i]:
+                self.opened += int(able[i].sum())
+                here = (np.flatnonzero(able[i])[:, None] * self.block + np.arange(self.block)).ravel()
+                here = here[(here < n) & (here != (-1 if skip is None else skip[i]))]
+                out.append(self._nearest(here, self._exact(here, terms, weights), k))
+            else:
+                self.opened += self.n_blocks
+                here = np.flatnonzero(total[i] > 0)
+                out.append(self._nearest(here, total[i][here], k))
+        return out
+
+    def _add(self, total: np.ndarray, asked: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Add a query's rare terms to its totals, and put its common ones beside."""
+        column = self.column[terms]
+        often = column >= 0
+        asked[column[often]] = weights[often]
+        terms, weights = terms[~often], weights[~often]
+        size = self.df[terms]
+        long = size > _LOOP
+        few = size[~long]
+        at = self._slices(self.post_first[terms[~long]], few)
+        total += np.bincount(self.posts[at], self.post_weights[at] * np.repeat(weights[~long], few), minlength=len(total))
+        first = self.post_first[terms[long]]
+        for p, q, w in zip(first.tolist(), (first + size[long]).tolist(), weights[long].tolist()):
+            total[self.posts[p:q]] += w * self.post_weights[p:q]
+
+    @staticmethod
+    def _kth(total: np.ndarray, k: int) -> np.ndarray:
+        n = total.shape[1]
+        return np.maximum(np.partition(total, n - k, axis=1)[:, n - k], 0) if n >= k else np.zeros(len(total))
+
+    def _exact(self, here: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of some examples from their vectors."""
+        self._wanted[terms] = weights
         size = self.sizes[here]
         at = self._slices(self.first[here], size)
-        return np.bincount(np.repeat(np.arange(len(here)), size), self.weights[at] * wanted[self.terms[at]], minlength=len(here))
+        found = np.bincount(np.repeat(np.arange(len(here)), size), self.weights[at] * self._wanted[self.terms[at]], minlength=len(here))
+        self._wanted[terms] = 0.0
+        return found
+
+    def _nearest(self, here: np.ndarray, cosines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(here) > k:  # the rounding comes after, on the few that are left
+            keep = cosines >= np.partition(cosines, len(cosines) - k)[len(cosines) - k] - 1e-9
+            here, cosines = here[keep], cosines[keep]
+        cosines = np.round(cosines, 9)
+        keep = cosines > 0
+        if len(here) > k:
+            keep &= cosines >= np.partition(cosines, len(cosines) - k)[len(cosines) - k]
+        here, cosines = here[keep], cosines[keep]
+        order = np.lexsort((self.ids[here], -cosines))
+        return here[order], cosines[order]
 
 
 class Model:
@@ -246,26 +268,32 @@ class Model:
         raw = np.sqrt(counts) * self.idf[terms] * self.factor[terms]
         return raw / np.sqrt(raw @ raw)
 
-    def vote(self, terms: np.ndarray, counts: np.ndarray, skip: int | None = None) -> tuple[float | None, list[tuple[int, float]]]:
-        """Weighted share of toxic neighbours (None: no neighbour), and the neighbours."""
-        if self.index is None or not len(terms):
-            return None, []
-        order = np.argsort(terms)  # a fixed order of summation
-        terms, counts = terms[order], counts[order]
-        weights = self.vector(terms, counts)
-        known = terms < len(self.idf) - 1  # the last one stands for words that no example has
-        near, cosines = self.index.search(terms[known], weights[known], self.k, skip)
-        if not len(near):
-            return None, []
-        y = self.labels[near]
-        w = cosines * cosines * self.weights[y]
-        return float((w * y).sum() / w.sum()), list(zip(near[: self.k].tolist(), cosines[: self.k].tolist()))
-
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[int, float]]]:
-        vote, near = self.vote(terms, counts)
-        if vote is None:
-            return self.bare, []
-        return float(1 / (1 + np.exp(-np.clip(self.slope * logit(vote) + self.shift, -30, 30)))), near
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: list[int] | None = None) -> list[tuple]:
+        """Per (terms, counts): the weighted share of toxic neighbours (None: no neighbour), and the neighbours."""
+        if self.index is None:
+            return [(None, [])] * len(vectors)
+        queries = []
+        for terms, counts in vectors:
+            order = np.argsort(terms)  # a fixed order of summation
+            terms = terms[order]
+            weights = self.vector(terms, counts[order]) if len(terms) else np.zeros(0)
+            known = terms < len(self.idf) - 1  # the last one stands for words that no example has
+            queries.append((terms[known], weights[known]))
+        out = []
+        for near, cosines in self.index.search(queries, self.k, skip):
+            if not len(near):
+                out.append((None, []))
+                continue
+            y = self.labels[near]
+            w = cosines * cosines * self.weights[y]
+            out.append((float((w * y).sum() / w.sum()), list(zip(near[: self.k].tolist(), cosines[: self.k].tolist()))))
+        return out
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[int, float]]]]:
+        def curve(vote: float) -> float:
+            return float(1 / (1 + np.exp(-np.clip(self.slope * logit(vote) + self.shift, -30, 30))))
+
+        return [(self.bare if vote is None else curve(vote), near) for vote, near in self.votes(vectors)]
 
 
 def logit(p):
@@ -406,7 +434,10 @@ def calibrate(examples: DataFrame, model: Model, shared: Broadcast) -> tuple[flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {i: p for p, i in enumerate(shared.value.index.ids.tolist())}
         for b in batches:
-            votes = [shared.value.vote(t, c, at[i])[0] for i, (t, c) in zip(b.column("id").to_pylist(), _vectors_of(b))]
+            ids, vectors, votes = b.column("id").to_pylist(), list(_vectors_of(b)), []
+            for i in range(0, len(ids), QUERIES):
+                part = vectors[i : i + QUERIES]
+                votes += [v for v, _ in shared.value.votes(part, [at[x] for x in ids[i : i + QUERIES]])]
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(votes, pa.float64())], names=["y", "v"])
 
     rows = examples.repartition(12).mapInArrow(run, "y int, v double").where("v is not null").collect()
@@ -445,15 +476,15 @@ def score_documents(
         model.slope, model.shift = curve
         seen: dict[tuple, tuple] = {}  # equal vectors have equal scores
         for b in batches:
-            out = []
-            for t, c in _vectors_of(b):
-                key = t.tobytes(), c.tobytes()
-                if key not in seen:
-                    if len(seen) > KEPT_SCORES:
-                        seen.clear()
-                    score, near = model.score(t, c)
+            vectors = list(_vectors_of(b))
+            keys = [(t.tobytes(), c.tobytes()) for t, c in vectors]
+            if len(seen) > KEPT_SCORES:
+                seen.clear()
+            new = list({key: v for key, v in zip(keys, vectors) if key not in seen}.items())
+            for i in range(0, len(new), QUERIES):
+                for (key, _), (score, near) in zip(new[i : i + QUERIES], model.scores([v for _, v in new[i : i + QUERIES]])):
                     seen[key] = score, [{"doc_id": int(model.index.ids[p]), "cosine": s} for p, s in near]
-                out.append(seen[key])
+            out = [seen[key] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),

@@ -37,7 +37,7 @@ def flat(vectors):
 
 def ask(index, q, k, skip=None):
     terms = np.array(sorted(q), dtype=np.int64)
-    at, cosines = index.search(terms, np.array([q[t] for t in sorted(q)]), k, skip)
+    at, cosines = index.search([(terms, np.array([q[t] for t in sorted(q)]))], k, None if skip is None else [skip])[0]
     return [int(index.ids[p]) for p in at], cosines.tolist()
 
 
@@ -64,7 +64,7 @@ def test_index_equals_full_scan(block, common):
 
 def test_index_skips_blocks():
     vectors = [{0: 0.6, 1 + i // 64: 0.8} for i in range(640)]  # a common term, and one of the block's own
-    index = tox.BlockMaxIndex(*flat(vectors), np.arange(640), 11, common=20)
+    index = tox.BlockMaxIndex(*flat(vectors), np.arange(640), 11, common=100)
     got, cosines = ask(index, {0: 0.6, 4: 0.8}, 5)
     assert got == list(range(192, 256)) and set(cosines) == {1.0} and index.opened == 1
 
