@@ -101,14 +101,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the folders ``scratch_path`` named in this process; returns how many.
+def scratch_paths() -> list[str]:
+    """The folders that ``scratch_path`` named in this process and that were not deleted yet, oldest first."""
+    return list(_scratch)
+
+
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete the folders ``scratch_path`` named in this process (or some of them); returns how many.
 
     Call it when no frame that reads them is used any more.
     """
-    n = len(_scratch)
+    gone = scratch_paths() if paths is None else [p for p in paths if p in _scratch]
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    while _scratch:
-        path = hadoop(_scratch.pop())
+    for p in gone:
+        _scratch.remove(p)
+        path = hadoop(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    return len(gone)
