@@ -55,7 +55,10 @@ def normalised(text: str | Column) -> Column:
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
-    """(_at, _id, _n, _h, text_sha256, _norm[, _t, _row]): a row number, id, code points, hash, digest, normalised text."""
+    """(_at, _id, _n, _h, text_sha256, _norm): a row number, id, code points, hash, digest, normalised text.
+
+    ``carry``: with the whole row (_row, and a hash of its text _t) instead of the normalised text.
+    """
     cols = [
         F.col(id_col).alias("_id"),
         F.length(store.text_or_empty(text_col)).alias("_n"),
@@ -65,7 +68,8 @@ def _keys(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> D
     if carry:
         cols.append(F.xxhash64(F.col(text_col)).alias("_t"))
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return docs.select(*cols).withColumn("_h", F.xxhash64("_norm")).withColumn("text_sha256", F.sha2(F.col("_norm"), 256))
+    keys = docs.select(*cols).withColumn("_h", F.xxhash64("_norm")).withColumn("text_sha256", F.sha2(F.col("_norm"), 256))
+    return keys.drop("_norm") if carry else keys
 
 
 def _group(keys: DataFrame) -> DataFrame:
@@ -96,10 +100,10 @@ def _listed(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(df) if df.count() * _KEY_BYTES <= BROADCAST_BYTES else df
 
 
-def _compare_bytes(keys: DataFrame, found: DataFrame) -> DataFrame:
-    """``found`` again, read only when all rows of a class of two or more have the same bytes."""
+def _compare_bytes(keys: DataFrame, found: DataFrame, norm: Column) -> DataFrame:
+    """``found`` again, when all rows of each class of two or more have the same bytes (``norm`` of the keys)."""
     copied = _listed(found.where("group_size > 1").select("_h", "text_sha256"), "exact-copied")
-    texts = keys.select("_h", "text_sha256", "_norm").join(copied, ["_h", "text_sha256"], "left_semi")
+    texts = keys.join(copied, ["_h", "text_sha256"], "left_semi").select("_h", "text_sha256", norm.alias("_norm"))
     differing = texts.distinct().groupBy("_h", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not differing.isEmpty():
         raise ValueError("texts that differ share a hash and a SHA-256 digest")
@@ -137,9 +141,9 @@ class Index:
     entries: DataFrame  # bucket, _h, chain, text_sha256, keep_id, group_size, keep_at
 
 
-def _build(keys: DataFrame, capacity: int) -> Index:
+def _build(keys: DataFrame, capacity: int, norm: Column) -> Index:
     spark = keys.sparkSession
-    found = _compare_bytes(keys, store.write_shared(_group(keys), "exact-classes"))
+    found = _compare_bytes(keys, store.write_shared(_group(keys), "exact-classes"), norm)
     counts = {r[0]: r[1] for r in found.groupBy(slot_of("_h").alias("slot")).count().collect()}
     buckets = grow_directory(counts, capacity)
     directory = store.write_shared(
@@ -161,7 +165,7 @@ def _build(keys: DataFrame, capacity: int) -> Index:
 def build_index(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET_CAPACITY
 ) -> Index:
-    return _build(store.write_shared(_keys(docs, id_col, text_col), "exact-keys"), capacity)
+    return _build(store.write_shared(_keys(docs, id_col, text_col), "exact-keys"), capacity, F.col("_norm"))
 
 
 def _follow(index: Index, keys: DataFrame) -> DataFrame:
@@ -195,13 +199,13 @@ def lookup(index: Index, docs: DataFrame, id_col: str = "doc_id", text_col: str
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET_CAPACITY) -> DataFrame:
     """Group every row by its normalised text through the index."""
     keys = store.write_shared(_keys(docs, id_col, text_col), "exact-keys")
-    return _told(_build(keys, capacity), keys)
+    return _told(_build(keys, capacity, F.col("_norm")), keys)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET_CAPACITY) -> DataFrame:
     """One whole row per class: most code points, then smallest id; columns of ``docs``."""
     keys = store.write_shared(_keys(docs, id_col, text_col, carry=True), "exact-keys")
-    index = _build(keys, capacity)
+    index = _build(keys, capacity, normalised(F.col("_row")[text_col]))
     told = _follow(index, keys.select("_at", "_h", "text_sha256"))
     dropped = _listed(told.where("_at <> keep_at").select("_at"), "exact-dropped")
     return keys.join(dropped, "_at", "left_anti").select("_row.*")
