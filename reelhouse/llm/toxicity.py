@@ -40,7 +40,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,17 +59,20 @@ BLOCK = 64
 # Terms of more examples than this, and than this share of them, are common: taken block by block.
 COMMON = 64
 COMMON_SHARE = 1 / 10
+# Tasks that count the examples' terms.
+TERM_TASKS = 24
 # Queries searched together.
 QUERIES = 64
 # Postings of a term above which it is added by itself.
-_LOOP = 32
+_LOOP = 128
+_NO_TERMS = np.zeros(0, dtype=np.int32)
 # A term is telling when chance would give its link with the label in fewer than
 # exp(-MARGIN) of all tests together, and as many toxic examples have it.
 MARGIN = 2.0
 LEAST_COUNT = 3
 PREFIXES = (4, 5, 6)
 # Scores with their evidence that a worker remembers before it starts afresh.
-KEPT_SCORES = 4_000
+KEPT_SCORES = 1_000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -127,20 +129,24 @@ class BlockMaxIndex:
     def __init__(self, terms: np.ndarray, weights: np.ndarray, sizes: np.ndarray, ids: np.ndarray, n_terms: int, block: int = BLOCK, common: int = COMMON):
         n = len(sizes)
         first = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(n), sizes)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
         # Examples with the same leading term sit together, which keeps block maxima tight.
-        lead = np.full(n, -1)
-        top = np.lexsort((terms, weights, owner))  # the last entry of each owner is its largest
-        lead[owner[top]] = terms[top]
+        lead, most = np.full(n, -1), np.zeros(n)
+        np.maximum.at(most, owner, weights)
+        largest = weights == most[owner]
+        np.maximum.at(lead, owner[largest], terms[largest])
         place = np.lexsort((ids, lead))
+        del owner, largest
         self.ids = ids[place]
         self.position = np.empty(n, dtype=np.int64)
         self.position[place] = np.arange(n)
         # Forward: the vectors in the new order.
-        at = np.repeat(first[place], sizes[place]) + np.arange(len(terms)) - np.repeat(np.cumsum(sizes[place]) - sizes[place], sizes[place])
+        moved = first[place] - np.cumsum(sizes[place]) + sizes[place]
+        at = np.repeat(moved.astype(np.int32), sizes[place]) + np.arange(len(terms), dtype=np.int32)
         self.sizes = sizes[place]
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.terms, self.weights = terms[at].astype(np.int64), weights[at]
+        self.terms, self.weights = terms[at].astype(np.int32), weights[at]
+        del at
         # Inverted: postings by term.
         by_term = np.argsort(self.terms, kind="stable")
         self.posts = np.repeat(np.arange(n), self.sizes)[by_term]
@@ -252,15 +258,17 @@ class Model:
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._index()
+        self._examples = None  # a worker has the index instead
 
     def _index(self) -> None:
         terms, counts, sizes, ids = self._examples
         self.index = self.labels = None
         if len(terms):
-            raw = np.sqrt(counts.astype(np.float64)) * self.idf[terms] * self.factor[terms]
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            norm = np.sqrt(np.bincount(owner, raw * raw, minlength=len(sizes)))
-            self.index = BlockMaxIndex(terms, raw / norm[owner], sizes, ids, len(self.idf))
+            weights = np.sqrt(counts.astype(np.float64)) * (self.idf * self.factor)[terms]
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            weights /= np.sqrt(np.bincount(owner, weights * weights, minlength=len(sizes)))[owner]
+            del owner
+            self.index = BlockMaxIndex(terms, weights, sizes, ids, len(self.idf))
             self.labels = self._y[np.argsort(self.index.position)]
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -354,7 +362,8 @@ def _terms(sample: DataFrame) -> Terms:
     texts = store.write_shared(sample.dropDuplicates(["y", "text"]).select("y", "text"), "tox-texts")
     totals = {r[0]: r[1] for r in texts.groupBy("y").count().collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
-    counted = texts.mapInArrow(run, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # Many small tasks: each holds the terms of its texts.
+    counted = texts.repartition(TERM_TASKS).mapInArrow(run, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = store.write_shared(counted, "tox-terms")
     # Bounded by the texts of the examples.
     words = counted.where(~F.col("term").endswith("*")).select("term").orderBy("term").toArrow().column(0).to_pylist()
@@ -378,9 +387,13 @@ def _counts(docs: DataFrame, terms: Terms, columns: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
-            found = [known.of(t) for t in b.column(len(names)).to_pylist()]
-            offsets = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
-            flat = [pa.array(list(chain.from_iterable(v)), pa.int32()) for v in (found, (f.values() for f in found))]
+            terms, counts = [_NO_TERMS], [_NO_TERMS]
+            for text in b.column(len(names)).to_pylist():
+                found = known.of(text)
+                terms.append(np.fromiter(found, dtype=np.int32, count=len(found)))
+                counts.append(np.fromiter(found.values(), dtype=np.int32, count=len(found)))
+            offsets = pa.array(np.cumsum([len(t) for t in terms]).astype(np.int32))
+            flat = [pa.array(np.concatenate(v)) for v in (terms, counts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(len(names))] + [pa.ListArray.from_arrays(offsets, v) for v in flat],
                 names=[*names, "terms", "counts"],
