@@ -46,7 +46,7 @@ CONTAINMENT = 0.8
 # Bits of the filter that tells a document's shingles apart: 2 MB in every task.
 FILTER_BITS = 1 << 24
 # Word hashes a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -146,7 +146,7 @@ def _hits(docs: DataFrame, filters: dict[int, bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
-        bits = {k: np.unpackbits(np.frombuffer(v, dtype=np.uint8), bitorder="little").view(bool) for k, v in shared.value.items()}
+        bits = {k: np.frombuffer(v, dtype=np.uint8) for k, v in shared.value.items()}
         for b in batches:
             rows = []
             for row, doc_id, text in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -156,7 +156,8 @@ def _hits(docs: DataFrame, filters: dict[int, bytes]) -> DataFrame:
                     if len(ws) < k:
                         continue
                     h = shingle_hashes(known, k)
-                    at = np.flatnonzero(passes[(h & np.uint64(FILTER_BITS - 1)).astype(np.int64)])
+                    bit = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    at = np.flatnonzero(passes[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
                     if len(at):
                         found = {" ".join(ws[i : i + k]): x for i, x in zip(at.tolist(), h[at].view(np.int64).tolist())}
                         rows += [(row, doc_id, k, x, s) for s, x in found.items()]
