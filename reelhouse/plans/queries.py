@@ -20,7 +20,7 @@ from reelhouse.functions.expressions import date_key, explode_distinct
 from reelhouse.operators import analytics, clean, marts, metrics, quality, rollup
 from reelhouse.plans import fixtures, pipeline
 from reelhouse.plans.catalogue import Catalogue
-from reelhouse.session import scratch_path
+from reelhouse.session import scratch_path, sized
 from reelhouse.sources import drift, io, load, samples, schemas, snapshot
 from reelhouse.sources.load import align_to_schema, load_all
 from reelhouse.sources.schemas import schema_of
@@ -420,8 +420,8 @@ def q_top_genres_rollup(spark: SparkSession, d: str) -> DataFrame:
 def q_views_top_genres(spark: SparkSession, d: str) -> DataFrame:
     """The analyst's SQL over the models as views, the models over loaded tables of a named source."""
     cat = Catalogue.from_tables(spark, d, AS_OF)
-    cat.materialize("stg_items_clean")
-    with _namespace(spark, "src") as namespace:
+    with sized(spark, fixtures.table(spark, d, "lineitem").count()), _namespace(spark, "src") as namespace:
+        cat.materialize("stg_items_clean")
         load_all(spark, cat.curated(), schemas.WAREHOUSE_TABLES, namespace)
         models = pipeline.warehouse_catalogue(spark, namespace, AS_OF)
         views = models.register_views(("fact_items", "bridge_item_genre", "dim_genre"))

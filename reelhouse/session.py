@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +51,40 @@ def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = PARTITION_B
     }
 
 
+# Rows that one task of a run over known tables takes from a shuffle, and bytes from a shuffle or a file:
+# a hash table of narrow rows takes some 40 times its compressed bytes.
+TASK_ROWS = 200_000
+TASK_BYTES = 8 << 20
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS, task_bytes: int = TASK_BYTES) -> Iterator[None]:
+    """Tasks of a bounded size for the jobs that run inside, however many ``rows`` there are.
+
+    The number of shuffle partitions grows with the rows, and neither a merged
+    shuffle partition nor a file split is larger than ``task_bytes``. A session
+    that asks for smaller tasks keeps them; its settings come back afterwards.
+    """
+    bytes_ = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    number = "spark.sql.shuffle.partitions"
+    before = {k: spark.conf.get(k, None) for k in (number, *bytes_)}
+    spark.conf.set(number, max(int(spark.conf.get(number)), -(-rows // task_rows)))
+    for k in bytes_:
+        spark.conf.set(k, min(_in_bytes(spark.conf.get(k)), task_bytes))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _in_bytes(size: str) -> int:
+    """A size as Spark writes it ("64MB", "8m", "1024b", "1024")."""
+    digits = size.strip().lower().rstrip("b")
+    power = "kmgtp".find(digits[-1:]) + 1
+    return int(digits[:-1] if power else digits) << 10 * power
+
+
 def get_spark(
     app_name: str = "reelhouse",
     master: str | None = None,

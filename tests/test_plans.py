@@ -112,3 +112,31 @@ def test_suite_scans_the_item_layer_a_few_times(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"Relation \[movie_id", plan)) <= 8
     assert "Expand" not in plan
+
+
+def test_sized_bounds_tasks_and_gives_settings_back(spark):
+    from reelhouse.session import sized
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    with sized(spark, 36_000_000):
+        assert [spark.conf.get(k) for k in keys] == ["180", "8388608", "8388608"]
+    assert [spark.conf.get(k) for k in keys] == before
+    spark.conf.set(keys[2], "2m")
+    try:
+        with sized(spark, 5):  # smaller tasks that a session asks for stay
+            assert [spark.conf.get(keys[0]), spark.conf.get(keys[2])] == [before[0], str(2 << 20)]
+        assert spark.conf.get(keys[2]) == "2m"
+    finally:
+        spark.conf.set(keys[2], before[2])
+
+
+def test_views_query_runs_sized(spark, monkeypatch):
+    from reelhouse.plans import pipeline as steps, queries
+    from tests.conftest import SF_SMALL
+
+    seen, models = [], steps.warehouse_catalogue
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    monkeypatch.setattr(steps, "warehouse_catalogue", lambda s, *a: seen.append(s.conf.get(key)) or models(s, *a))
+    assert queries.q_views_top_genres(spark, SF_SMALL).count() == 5
+    assert seen == [str(8 << 20)]
