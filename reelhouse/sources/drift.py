@@ -3,7 +3,7 @@
 A fixed schema is enforced when a partition is read, which hides files that
 have other columns (they read as NULL or are ignored) and fails somewhere in
 the job on files with other types. The gate looks at every file first: the
-footers are taken in tasks, and what differs from the expected schema is
+footers are taken in tasks (of large files by Spark's reader), and what differs from the expected schema is
 named by file, before anything is read from it.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -20,8 +21,9 @@ from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, Long
 
 from reelhouse.sources.io import PARTITION_COL, dataset_path
 
-# Files above this are not taken into a task whole; their schema is read by Spark, one at a time.
-LARGEST_IN_TASK = 512 << 20
+# Files above this are not taken into a task whole; of those Spark reads the footer alone, some at a time.
+LARGEST_IN_TASK = 8 << 20
+FOOTERS_AT_ONCE = 8
 # Types that the Parquet reader widens without loss.
 _WIDENS = {(IntegerType(), LongType()), (ShortType(), LongType()), (FloatType(), DoubleType())}
 
@@ -81,13 +83,15 @@ def file_drift(spark: SparkSession, root: str, layer: str, dataset: str, ingesti
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["file", "missing", "unexpected", "retyped"])
 
     small = files.filter(F.col("length") <= LARGEST_IN_TASK).select("path", "content").mapInArrow(run, out)
-    large = []
-    for r in files.filter(F.col("length") > LARGEST_IN_TASK).select("path").toLocalIterator():
-        names = {f.name: _plain(f.dataType) for f in spark.read.parquet(r.path).schema.fields}
-        diff = _differences(names, expected)
-        if any(diff):
-            large.append((r.path, *diff))
-    return small.unionByName(spark.createDataFrame(large, out))
+
+    def footer(path: str) -> tuple:
+        names = {f.name: _plain(f.dataType) for f in spark.read.parquet(path).schema.fields}
+        return path, *_differences(names, expected)
+
+    paths = [r.path for r in files.filter(F.col("length") > LARGEST_IN_TASK).select("path").collect()]  # names of files
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        large = [found for found in pool.map(footer, paths) if any(found[1:])]
+    return small.unionByName(spark.createDataFrame(large, out)) if large else small
 
 
 def drift_gate(

@@ -67,3 +67,18 @@ def test_counts_that_differ_fail_the_run(spark, tmp_path):
     assert pipeline.run_counts(spark, curated, "drift_marts") == {"tables": 6}
     with pytest.raises(quality.DataQualityError, match=r"fact_items has \d+ rows for 7"):
         pipeline.run_counts(spark, curated | {"movies_enriched": 7}, "drift_marts")
+
+
+def test_drifted_file_is_written_by_a_task_that_copies_stored_rows(spark, tmp_path, monkeypatch):
+    from reelhouse.plans import queries
+
+    frame = type(spark.range(1))
+    plans, tasks = [], frame.coalesce
+    monkeypatch.setattr(frame, "coalesce", lambda df, n: plans.append(df._jdf.queryExecution().toString()) or tasks(df, n))
+    out = queries.q_drift_gate(spark, SF_SMALL).collect()
+    assert [(r.status, r.n_drifted) for r in out] == [("F", 2)]
+    assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
+
+
+def test_large_files_are_not_read_into_a_task():
+    assert drift.LARGEST_IN_TASK <= 32 << 20
