@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reelhouse.session import scratch_path
+
 PARTITION_COL = "ingestion_date"
 
 
@@ -110,10 +112,17 @@ def stamp_date(df: DataFrame, ingestion_date: str, col: str = PARTITION_COL) ->
 PAGE_BUCKET = 100_000
 
 
-def _page_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Saved pages as read, with the time and name of their file."""
+def _page_documents(spark: SparkSession, path: str, schema: StructType, columns: tuple[str, ...] = ("*",)) -> DataFrame:
+    """Saved pages, with the time and name of their file.
+
+    Every file is opened and parsed once: what was read is stored under the
+    shared scratch folder, and the looks at page numbers take their column.
+    """
     docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return docs.select("*", "_metadata.file_modification_time", "_metadata.file_path")
+    docs = docs.select(*columns, "_metadata.file_modification_time", "_metadata.file_path")
+    stored = scratch_path(spark, "page-documents")
+    docs.write.parquet(stored)
+    return spark.read.schema(docs.schema).parquet(stored)
 
 
 def _page_cap(docs: DataFrame, max_pages: int | None) -> DataFrame:
@@ -147,7 +156,8 @@ def page_gaps(pages: DataFrame, cap: DataFrame, bucket: int = PAGE_BUCKET) -> Da
 def page_report(spark: SparkSession, path: str, schema: StructType, max_pages: int | None = None) -> DataFrame:
     """S3: what is amiss with a set of saved pages: (kind, page_from, page_to, n), one row per
     ``gap`` (n pages lacking) and per ``repeated`` page (n documents)."""
-    docs = _page_documents(spark, path, schema).select(F.col("page").cast("long").alias("page"), "total_pages")
+    docs = _page_documents(spark, path, schema, ("page", "total_pages"))
+    docs = docs.select(F.col("page").cast("long").alias("page"), "total_pages")
     cap = _page_cap(docs, max_pages)
     counted = docs.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
     repeated = counted.filter((F.col("n") > 1) & (F.col("page") <= cap.scalar()))
@@ -172,9 +182,9 @@ def read_pages(
     saved last. A malformed document, a document without a page number and a
     set without page 1 fail the read too.
 
-    One distributed plan: the cap and the gaps come in through scalar
-    subqueries over page numbers; only documents of repeated pages are
-    shuffled.
+    The documents are parsed and stored first. Over them it is one distributed
+    plan: the cap and the gaps come in through scalar subqueries over page
+    numbers; only documents of repeated pages are shuffled.
     """
     docs = _page_documents(spark, path, schema)
     fail = lambda why: F.raise_error(F.concat(F.lit(f"{path}: "), why)).cast("long")

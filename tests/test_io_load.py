@@ -263,3 +263,12 @@ def test_a_plain_table_becomes_a_versioned_one(spark):
     assert load_table(spark, _genres(spark, "new"), "plain_genre", schemas.DIM_GENRE) == 1
     assert _names(spark, "plain_genre") == ["new"]
     assert spark.table("plain_genre").schema == schemas.DIM_GENRE
+
+
+def test_saved_pages_are_parsed_once(spark, tmp_path):
+    docs = [{"page": p, "total_pages": 3, "results": [_item(p, 1.0)]} for p in (1, 2, 3, 2)]
+    path = _pages(tmp_path, docs)
+    rows = io.read_pages(spark, path, schemas.PAGE_DOCUMENT)
+    assert "Scan json" not in rows._jdf.queryExecution().toString()  # the looks at page numbers read what is stored
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
+    assert "Scan json" not in io.page_report(spark, path, schemas.PAGE_DOCUMENT)._jdf.queryExecution().toString()
