@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -147,9 +148,10 @@ def _build(keys: DataFrame, capacity: int, norm: Column) -> Index:
     counts = {r[0]: r[1] for r in found.groupBy(slot_of("_h").alias("slot")).count().collect()}
     buckets = grow_directory(counts, capacity)
     directory = store.write_shared(
-        spark.createDataFrame(
+        store.local_frame(
+            spark,
             [(first + i, b, depth) for b, (first, width, depth) in enumerate(buckets) for i in range(width)],
-            "slot int, bucket int, depth int",
+            **dict.fromkeys(("slot", "bucket", "depth"), pa.int32()),
         ),
         "exact-directory",
     )

@@ -243,9 +243,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("
     sizes = store.write_shared(dealt.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n")), "pack-sizes")
     counts = {r[0]: r[1] for r in sizes.groupBy("length").agg(F.sum("_n")).collect()}  # <= capacity rows
     runs = [(n, first, first + k, b, per, off) for n, first, k, b, per, off in plan(counts, capacity)]
-    table = spark.createDataFrame(
-        runs, "length long, _first long, _end long, _bin long, _per long, _off long"
-    )
+    table = store.local_frame(spark, runs, **dict.fromkeys(("length", "_first", "_end", "_bin", "_per", "_off"), pa.int64()))
     # Number of the piece among those of its length: a running total over buckets, then inside a bucket.
     before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

@@ -261,7 +261,7 @@ def block_tasks(
         # The masks there are is a number that radius and blocks fix, not the data.
         longer = [(_signed(m), [_signed(x) for x in longer_keys(m, radius)]) for m in masks]
         masks = list(dict.fromkeys(m for x in masks for m in longer_keys(x, radius)))
-        longer = F.broadcast(spark.createDataFrame(longer, "mask long, longer array<long>"))
+        longer = F.broadcast(store.local_frame(spark, longer, mask=pa.int64(), longer=pa.list_(pa.int64())))
         dealt = dealt.join(hot, ["mask", "key"], "left_semi").join(longer, "mask")
         dealt = dealt.select("fp", F.explode("longer").alias("mask")).select("fp", "mask", key).distinct()
         dealt = store.write_shared(dealt, "simhash-rekeyed")

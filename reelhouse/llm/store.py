@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,13 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], **types: pa.DataType) -> DataFrame:
+    """A few rows of the driver as a frame. They travel as Arrow: a list of rows would
+    start Python workers beside those that hold an operator's words and models."""
+    cols = list(zip(*rows)) or [()] * len(types)
+    return spark.createDataFrame(pa.table({c: pa.array(v, t) for (c, t), v in zip(types.items(), cols)}))
+
+
 def python_ready(spark: SparkSession) -> None:
     """Prepare a session for Python tasks over whole documents.
 

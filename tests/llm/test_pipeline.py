@@ -98,3 +98,14 @@ def test_rows_are_judged_each_by_itself(spark, docs):
     left = cp.remove_toxic(spark, all_docs.unionByName(toxic), SF_CHECK)
     odd = left.where("doc_id is null or doc_id = 5")
     assert sorted(r.text for r in odd.collect()) == ["fine words", "more fine words"]
+
+
+def test_driver_rows_start_no_python_worker(spark):
+    import pyarrow as pa
+
+    from reelhouse.llm import store
+
+    df = store.local_frame(spark, [(1, [2, 3])], a=pa.int64(), b=pa.list_(pa.int64()))
+    assert df.dtypes == [("a", "bigint"), ("b", "array<bigint>")] and [tuple(r) for r in df.collect()] == [(1, [2, 3])]
+    assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()  # before: rows pickled by Python tasks
+    assert store.local_frame(spark, [], a=pa.int32()).collect() == []
