@@ -13,7 +13,8 @@ single space with that space, and no entry of B's vocabulary has a space
 behind another sign (looked up when the vocabulary is loaded; without it, and
 beside other white space, nothing is cut). So the tokens of a text are those of
 its words. A worker remembers the words it has aligned, and aligns new ones
-many at a time, as one text.
+many at a time, as one text. When it knows too many it keeps those it has met
+again, at most half of what it may know, and learns the others anew.
 
 Links of a document are written with it, once per pair of ids, counted over
 the corpus by a combined aggregate (a pair in a third of all links is reduced
@@ -33,9 +34,9 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm import store
 
-# Words, and letters of words, that a worker remembers before it starts afresh.
+# Words, and letters of words, that a worker remembers before it forgets some.
 CACHE_WORDS = 600_000
 CACHE_LETTERS = 20_000_000
 # Documents looked at together, and letters of new words aligned as one text.
@@ -55,6 +56,7 @@ PAIR = 1 << 31
 # A pair table up to this many rows (32 bytes each) is broadcast.
 BROADCAST_PAIRS = 2_000_000
 _NONE = np.zeros(0, dtype=np.int64)
+_PIECE = attrgetter("id", "begin", "end")
 
 # A space that stands alone between other signs, and one beside white space.
 _SPACE = re.compile(r"(?<=\S)(?= \S)")
@@ -96,6 +98,7 @@ class Aligner:
             if not (self.b.is_control(i) or self.b.is_unknown(i)):  # those never stand for text
                 plain.append(piece)
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = (list(map(str, range(len(t)))) for t in (self.a_bytes, self.b_bytes))
         self.words_alone = not any(re.search(r"[^ ] ", p) for p in plain)
         self.forget()
 
@@ -105,6 +108,28 @@ class Aligner:
         self.groups: list[str] = []
         self.told = array("q")  # per word: A tokens (-1: bytes not given back), B tokens, its first pair, its pairs
         self.pairs = array("q")
+        self.again = bytearray()  # per word: 1 if it was met after the documents it was learned from
+
+    def thin(self) -> None:
+        """Forget the words not met again, and of the others what is more than half of the limits."""
+        keep = np.flatnonzero(np.frombuffer(self.again, dtype=np.uint8))[: CACHE_WORDS // 2]
+        words = list(self.known)  # in the order of their numbers
+        letters = np.cumsum([0, *(len(words[i]) for i in keep.tolist())])
+        keep = keep[letters[1:] <= CACHE_LETTERS // 2]
+        words, groups = ([of[i] for i in keep.tolist()] for of in (words, self.groups))
+        told, pairs = np.frombuffer(self.told, dtype=np.int64).reshape(-1, 4)[keep], np.frombuffer(self.pairs, dtype=np.int64)
+        pairs = pairs[self._places(told[:, 2], told[:, 3])]
+        told[:, 2] = np.cumsum(told[:, 3]) - told[:, 3]
+        self.forget()
+        self.known.update(zip(words, range(len(words))))
+        self.letters, self.groups, self.again = int(letters[len(keep)]), groups, bytearray(len(words))
+        self.told.frombytes(told.tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+
+    @staticmethod
+    def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The numbers of runs that begin at ``first`` and are so long, one run after the other."""
+        return np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
 
     def words(self, text: str) -> list[str]:
         """The words of space + text that start with a space each, which is left out here."""
@@ -133,7 +158,7 @@ class Aligner:
         sure = np.append(spans[1:, 0], len(whole)) >= spans[:, 1]
         a_end = self._ends(self.a_size[a], ends[spans[:, 1]], sure)
         pieces = self.b.encode(text, return_type="proto").pieces
-        b, begin, end = (np.array(x, dtype=np.int64) for x in ([p.id for p in pieces], [p.begin for p in pieces], [p.end for p in pieces]))
+        b, begin, end = np.fromiter(chain.from_iterable(map(_PIECE, pieces)), dtype=np.int64, count=3 * len(pieces)).reshape(-1, 3).T
         # The added space is in no span. Bytes of a longer character carry an empty span, but for the last.
         b_end = self._ends(self.b_size[b], end + 1, end > begin)
         return a, a_end, b, b_end
@@ -165,7 +190,7 @@ class Aligner:
                 self._given_back(b.tolist(), self.b_bytes, np.searchsorted(b_end, last, "right").tolist(), raw),
             )
         ]
-        ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        ids_a, ids_b = (list(map(of.__getitem__, ids.tolist())) for of, ids in ((self.a_text, a), (self.b_text, b)))
         p, q = (at_a + 1).tolist(), (at_b + 1).tolist()
         groups = [
             f"{ids_a[i] if j - i == 1 else ','.join(ids_a[i:j])}|{ids_b[m] if n - m == 1 else ','.join(ids_b[m:n])}"
@@ -178,17 +203,18 @@ class Aligner:
         self.pairs.frombytes((a[at_a] * PAIR + b[at_b]).astype(np.int64).tobytes())
         self.known.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
         self.letters += sum(map(len, words))
+        self.again.extend(bytes(len(words)))
         ends = to.tolist()
         self.groups.extend([";".join(groups[i:j]) for i, j in zip([0, *ends], ends)])
 
     def documents(self, texts: list[str | None]) -> list[tuple]:
         """Per text: (A tokens, B tokens, groups, their SHA-256, linked pairs, how often each is linked)."""
         if len(self.known) > CACHE_WORDS or self.letters > CACHE_LETTERS:
-            self.forget()
+            self.thin()
+        before = len(self.known)
         split = [self.words(t) if t else [] for t in texts]
-        counted = [Counter(w) for w in split]
         block, size = [], 0
-        for word in set().union(*counted) - self.known.keys():
+        for word in set().union(*split).difference(self.known):
             block.append(word)
             size += len(word)
             if size > BLOCK_LETTERS:
@@ -198,21 +224,20 @@ class Aligner:
             self.learn(block)
         # Views of the lists, given up before the next words come.
         told, pairs = np.frombuffer(self.told, dtype=np.int64).reshape(-1, 4), np.frombuffer(self.pairs, dtype=np.int64)
-        return [self._document(w, c, told, pairs) for w, c in zip(split, counted)]
-
-    def _document(self, words: list[str], counted: Counter, told: np.ndarray, pairs: np.ndarray) -> tuple:
-        numbers = list(map(self.known.__getitem__, counted))
-        at = np.array(numbers, dtype=np.int64)
-        if not words or (told[at, 0] < 0).any():
+        again = np.frombuffer(self.again, dtype=np.uint8)
+        return [self._document(list(map(self.known.__getitem__, w)), before, told, pairs, again) for w in split]
+
+    def _document(self, numbers: list[int], before: int, told: np.ndarray, pairs: np.ndarray, again: np.ndarray) -> tuple:
+        at, times = np.unique(np.array(numbers, dtype=np.int64), return_counts=True)
+        again[at[at < before]] = 1
+        known = told[at]
+        if not numbers or (known[:, 0] < 0).any():
             return 0, 0, 0, "", _NONE, _NONE
-        times = np.fromiter(counted.values(), dtype=np.int64, count=len(counted))
-        first, size = told[at, 2], told[at, 3]
-        where = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
-        linked, inverse = np.unique(pairs[where], return_inverse=True)
+        size = known[:, 3]
+        linked, inverse = np.unique(pairs[self._places(known[:, 2], size)], return_inverse=True)
         n = np.bincount(inverse, weights=np.repeat(times, size), minlength=len(linked)).astype(np.int64)
-        groups = dict(zip(counted, map(self.groups.__getitem__, numbers)))
-        line = ";".join(map(groups.__getitem__, words))
-        n_a, n_b = int(told[at, 0] @ times), int(told[at, 1] @ times)
+        line = ";".join(map(self.groups.__getitem__, numbers))
+        n_a, n_b = (times @ known[:, :2]).tolist()
         return n_a, n_b, int(n.sum()), hashlib.sha256(line.encode()).hexdigest(), linked, n
 
 

@@ -80,6 +80,28 @@ def test_a_worker_that_forgets_gives_the_same(both, monkeypatch):
     assert [told(small, t) for t in HARD] == want and [told(small, t) for t in HARD] == want
 
 
+def test_a_worker_that_forgets_keeps_the_words_it_met_again(both, monkeypatch):
+    monkeypatch.setattr(align, "CACHE_WORDS", 40)
+    small, learnt = align.Aligner(A, B), Counter()
+    learn = small.learn
+    monkeypatch.setattr(small, "learn", lambda words: (learnt.update(words), learn(words)))
+    for k in range(12):
+        text = "the cat. naïve ﬁ " + " ".join(f"w{k}x{i}" for i in range(20))
+        assert told(small, text) == brute(both, text) and len(small.known) <= 60
+    assert [learnt[w] for w in ("the", "cat.", "naïve", "ﬁ", "w0x0")] == [1] * 5
+    told(small, "w0x0")
+    assert learnt["w0x0"] == 2
+    # No more than half of either limit is kept.
+    again = [f"v{i}" for i in range(60)]
+    for text in (" ".join(again), " ".join(again), "one", "more"):
+        assert told(small, text) == brute(both, text) and len(small.known) <= 100
+    assert len(small.known) <= 21 and len(small.groups) == len(small.known) == len(small.again) == len(small.told) // 4
+    monkeypatch.setattr(align, "CACHE_LETTERS", 30)
+    for text in ("the cat. ﬁ", "the cat. ﬁ", "w" * 50, "the cat. ﬁ"):
+        assert told(small, text) == brute(both, text)
+    assert small.letters == sum(map(len, small.known))
+
+
 @pytest.mark.parametrize("limit", [align.BROADCAST_PAIRS, 0])
 def test_documents(both, docs, limit):
     texts = [*HARD, "the cat. the cat", "the cat. the cat", "The dog, the cat"]
